@@ -15,7 +15,18 @@ from pyspark.sql import functions as F
 from cellhealth import fixtures
 from cellhealth import schema as S
 from cellhealth.functions.expressions import round6
-from cellhealth.operators import clean, cycles, features
+from cellhealth.operators import (
+    clean,
+    cycles,
+    eol,
+    features,
+    metrics,
+    reports,
+    scaling,
+    scoring,
+    sequences,
+    split,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,6 +123,238 @@ def q11_savgol_soh(spark, sf_dir):
     return _rounded(t.select("battery_id", "battery_type", "cycle", "SoH", "SoH_smoothed"))
 
 
+def split_assignment(spark, sf_dir):
+    return split.assign_splits(feature_table(spark, sf_dir))
+
+
+def tagged_table(spark, sf_dir):
+    ft = feature_table(spark, sf_dir)
+    return split.with_split(ft, split.assign_splits(ft))
+
+
+SCALED = S.FEATURES_30 + [S.RUL_TARGET]
+
+
+def scaler_stats(spark, sf_dir, tagged=None):
+    tagged = tagged if tagged is not None else tagged_table(spark, sf_dir)
+    return scaling.fit_scaler(tagged.filter(F.col("split") == "train"), SCALED)
+
+
+BASELINES = [S.SOH_TARGET, S.RUL_TARGET]
+
+
+def baseline_scored(spark, sf_dir):
+    """Sequence targets with the window-mean forecasts of SoH and RUL ratio."""
+    seqs = sequences.build_sequences(tagged_table(spark, sf_dir), S.FEATURES_30,
+                                     baselines=BASELINES)
+    return (seqs.drop("seq")
+                .withColumn("predicted_SoH", F.col(f"{S.SOH_TARGET}_window_mean"))
+                .withColumn("actual_rul_cycles", F.col(S.RUL_TARGET) * F.col("max_cycle"))
+                .withColumn("predicted_rul_cycles",
+                            F.greatest(F.col(f"{S.RUL_TARGET}_window_mean"), F.lit(0.0))
+                            * F.col("max_cycle")))
+
+
+def q12_corr_soh(spark, sf_dir):
+    """Pearson matrix of the 9 features and smoothed SoH (long form)."""
+    return _rounded(metrics.correlation(feature_table(spark, sf_dir),
+                                        S.CORR_FEATURES + [S.SOH_TARGET]))
+
+
+def q13_corr_rul(spark, sf_dir):
+    """Pearson matrix of the 9 features and the RUL ratio (long form)."""
+    return _rounded(metrics.correlation(feature_table(spark, sf_dir),
+                                        S.CORR_FEATURES + [S.RUL_TARGET]))
+
+
+def q14_profile(spark, sf_dir):
+    """A3: rows, batteries, types of the model frame."""
+    return metrics.profile(feature_table(spark, sf_dir))
+
+
+def q15_split_assignment(spark, sf_dir):
+    """Stratified 70/20/10 battery split."""
+    return split_assignment(spark, sf_dir)
+
+
+def q16_split_summary(spark, sf_dir):
+    """A4: rows, batteries and types per split."""
+    return split.split_summary(tagged_table(spark, sf_dir))
+
+
+def q17_train_semi_join(spark, sf_dir):
+    """Training rows through a semi-join with the assignment."""
+    ft = feature_table(spark, sf_dir)
+    tr = split.rows_in(ft, split.assign_splits(ft), "train")
+    return tr.select("battery_id", "battery_type", "cycle")
+
+
+def q18_scaler_fit(spark, sf_dir):
+    """Min / max per feature and target on the training split."""
+    return _rounded(scaling.scaler_long(scaler_stats(spark, sf_dir), SCALED))
+
+
+def q19_scaled(spark, sf_dir):
+    """Every row scaled with the training statistics."""
+    tg = tagged_table(spark, sf_dir)
+    sc = scaling.scale(tg, scaler_stats(spark, sf_dir, tg), SCALED, suffix="_scaled")
+    return _rounded(sc.select("battery_id", "battery_type", "cycle", "split",
+                              *[f"{c}_scaled" for c in SCALED]))
+
+
+def q20_unscaled(spark, sf_dir):
+    """E16 inverse: unscale(scale(x)) gives x back."""
+    tg = tagged_table(spark, sf_dir)
+    st = scaler_stats(spark, sf_dir, tg)
+    sc = scaling.scale(tg, st, SCALED, suffix="_scaled")
+    back = scaling.unscale(sc, st, SCALED, suffix="_restored", src_suffix="_scaled")
+    return _rounded(back.select("battery_id", "battery_type", "cycle",
+                                *[f"{c}_restored" for c in SCALED]))
+
+
+def q21_sequences(spark, sf_dir):
+    """20-cycle input windows, one row per (target, position)."""
+    seqs = sequences.build_sequences(feature_table(spark, sf_dir), S.FEATURES_30)
+    seqs = seqs.withColumnRenamed("cycle", "target_cycle")
+    return _rounded(sequences.explode_sequences(
+        seqs, S.FEATURES_30, keys=("battery_id", "battery_type", "target_cycle")))
+
+
+def q22_sequence_counts(spark, sf_dir):
+    """Sequences per battery (n - 20 for n > 20)."""
+    seqs = sequences.build_sequences(feature_table(spark, sf_dir), S.FEATURES_30)
+    return seqs.groupBy("battery_id").agg(F.count(F.lit(1)).alias("n_sequences"))
+
+
+def _train_weights(spark, sf_dir):
+    seqs = sequences.build_sequences(tagged_table(spark, sf_dir), S.FEATURES_30,
+                                     baselines=BASELINES)
+    return sequences.with_sample_weight(seqs.filter(F.col("split") == "train"))
+
+
+def q23_sample_weights(spark, sf_dir):
+    """Early-life weights of the training sequences."""
+    return _rounded(_train_weights(spark, sf_dir).select(
+        "battery_id", "battery_type", "cycle", "weight"))
+
+
+def q24_weight_range(spark, sf_dir):
+    """Weight range."""
+    return _rounded(metrics.weight_range(_train_weights(spark, sf_dir)))
+
+
+def _test(spark, sf_dir):
+    return baseline_scored(spark, sf_dir).filter(F.col("split") == "test")
+
+
+def q25_soh_metrics(spark, sf_dir):
+    """SoH RMSE / MAE in percent and R^2 on the test split."""
+    m = metrics.regression_metrics(_test(spark, sf_dir), S.SOH_TARGET, "predicted_SoH",
+                                   scale=100.0, prefix="soh_")
+    return _rounded(m.select(F.col("soh_rmse").alias("soh_rmse_pct"),
+                             F.col("soh_mae").alias("soh_mae_pct"), "soh_r2"))
+
+
+def q26_rul_metrics_cycles(spark, sf_dir):
+    """RUL metrics in cycles (ratio x max_cycle, prediction clipped at 0)."""
+    m = metrics.regression_metrics(_test(spark, sf_dir), "actual_rul_cycles",
+                                   "predicted_rul_cycles", prefix="rul_")
+    return _rounded(m.select(F.col("rul_rmse").alias("rul_rmse_cycles"),
+                             F.col("rul_mae").alias("rul_mae_cycles"), "rul_r2"))
+
+
+def q27_huber(spark, sf_dir):
+    """A10: Huber loss (delta 0.1) of SoH on the test split."""
+    return _rounded(metrics.huber_loss(_test(spark, sf_dir), S.SOH_TARGET, "predicted_SoH",
+                                       S.SOH_HUBER_DELTA))
+
+
+def q28_weighted_huber(spark, sf_dir):
+    """Weighted Huber loss (delta 0.05) of the scaled RUL ratio, train split."""
+    tg = tagged_table(spark, sf_dir)
+    st = scaler_stats(spark, sf_dir, tg)
+    seqs = sequences.build_sequences(tg, S.FEATURES_30, baselines=BASELINES)
+    tr = sequences.with_sample_weight(seqs.filter(F.col("split") == "train"))
+    tr = scaling.scale_with(tr, st, S.RUL_TARGET,
+                            [S.RUL_TARGET, f"{S.RUL_TARGET}_window_mean"])
+    return _rounded(metrics.huber_loss(tr, S.RUL_TARGET, f"{S.RUL_TARGET}_window_mean",
+                                       S.RUL_HUBER_DELTA, weight="weight"))
+
+
+def q29_eol_report(spark, sf_dir):
+    """First cycle under SoH 0.7, actual vs predicted, per battery."""
+    return eol.eol_report(baseline_scored(spark, sf_dir))
+
+
+def q30_eol_mae(spark, sf_dir):
+    """Mean absolute EOL error."""
+    return _rounded(eol.eol_mae(eol.eol_report(baseline_scored(spark, sf_dir))))
+
+
+def q31_health_status(spark, sf_dir):
+    """Health band of every cycle's SoH percentage."""
+    f = final_table(spark, sf_dir).withColumn("soh_pct", F.col("SoH") * F.lit(100.0))
+    return _rounded(scoring.with_status(f).select("battery_id", "battery_type", "cycle",
+                                                  "soh_pct", "status"))
+
+
+def q32_fleet_summary(spark, sf_dir):
+    """M8: latest predicted state per battery, counted and averaged per band."""
+    sc = (baseline_scored(spark, sf_dir)
+          .withColumn("soh_pct", F.col("predicted_SoH") * F.lit(100.0))
+          .withColumn("rul_cycles", F.col("predicted_rul_cycles")))
+    return _rounded(scoring.fleet_summary(sc))
+
+
+def _readings(spark, sf_dir):
+    return scoring.validate_readings(fixtures.readings(spark, sf_dir))
+
+
+def q33_cold_start_features(spark, sf_dir):
+    """27-column feature rows of single readings."""
+    ok, _ = _readings(spark, sf_dir)
+    return _rounded(scoring.cold_start_features(ok).select("request_id", *S.FEATURES_27))
+
+
+def q34_cold_start_sequence(spark, sf_dir):
+    """The reading repeated into a 20-step window."""
+    ok, _ = _readings(spark, sf_dir)
+    sq = scoring.cold_start_sequence(scoring.cold_start_features(ok), S.FEATURES_27)
+    flat = F.flatten("seq")
+    return _rounded(sq.select(
+        "request_id", F.size("seq").alias("n_steps"), F.size(flat).alias("n_values"),
+        F.array_min(flat).alias("min_value"), F.array_max(flat).alias("max_value"),
+        F.aggregate(flat, F.lit(0.0), lambda a, x: a + x).alias("sum_value")))
+
+
+def q35_rejected_readings(spark, sf_dir):
+    """Readings missing a required field, with the reason."""
+    _, bad = _readings(spark, sf_dir)
+    return bad.select("request_id", "reason")
+
+
+def q36_best_epoch(spark, sf_dir):
+    """First epoch of minimum validation loss per model."""
+    return _rounded(metrics.best_epoch(fixtures.epoch_history(spark, sf_dir)))
+
+
+def q37_scatter_limits(spark, sf_dir):
+    """Scatter-plot limits for SoH and RUL on the test split."""
+    t = _test(spark, sf_dir)
+    return _rounded(reports.scatter_limits(t, S.SOH_TARGET, "predicted_SoH", "soh")
+                    .unionByName(reports.scatter_limits(t, "actual_rul_cycles",
+                                                        "predicted_rul_cycles", "rul")))
+
+
+def q38_battery_curves(spark, sf_dir):
+    """Test batteries' actual vs predicted SoH curves, short ones flagged."""
+    ft = feature_table(spark, sf_dir)
+    asg = split.assign_splits(ft)
+    test_ids = asg.filter(F.col("split") == "test")
+    return _rounded(reports.battery_curves(ft, baseline_scored(spark, sf_dir), test_ids,
+                                           S.SOH_TARGET, "predicted_SoH"))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items()
             if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}

@@ -208,3 +208,265 @@ SQL: dict[str, str] = {
                 f"FROM feat"),
 }
 SQL["q05_rul_soh_join_form"] = SQL["q04_rul_soh"]
+
+
+# -- split, scaling, sequences, baseline forecasts ---------------------------
+
+ASG = """
+bats AS (SELECT DISTINCT battery_type, battery_id FROM feat),
+ordb AS (
+  SELECT *, row_number() OVER (PARTITION BY battery_type
+                               ORDER BY md5(concat_ws('-', battery_id, '42')), battery_id) - 1 AS p,
+         count(*) OVER (PARTITION BY battery_type) AS n
+  FROM bats),
+sz AS (SELECT *, greatest(1, CAST(floor(n * 0.7e0) AS BIGINT)) AS a0,
+              greatest(1, CAST(floor(n * 0.2e0) AS BIGINT)) AS nv FROM ordb),
+sz2 AS (SELECT *, greatest(1, n - a0 - nv) AS nt FROM sz),
+sz3 AS (SELECT *, CASE WHEN a0 + nv + nt > n THEN a0 - 1 ELSE a0 END AS na FROM sz2),
+asg AS (
+  SELECT battery_type, battery_id,
+         CASE WHEN p < na THEN 'train' WHEN p < na + nv THEN 'val'
+              WHEN p < na + nv + nt THEN 'test' END AS split
+  FROM sz3),
+tagged AS (
+  SELECT feat.*, s.split FROM feat JOIN (SELECT DISTINCT battery_id, split FROM asg) s
+  USING (battery_id))"""
+
+_SCALED = S.FEATURES_30 + [S.RUL_TARGET]
+STATS = ("\nstats AS (SELECT "
+         + ", ".join(f"min({c}) AS {c}__min, max({c}) AS {c}__max" for c in _SCALED)
+         + " FROM tagged WHERE split = 'train')")
+
+
+def _rng(c: str) -> str:
+    return (f"(CASE WHEN {c}__max - {c}__min < {10 * 2.220446049250313e-16!r} THEN 1e0 "
+            f"ELSE {c}__max - {c}__min END)")
+
+
+BASE = """
+base AS (
+  SELECT *, avg(SoH_smoothed) OVER bw AS SoH_smoothed_window_mean,
+         avg(rul_ratio) OVER bw AS rul_ratio_window_mean
+  FROM tagged
+  WINDOW bw AS (PARTITION BY battery_id ORDER BY cycle_index
+                ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)),
+scored AS (
+  SELECT *, SoH_smoothed_window_mean AS predicted_SoH,
+         rul_ratio * max_cycle AS actual_rul_cycles,
+         greatest(rul_ratio_window_mean, 0e0) * max_cycle AS predicted_rul_cycles
+  FROM base WHERE cycle_index > 20),
+test AS (SELECT * FROM scored WHERE split = 'test')"""
+
+SEQ = f"""
+seqw AS (
+  SELECT a.battery_id, a.battery_type, a.cycle AS target_cycle,
+         b.cycle_index - a.cycle_index + 20 AS pos,
+         {', '.join('CAST(b.cycle AS DOUBLE) AS cycle' if c == 'cycle' else 'b.' + c
+                    for c in S.FEATURES_30)}
+  FROM feat a JOIN feat b
+    ON a.battery_id = b.battery_id
+   AND b.cycle_index BETWEEN a.cycle_index - 20 AND a.cycle_index - 1
+  WHERE a.cycle_index > 20)"""
+
+CHAIN["tagged"] = CHAIN["feat"] + [ASG]
+CHAIN["stats"] = CHAIN["tagged"] + [STATS]
+CHAIN["scored"] = CHAIN["tagged"] + [BASE]
+CHAIN["seq"] = CHAIN["feat"] + [SEQ]
+
+
+def _corr_sql(cols: list[str]) -> str:
+    aggs = [f"stddev_pop({c}) AS sd{i}" for i, c in enumerate(cols)]
+    for i in range(len(cols)):
+        for j in range(i, len(cols)):
+            aggs.append(f"covar_pop({cols[i]}, {cols[j]}) AS cv{i}_{j}")
+    sel = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            lo, hi = min(i, j), max(i, j)
+            sel.append(f"SELECT '{a}' AS row_feature, '{b}' AS col_feature, "
+                       f"{r(f'cv{lo}_{hi} / NULLIF(sd{i} * sd{j}, 0e0)')} AS r FROM m")
+    return with_ctes("feat", "\nUNION ALL ".join(sel),
+                     [f"\nm AS (SELECT {', '.join(aggs)} FROM feat)"])
+
+
+def _metrics(y: str, yhat: str, scale: str, names: tuple[str, str, str]) -> str:
+    return with_ctes("scored", f"""
+SELECT {r(f'sqrt(avg(({yhat} - {y}) * ({yhat} - {y}))) * {scale}')} AS {names[0]},
+       {r(f'avg(abs({yhat} - {y})) * {scale}')} AS {names[1]},
+       {r(f'''CASE WHEN var_pop({y}) * count({y}) = 0 THEN
+                   CASE WHEN sum(({yhat} - {y}) * ({yhat} - {y})) = 0 THEN 1e0 ELSE 0e0 END
+                 ELSE 1e0 - sum(({yhat} - {y}) * ({yhat} - {y})) / (var_pop({y}) * count({y}))
+            END''')} AS {names[2]}
+FROM test""")
+
+
+def _huber(e: str, d: float) -> str:
+    return (f"(CASE WHEN abs({e}) <= {d!r}e0 THEN 0.5e0 * ({e}) * ({e}) "
+            f"ELSE {d!r}e0 * (abs({e}) - {0.5 * d!r}e0) END)")
+
+
+_R_MIN, _R_MAX = "rul_ratio__min", "rul_ratio__max"
+_RR = _rng("rul_ratio")
+
+READINGS = """
+rq AS (
+  SELECT event_id AS request_id,
+         CASE WHEN event_id % 11 = 0 THEN NULL ELSE 4.2e0 - value / 500e0 END AS avg_voltage,
+         4.1e0 - value / 400e0 AS min_voltage,
+         CASE WHEN event_id % 13 = 0 THEN NULL ELSE 1e0 + (event_id % 7) / 10e0 END
+           AS avg_current,
+         value * 2e0 AS duration,
+         -value / 10000e0 AS voltage_drop,
+         CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) / 100e0 - 0.5e0 AS temp_change,
+         CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(event_id % 90 AS DOUBLE) END AS cycle,
+         CASE WHEN event_id % 3 = 0 THEN NULL ELSE (event_id % 100) / 100e0 END AS cycle_rank
+  FROM events),
+rq_ok AS (
+  SELECT * FROM rq WHERE """ + " AND ".join(f"{c} IS NOT NULL"
+                                            for c in S.REQUIRED_READING_FIELDS) + """),
+cs AS (
+  SELECT request_id, avg_voltage, min_voltage, avg_current, duration, voltage_drop,
+         temp_change, coalesce(cycle, 1e0) AS cycle,
+         coalesce(cycle, 1e0) * voltage_drop AS cumul_voltage_drop,
+         coalesce(cycle_rank, 0.5e0) AS cycle_rank
+  FROM rq_ok)"""
+CHAIN["readings"] = [READINGS]
+
+
+def _cs_cols() -> list[str]:
+    out = []
+    for f in S.FEATURES_27:
+        if f.endswith("_mean"):
+            out.append(f"{f[:-5]} AS {f}")
+        elif f.endswith("_std"):
+            out.append(f"0e0 AS {f}")
+        else:
+            out.append(f)
+    return out
+
+
+_CS27_VALUES = ", ".join(x.split(" AS ")[0] for x in _cs_cols())
+
+SQL.update({
+    "q12_corr_soh": _corr_sql(S.CORR_FEATURES + [S.SOH_TARGET]),
+    "q13_corr_rul": _corr_sql(S.CORR_FEATURES + [S.RUL_TARGET]),
+    "q14_profile": with_ctes("feat", """
+SELECT count(*) AS n_rows, count(DISTINCT battery_id) AS n_batteries,
+       count(DISTINCT battery_type) AS n_types,
+       string_agg(DISTINCT battery_type, ',' ORDER BY battery_type) AS types
+FROM feat"""),
+    "q15_split_assignment": with_ctes("tagged", "SELECT battery_type, battery_id, split FROM asg"),
+    "q16_split_summary": with_ctes("tagged", """
+SELECT split, count(*) AS n_rows, count(DISTINCT battery_id) AS n_batteries,
+       string_agg(DISTINCT battery_type, ',' ORDER BY battery_type) AS types
+FROM tagged GROUP BY split"""),
+    "q17_train_semi_join": with_ctes("tagged", """
+SELECT battery_id, battery_type, cycle FROM feat
+WHERE battery_id IN (SELECT battery_id FROM asg WHERE split = 'train')"""),
+    "q18_scaler_fit": with_ctes("stats", "\nUNION ALL ".join(
+        f"SELECT '{c}' AS feature, {r(c + '__min')} AS min, {r(c + '__max')} AS max FROM stats"
+        for c in _SCALED)),
+    "q19_scaled": with_ctes("stats", "SELECT battery_id, battery_type, cycle, split, "
+                            + ", ".join(f"{r(f'({c} - {c}__min) / {_rng(c)}')} AS {c}_scaled"
+                                        for c in _SCALED)
+                            + " FROM tagged CROSS JOIN stats"),
+    "q20_unscaled": with_ctes("stats", "SELECT battery_id, battery_type, cycle, "
+                              + ", ".join(
+                                  f"{r(f'(({c} - {c}__min) / {_rng(c)}) * {_rng(c)} + {c}__min')}"
+                                  f" AS {c}_restored" for c in _SCALED)
+                              + " FROM tagged CROSS JOIN stats"),
+    "q21_sequences": with_ctes("seq", "SELECT battery_id, battery_type, target_cycle, pos, "
+                               + _cols(S.FEATURES_30) + " FROM seqw"),
+    "q22_sequence_counts": with_ctes("feat", """
+SELECT battery_id, count(*) AS n_sequences FROM feat WHERE cycle_index > 20
+GROUP BY battery_id"""),
+    "q23_sample_weights": with_ctes("scored", f"""
+SELECT battery_id, battery_type, cycle, {r('2e0 - cycle_norm')} AS weight
+FROM scored WHERE split = 'train'"""),
+    "q24_weight_range": with_ctes("scored", f"""
+SELECT {r('min(2e0 - cycle_norm)')} AS min_weight, {r('max(2e0 - cycle_norm)')} AS max_weight
+FROM scored WHERE split = 'train'"""),
+    "q25_soh_metrics": _metrics("SoH_smoothed", "predicted_SoH", "100e0",
+                                ("soh_rmse_pct", "soh_mae_pct", "soh_r2")),
+    "q26_rul_metrics_cycles": _metrics("actual_rul_cycles", "predicted_rul_cycles", "1e0",
+                                       ("rul_rmse_cycles", "rul_mae_cycles", "rul_r2")),
+    "q27_huber": with_ctes("scored", f"""
+SELECT {r('avg(' + _huber('predicted_SoH - SoH_smoothed', 0.1) + ')')} AS huber_loss,
+       count(*) AS n FROM test"""),
+    "q28_weighted_huber": with_ctes("stats", f"""
+SELECT {r('sum(w * ' + _huber('ph - yh', 0.05) + ') / count(*)')} AS huber_loss,
+       count(*) AS n
+FROM (SELECT 2e0 - cycle_norm AS w,
+             (rul_ratio - {_R_MIN}) / {_RR} AS yh,
+             (rul_ratio_window_mean - {_R_MIN}) / {_RR} AS ph
+      FROM scored CROSS JOIN stats WHERE split = 'train')""", [BASE]),
+    "q29_eol_report": with_ctes("scored", """
+SELECT battery_id, actual_eol_cycle, predicted_eol_cycle,
+       NULLIF(predicted_eol_cycle, 0) - NULLIF(actual_eol_cycle, 0) AS error_cycles,
+       abs(NULLIF(predicted_eol_cycle, 0) - NULLIF(actual_eol_cycle, 0)) AS abs_error_cycles
+FROM (SELECT battery_id, min(CASE WHEN SoH < 0.7e0 THEN cycle END) AS actual_eol_cycle,
+             min(CASE WHEN predicted_SoH < 0.7e0 THEN cycle END) AS predicted_eol_cycle
+      FROM scored GROUP BY battery_id)"""),
+    "q30_eol_mae": with_ctes("scored", f"""
+SELECT {r('avg(abs(NULLIF(p, 0) - NULLIF(a, 0)))')} AS eol_mean_abs_error_cycles,
+       count(abs(NULLIF(p, 0) - NULLIF(a, 0))) AS n_batteries_with_error
+FROM (SELECT battery_id, min(CASE WHEN SoH < 0.7e0 THEN cycle END) AS a,
+             min(CASE WHEN predicted_SoH < 0.7e0 THEN cycle END) AS p
+      FROM scored GROUP BY battery_id)"""),
+    "q31_health_status": with_ctes("final", f"""
+SELECT battery_id, battery_type, cycle, {r('SoH * 100e0')} AS soh_pct,
+       CASE WHEN SoH * 100e0 > 80e0 THEN 'Healthy' WHEN SoH * 100e0 >= 70e0 THEN 'Degraded'
+            ELSE 'Critical' END AS status
+FROM final"""),
+    "q32_fleet_summary": with_ctes("scored", f"""
+SELECT status, count(*) AS n_batteries, {r('avg(soh_pct)')} AS mean_soh_pct,
+       {r('avg(rul_cycles)')} AS mean_rul_cycles
+FROM (SELECT *, CASE WHEN soh_pct > 80e0 THEN 'Healthy' WHEN soh_pct >= 70e0 THEN 'Degraded'
+                     ELSE 'Critical' END AS status
+      FROM (SELECT battery_id, arg_max(predicted_SoH * 100e0, cycle_index) AS soh_pct,
+                   arg_max(predicted_rul_cycles, cycle_index) AS rul_cycles
+            FROM scored GROUP BY battery_id))
+GROUP BY status"""),
+    "q33_cold_start_features": with_ctes("readings", "SELECT request_id, "
+                                         + ", ".join(f"{r(x.split(' AS ')[0])} AS "
+                                                     f"{x.split(' AS ')[-1]}"
+                                                     for x in _cs_cols())
+                                         + " FROM cs"),
+    "q34_cold_start_sequence": with_ctes("readings", f"""
+SELECT request_id, 20 AS n_steps, 540 AS n_values,
+       {r('list_min(v)')} AS min_value, {r('list_max(v)')} AS max_value,
+       {r('list_reduce(v, lambda a, x: a + x, 0e0)')} AS sum_value
+FROM (SELECT request_id,
+             flatten(list_transform(range(20), lambda i: [{_CS27_VALUES}])) AS v
+      FROM cs)"""),
+    "q35_rejected_readings": with_ctes("readings", "SELECT request_id, coalesce("
+                                       + ", ".join(f"CASE WHEN {c} IS NULL THEN "
+                                                   f"'missing field: {c}' END"
+                                                   for c in S.REQUIRED_READING_FIELDS)
+                                       + ") AS reason FROM rq WHERE "
+                                       + " OR ".join(f"{c} IS NULL"
+                                                     for c in S.REQUIRED_READING_FIELDS)),
+    "q36_best_epoch": f"""
+SELECT model, epoch AS best_epoch, {r('val_loss')} AS best_val_loss
+FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY val_loss, epoch) AS rn
+      FROM (SELECT event_type AS model, dayofmonth(ts) AS epoch, avg(value) AS val_loss
+            FROM events GROUP BY ALL))
+WHERE rn = 1""",
+    "q37_scatter_limits": with_ctes("scored", f"""
+SELECT 'soh' AS target, {r('least(min(SoH_smoothed), min(predicted_SoH))')} AS lo,
+       {r('greatest(max(SoH_smoothed), max(predicted_SoH))')} AS hi FROM test
+UNION ALL
+SELECT 'rul', {r('least(min(actual_rul_cycles), min(predicted_rul_cycles))')},
+       {r('greatest(max(actual_rul_cycles), max(predicted_rul_cycles))')} FROM test"""),
+    "q38_battery_curves": with_ctes("scored", f"""
+SELECT c.battery_id, c.cycle, {r('c.actual')} AS actual, {r('c.predicted')} AS predicted,
+       z.n_cycles, z.n_cycles <= 20 AS too_short
+FROM (SELECT battery_id, cycle, SoH_smoothed AS actual, predicted_SoH AS predicted
+      FROM scored WHERE battery_id IN (SELECT battery_id FROM asg WHERE split = 'test')
+      UNION ALL
+      SELECT battery_id, NULL, NULL, NULL FROM feat
+      WHERE battery_id IN (SELECT battery_id FROM asg WHERE split = 'test')
+      GROUP BY battery_id HAVING max(n_cycles) <= 20) c
+JOIN (SELECT battery_id, max(n_cycles) AS n_cycles FROM feat GROUP BY battery_id) z
+  USING (battery_id)"""),
+})
