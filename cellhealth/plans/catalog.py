@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cellhealth import fixtures
 from cellhealth import schema as S
 from cellhealth.functions.expressions import round6
+from cellhealth.session import write_stage
 from cellhealth.operators import (
     clean,
     cycles,
@@ -40,20 +41,80 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 # -- shared stages ----------------------------------------------------------
 
-def light_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.light(clean.clean_telemetry(fixtures.telemetry(spark, sf_dir)))
+class Stages:
+    """The intermediate tables of one query, each computed at most once.
+
+    The per-cycle, final and feature tables are written to the shared
+    checkpoint folder and read back: the segment kernel reads its input twice
+    (block table + rows) and later steps reuse the feature table several
+    times, so without the written stage every reuse would rescan the raw
+    telemetry.  They are orders of magnitude smaller than the raw readings.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+        self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
+        self._memo: dict[str, DataFrame] = {}
+
+    def _get(self, name: str, build, stage: bool = False) -> DataFrame:
+        if name not in self._memo:
+            df = build()
+            if stage and self.materialize:
+                df = write_stage(df, name)
+            self._memo[name] = df
+        return self._memo[name]
+
+    @property
+    def light(self) -> DataFrame:
+        return self._get("light", lambda: clean.light(
+            clean.clean_telemetry(fixtures.telemetry(self.spark, self.sf_dir))))
+
+    @property
+    def cycles(self) -> DataFrame:
+        return self._get("cycles", lambda: cycles.aggregate_cycles(
+            cycles.with_cycle(self.light)), stage=True)
+
+    @property
+    def final(self) -> DataFrame:
+        return self._get("final", lambda: cycles.final_dataset(self.cycles), stage=True)
+
+    @property
+    def features(self) -> DataFrame:
+        return self._get("features", lambda: features.model_frame(self.final), stage=True)
+
+    @property
+    def assignment(self) -> DataFrame:
+        return self._get("assignment", lambda: split.assign_splits(self.features))
+
+    @property
+    def tagged(self) -> DataFrame:
+        return self._get("tagged", lambda: split.with_split(self.features, self.assignment))
+
+    @property
+    def stats(self) -> DataFrame:
+        return self._get("stats", lambda: scaling.fit_scaler(
+            self.tagged.filter(F.col("split") == "train"), SCALED))
+
+    @property
+    def scored(self) -> DataFrame:
+        """Sequence targets with the window-mean forecasts of SoH and RUL ratio."""
+        def build():
+            seqs = sequences.build_sequences(self.tagged, S.FEATURES_30, baselines=BASELINES)
+            return (seqs.drop("seq")
+                        .withColumn("predicted_SoH", F.col(f"{S.SOH_TARGET}_window_mean"))
+                        .withColumn("actual_rul_cycles",
+                                    F.col(S.RUL_TARGET) * F.col("max_cycle"))
+                        .withColumn("predicted_rul_cycles",
+                                    F.greatest(F.col(f"{S.RUL_TARGET}_window_mean"),
+                                               F.lit(0.0)) * F.col("max_cycle")))
+        return self._get("scored", build)
+
+    @property
+    def test(self) -> DataFrame:
+        return self.scored.filter(F.col("split") == "test")
 
 
-def cycle_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cycles.aggregate_cycles(cycles.with_cycle(light_table(spark, sf_dir)))
-
-
-def final_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cycles.final_dataset(cycle_table(spark, sf_dir))
-
-
-def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.model_frame(final_table(spark, sf_dir))
+SCALED = S.FEATURES_30 + [S.RUL_TARGET]
+BASELINES = [S.SOH_TARGET, S.RUL_TARGET]
 
 
 # -- queries ----------------------------------------------------------------
@@ -66,155 +127,127 @@ def q01_identity(spark, sf_dir):
 
 def q02_discharge_light(spark, sf_dir):
     """Coerced, discharge-only, complete readings in the light layout."""
-    return _rounded(light_table(spark, sf_dir))
+    return _rounded(Stages(spark, sf_dir).light)
 
 
 def q03_cycle_aggregate(spark, sf_dir):
     """Per-cycle aggregate."""
-    return _rounded(cycle_table(spark, sf_dir))
+    return _rounded(Stages(spark, sf_dir, materialize=False).cycles)
 
 
 def q04_rul_soh(spark, sf_dir):
     """Max cycle per battery (block form), RUL and SoH."""
-    return _rounded(cycles.with_rul_soh(cycle_table(spark, sf_dir)))
+    return _rounded(cycles.with_rul_soh(Stages(spark, sf_dir).cycles))
 
 
 def q05_rul_soh_join_form(spark, sf_dir):
     """The same labels through the self-join with the per-battery maximum."""
-    c = cycle_table(spark, sf_dir).filter(F.col("cycle").isNotNull())
+    c = Stages(spark, sf_dir).cycles.filter(F.col("cycle").isNotNull())
     return _rounded(cycles.with_rul_soh_join(c))
 
 
 def q06_final_dataset(spark, sf_dir):
     """Previous-cycle deltas, cycle ratio, complete rows only."""
-    return _rounded(final_table(spark, sf_dir))
+    return _rounded(cycles.final_dataset(Stages(spark, sf_dir).cycles))
 
 
 def q07_targets(spark, sf_dir):
     """Remaining cycles, RUL ratio, normalised cycle."""
-    t = features.with_targets(final_table(spark, sf_dir))
+    t = features.with_targets(Stages(spark, sf_dir).final)
     return _rounded(t.select("battery_id", "battery_type", "cycle", "remaining_cycles",
                              "rul_ratio", "cycle_norm"))
 
 
+def _positions(spark, sf_dir):
+    return features.with_position(features.with_targets(Stages(spark, sf_dir).final))
+
+
 def q08_cumulative_drop(spark, sf_dir):
     """Running voltage drop per battery in cycle order."""
-    t = features.with_position(features.with_targets(final_table(spark, sf_dir)))
-    return _rounded(t.select("battery_id", "battery_type", "cycle", "cycle_index",
-                             "n_cycles", "cumul_voltage_drop"))
+    return _rounded(_positions(spark, sf_dir).select(
+        "battery_id", "battery_type", "cycle", "cycle_index", "n_cycles", "cumul_voltage_drop"))
 
 
 def q09_cycle_rank(spark, sf_dir):
     """Percentile rank of the cycle inside its battery, ties averaged."""
-    t = features.with_position(features.with_targets(final_table(spark, sf_dir)))
-    return _rounded(t.select("battery_id", "battery_type", "cycle", "cycle_rank"))
+    return _rounded(_positions(spark, sf_dir).select(
+        "battery_id", "battery_type", "cycle", "cycle_rank"))
+
+
+_ROLL = [c for c in S.FEATURES_30 if c not in S.PHYSICAL_FEATURES]
 
 
 def q10_rolling_features(spark, sf_dir):
     """10-row rolling mean and sample std of the 10 physical features."""
-    t = feature_table(spark, sf_dir)
-    roll = [c for c in S.FEATURES_30 if c not in S.PHYSICAL_FEATURES]
-    return _rounded(t.select("battery_id", "battery_type", "cycle", *roll))
+    t = features.model_frame(Stages(spark, sf_dir).final)
+    return _rounded(t.select("battery_id", "battery_type", "cycle", *_ROLL))
 
 
 def q11_savgol_soh(spark, sf_dir):
     """Savitzky-Golay smoothed SoH (11 points, quadratic), clipped."""
-    t = feature_table(spark, sf_dir)
+    t = features.model_frame(Stages(spark, sf_dir).final)
     return _rounded(t.select("battery_id", "battery_type", "cycle", "SoH", "SoH_smoothed"))
 
 
-def split_assignment(spark, sf_dir):
-    return split.assign_splits(feature_table(spark, sf_dir))
-
-
-def tagged_table(spark, sf_dir):
-    ft = feature_table(spark, sf_dir)
-    return split.with_split(ft, split.assign_splits(ft))
-
-
-SCALED = S.FEATURES_30 + [S.RUL_TARGET]
-
-
-def scaler_stats(spark, sf_dir, tagged=None):
-    tagged = tagged if tagged is not None else tagged_table(spark, sf_dir)
-    return scaling.fit_scaler(tagged.filter(F.col("split") == "train"), SCALED)
-
-
-BASELINES = [S.SOH_TARGET, S.RUL_TARGET]
-
-
-def baseline_scored(spark, sf_dir):
-    """Sequence targets with the window-mean forecasts of SoH and RUL ratio."""
-    seqs = sequences.build_sequences(tagged_table(spark, sf_dir), S.FEATURES_30,
-                                     baselines=BASELINES)
-    return (seqs.drop("seq")
-                .withColumn("predicted_SoH", F.col(f"{S.SOH_TARGET}_window_mean"))
-                .withColumn("actual_rul_cycles", F.col(S.RUL_TARGET) * F.col("max_cycle"))
-                .withColumn("predicted_rul_cycles",
-                            F.greatest(F.col(f"{S.RUL_TARGET}_window_mean"), F.lit(0.0))
-                            * F.col("max_cycle")))
-
-
 def q12_corr_soh(spark, sf_dir):
     """Pearson matrix of the 9 features and smoothed SoH (long form)."""
-    return _rounded(metrics.correlation(feature_table(spark, sf_dir),
+    return _rounded(metrics.correlation(Stages(spark, sf_dir).features,
                                         S.CORR_FEATURES + [S.SOH_TARGET]))
 
 
 def q13_corr_rul(spark, sf_dir):
     """Pearson matrix of the 9 features and the RUL ratio (long form)."""
-    return _rounded(metrics.correlation(feature_table(spark, sf_dir),
+    return _rounded(metrics.correlation(Stages(spark, sf_dir).features,
                                         S.CORR_FEATURES + [S.RUL_TARGET]))
 
 
 def q14_profile(spark, sf_dir):
     """A3: rows, batteries, types of the model frame."""
-    return metrics.profile(feature_table(spark, sf_dir))
+    return metrics.profile(Stages(spark, sf_dir).features)
 
 
 def q15_split_assignment(spark, sf_dir):
     """Stratified 70/20/10 battery split."""
-    return split_assignment(spark, sf_dir)
+    return Stages(spark, sf_dir).assignment
 
 
 def q16_split_summary(spark, sf_dir):
     """A4: rows, batteries and types per split."""
-    return split.split_summary(tagged_table(spark, sf_dir))
+    return split.split_summary(Stages(spark, sf_dir).tagged)
 
 
 def q17_train_semi_join(spark, sf_dir):
     """Training rows through a semi-join with the assignment."""
-    ft = feature_table(spark, sf_dir)
-    tr = split.rows_in(ft, split.assign_splits(ft), "train")
+    st = Stages(spark, sf_dir)
+    tr = split.rows_in(st.features, st.assignment, "train")
     return tr.select("battery_id", "battery_type", "cycle")
 
 
 def q18_scaler_fit(spark, sf_dir):
     """Min / max per feature and target on the training split."""
-    return _rounded(scaling.scaler_long(scaler_stats(spark, sf_dir), SCALED))
+    return _rounded(scaling.scaler_long(Stages(spark, sf_dir).stats, SCALED))
 
 
 def q19_scaled(spark, sf_dir):
     """Every row scaled with the training statistics."""
-    tg = tagged_table(spark, sf_dir)
-    sc = scaling.scale(tg, scaler_stats(spark, sf_dir, tg), SCALED, suffix="_scaled")
+    st = Stages(spark, sf_dir)
+    sc = scaling.scale(st.tagged, st.stats, SCALED, suffix="_scaled")
     return _rounded(sc.select("battery_id", "battery_type", "cycle", "split",
                               *[f"{c}_scaled" for c in SCALED]))
 
 
 def q20_unscaled(spark, sf_dir):
     """E16 inverse: unscale(scale(x)) gives x back."""
-    tg = tagged_table(spark, sf_dir)
-    st = scaler_stats(spark, sf_dir, tg)
-    sc = scaling.scale(tg, st, SCALED, suffix="_scaled")
-    back = scaling.unscale(sc, st, SCALED, suffix="_restored", src_suffix="_scaled")
+    st = Stages(spark, sf_dir)
+    sc = scaling.scale(st.tagged, st.stats, SCALED, suffix="_scaled")
+    back = scaling.unscale(sc, st.stats, SCALED, suffix="_restored", src_suffix="_scaled")
     return _rounded(back.select("battery_id", "battery_type", "cycle",
                                 *[f"{c}_restored" for c in SCALED]))
 
 
 def q21_sequences(spark, sf_dir):
     """20-cycle input windows, one row per (target, position)."""
-    seqs = sequences.build_sequences(feature_table(spark, sf_dir), S.FEATURES_30)
+    seqs = sequences.build_sequences(Stages(spark, sf_dir).features, S.FEATURES_30)
     seqs = seqs.withColumnRenamed("cycle", "target_cycle")
     return _rounded(sequences.explode_sequences(
         seqs, S.FEATURES_30, keys=("battery_id", "battery_type", "target_cycle")))
@@ -222,34 +255,29 @@ def q21_sequences(spark, sf_dir):
 
 def q22_sequence_counts(spark, sf_dir):
     """Sequences per battery (n - 20 for n > 20)."""
-    seqs = sequences.build_sequences(feature_table(spark, sf_dir), S.FEATURES_30)
+    seqs = sequences.build_sequences(Stages(spark, sf_dir).features, S.FEATURES_30)
     return seqs.groupBy("battery_id").agg(F.count(F.lit(1)).alias("n_sequences"))
 
 
-def _train_weights(spark, sf_dir):
-    seqs = sequences.build_sequences(tagged_table(spark, sf_dir), S.FEATURES_30,
-                                     baselines=BASELINES)
+def _train_weights(st: Stages) -> DataFrame:
+    seqs = sequences.build_sequences(st.tagged, S.FEATURES_30, baselines=BASELINES)
     return sequences.with_sample_weight(seqs.filter(F.col("split") == "train"))
 
 
 def q23_sample_weights(spark, sf_dir):
     """Early-life weights of the training sequences."""
-    return _rounded(_train_weights(spark, sf_dir).select(
+    return _rounded(_train_weights(Stages(spark, sf_dir)).select(
         "battery_id", "battery_type", "cycle", "weight"))
 
 
 def q24_weight_range(spark, sf_dir):
     """Weight range."""
-    return _rounded(metrics.weight_range(_train_weights(spark, sf_dir)))
-
-
-def _test(spark, sf_dir):
-    return baseline_scored(spark, sf_dir).filter(F.col("split") == "test")
+    return _rounded(metrics.weight_range(_train_weights(Stages(spark, sf_dir))))
 
 
 def q25_soh_metrics(spark, sf_dir):
     """SoH RMSE / MAE in percent and R^2 on the test split."""
-    m = metrics.regression_metrics(_test(spark, sf_dir), S.SOH_TARGET, "predicted_SoH",
+    m = metrics.regression_metrics(Stages(spark, sf_dir).test, S.SOH_TARGET, "predicted_SoH",
                                    scale=100.0, prefix="soh_")
     return _rounded(m.select(F.col("soh_rmse").alias("soh_rmse_pct"),
                              F.col("soh_mae").alias("soh_mae_pct"), "soh_r2"))
@@ -257,7 +285,7 @@ def q25_soh_metrics(spark, sf_dir):
 
 def q26_rul_metrics_cycles(spark, sf_dir):
     """RUL metrics in cycles (ratio x max_cycle, prediction clipped at 0)."""
-    m = metrics.regression_metrics(_test(spark, sf_dir), "actual_rul_cycles",
+    m = metrics.regression_metrics(Stages(spark, sf_dir).test, "actual_rul_cycles",
                                    "predicted_rul_cycles", prefix="rul_")
     return _rounded(m.select(F.col("rul_rmse").alias("rul_rmse_cycles"),
                              F.col("rul_mae").alias("rul_mae_cycles"), "rul_r2"))
@@ -265,17 +293,14 @@ def q26_rul_metrics_cycles(spark, sf_dir):
 
 def q27_huber(spark, sf_dir):
     """A10: Huber loss (delta 0.1) of SoH on the test split."""
-    return _rounded(metrics.huber_loss(_test(spark, sf_dir), S.SOH_TARGET, "predicted_SoH",
-                                       S.SOH_HUBER_DELTA))
+    return _rounded(metrics.huber_loss(Stages(spark, sf_dir).test, S.SOH_TARGET,
+                                       "predicted_SoH", S.SOH_HUBER_DELTA))
 
 
 def q28_weighted_huber(spark, sf_dir):
     """Weighted Huber loss (delta 0.05) of the scaled RUL ratio, train split."""
-    tg = tagged_table(spark, sf_dir)
-    st = scaler_stats(spark, sf_dir, tg)
-    seqs = sequences.build_sequences(tg, S.FEATURES_30, baselines=BASELINES)
-    tr = sequences.with_sample_weight(seqs.filter(F.col("split") == "train"))
-    tr = scaling.scale_with(tr, st, S.RUL_TARGET,
+    st = Stages(spark, sf_dir)
+    tr = scaling.scale_with(_train_weights(st), st.stats, S.RUL_TARGET,
                             [S.RUL_TARGET, f"{S.RUL_TARGET}_window_mean"])
     return _rounded(metrics.huber_loss(tr, S.RUL_TARGET, f"{S.RUL_TARGET}_window_mean",
                                        S.RUL_HUBER_DELTA, weight="weight"))
@@ -283,24 +308,24 @@ def q28_weighted_huber(spark, sf_dir):
 
 def q29_eol_report(spark, sf_dir):
     """First cycle under SoH 0.7, actual vs predicted, per battery."""
-    return eol.eol_report(baseline_scored(spark, sf_dir))
+    return eol.eol_report(Stages(spark, sf_dir).scored)
 
 
 def q30_eol_mae(spark, sf_dir):
     """Mean absolute EOL error."""
-    return _rounded(eol.eol_mae(eol.eol_report(baseline_scored(spark, sf_dir))))
+    return _rounded(eol.eol_mae(eol.eol_report(Stages(spark, sf_dir).scored)))
 
 
 def q31_health_status(spark, sf_dir):
     """Health band of every cycle's SoH percentage."""
-    f = final_table(spark, sf_dir).withColumn("soh_pct", F.col("SoH") * F.lit(100.0))
+    f = Stages(spark, sf_dir).final.withColumn("soh_pct", F.col("SoH") * F.lit(100.0))
     return _rounded(scoring.with_status(f).select("battery_id", "battery_type", "cycle",
                                                   "soh_pct", "status"))
 
 
 def q32_fleet_summary(spark, sf_dir):
     """M8: latest predicted state per battery, counted and averaged per band."""
-    sc = (baseline_scored(spark, sf_dir)
+    sc = (Stages(spark, sf_dir).scored
           .withColumn("soh_pct", F.col("predicted_SoH") * F.lit(100.0))
           .withColumn("rul_cycles", F.col("predicted_rul_cycles")))
     return _rounded(scoring.fleet_summary(sc))
@@ -340,7 +365,7 @@ def q36_best_epoch(spark, sf_dir):
 
 def q37_scatter_limits(spark, sf_dir):
     """Scatter-plot limits for SoH and RUL on the test split."""
-    t = _test(spark, sf_dir)
+    t = Stages(spark, sf_dir).test
     return _rounded(reports.scatter_limits(t, S.SOH_TARGET, "predicted_SoH", "soh")
                     .unionByName(reports.scatter_limits(t, "actual_rul_cycles",
                                                         "predicted_rul_cycles", "rul")))
@@ -348,10 +373,9 @@ def q37_scatter_limits(spark, sf_dir):
 
 def q38_battery_curves(spark, sf_dir):
     """Test batteries' actual vs predicted SoH curves, short ones flagged."""
-    ft = feature_table(spark, sf_dir)
-    asg = split.assign_splits(ft)
-    test_ids = asg.filter(F.col("split") == "test")
-    return _rounded(reports.battery_curves(ft, baseline_scored(spark, sf_dir), test_ids,
+    st = Stages(spark, sf_dir)
+    test_ids = st.assignment.filter(F.col("split") == "test")
+    return _rounded(reports.battery_curves(st.features, st.scored, test_ids,
                                            S.SOH_TARGET, "predicted_SoH"))
 
 
