@@ -45,28 +45,28 @@ def with_position(df: DataFrame, block_width: int = seg.DEFAULT_BLOCK_WIDTH) ->
               .drop("_ord", "_n", "_cum_voltage_drop", "_rank_min", "_ties"))
 
 
-def _savgol(value: str, window) -> Column:
+def _savgol_terms(around: str) -> Column:
     """Savitzky-Golay (11 points, quadratic) in closed form, interp edge mode.
 
     For row i of n, centre c = min(max(i, 5), n - 6), t = i - c and
     smoothed = sum_k w(t, k) * v[c + k] for k in -5..5 with
     w(t, k) = 1/11 + t*k/110 + (k^2 - 10)(t^2 - 10)/858
     (least-squares quadratic over the 11 points, evaluated at offset t).
+    ``around`` holds v[i-10 .. i+10] clipped at the battery's ends, so row i
+    sits at 1-based index min(i, 10) + 1 and v[c + k] at that + (c - i) + k.
     """
     i = F.col("cycle_index") - 1
     n = F.col("n_cycles")
     c = F.least(F.greatest(i, F.lit(HALF)), n - F.lit(HALF + 1))
     t = (i - c).cast("double")
-    around = F.collect_list(value).over(window.rowsBetween(-2 * HALF, 2 * HALF))
-    # 1-based start of v[c-5 .. c+5] inside `around` (row i sits at min(i, 10)).
-    start = F.least(i, F.lit(2 * HALF)) + F.lit(1) + (c - i) - F.lit(HALF)
-    vals = F.slice(around, start.cast("int"), F.lit(S.SAVGOL_WINDOW))
-    terms = F.transform(
-        vals,
-        lambda v, j: v * (F.lit(1.0 / 11) + t * (j - HALF) / F.lit(110.0)
-                          + ((j - HALF) * (j - HALF) - F.lit(10.0)) * (t * t - F.lit(10.0))
-                          / F.lit(858.0)))
-    return F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)
+    centre = (F.least(i, F.lit(2 * HALF)) + F.lit(1) + (c - i)).cast("int")
+    total = None
+    for k in range(-HALF, HALF + 1):
+        w = (F.lit(1.0 / 11) + t * F.lit(k / 110.0)
+             + F.lit((k * k - 10) / 858.0) * (t * t - F.lit(10.0)))
+        term = w * F.element_at(F.col(around), centre + F.lit(k))
+        total = term if total is None else total + term
+    return total
 
 
 def model_frame(final: DataFrame, features: Sequence[str] = tuple(S.PHYSICAL_FEATURES),
@@ -90,8 +90,12 @@ def model_frame(final: DataFrame, features: Sequence[str] = tuple(S.PHYSICAL_FEA
         cols[f"{f}_mean"] = F.avg(f).over(roll)
         cols[f"{f}_std"] = F.coalesce(F.stddev_samp(f).over(roll), F.lit(0.0))
     if smooth:
-        sm = _savgol("SoH", w)
-        cols["SoH_smoothed"] = F.when(F.col("n_cycles") >= S.SAVGOL_WINDOW,
-                                      clip(sm, 0.0, 1.0)).otherwise(F.col("SoH"))
-    d = d.withColumns(cols)
-    return seg.drop_halo(d)
+        cols["_sg_around"] = F.collect_list("SoH").over(w.rowsBetween(-2 * HALF, 2 * HALF))
+    d = seg.drop_halo(d.withColumns(cols))
+    if smooth:
+        long_enough = F.col("n_cycles") >= S.SAVGOL_WINDOW
+        d = (d.withColumn("_sg", F.when(long_enough, _savgol_terms("_sg_around")))
+              .withColumn("SoH_smoothed", F.when(long_enough, clip("_sg", 0.0, 1.0))
+                          .otherwise(F.col("SoH")))
+              .drop("_sg", "_sg_around"))
+    return d
