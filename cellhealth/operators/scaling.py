@@ -71,3 +71,12 @@ def scale_with(df: DataFrame, stats: DataFrame, stat_col: str,
     j = df.crossJoin(F.broadcast(st))
     return j.withColumns({c: (F.col(c) - F.col(f"{stat_col}__min")) / _range(stat_col)
                           for c in cols}).drop(f"{stat_col}__min", f"{stat_col}__max")
+
+
+def unscale_with(df: DataFrame, stats: DataFrame, stat_col: str,
+                 cols: Sequence[str]) -> DataFrame:
+    """Inverse of ``scale_with``: x * range + min with the statistics of ``stat_col``."""
+    st = stats.select(f"{stat_col}__min", f"{stat_col}__max")
+    j = df.crossJoin(F.broadcast(st))
+    return j.withColumns({c: F.col(c) * _range(stat_col) + F.col(f"{stat_col}__min")
+                          for c in cols}).drop(f"{stat_col}__min", f"{stat_col}__max")

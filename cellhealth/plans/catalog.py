@@ -11,11 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellhealth import fixtures
 from cellhealth import schema as S
 from cellhealth.functions.expressions import round6
-from cellhealth.session import write_stage
+from cellhealth.session import stage_path, write_stage
 from cellhealth.operators import (
     clean,
     cycles,
@@ -28,6 +29,10 @@ from cellhealth.operators import (
     sequences,
     split,
 )
+from cellhealth.operators import models
+from cellhealth.plans import etl, training
+from cellhealth.sources import readers, sinks
+from cellhealth.streaming import cycle_stream, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -379,6 +384,112 @@ def q38_battery_curves(spark, sf_dir):
                                            S.SOH_TARGET, "predicted_SoH"))
 
 
+# -- sinks, sources and streams ----------------------------------------------
+
+def q39_csv_roundtrip(spark, sf_dir):
+    """Light dataset written as CSV with header and read back (= q02)."""
+    path = stage_path(spark, "light_csv")
+    sinks.write_csv(Stages(spark, sf_dir).light, path)
+    return _rounded(readers.read_light(spark, path))
+
+
+def q40_json_roundtrip(spark, sf_dir):
+    """Final dataset written as JSON lines and read back (= q06)."""
+    path = stage_path(spark, "final_json")
+    sinks.write_json(Stages(spark, sf_dir).final, path)
+    return _rounded(readers.read_cycles(spark, path, fmt="json"))
+
+
+def q41_stream_cycle_aggregate(spark, sf_dir):
+    """ST1: the cycle aggregate maintained by a file stream (= q03).
+
+    Raw telemetry is landed as CSV files (2000 readings per file) and
+    consumed one file per micro-batch, so the state is built incrementally.
+    """
+    src, out, ck = (stage_path(spark, n) for n in ("stream_src", "stream_out", "stream_ck"))
+    fixtures.telemetry(spark, sf_dir).write.option("header", True) \
+        .option("maxRecordsPerFile", 2000).csv(src)
+    schema = T.StructType([T.StructField("file_path", T.StringType())]
+                          + list(S.RAW_TELEMETRY_SCHEMA.fields))
+    q = cycle_stream.start_cycle_stream(spark, src, schema, out, ck, fmt="csv",
+                                        max_files_per_trigger=1, path_col="file_path")
+    q.awaitTermination()
+    return _rounded(spark.read.parquet(out))
+
+
+# Catalogue-sized boosting (the plan default is larger).
+CATALOG_TRAINING = training.TrainingConfig(
+    params=models.TreeParams(max_iter=10, max_depth=3, max_bins=16))
+_TRAINED: dict = {}
+
+
+def trained(spark, sf_dir) -> training.Trained:
+    """Models of one dataset, fitted once per session and shared by q42-q48."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        _TRAINED[key] = training.fit_all(Stages(spark, sf_dir).final, CATALOG_TRAINING)
+    return _TRAINED[key]
+
+
+def q42_soh_predictions(spark, sf_dir):
+    """SoH model on the test split, actual vs predicted."""
+    p = training.soh_predictions(trained(spark, sf_dir))
+    return p.select("battery_id", "battery_type", "cycle", "actual_soh", "predicted_soh")
+
+
+def q43_rul_predictions(spark, sf_dir):
+    """RUL model on the test split, in cycles."""
+    p = training.rul_predictions(trained(spark, sf_dir))
+    return p.select("battery_id", "battery_type", "cycle", "actual_rul_cycles",
+                    "predicted_rul_cycles")
+
+
+def q44_training_history(spark, sf_dir):
+    """Validation loss per iteration and the best iteration."""
+    h = training.history(trained(spark, sf_dir))
+    best = metrics.best_epoch(h).select("model", F.col("best_epoch").alias("epoch"),
+                                        F.lit(True).alias("is_best"))
+    return h.join(best, ["model", "epoch"], "left").fillna(False, ["is_best"])
+
+
+def q45_model_eol(spark, sf_dir):
+    """A12/A13 with model predictions over all batteries."""
+    return training.model_eol(trained(spark, sf_dir))
+
+
+def q46_score_readings(spark, sf_dir):
+    """Single readings scored by the 27-feature models."""
+    t = trained(spark, sf_dir)
+    scored, _ = scoring.score_readings(fixtures.readings(spark, sf_dir), t.scorer_stats,
+                                       t.scorer_soh, t.scorer_rul)
+    return scored
+
+
+def q47_stream_score(spark, sf_dir):
+    """ST2: readings scored by a file stream; equals q46 on the same readings."""
+    t = trained(spark, sf_dir)
+    src, out, ck = (stage_path(spark, n) for n in ("score_src", "score_out", "score_ck"))
+    fixtures.readings(spark, sf_dir).write.option("maxRecordsPerFile", 2000).json(src)
+    q = score_stream.start_score_stream(spark, src, out, ck, t.scorer_stats, t.scorer_soh,
+                                        t.scorer_rul, max_files_per_trigger=1)
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/scored").drop("batch")
+
+
+def q48_metrics_summary(spark, sf_dir):
+    """The one-record run summary."""
+    return training.summary(trained(spark, sf_dir), CATALOG_TRAINING)
+
+
+def q49_etl_row_counts(spark, sf_dir):
+    """S13 + the whole ETL job: rows loaded, after the discharge filter, aggregated."""
+    res = etl.run_etl(fixtures.telemetry(spark, sf_dir), stage_path(spark, "etl"))
+    c = res.counts
+    return spark.createDataFrame(
+        [(int(c["loaded"]), int(c["after_discharge_filter"]), int(c["aggregated"]))],
+        "loaded long, after_discharge_filter long, aggregated long")
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items()
             if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}

@@ -470,3 +470,11 @@ FROM (SELECT battery_id, cycle, SoH_smoothed AS actual, predicted_SoH AS predict
 JOIN (SELECT battery_id, max(n_cycles) AS n_cycles FROM feat GROUP BY battery_id) z
   USING (battery_id)"""),
 })
+
+SQL["q39_csv_roundtrip"] = SQL["q02_discharge_light"]
+SQL["q40_json_roundtrip"] = SQL["q06_final_dataset"]
+SQL["q41_stream_cycle_aggregate"] = SQL["q03_cycle_aggregate"]
+SQL["q49_etl_row_counts"] = with_ctes("cyc", """
+SELECT (SELECT count(*) FROM tele) AS loaded,
+       (SELECT count(*) FROM coerced WHERE mode = -1e0) AS after_discharge_filter,
+       (SELECT count(*) FROM cyc) AS aggregated""")
