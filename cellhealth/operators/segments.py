@@ -78,7 +78,8 @@ def block_ordinals(
     for c in prefix_sums:
         j = j.withColumn(f"_cum_{c}", F.col(f"_bo_{c}") + F.sum(c).over(running))
     if ties_on is not None:
-        j = j.withColumn("_rank_min", F.col("_off") + F.rank().over(in_block))
+        by_value = Window.partitionBy(*keys, "_blk").orderBy(ties_on)
+        j = j.withColumn("_rank_min", F.col("_off") + F.rank().over(by_value))
         j = j.withColumn(
             "_ties", F.count(F.lit(1)).over(Window.partitionBy(*keys, "_blk", ties_on)))
     drop = ["_blk", "_off"] + [f"_bo_{c}" for c in prefix_sums]
