@@ -46,7 +46,19 @@ def light(df: DataFrame) -> DataFrame:
     return df.select(*S.LIGHT_COLUMNS)
 
 
+def clean_readings(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
+    """E3-E5 without the identity columns: coercion, discharge filter, dropna.
+
+    The identity columns are null exactly when the path is null (a regex
+    extract of a string is never null), so checking the path here is the
+    same as checking them later; parsing them after the filter keeps the
+    regexes out of the filter and lets ``cycles.aggregate_cycles_by_file``
+    parse them once per file and cycle instead of once per reading.
+    """
+    return drop_incomplete(discharge_only(coerce_numeric(df)), subset)
+
+
 def clean_telemetry(df: DataFrame, subset: Sequence[str] | None = None,
                     path_col: str = "file_path") -> DataFrame:
-    """E1-E5 in reference order: identity, coercion, discharge filter, dropna."""
-    return drop_incomplete(discharge_only(coerce_numeric(with_identity(df, path_col))), subset)
+    """Coercion, discharge filter, dropna, then identity from the path."""
+    return with_identity(clean_readings(df, subset), path_col)

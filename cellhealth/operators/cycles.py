@@ -34,6 +34,33 @@ def aggregate_cycles(df: DataFrame) -> DataFrame:
                    (F.max("time") - F.min("time")).alias("duration")))
 
 
+def aggregate_cycles_by_file(readings: DataFrame, path_col: str = "file_path",
+                             width: float = S.CYCLE_WIDTH) -> DataFrame:
+    """A1 from cleaned readings that still carry only their file path.
+
+    Aggregates per (file, cycle) first - map-side combined like A1 - then
+    parses battery_id / battery_type on those rows and merges files that map
+    to the same identity (sums and counts for the means, min / max as they
+    are).  The result equals ``aggregate_cycles`` on readings with identity
+    columns, but the path regexes run once per file-cycle, not per reading.
+    """
+    from cellhealth.operators.clean import with_identity
+
+    per_file = (with_cycle(readings, width).groupBy(path_col, "cycle")
+                .agg(F.sum("voltage_load").alias("_sv"), F.count("voltage_load").alias("_nv"),
+                     F.min("voltage_load").alias("_minv"),
+                     F.sum("current_load").alias("_sc"), F.count("current_load").alias("_nc"),
+                     F.max("temperature_battery").alias("_maxt"),
+                     F.max("time").alias("_t1"), F.min("time").alias("_t0")))
+    per_file = with_identity(per_file, path_col)
+    return (per_file.groupBy(*S.CYCLE_KEYS)
+                    .agg((F.sum("_sv") / F.sum("_nv")).alias("avg_voltage"),
+                         F.min("_minv").alias("min_voltage"),
+                         (F.sum("_sc") / F.sum("_nc")).alias("avg_current"),
+                         F.max("_maxt").alias("max_temp"),
+                         (F.max("_t1") - F.min("_t0")).alias("duration")))
+
+
 def _cycle_block(width: int) -> F.Column:
     return F.floor(F.col("cycle") / F.lit(width))
 

@@ -68,15 +68,20 @@ class Stages:
             self._memo[name] = df
         return self._memo[name]
 
+    @property
+    def readings(self) -> DataFrame:
+        """Cleaned discharge readings, identity not yet parsed."""
+        return self._get("readings", lambda: clean.clean_readings(
+            fixtures.telemetry(self.spark, self.sf_dir)))
+
     @property
     def light(self) -> DataFrame:
-        return self._get("light", lambda: clean.light(
-            clean.clean_telemetry(fixtures.telemetry(self.spark, self.sf_dir))))
+        return self._get("light", lambda: clean.light(clean.with_identity(self.readings)))
 
     @property
     def cycles(self) -> DataFrame:
-        return self._get("cycles", lambda: cycles.aggregate_cycles(
-            cycles.with_cycle(self.light)), stage=True)
+        return self._get("cycles", lambda: cycles.aggregate_cycles_by_file(self.readings),
+                         stage=True)
 
     @property
     def final(self) -> DataFrame:
