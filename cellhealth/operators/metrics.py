@@ -23,20 +23,26 @@ def profile(df: DataFrame, key: str = "battery_id", strata: str = "battery_type"
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson matrix in long form (row_feature, col_feature, r).
 
-    All pairs in ONE aggregate: covar_pop / (stddev_pop * stddev_pop); a
-    constant column gives null instead of a division error.
+    Two passes, each one aggregate: the column means, then the sums of
+    centred products for every pair (the stable two-pass form).  Plain sums
+    keep the aggregation buffer small enough for whole-stage code generation
+    (one buffer field per pair instead of four for ``covar_pop``).  A
+    constant column gives null, not a division error.
     """
     cols = list(cols)
-    aggs = [F.stddev_pop(c).alias(f"sd{i}") for i, c in enumerate(cols)]
+    means = df.agg(*[F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)])
+    centred = df.crossJoin(F.broadcast(means)).select(
+        *[(F.col(c) - F.col(f"_m{i}")).alias(f"_d{i}") for i, c in enumerate(cols)])
+    sums = []
     for i in range(len(cols)):
         for j in range(i, len(cols)):
-            aggs.append(F.covar_pop(cols[i], cols[j]).alias(f"cv{i}_{j}"))
-    one = df.agg(*aggs)
+            sums.append(F.sum(F.col(f"_d{i}") * F.col(f"_d{j}")).alias(f"s{i}_{j}"))
+    one = centred.agg(*sums)
     parts = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             lo, hi = min(i, j), max(i, j)
-            parts.append(f"'{a}', '{b}', try_divide(cv{lo}_{hi}, sd{i} * sd{j})")
+            parts.append(f"'{a}', '{b}', try_divide(s{lo}_{hi}, sqrt(s{i}_{i} * s{j}_{j}))")
     return one.selectExpr(
         f"stack({len(cols) ** 2}, {', '.join(parts)}) as (row_feature, col_feature, r)")
 

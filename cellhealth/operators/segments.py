@@ -112,8 +112,9 @@ def halo_segments(
                              F.struct((seg - 1).alias("s"), F.lit(True).alias("h"))))
     if len(copies) == 1:
         return df.withColumn("_seg", seg).withColumn("_halo", F.lit(False))
-    arr = F.filter(F.array(*copies), lambda x: x.isNotNull())
-    return (df.withColumn("_copy", F.explode(arr))
+    # Plain explode + null filter (no lambda), so the step stays in codegen.
+    return (df.withColumn("_copy", F.explode(F.array(*copies)))
+              .filter(F.col("_copy").isNotNull())
               .withColumn("_seg", F.col("_copy.s"))
               .withColumn("_halo", F.col("_copy.h"))
               .drop("_copy"))

@@ -10,7 +10,8 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "cellhealth") -> SparkSession:
+                  app: str = "cellhealth", min_partition_size: str | None = None
+                  ) -> SparkSession:
     """Local session for tests and the bench (a cluster session comes from the caller)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
@@ -20,6 +21,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.driver.memory", "8g"))
+    if min_partition_size:
+        # Small inputs: keep several tasks per stage for CPU-bound windows
+        # instead of coalescing everything below 1 MB into one task.
+        b = b.config("spark.sql.adaptive.coalescePartitions.minPartitionSize",
+                     min_partition_size)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
