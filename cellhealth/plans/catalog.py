@@ -8,6 +8,7 @@ outputs are rounded to 6 places so the DuckDB oracle can compare them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,6 +126,28 @@ class Stages:
 
 SCALED = S.FEATURES_30 + [S.RUL_TARGET]
 BASELINES = [S.SOH_TARGET, S.RUL_TARGET]
+_SHARED: dict = {}
+
+
+def stages(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Stages:
+    """The stage tables for one query, or the session-wide set inside
+    ``shared_stages`` (a run of several queries over the same written tables)."""
+    st = _SHARED.get((id(spark), sf_dir))
+    if st is not None and materialize:
+        return st
+    return Stages(spark, sf_dir, materialize)
+
+
+@contextmanager
+def shared_stages(spark: SparkSession, sf_dir: str):
+    """Within this block all queries on ``sf_dir`` share their stage tables,
+    as downstream analyses share the tables an ETL run has written."""
+    st = Stages(spark, sf_dir)
+    _SHARED[(id(spark), sf_dir)] = st
+    try:
+        yield st
+    finally:
+        _SHARED.pop((id(spark), sf_dir), None)
 
 
 # -- queries ----------------------------------------------------------------
@@ -137,39 +160,39 @@ def q01_identity(spark, sf_dir):
 
 def q02_discharge_light(spark, sf_dir):
     """Coerced, discharge-only, complete readings in the light layout."""
-    return _rounded(Stages(spark, sf_dir).light)
+    return _rounded(stages(spark, sf_dir).light)
 
 
 def q03_cycle_aggregate(spark, sf_dir):
     """Per-cycle aggregate."""
-    return _rounded(Stages(spark, sf_dir, materialize=False).cycles)
+    return _rounded(stages(spark, sf_dir, materialize=False).cycles)
 
 
 def q04_rul_soh(spark, sf_dir):
     """Max cycle per battery (block form), RUL and SoH."""
-    return _rounded(cycles.with_rul_soh(Stages(spark, sf_dir).cycles))
+    return _rounded(cycles.with_rul_soh(stages(spark, sf_dir).cycles))
 
 
 def q05_rul_soh_join_form(spark, sf_dir):
     """The same labels through the self-join with the per-battery maximum."""
-    c = Stages(spark, sf_dir).cycles.filter(F.col("cycle").isNotNull())
+    c = stages(spark, sf_dir).cycles.filter(F.col("cycle").isNotNull())
     return _rounded(cycles.with_rul_soh_join(c))
 
 
 def q06_final_dataset(spark, sf_dir):
     """Previous-cycle deltas, cycle ratio, complete rows only."""
-    return _rounded(cycles.final_dataset(Stages(spark, sf_dir).cycles))
+    return _rounded(cycles.final_dataset(stages(spark, sf_dir).cycles))
 
 
 def q07_targets(spark, sf_dir):
     """Remaining cycles, RUL ratio, normalised cycle."""
-    t = features.with_targets(Stages(spark, sf_dir).final)
+    t = features.with_targets(stages(spark, sf_dir).final)
     return _rounded(t.select("battery_id", "battery_type", "cycle", "remaining_cycles",
                              "rul_ratio", "cycle_norm"))
 
 
 def _positions(spark, sf_dir):
-    return features.with_position(features.with_targets(Stages(spark, sf_dir).final))
+    return features.with_position(features.with_targets(stages(spark, sf_dir).final))
 
 
 def q08_cumulative_drop(spark, sf_dir):
@@ -189,58 +212,58 @@ _ROLL = [c for c in S.FEATURES_30 if c not in S.PHYSICAL_FEATURES]
 
 def q10_rolling_features(spark, sf_dir):
     """10-row rolling mean and sample std of the 10 physical features."""
-    t = features.model_frame(Stages(spark, sf_dir).final)
+    t = features.model_frame(stages(spark, sf_dir).final)
     return _rounded(t.select("battery_id", "battery_type", "cycle", *_ROLL))
 
 
 def q11_savgol_soh(spark, sf_dir):
     """Savitzky-Golay smoothed SoH (11 points, quadratic), clipped."""
-    t = features.model_frame(Stages(spark, sf_dir).final)
+    t = features.model_frame(stages(spark, sf_dir).final)
     return _rounded(t.select("battery_id", "battery_type", "cycle", "SoH", "SoH_smoothed"))
 
 
 def q12_corr_soh(spark, sf_dir):
     """Pearson matrix of the 9 features and smoothed SoH (long form)."""
-    return _rounded(metrics.correlation(Stages(spark, sf_dir).features,
+    return _rounded(metrics.correlation(stages(spark, sf_dir).features,
                                         S.CORR_FEATURES + [S.SOH_TARGET]))
 
 
 def q13_corr_rul(spark, sf_dir):
     """Pearson matrix of the 9 features and the RUL ratio (long form)."""
-    return _rounded(metrics.correlation(Stages(spark, sf_dir).features,
+    return _rounded(metrics.correlation(stages(spark, sf_dir).features,
                                         S.CORR_FEATURES + [S.RUL_TARGET]))
 
 
 def q14_profile(spark, sf_dir):
     """A3: rows, batteries, types of the model frame."""
-    return metrics.profile(Stages(spark, sf_dir).features)
+    return metrics.profile(stages(spark, sf_dir).features)
 
 
 def q15_split_assignment(spark, sf_dir):
     """Stratified 70/20/10 battery split."""
-    return Stages(spark, sf_dir).assignment
+    return stages(spark, sf_dir).assignment
 
 
 def q16_split_summary(spark, sf_dir):
     """A4: rows, batteries and types per split."""
-    return split.split_summary(Stages(spark, sf_dir).tagged)
+    return split.split_summary(stages(spark, sf_dir).tagged)
 
 
 def q17_train_semi_join(spark, sf_dir):
     """Training rows through a semi-join with the assignment."""
-    st = Stages(spark, sf_dir)
+    st = stages(spark, sf_dir)
     tr = split.rows_in(st.features, st.assignment, "train")
     return tr.select("battery_id", "battery_type", "cycle")
 
 
 def q18_scaler_fit(spark, sf_dir):
     """Min / max per feature and target on the training split."""
-    return _rounded(scaling.scaler_long(Stages(spark, sf_dir).stats, SCALED))
+    return _rounded(scaling.scaler_long(stages(spark, sf_dir).stats, SCALED))
 
 
 def q19_scaled(spark, sf_dir):
     """Every row scaled with the training statistics."""
-    st = Stages(spark, sf_dir)
+    st = stages(spark, sf_dir)
     sc = scaling.scale(st.tagged, st.stats, SCALED, suffix="_scaled")
     return _rounded(sc.select("battery_id", "battery_type", "cycle", "split",
                               *[f"{c}_scaled" for c in SCALED]))
@@ -248,7 +271,7 @@ def q19_scaled(spark, sf_dir):
 
 def q20_unscaled(spark, sf_dir):
     """E16 inverse: unscale(scale(x)) gives x back."""
-    st = Stages(spark, sf_dir)
+    st = stages(spark, sf_dir)
     sc = scaling.scale(st.tagged, st.stats, SCALED, suffix="_scaled")
     back = scaling.unscale(sc, st.stats, SCALED, suffix="_restored", src_suffix="_scaled")
     return _rounded(back.select("battery_id", "battery_type", "cycle",
@@ -257,7 +280,7 @@ def q20_unscaled(spark, sf_dir):
 
 def q21_sequences(spark, sf_dir):
     """20-cycle input windows, one row per (target, position)."""
-    seqs = sequences.build_sequences(Stages(spark, sf_dir).features, S.FEATURES_30)
+    seqs = sequences.build_sequences(stages(spark, sf_dir).features, S.FEATURES_30)
     seqs = seqs.withColumnRenamed("cycle", "target_cycle")
     return _rounded(sequences.explode_sequences(
         seqs, S.FEATURES_30, keys=("battery_id", "battery_type", "target_cycle")))
@@ -265,7 +288,7 @@ def q21_sequences(spark, sf_dir):
 
 def q22_sequence_counts(spark, sf_dir):
     """Sequences per battery (n - 20 for n > 20)."""
-    seqs = sequences.build_sequences(Stages(spark, sf_dir).features, S.FEATURES_30)
+    seqs = sequences.build_sequences(stages(spark, sf_dir).features, S.FEATURES_30)
     return seqs.groupBy("battery_id").agg(F.count(F.lit(1)).alias("n_sequences"))
 
 
@@ -276,18 +299,18 @@ def _train_weights(st: Stages) -> DataFrame:
 
 def q23_sample_weights(spark, sf_dir):
     """Early-life weights of the training sequences."""
-    return _rounded(_train_weights(Stages(spark, sf_dir)).select(
+    return _rounded(_train_weights(stages(spark, sf_dir)).select(
         "battery_id", "battery_type", "cycle", "weight"))
 
 
 def q24_weight_range(spark, sf_dir):
     """Weight range."""
-    return _rounded(metrics.weight_range(_train_weights(Stages(spark, sf_dir))))
+    return _rounded(metrics.weight_range(_train_weights(stages(spark, sf_dir))))
 
 
 def q25_soh_metrics(spark, sf_dir):
     """SoH RMSE / MAE in percent and R^2 on the test split."""
-    m = metrics.regression_metrics(Stages(spark, sf_dir).test, S.SOH_TARGET, "predicted_SoH",
+    m = metrics.regression_metrics(stages(spark, sf_dir).test, S.SOH_TARGET, "predicted_SoH",
                                    scale=100.0, prefix="soh_")
     return _rounded(m.select(F.col("soh_rmse").alias("soh_rmse_pct"),
                              F.col("soh_mae").alias("soh_mae_pct"), "soh_r2"))
@@ -295,7 +318,7 @@ def q25_soh_metrics(spark, sf_dir):
 
 def q26_rul_metrics_cycles(spark, sf_dir):
     """RUL metrics in cycles (ratio x max_cycle, prediction clipped at 0)."""
-    m = metrics.regression_metrics(Stages(spark, sf_dir).test, "actual_rul_cycles",
+    m = metrics.regression_metrics(stages(spark, sf_dir).test, "actual_rul_cycles",
                                    "predicted_rul_cycles", prefix="rul_")
     return _rounded(m.select(F.col("rul_rmse").alias("rul_rmse_cycles"),
                              F.col("rul_mae").alias("rul_mae_cycles"), "rul_r2"))
@@ -303,13 +326,13 @@ def q26_rul_metrics_cycles(spark, sf_dir):
 
 def q27_huber(spark, sf_dir):
     """A10: Huber loss (delta 0.1) of SoH on the test split."""
-    return _rounded(metrics.huber_loss(Stages(spark, sf_dir).test, S.SOH_TARGET,
+    return _rounded(metrics.huber_loss(stages(spark, sf_dir).test, S.SOH_TARGET,
                                        "predicted_SoH", S.SOH_HUBER_DELTA))
 
 
 def q28_weighted_huber(spark, sf_dir):
     """Weighted Huber loss (delta 0.05) of the scaled RUL ratio, train split."""
-    st = Stages(spark, sf_dir)
+    st = stages(spark, sf_dir)
     tr = scaling.scale_with(_train_weights(st), st.stats, S.RUL_TARGET,
                             [S.RUL_TARGET, f"{S.RUL_TARGET}_window_mean"])
     return _rounded(metrics.huber_loss(tr, S.RUL_TARGET, f"{S.RUL_TARGET}_window_mean",
@@ -318,24 +341,24 @@ def q28_weighted_huber(spark, sf_dir):
 
 def q29_eol_report(spark, sf_dir):
     """First cycle under SoH 0.7, actual vs predicted, per battery."""
-    return eol.eol_report(Stages(spark, sf_dir).scored)
+    return eol.eol_report(stages(spark, sf_dir).scored)
 
 
 def q30_eol_mae(spark, sf_dir):
     """Mean absolute EOL error."""
-    return _rounded(eol.eol_mae(eol.eol_report(Stages(spark, sf_dir).scored)))
+    return _rounded(eol.eol_mae(eol.eol_report(stages(spark, sf_dir).scored)))
 
 
 def q31_health_status(spark, sf_dir):
     """Health band of every cycle's SoH percentage."""
-    f = Stages(spark, sf_dir).final.withColumn("soh_pct", F.col("SoH") * F.lit(100.0))
+    f = stages(spark, sf_dir).final.withColumn("soh_pct", F.col("SoH") * F.lit(100.0))
     return _rounded(scoring.with_status(f).select("battery_id", "battery_type", "cycle",
                                                   "soh_pct", "status"))
 
 
 def q32_fleet_summary(spark, sf_dir):
     """M8: latest predicted state per battery, counted and averaged per band."""
-    sc = (Stages(spark, sf_dir).scored
+    sc = (stages(spark, sf_dir).scored
           .withColumn("soh_pct", F.col("predicted_SoH") * F.lit(100.0))
           .withColumn("rul_cycles", F.col("predicted_rul_cycles")))
     return _rounded(scoring.fleet_summary(sc))
@@ -375,7 +398,7 @@ def q36_best_epoch(spark, sf_dir):
 
 def q37_scatter_limits(spark, sf_dir):
     """Scatter-plot limits for SoH and RUL on the test split."""
-    t = Stages(spark, sf_dir).test
+    t = stages(spark, sf_dir).test
     return _rounded(reports.scatter_limits(t, S.SOH_TARGET, "predicted_SoH", "soh")
                     .unionByName(reports.scatter_limits(t, "actual_rul_cycles",
                                                         "predicted_rul_cycles", "rul")))
@@ -383,7 +406,7 @@ def q37_scatter_limits(spark, sf_dir):
 
 def q38_battery_curves(spark, sf_dir):
     """Test batteries' actual vs predicted SoH curves, short ones flagged."""
-    st = Stages(spark, sf_dir)
+    st = stages(spark, sf_dir)
     test_ids = st.assignment.filter(F.col("split") == "test")
     return _rounded(reports.battery_curves(st.features, st.scored, test_ids,
                                            S.SOH_TARGET, "predicted_SoH"))
@@ -394,14 +417,14 @@ def q38_battery_curves(spark, sf_dir):
 def q39_csv_roundtrip(spark, sf_dir):
     """Light dataset written as CSV with header and read back (= q02)."""
     path = stage_path(spark, "light_csv")
-    sinks.write_csv(Stages(spark, sf_dir).light, path)
+    sinks.write_csv(stages(spark, sf_dir).light, path)
     return _rounded(readers.read_light(spark, path))
 
 
 def q40_json_roundtrip(spark, sf_dir):
     """Final dataset written as JSON lines and read back (= q06)."""
     path = stage_path(spark, "final_json")
-    sinks.write_json(Stages(spark, sf_dir).final, path)
+    sinks.write_json(stages(spark, sf_dir).final, path)
     return _rounded(readers.read_cycles(spark, path, fmt="json"))
 
 
@@ -432,7 +455,8 @@ def trained(spark, sf_dir) -> training.Trained:
     """Models of one dataset, fitted once per session and shared by q42-q48."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TRAINED:
-        _TRAINED[key] = training.fit_all(Stages(spark, sf_dir).final, CATALOG_TRAINING)
+        st = stages(spark, sf_dir)
+        _TRAINED[key] = training.fit_all(st.final, CATALOG_TRAINING, frame=st.features)
     return _TRAINED[key]
 
 

@@ -61,8 +61,12 @@ def _scaled_sequences(tagged: DataFrame, stats: DataFrame, feats: list[str],
     return seqs.select(*keep)
 
 
-def fit_all(final: DataFrame, cfg: TrainingConfig = TrainingConfig()) -> Trained:
-    frame = write_stage(features.model_frame(final), "features")
+def fit_all(final: DataFrame, cfg: TrainingConfig = TrainingConfig(),
+            frame: DataFrame | None = None) -> Trained:
+    """Everything up to fitted models; ``frame`` reuses an already written
+    feature table instead of deriving it from ``final``."""
+    if frame is None:
+        frame = write_stage(features.model_frame(final), "features")
     asg = write_stage(split.assign_splits(frame, seed=cfg.seed), "assignment")
     tagged = split.with_split(frame, asg)
     train = tagged.filter(F.col("split") == "train")
