@@ -519,6 +519,12 @@ def q49_etl_row_counts(spark, sf_dir):
         "loaded long, after_discharge_filter long, aggregated long")
 
 
+def q50_actual_vs_predicted(spark, sf_dir):
+    """Actual vs predicted SoH per test sample with the failure threshold line."""
+    t = stages(spark, sf_dir).test
+    return _rounded(reports.actual_vs_predicted(t, S.SOH_TARGET, "predicted_SoH"))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items()
             if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}

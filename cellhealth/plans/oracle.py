@@ -478,3 +478,7 @@ SQL["q49_etl_row_counts"] = with_ctes("cyc", """
 SELECT (SELECT count(*) FROM tele) AS loaded,
        (SELECT count(*) FROM coerced WHERE mode = -1e0) AS after_discharge_filter,
        (SELECT count(*) FROM cyc) AS aggregated""")
+SQL["q50_actual_vs_predicted"] = with_ctes("scored", f"""
+SELECT battery_id, battery_type, cycle, {r('SoH_smoothed')} AS actual,
+       {r('predicted_SoH')} AS predicted, 0.7e0 AS threshold
+FROM test""")

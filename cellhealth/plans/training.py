@@ -68,6 +68,9 @@ def fit_all(final: DataFrame, cfg: TrainingConfig = TrainingConfig(),
     if frame is None:
         frame = write_stage(features.model_frame(final), "features")
     asg = write_stage(split.assign_splits(frame, seed=cfg.seed), "assignment")
+    if asg.filter(F.col("split") == "train").limit(1).count() == 0:
+        raise ValueError("no training batteries: every battery type has fewer than 3 "
+                         "batteries, so the split rules assign none to train")
     tagged = split.with_split(frame, asg)
     train = tagged.filter(F.col("split") == "train")
     feats, sfeats = list(cfg.features), list(cfg.scorer_features)
@@ -81,7 +84,8 @@ def fit_all(final: DataFrame, cfg: TrainingConfig = TrainingConfig(),
 
     # Single-reading scorer: 27 features, targets SoH and remaining cycles.
     sstats = write_stage(scaling.fit_scaler(train, sfeats + ["remaining_cycles"]), "scorer")
-    sseqs = _scaled_sequences(tagged, sstats, sfeats, ["remaining_cycles"], cfg.seq_len)
+    sseqs = write_stage(_scaled_sequences(tagged, sstats, sfeats, ["remaining_cycles"],
+                                          cfg.seq_len), "scorer_sequences")
     stv = models.with_validation_flag(sseqs)
     scorer_soh = models.fit_regressor(stv, S.SOH_TARGET, cfg.params)
     scorer_rul = models.fit_regressor(stv, "remaining_cycles_s", cfg.params)
