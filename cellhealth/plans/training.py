@@ -134,6 +134,14 @@ def summary(t: Trained, cfg: TrainingConfig = TrainingConfig()) -> DataFrame:
     rul = metrics.regression_metrics(rul_predictions(t), "actual_rul_cycles",
                                      "predicted_rul_cycles", prefix="rul_")
     mae = eol.eol_mae(model_eol(t, cfg.threshold)).select("eol_mean_abs_error_cycles")
+    # Validation RMSE of both models (SoH in its own units, RUL ratio scaled).
+    val = t.seqs.filter(F.col("split") == "val")
+    v_soh = metrics.regression_metrics(
+        models.score(t.soh_model, val, "p", 0.0, 1.0), S.SOH_TARGET, "p").select(
+        F.col("rmse").alias("soh_val_rmse"))
+    v_rul = metrics.regression_metrics(
+        models.score(t.rul_model, val, "p"), f"{S.RUL_TARGET}_s", "p").select(
+        F.col("rmse").alias("rul_val_rmse_scaled"))
     best = metrics.best_epoch(history(t))
     best_row = best.agg(
         F.max(F.when(F.col("model") == "soh", F.col("best_epoch"))).alias("best_soh_epoch"),
@@ -144,11 +152,14 @@ def summary(t: Trained, cfg: TrainingConfig = TrainingConfig()) -> DataFrame:
                       F.col("soh_mae").alias("soh_mae_pct"), "soh_r2")
               .crossJoin(rul.select(F.col("rul_rmse").alias("rul_rmse_cycles"),
                                     F.col("rul_mae").alias("rul_mae_cycles"), "rul_r2"))
-              .crossJoin(mae).crossJoin(best_row).crossJoin(sizes))
+              .crossJoin(mae).crossJoin(v_soh).crossJoin(v_rul).crossJoin(best_row)
+              .crossJoin(sizes))
     return rec.select(
         *[F.round(c, 4).alias(c) for c in ("soh_rmse_pct", "soh_mae_pct", "soh_r2",
                                             "rul_rmse_cycles", "rul_mae_cycles", "rul_r2")],
         F.round("eol_mean_abs_error_cycles", 1).alias("eol_mean_abs_error_cycles"),
+        F.round("soh_val_rmse", 6).alias("soh_val_rmse"),
+        F.round("rul_val_rmse_scaled", 6).alias("rul_val_rmse_scaled"),
         "best_soh_epoch", "best_rul_epoch", "train_batteries", "val_batteries",
         "test_batteries",
         F.lit(cfg.seq_len).alias("seq_len"), F.lit(cfg.params.max_iter).alias("max_iter"),

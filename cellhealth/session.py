@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,8 +68,3 @@ def write_stage(df, name: str, fmt: str = "parquet"):
     path = stage_path(spark, name)
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
-
-
-def scratch_local_dir() -> str:
-    """Unused on clusters; local tests only."""
-    return tempfile.mkdtemp(prefix=f"cellhealth-{os.getpid()}-")
