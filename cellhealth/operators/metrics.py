@@ -23,16 +23,17 @@ def profile(df: DataFrame, key: str = "battery_id", strata: str = "battery_type"
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson matrix in long form (row_feature, col_feature, r).
 
-    Two passes, each one aggregate: the column means, then the sums of
-    centred products for every pair (the stable two-pass form).  Plain sums
+    Two passes, each one aggregate: the column means (a few numbers, used as
+    literals), then the sums of centred products for every pair (the stable
+    two-pass form).  Plain sums
     keep the aggregation buffer small enough for whole-stage code generation
     (one buffer field per pair instead of four for ``covar_pop``).  A
     constant column gives null, not a division error.
     """
     cols = list(cols)
-    means = df.agg(*[F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)])
-    centred = df.crossJoin(F.broadcast(means)).select(
-        *[(F.col(c) - F.col(f"_m{i}")).alias(f"_d{i}") for i, c in enumerate(cols)])
+    means = df.agg(*[F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)]).first()
+    centred = df.select(*[(F.col(c) - F.lit(means[f"_m{i}"]).cast("double")).alias(f"_d{i}")
+                          for i, c in enumerate(cols)])
     sums = []
     for i in range(len(cols)):
         for j in range(i, len(cols)):

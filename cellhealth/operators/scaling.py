@@ -1,8 +1,9 @@
 """Min-max scaling fitted on the training split only.
 
-Statistics are one row (2 values per column), so applying them is a
-broadcast of a proven-size side.  Constant columns follow the common
-convention of a unit range: (x - min) / 1, i.e. 0 on the training rows.
+Statistics are one row (2 values per column); applying them reads those
+numbers once and uses them as literals, as MLlib's scalers do.  Constant
+columns follow the common convention of a unit range: (x - min) / 1, i.e. 0
+on the training rows.
 """
 
 from __future__ import annotations
@@ -30,26 +31,36 @@ def scaler_long(stats: DataFrame, cols: Sequence[str]) -> DataFrame:
     return stats.selectExpr(f"stack({len(cols)}, {parts}) as (feature, min, max)")
 
 
-def _range(c: str) -> F.Column:
-    rng = F.col(f"{c}__max") - F.col(f"{c}__min")
-    return F.when(rng < F.lit(TINY_RANGE), F.lit(1.0)).otherwise(rng)
+def scaler_params(stats: DataFrame | dict) -> dict:
+    """The fitted statistics as plain numbers: one row, two values per column.
+
+    Like MLlib's own scalers, a fitted scaler is a handful of numbers on the
+    driver that ``scale`` applies as literals (no join with the data).
+    """
+    return stats if isinstance(stats, dict) else stats.first().asDict()
+
+
+def _lo_rng(p: dict, c: str) -> tuple[F.Column, F.Column]:
+    lo, hi = p[f"{c}__min"], p[f"{c}__max"]
+    if lo is None or hi is None:                       # no training rows
+        none = F.lit(None).cast("double")
+        return none, none
+    rng = float(hi) - float(lo)
+    return F.lit(float(lo)), F.lit(1.0 if rng < TINY_RANGE else rng)
 
 
-def _apply(df: DataFrame, stats: DataFrame, cols: Sequence[str], inverse: bool,
+def _apply(df: DataFrame, stats, cols: Sequence[str], inverse: bool,
            suffix: str, src_suffix: str) -> DataFrame:
-    stat_cols = [f"{c}__{s}" for c in cols for s in ("min", "max")]
-    j = df.crossJoin(F.broadcast(stats.select(*stat_cols)))
+    p = scaler_params(stats)
     out = {}
     for c in cols:
         x = F.col(f"{c}{src_suffix}")
-        if inverse:
-            out[f"{c}{suffix}"] = x * _range(c) + F.col(f"{c}__min")
-        else:
-            out[f"{c}{suffix}"] = (x - F.col(f"{c}__min")) / _range(c)
-    return j.withColumns(out).drop(*stat_cols)
+        lo, rng = _lo_rng(p, c)
+        out[f"{c}{suffix}"] = x * rng + lo if inverse else (x - lo) / rng
+    return df.withColumns(out)
 
 
-def scale(df: DataFrame, stats: DataFrame, cols: Sequence[str], suffix: str = "",
+def scale(df: DataFrame, stats, cols: Sequence[str], suffix: str = "",
           src_suffix: str = "") -> DataFrame:
     """(x - min) / range, no clipping (val/test may leave [0, 1]).
 
@@ -58,25 +69,19 @@ def scale(df: DataFrame, stats: DataFrame, cols: Sequence[str], suffix: str = ""
     return _apply(df, stats, cols, False, suffix, src_suffix)
 
 
-def unscale(df: DataFrame, stats: DataFrame, cols: Sequence[str], suffix: str = "",
+def unscale(df: DataFrame, stats, cols: Sequence[str], suffix: str = "",
             src_suffix: str = "") -> DataFrame:
     """E16 inverse: x * range + min."""
     return _apply(df, stats, cols, True, suffix, src_suffix)
 
 
-def scale_with(df: DataFrame, stats: DataFrame, stat_col: str,
-               cols: Sequence[str]) -> DataFrame:
+def scale_with(df: DataFrame, stats, stat_col: str, cols: Sequence[str]) -> DataFrame:
     """Scale other columns (e.g. a prediction) with the statistics of ``stat_col``."""
-    st = stats.select(f"{stat_col}__min", f"{stat_col}__max")
-    j = df.crossJoin(F.broadcast(st))
-    return j.withColumns({c: (F.col(c) - F.col(f"{stat_col}__min")) / _range(stat_col)
-                          for c in cols}).drop(f"{stat_col}__min", f"{stat_col}__max")
+    lo, rng = _lo_rng(scaler_params(stats), stat_col)
+    return df.withColumns({c: (F.col(c) - lo) / rng for c in cols})
 
 
-def unscale_with(df: DataFrame, stats: DataFrame, stat_col: str,
-                 cols: Sequence[str]) -> DataFrame:
+def unscale_with(df: DataFrame, stats, stat_col: str, cols: Sequence[str]) -> DataFrame:
     """Inverse of ``scale_with``: x * range + min with the statistics of ``stat_col``."""
-    st = stats.select(f"{stat_col}__min", f"{stat_col}__max")
-    j = df.crossJoin(F.broadcast(st))
-    return j.withColumns({c: F.col(c) * _range(stat_col) + F.col(f"{stat_col}__min")
-                          for c in cols}).drop(f"{stat_col}__min", f"{stat_col}__max")
+    lo, rng = _lo_rng(scaler_params(stats), stat_col)
+    return df.withColumns({c: F.col(c) * rng + lo for c in cols})

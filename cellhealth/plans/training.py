@@ -128,46 +128,50 @@ def model_eol(t: Trained, threshold: float = S.FAILURE_THRESHOLD) -> DataFrame:
 
 
 def summary(t: Trained, cfg: TrainingConfig = TrainingConfig()) -> DataFrame:
-    """One record with accuracy, EOL error, best epochs, split sizes, config."""
+    """One record with accuracy, EOL error, best epochs, split sizes, config.
+
+    Each part is one distributed aggregate returning one row; the record is
+    assembled from those scalars.
+    """
+    spark = t.seqs.sparkSession
     soh = metrics.regression_metrics(soh_predictions(t), "actual_soh", "predicted_soh",
-                                     scale=100.0, prefix="soh_")
+                                     scale=100.0, prefix="soh_").first()
     rul = metrics.regression_metrics(rul_predictions(t), "actual_rul_cycles",
-                                     "predicted_rul_cycles", prefix="rul_")
-    mae = eol.eol_mae(model_eol(t, cfg.threshold)).select("eol_mean_abs_error_cycles")
+                                     "predicted_rul_cycles", prefix="rul_").first()
+    mae = eol.eol_mae(model_eol(t, cfg.threshold)).first()
     # Validation RMSE of both models (SoH in its own units, RUL ratio scaled).
     val = t.seqs.filter(F.col("split") == "val")
-    v_soh = metrics.regression_metrics(
-        models.score(t.soh_model, val, "p", 0.0, 1.0), S.SOH_TARGET, "p").select(
-        F.col("rmse").alias("soh_val_rmse"))
-    v_rul = metrics.regression_metrics(
-        models.score(t.rul_model, val, "p"), f"{S.RUL_TARGET}_s", "p").select(
-        F.col("rmse").alias("rul_val_rmse_scaled"))
-    best = metrics.best_epoch(history(t))
-    best_row = best.agg(
-        F.max(F.when(F.col("model") == "soh", F.col("best_epoch"))).alias("best_soh_epoch"),
-        F.max(F.when(F.col("model") == "rul", F.col("best_epoch"))).alias("best_rul_epoch"))
-    sizes = t.assignment.agg(*[F.count(F.when(F.col("split") == s, 1)).alias(f"{s}_batteries")
-                               for s in ("train", "val", "test")])
-    rec = (soh.select(F.col("soh_rmse").alias("soh_rmse_pct"),
-                      F.col("soh_mae").alias("soh_mae_pct"), "soh_r2")
-              .crossJoin(rul.select(F.col("rul_rmse").alias("rul_rmse_cycles"),
-                                    F.col("rul_mae").alias("rul_mae_cycles"), "rul_r2"))
-              .crossJoin(mae).crossJoin(v_soh).crossJoin(v_rul).crossJoin(best_row)
-              .crossJoin(sizes))
-    return rec.select(
-        *[F.round(c, 4).alias(c) for c in ("soh_rmse_pct", "soh_mae_pct", "soh_r2",
-                                            "rul_rmse_cycles", "rul_mae_cycles", "rul_r2")],
-        F.round("eol_mean_abs_error_cycles", 1).alias("eol_mean_abs_error_cycles"),
-        F.round("soh_val_rmse", 6).alias("soh_val_rmse"),
-        F.round("rul_val_rmse_scaled", 6).alias("rul_val_rmse_scaled"),
-        "best_soh_epoch", "best_rul_epoch", "train_batteries", "val_batteries",
-        "test_batteries",
-        F.lit(cfg.seq_len).alias("seq_len"), F.lit(cfg.params.max_iter).alias("max_iter"),
-        F.lit(cfg.threshold).alias("failure_threshold"),
-        F.array(*[F.lit(f) for f in cfg.features]).alias("features"),
-        F.lit("Savitzky-Golay window=11 polyorder=2").alias("soh_label_smoothing"),
-        F.lit("70/20/10 stratified by battery_type").alias("split_ratios"),
-        F.lit("rul_ratio (normalized)").alias("rul_target"))
+    v_soh = metrics.regression_metrics(models.score(t.soh_model, val, "p", 0.0, 1.0),
+                                       S.SOH_TARGET, "p").first()
+    v_rul = metrics.regression_metrics(models.score(t.rul_model, val, "p"),
+                                       f"{S.RUL_TARGET}_s", "p").first()
+    best = {r.model: r.best_epoch for r in metrics.best_epoch(history(t)).collect()}
+    sizes = t.assignment.agg(*[F.count(F.when(F.col("split") == s, 1)).alias(s)
+                               for s in ("train", "val", "test")]).first()
+
+    def r(x, n):
+        return None if x is None else round(float(x), n)
+
+    values = [
+        ("soh_rmse_pct", r(soh.soh_rmse, 4), "double"), ("soh_mae_pct", r(soh.soh_mae, 4), "double"),
+        ("soh_r2", r(soh.soh_r2, 4), "double"),
+        ("rul_rmse_cycles", r(rul.rul_rmse, 4), "double"),
+        ("rul_mae_cycles", r(rul.rul_mae, 4), "double"), ("rul_r2", r(rul.rul_r2, 4), "double"),
+        ("eol_mean_abs_error_cycles", r(mae.eol_mean_abs_error_cycles, 1), "double"),
+        ("soh_val_rmse", r(v_soh.rmse, 6), "double"),
+        ("rul_val_rmse_scaled", r(v_rul.rmse, 6), "double"),
+        ("best_soh_epoch", best.get("soh"), "int"), ("best_rul_epoch", best.get("rul"), "int"),
+        ("train_batteries", sizes.train, "long"), ("val_batteries", sizes.val, "long"),
+        ("test_batteries", sizes.test, "long"),
+        ("seq_len", cfg.seq_len, "int"), ("max_iter", cfg.params.max_iter, "int"),
+        ("failure_threshold", cfg.threshold, "double"),
+        ("soh_label_smoothing", "Savitzky-Golay window=11 polyorder=2", "string"),
+        ("split_ratios", "70/20/10 stratified by battery_type", "string"),
+        ("rul_target", "rul_ratio (normalized)", "string"),
+    ]
+    cols = [F.lit(v).cast(typ).alias(name) for name, v, typ in values]
+    cols.insert(17, F.array(*[F.lit(f) for f in cfg.features]).alias("features"))
+    return spark.range(1).select(*cols)
 
 
 def write_outputs(t: Trained, out_dir: str, cfg: TrainingConfig = TrainingConfig()) -> None:
