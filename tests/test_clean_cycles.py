@@ -101,3 +101,16 @@ def test_soh_rul_identities(spark):
         assert math.isclose(r.rul_ratio, r.SoH, abs_tol=1e-12)
         assert r.min_voltage <= r.avg_voltage + 1e-12
         assert r.cycle >= 1 and 0 <= r.duration < 1000
+
+
+def test_telescoping_and_rul_zero_at_end(spark):
+    from tests.conftest import SF_MID
+    from cellhealth.plans.catalog import Stages
+    ff = Stages(spark, SF_MID).features
+    last = ff.groupBy("battery_id").agg(
+        F.max_by(F.struct("cumul_voltage_drop", "avg_voltage", "RUL"), "cycle_index").alias("l"),
+        F.min_by("prev_voltage", "cycle_index").alias("first_prev")).collect()
+    assert last
+    for r in last:
+        assert math.isclose(r.l.cumul_voltage_drop, r.l.avg_voltage - r.first_prev, abs_tol=1e-9)
+        assert r.l.RUL == 0

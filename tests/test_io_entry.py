@@ -60,8 +60,11 @@ def test_oracle_small_scale(spark):
     for t in ("events",):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     sql, qs = E.oracle_sql(), E.queries()
-    for name in ("q03_cycle_aggregate", "q06_final_dataset", "q11_savgol_soh", "q15_split_assignment",
-                 "q21_sequences", "q29_eol_report"):
+    for name in ("q03_cycle_aggregate", "q04_rul_soh", "q06_final_dataset", "q08_cumulative_drop",
+                 "q09_cycle_rank", "q10_rolling_features", "q11_savgol_soh",
+                 "q15_split_assignment", "q21_sequences", "q29_eol_report",
+                 "q31_health_status", "q33_cold_start_features", "q35_rejected_readings",
+                 "q36_best_epoch"):
         got = qs[name](spark, SF_SMALL)
         res = con.execute(sql[name])
         cols = [d[0] for d in res.description]

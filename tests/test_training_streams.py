@@ -75,3 +75,21 @@ def test_cycle_stream_equals_batch(spark):
     a = sorted(catalog.q41_stream_cycle_aggregate(spark, SF_SMALL).collect())
     b = sorted(catalog.q03_cycle_aggregate(spark, SF_SMALL).collect())
     assert a == b
+
+
+def test_models_beat_mean_and_are_deterministic(spark, trained):
+    train = trained.seqs.filter(F.col("split") == "train")
+    mean = train.agg(F.avg(S_TARGET)).first()[0]
+    test = training.soh_predictions(trained)
+    model_rmse = test.agg(F.sqrt(F.avg((F.col("predicted_soh") - F.col("actual_soh")) ** 2))).first()[0]
+    mean_rmse = test.agg(F.sqrt(F.avg((F.lit(mean) - F.col("actual_soh")) ** 2))).first()[0]
+    assert model_rmse < mean_rmse
+    tv = models.with_validation_flag(trained.seqs)
+    again = models.fit_regressor(tv, S_TARGET, CFG.params)
+    probe = trained.seqs.filter(F.col("split") == "test")
+    a = [r.prediction for r in trained.soh_model.transform(probe).orderBy("battery_id", "cycle").collect()]
+    b = [r.prediction for r in again.transform(probe).orderBy("battery_id", "cycle").collect()]
+    assert a == b
+
+
+S_TARGET = "SoH_smoothed"
