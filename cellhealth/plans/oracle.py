@@ -449,7 +449,8 @@ FROM (SELECT request_id,
     "q36_best_epoch": f"""
 SELECT model, epoch AS best_epoch, {r('val_loss')} AS best_val_loss
 FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY val_loss, epoch) AS rn
-      FROM (SELECT event_type AS model, dayofmonth(ts) AS epoch, avg(value) AS val_loss
+      FROM (SELECT event_type AS model, CAST(dayofmonth(ts) AS INTEGER) AS epoch,
+                   avg(value) AS val_loss
             FROM events GROUP BY ALL))
 WHERE rn = 1""",
     "q37_scatter_limits": with_ctes("scored", f"""
