@@ -40,7 +40,7 @@ def run_etl(raw: DataFrame, out_dir: str, subset: list[str] | None = None,
     typed = clean.coerce_numeric(clean.with_identity(raw_o))
     discharged, n_discharge = sinks.observed(clean.discharge_only(typed), "discharge")
     light = clean.light(clean.drop_incomplete(discharged, subset))
-    light_path = f"{out}/light_cleaned"
+    light_path = f"{out}/light"
     if light_fmt == "csv":
         sinks.write_csv(light, light_path)
     else:
@@ -50,7 +50,7 @@ def run_etl(raw: DataFrame, out_dir: str, subset: list[str] | None = None,
     agg, n_agg = sinks.observed(cycles.aggregate_cycles(cycles.with_cycle(lt)), "aggregated")
     cyc = write_stage(agg, "cycles")
     final = write_stage(cycles.final_dataset(cyc), "final")
-    csv_path, json_path = f"{out}/spark_output", f"{out}/mongo_ready"
+    csv_path, json_path = f"{out}/final_csv", f"{out}/final_json"
     sinks.write_csv(final, csv_path)
     sinks.write_json(final, json_path)
     counts = {"loaded": n_loaded.get["rows"], "after_discharge_filter": n_discharge.get["rows"],

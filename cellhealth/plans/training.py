@@ -165,9 +165,9 @@ def summary(t: Trained, cfg: TrainingConfig = TrainingConfig()) -> DataFrame:
         ("test_batteries", sizes.test, "long"),
         ("seq_len", cfg.seq_len, "int"), ("max_iter", cfg.params.max_iter, "int"),
         ("failure_threshold", cfg.threshold, "double"),
-        ("soh_label_smoothing", "Savitzky-Golay window=11 polyorder=2", "string"),
-        ("split_ratios", "70/20/10 stratified by battery_type", "string"),
-        ("rul_target", "rul_ratio (normalized)", "string"),
+        ("soh_label_smoothing", S.SUMMARY_SMOOTHING, "string"),
+        ("split_ratios", S.SUMMARY_SPLIT, "string"),
+        ("rul_target", S.SUMMARY_RUL_TARGET, "string"),
     ]
     cols = [F.lit(v).cast(typ).alias(name) for name, v, typ in values]
     cols.insert(17, F.array(*[F.lit(f) for f in cfg.features]).alias("features"))

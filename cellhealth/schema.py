@@ -51,6 +51,10 @@ REQUIRED_READING_FIELDS = [
 ]
 DEFAULT_READING_CYCLE = 1.0
 DEFAULT_READING_CYCLE_RANK = 0.5
+# Descriptions carried in the run summary record.
+SUMMARY_SMOOTHING = "Savitzky-Golay window=11 polyorder=2"
+SUMMARY_SPLIT = "70/20/10 stratified by battery_type"
+SUMMARY_RUL_TARGET = "rul_ratio (normalized)"
 
 
 def with_rolling(features: list[str]) -> list[str]:
