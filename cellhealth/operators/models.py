@@ -49,16 +49,21 @@ def fit_regressor(train_val: DataFrame, label: str, params: TreeParams = TreePar
     return gbt.fit(train_val)
 
 
-def training_history(model: GBTRegressionModel, val: DataFrame, name: str,
+def training_history(model: GBTRegressionModel, train: DataFrame, val: DataFrame, name: str,
                      spark: SparkSession) -> DataFrame:
-    """M5/R2: validation loss after every boosting iteration (1-based ``epoch``).
+    """M5/R2: loss and RMSE after every boosting iteration (1-based ``epoch``),
+    on the training rows and on the validation rows.
 
-    ``evaluateEachIteration`` runs one distributed pass over ``val`` and
-    returns one number per tree, so the list is bounded by ``maxIter``.
+    ``evaluateEachIteration`` makes one distributed pass per dataset and
+    returns one number per tree, so the lists are bounded by ``maxIter``.
     """
-    losses = model.evaluateEachIteration(val, "squared")
-    rows = [(name, i + 1, float(v)) for i, v in enumerate(losses)]
-    return spark.createDataFrame(rows, "model string, epoch int, val_loss double")
+    tr = model.evaluateEachIteration(train, "squared")
+    vl = model.evaluateEachIteration(val, "squared")
+    rows = [(name, i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(tr, vl))]
+    h = spark.createDataFrame(rows, "model string, epoch int, loss double, val_loss double")
+    # MLlib's "squared" loss per iteration is the mean squared error.
+    return (h.withColumn("rmse", F.sqrt("loss"))
+             .withColumn("val_rmse", F.sqrt("val_loss")))
 
 
 def score(model: GBTRegressionModel, seqs: DataFrame, out: str,

@@ -94,11 +94,12 @@ def fit_all(final: DataFrame, cfg: TrainingConfig = TrainingConfig(),
 
 
 def history(t: Trained) -> DataFrame:
-    """R2/M5: validation loss per boosting iteration of both models."""
+    """R2/M5: training and validation loss / RMSE per boosting iteration."""
     spark = t.seqs.sparkSession
     val = t.seqs.filter(F.col("split") == "val")
-    h_soh = models.training_history(t.soh_model, val, "soh", spark)
-    h_rul = models.training_history(t.rul_model, val, "rul", spark)
+    train = t.seqs.filter(F.col("split") == "train")
+    h_soh = models.training_history(t.soh_model, train, val, "soh", spark)
+    h_rul = models.training_history(t.rul_model, train, val, "rul", spark)
     return h_soh.unionByName(h_rul)
 
 
