@@ -46,6 +46,11 @@ def fit_regressor(train_val: DataFrame, label: str, params: TreeParams = TreePar
                        validationTol=params.validation_tol)
     if weight is not None:
         gbt = gbt.setWeightCol(weight)
+    # Every boosting iteration is one pass over the partitions; a small input
+    # read from few files is spread over at least one partition per core.
+    par = train_val.sparkSession.sparkContext.defaultParallelism
+    if train_val.rdd.getNumPartitions() < par:
+        train_val = train_val.repartition(par)
     return gbt.fit(train_val)
 
 
