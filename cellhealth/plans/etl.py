@@ -56,3 +56,26 @@ def run_etl(raw: DataFrame, out_dir: str, subset: list[str] | None = None,
     counts = {"loaded": n_loaded.get["rows"], "after_discharge_filter": n_discharge.get["rows"],
               "aggregated": n_agg.get["rows"]}
     return EtlResult(light_path, csv_path, json_path, final, counts)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m cellhealth.plans.etl <csv glob> <out dir> [--infer] [--light-format F]``"""
+    import argparse
+    import json
+
+    from pyspark.sql import SparkSession
+
+    ap = argparse.ArgumentParser(description="telemetry CSV -> light + final datasets")
+    ap.add_argument("source", help="CSV glob, e.g. hdfs:///battery_data/*/*.csv")
+    ap.add_argument("out", help="output folder (light/, final_csv/, final_json/)")
+    ap.add_argument("--infer", action="store_true", help="infer column types while reading")
+    ap.add_argument("--light-format", default="csv", choices=["csv", "parquet", "json"])
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("cellhealth-etl").getOrCreate()
+    res = run_etl(readers.read_telemetry(spark, a.source, infer=a.infer), a.out,
+                  light_fmt=a.light_format)
+    print(json.dumps(res.counts))
+
+
+if __name__ == "__main__":
+    main()

@@ -189,3 +189,30 @@ def write_outputs(t: Trained, out_dir: str, cfg: TrainingConfig = TrainingConfig
     for name, m in (("soh_model", t.soh_model), ("rul_model", t.rul_model),
                     ("scorer_soh_model", t.scorer_soh), ("scorer_rul_model", t.scorer_rul)):
         models.save_model(m, f"{out}/models/{name}")
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m cellhealth.plans.training <final dataset> <out dir> [--format F]``"""
+    import argparse
+    import json
+
+    from pyspark.sql import SparkSession
+
+    from cellhealth.sources import readers
+
+    ap = argparse.ArgumentParser(description="final dataset -> models, predictions, report")
+    ap.add_argument("final", help="final per-cycle dataset written by the ETL job")
+    ap.add_argument("out", help="output folder")
+    ap.add_argument("--format", default="csv", choices=["csv", "json", "parquet"])
+    ap.add_argument("--max-iter", type=int, default=TreeParams.max_iter)
+    ap.add_argument("--max-depth", type=int, default=TreeParams.max_depth)
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("cellhealth-training").getOrCreate()
+    cfg = TrainingConfig(params=TreeParams(max_iter=a.max_iter, max_depth=a.max_depth))
+    t = fit_all(readers.read_cycles(spark, a.final, a.format), cfg)
+    write_outputs(t, a.out, cfg)
+    print(json.dumps(summary(t, cfg).drop("features").first().asDict()))
+
+
+if __name__ == "__main__":
+    main()

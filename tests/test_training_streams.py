@@ -48,6 +48,13 @@ def test_outputs_round_trip(spark, trained, tmp_out):
     a = sorted(r.prediction for r in m.transform(test).collect())
     b = sorted(r.prediction for r in trained.soh_model.transform(test).collect())
     assert a == b
+    from cellhealth.plans import scoring_job
+    rd = fixtures.readings(spark, SF_SMALL)
+    got, rej = scoring_job.run_scoring(rd, tmp_out, os.path.join(tmp_out, "scoring"))
+    exp, _ = scoring.score_readings(rd, trained.scorer_stats, trained.scorer_soh,
+                                    trained.scorer_rul)
+    assert sorted(got.collect()) == sorted(exp.collect())
+    assert spark.read.parquet(os.path.join(tmp_out, "scoring", "rejected")).count() == rej.count()
     rec = spark.read.json(os.path.join(tmp_out, "metrics_summary"))
     assert rec.count() == 1 and "soh_rmse_pct" in rec.columns
     assert spark.read.option("header", True).csv(os.path.join(tmp_out, "eol_results")).count() > 0
