@@ -65,16 +65,23 @@ def _cycle_block(width: int) -> F.Column:
     return F.floor(F.col("cycle") / F.lit(width))
 
 
-def battery_ordinals(cycles: DataFrame, block_width: int = seg.DEFAULT_BLOCK_WIDTH,
-                     **extra) -> DataFrame:
-    """Position of every cycle row inside its battery (``_ord``, ``_n``).
+def placed(cycles: DataFrame) -> DataFrame:
+    """Rows with a cycle: a null cycle cannot be placed on the cycle axis (such
+    rows would be removed by the final null check anyway)."""
+    return cycles.filter(F.col("cycle").isNotNull())
 
-    Rows with a null cycle cannot be placed on the cycle axis and are left
-    out; they would be removed by the final null check anyway.
-    """
-    return seg.block_ordinals(
-        cycles.filter(F.col("cycle").isNotNull()), ["battery_id"], ORDER,
-        _cycle_block(block_width), **extra)
+
+def short_batteries(df: DataFrame, seg_len: int = seg.DEFAULT_SEG_LEN,
+                    bounded: bool | None = None) -> bool:
+    """Whether every battery fits one segment (measured unless given)."""
+    return seg.group_bound(df, ["battery_id"], seg_len) if bounded is None else bounded
+
+
+def battery_ordinals(cycles: DataFrame, block_width: int = seg.DEFAULT_BLOCK_WIDTH,
+                     bounded: bool = False, **extra) -> DataFrame:
+    """Position of every cycle row inside its battery (``_ord``, ``_n``)."""
+    return seg.block_ordinals(placed(cycles), ["battery_id"], ORDER,
+                              _cycle_block(block_width), bounded=bounded, **extra)
 
 
 def _rul_soh(df: DataFrame) -> DataFrame:
@@ -82,9 +89,12 @@ def _rul_soh(df: DataFrame) -> DataFrame:
               .withColumn("SoH", F.lit(1.0) - safe_ratio("cycle", "max_cycle")))
 
 
-def with_rul_soh(cycles: DataFrame, block_width: int = seg.DEFAULT_BLOCK_WIDTH) -> DataFrame:
-    """A2 + E9 + E10 in skew-safe form: max cycle from the block table."""
-    d = battery_ordinals(cycles, block_width, group_max=["cycle"])
+def with_rul_soh(cycles: DataFrame, block_width: int = seg.DEFAULT_BLOCK_WIDTH,
+                 bounded: bool | None = None) -> DataFrame:
+    """A2 + E9 + E10 in skew-safe form: max cycle from the block table
+    (or a per-battery window when every battery is measured to be short)."""
+    b = short_batteries(placed(cycles), bounded=bounded)
+    d = battery_ordinals(cycles, block_width, bounded=b, group_max=["cycle"])
     d = d.withColumn("max_cycle", F.col("_max_cycle")).drop("_max_cycle", "_ord", "_n")
     return _rul_soh(d)
 
@@ -110,17 +120,19 @@ def with_rul_soh_window(cycles: DataFrame) -> DataFrame:
 
 
 def final_dataset(cycles: DataFrame, block_width: int = seg.DEFAULT_BLOCK_WIDTH,
-                  seg_len: int = seg.DEFAULT_SEG_LEN) -> DataFrame:
+                  seg_len: int = seg.DEFAULT_SEG_LEN, bounded: bool | None = None
+                  ) -> DataFrame:
     """W1 + E9-E13 + E5: the per-cycle training table.
 
     ``prev_*`` is the previous cycle row of the same battery_id (ties on
     cycle broken by battery_type); the first row per battery and rows with
     any null are dropped.
     """
-    d = battery_ordinals(cycles, block_width, group_max=["cycle"])
+    b = short_batteries(placed(cycles), seg_len, bounded)
+    d = battery_ordinals(cycles, block_width, bounded=b, group_max=["cycle"])
     d = d.withColumn("max_cycle", F.col("_max_cycle")).drop("_max_cycle", "_n")
-    d = seg.halo_segments(d, seg_len=seg_len, before=1)
-    w = seg.segment_window(["battery_id"])
+    d = seg.halo_segments(d, seg_len=seg_len, before=1, bounded=b)
+    w = seg.segment_window(["battery_id"], bounded=b)
     d = (d.withColumn("prev_voltage", F.lag("avg_voltage").over(w))
           .withColumn("prev_temp", F.lag("max_temp").over(w)))
     d = seg.drop_halo(d)

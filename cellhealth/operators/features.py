@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cellhealth import schema as S
 from cellhealth.functions.expressions import clip, safe_ratio
 from cellhealth.operators import segments as seg
-from cellhealth.operators.cycles import battery_ordinals
+from cellhealth.operators.cycles import battery_ordinals, placed, short_batteries
 
 HALF = S.SAVGOL_WINDOW // 2  # 5
 
@@ -29,14 +29,16 @@ def with_targets(df: DataFrame) -> DataFrame:
               .withColumn("cycle_norm", safe_ratio("cycle", "max_cycle")))
 
 
-def with_position(df: DataFrame, block_width: int = seg.DEFAULT_BLOCK_WIDTH) -> DataFrame:
+def with_position(df: DataFrame, block_width: int = seg.DEFAULT_BLOCK_WIDTH,
+                  bounded: bool = False) -> DataFrame:
     """W2 + W3 and the battery position columns.
 
     Adds ``cycle_index`` (1-based position in the battery), ``n_cycles``,
     ``cumul_voltage_drop`` (running sum of voltage_drop) and ``cycle_rank``
     (percentile rank of cycle, ties averaged, in (0, 1]).
     """
-    d = battery_ordinals(df, block_width, prefix_sums=["voltage_drop"], ties_on="cycle")
+    d = battery_ordinals(df, block_width, bounded=bounded, prefix_sums=["voltage_drop"],
+                         ties_on="cycle")
     avg_rank = F.col("_rank_min") + (F.col("_ties") - F.lit(1)) / F.lit(2.0)
     return (d.withColumn("cycle_index", F.col("_ord"))
               .withColumn("n_cycles", F.col("_n"))
@@ -72,7 +74,7 @@ def _savgol_terms(around: str) -> Column:
 def model_frame(final: DataFrame, features: Sequence[str] = tuple(S.PHYSICAL_FEATURES),
                 window: int = S.ROLLING_WINDOW, smooth: bool = True,
                 block_width: int = seg.DEFAULT_BLOCK_WIDTH,
-                seg_len: int = seg.DEFAULT_SEG_LEN) -> DataFrame:
+                seg_len: int = seg.DEFAULT_SEG_LEN, bounded: bool | None = None) -> DataFrame:
     """Final dataset -> targets, position features, rolling mean/std, SoH_smoothed.
 
     W4: ``{f}_mean`` = mean of the last ``window`` rows (fewer at the start).
@@ -80,10 +82,11 @@ def model_frame(final: DataFrame, features: Sequence[str] = tuple(S.PHYSICAL_FEA
     W6: SoH smoothed per battery when it has >= 11 rows (then clipped to
     [0, 1]); shorter batteries keep SoH unchanged.
     """
-    d = with_position(with_targets(final), block_width)
+    b = short_batteries(placed(final), seg_len, bounded)
+    d = with_position(with_targets(final), block_width, bounded=b)
     d = seg.halo_segments(d, "cycle_index", seg_len=seg_len,
-                          before=max(window - 1, 2 * HALF), after=2 * HALF)
-    w = seg.segment_window(["battery_id"], "cycle_index")
+                          before=max(window - 1, 2 * HALF), after=2 * HALF, bounded=b)
+    w = seg.segment_window(["battery_id"], "cycle_index", bounded=b)
     roll = w.rowsBetween(-(window - 1), 0)
     cols = {}
     for f in features:

@@ -20,6 +20,12 @@ never partition by the group key alone.  They run in two steps:
    ``_halo``.  A window ``partitionBy(group, _seg).orderBy(_ord)`` then sees
    every row its bounded ROWS frame needs, and the halo copies are filtered
    out afterwards.  A task holds at most ``seg_len + before + after`` rows.
+
+Measured fast path: when ``group_bound`` finds that no group has more than
+``seg_len`` rows (one small aggregate), every group already fits a bounded
+task, so the same columns are computed with plain ``partitionBy(group)``
+windows and all passes share one exchange (``bounded=True``).  A single
+larger group switches everything to the segmented form above.
 """
 
 from __future__ import annotations
@@ -33,6 +39,15 @@ DEFAULT_BLOCK_WIDTH = 4096
 DEFAULT_SEG_LEN = 4096
 
 
+def group_bound(df: DataFrame, keys: Sequence[str], limit: int = DEFAULT_SEG_LEN) -> bool:
+    """True when every group of ``keys`` has at most ``limit`` rows.
+
+    One aggregate (combined map-side) returning one number.
+    """
+    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return top is None or top <= limit
+
+
 def block_ordinals(
     df: DataFrame,
     keys: Sequence[str],
@@ -41,6 +56,7 @@ def block_ordinals(
     prefix_sums: Sequence[str] = (),
     group_max: Sequence[str] = (),
     ties_on: str | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Attach ``_ord`` (1-based position in ``keys`` ordered by ``order``) and ``_n``.
 
@@ -55,6 +71,8 @@ def block_ordinals(
       ``ties_on``.
     """
     keys = list(keys)
+    if bounded:
+        return _plain_ordinals(df, keys, order, prefix_sums, group_max, ties_on)
     d = df.withColumn("_blk", block)
     blk_aggs = [F.count(F.lit(1)).alias("_bn")]
     blk_aggs += [F.sum(c).alias(f"_bs_{c}") for c in prefix_sums]
@@ -86,18 +104,38 @@ def block_ordinals(
     return j.drop(*drop)
 
 
+def _plain_ordinals(df, keys, order, prefix_sums, group_max, ties_on) -> DataFrame:
+    """The columns of ``block_ordinals`` with per-group windows (bounded groups)."""
+    whole = Window.partitionBy(*keys)
+    ordered = whole.orderBy(*order)
+    cols = {"_ord": F.row_number().over(ordered).cast("long"),
+            "_n": F.count(F.lit(1)).over(whole)}
+    for c in prefix_sums:
+        cols[f"_cum_{c}"] = F.sum(c).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    for c in group_max:
+        cols[f"_max_{c}"] = F.max(c).over(whole)
+    if ties_on is not None:
+        cols["_rank_min"] = F.rank().over(whole.orderBy(ties_on)).cast("long")
+        cols["_ties"] = F.count(F.lit(1)).over(Window.partitionBy(*keys, ties_on))
+    return df.withColumns(cols)
+
+
 def halo_segments(
     df: DataFrame,
     ord_col: str = "_ord",
     seg_len: int = DEFAULT_SEG_LEN,
     before: int = 0,
     after: int = 0,
+    bounded: bool = False,
 ) -> DataFrame:
     """Copy each row into its segment plus neighbouring segments' halos.
 
     Adds ``_seg`` (segment number) and ``_halo`` (True on copies).  Window over
-    ``partitionBy(*keys, "_seg").orderBy(ord_col)`` and keep ``~_halo`` rows.
+    ``segment_window(keys, ord_col, bounded)`` and keep ``~_halo`` rows.  With
+    ``bounded`` every group is one segment and nothing is copied.
     """
+    if bounded:
+        return df.withColumn("_seg", F.lit(0).cast("long")).withColumn("_halo", F.lit(False))
     if before > seg_len or after > seg_len:
         raise ValueError("halo wider than a segment")
     i0 = F.col(ord_col) - 1
@@ -120,8 +158,10 @@ def halo_segments(
               .drop("_copy"))
 
 
-def segment_window(keys: Sequence[str], ord_col: str = "_ord"):
+def segment_window(keys: Sequence[str], ord_col: str = "_ord", bounded: bool = False):
     """The window spec to use on ``halo_segments`` output."""
+    if bounded:
+        return Window.partitionBy(*keys).orderBy(ord_col)
     return Window.partitionBy(*keys, "_seg").orderBy(ord_col)
 
 

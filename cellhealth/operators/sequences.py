@@ -20,14 +20,16 @@ from cellhealth.operators import segments as seg
 def build_sequences(frame: DataFrame, features: Sequence[str], seq_len: int = S.SEQ_LEN,
                     ord_col: str = "cycle_index", keys: Sequence[str] = ("battery_id",),
                     baselines: Sequence[str] = (),
-                    seg_len: int = seg.DEFAULT_SEG_LEN) -> DataFrame:
+                    seg_len: int = seg.DEFAULT_SEG_LEN,
+                    bounded: bool | None = None) -> DataFrame:
     """Add ``seq`` (array of ``seq_len`` feature arrays) to every target row.
 
     ``baselines``: for column c also adds ``{c}_window_mean``, the mean of c
     over the same input window (a naive forecaster used as reference model).
     """
-    d = seg.halo_segments(frame, ord_col, seg_len=seg_len, before=seq_len)
-    w = seg.segment_window(list(keys), ord_col).rowsBetween(-seq_len, -1)
+    b = seg.group_bound(frame, list(keys), seg_len) if bounded is None else bounded
+    d = seg.halo_segments(frame, ord_col, seg_len=seg_len, before=seq_len, bounded=b)
+    w = seg.segment_window(list(keys), ord_col, bounded=b).rowsBetween(-seq_len, -1)
     cols = {"seq": F.collect_list(F.array(*[F.col(f).cast("double") for f in features])).over(w)}
     for c in baselines:
         cols[f"{c}_window_mean"] = F.avg(c).over(w)

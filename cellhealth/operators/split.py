@@ -25,11 +25,13 @@ def split_order_key(key: str = "battery_id", seed: int = S.SEED) -> F.Column:
 
 def assign_splits(frame: DataFrame, seed: int = S.SEED,
                   ratios: tuple[float, float] = S.SPLIT_RATIOS,
-                  key: str = "battery_id", strata: str = "battery_type") -> DataFrame:
+                  key: str = "battery_id", strata: str = "battery_type",
+                  bounded: bool | None = None) -> DataFrame:
     """One row per (strata, key) with ``split`` in train / val / test."""
     bats = frame.select(strata, key).distinct().withColumn("_h", split_order_key(key, seed))
     blk = F.conv(F.substring("_h", 1, 4), 16, 10).cast("long")
-    d = seg.block_ordinals(bats, [strata], ["_h", key], blk)
+    b = seg.group_bound(bats, [strata]) if bounded is None else bounded
+    d = seg.block_ordinals(bats, [strata], ["_h", key], blk, bounded=b)
     p, n = F.col("_ord") - 1, F.col("_n")
     d = (d.withColumn("_a", F.greatest(F.lit(1), F.floor(n * F.lit(float(ratios[0])))))
           .withColumn("_v", F.greatest(F.lit(1), F.floor(n * F.lit(float(ratios[1])))))

@@ -62,7 +62,8 @@ def test_rul_soh_forms_agree_and_zero_max_cycle(spark):
              ("d", "recommissioned", 3, 4.0, 3.9, 1.0, 20.0, 1.0)]
     c = _cycles(spark, rows)
     cols = ["battery_id", "battery_type", "cycle", "max_cycle", "RUL", "SoH"]
-    a = sorted(cycles.with_rul_soh(c, block_width=2).select(*cols).collect())
+    a = sorted(cycles.with_rul_soh(c, block_width=2, bounded=False).select(*cols).collect())
+    assert a == sorted(cycles.with_rul_soh(c, bounded=True).select(*cols).collect())
     b = sorted(cycles.with_rul_soh_join(c).select(*cols).collect())
     w = sorted(cycles.with_rul_soh_window(c).select(*cols).collect())
     assert a == b == w
@@ -80,6 +81,8 @@ def test_final_dataset_lag_matches_plain_window(spark):
              20.0 + (cyc * 7 % 5), 5.0) for b in range(4) for cyc in range(0, 40, 1 + b)]
     c = _cycles(spark, rows)
     got = cycles.final_dataset(c, block_width=3, seg_len=4)
+    plain = cycles.final_dataset(c, bounded=True)
+    assert sorted(got.collect()) == sorted(plain.collect())
     w = Window.partitionBy("battery_id").orderBy("cycle", "battery_type")
     ref = (c.withColumn("prev_voltage", F.lag("avg_voltage").over(w))
              .withColumn("prev_temp", F.lag("max_temp").over(w))

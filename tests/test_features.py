@@ -68,10 +68,13 @@ def test_segment_size_does_not_change_features(spark):
             "cycle_rank", "SoH_smoothed"] + [c for c in S.FEATURES_30 if c.endswith(("_mean",
                                                                                       "_std"))]
     small = features.model_frame(df, block_width=4, seg_len=11).select(*cols)
-    big = features.model_frame(df).select(*cols)
+    big = features.model_frame(df, bounded=False).select(*cols)
+    plain = features.model_frame(df, bounded=True).select(*cols)
+    measured = features.model_frame(df).select(*cols)
     norm = lambda rows: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r)
                                for r in rows)
-    assert norm(small.collect()) == norm(big.collect())
+    ref = norm(small.collect())
+    assert ref == norm(big.collect()) == norm(plain.collect()) == norm(measured.collect())
 
 
 def test_rolling_matches_pandas(spark):

@@ -19,12 +19,12 @@ def _frame(spark, groups):
     return spark.createDataFrame(rows, "g string, c int, v double")
 
 
-def _check(spark, groups, block_width, seg_len):
+def _check(spark, groups, block_width, seg_len, bounded=False):
     df = _frame(spark, groups)
     o = seg.block_ordinals(df, ["g"], ["c"], F.floor(F.col("c") / block_width),
-                           prefix_sums=["v"], group_max=["c"])
-    h = seg.halo_segments(o, seg_len=seg_len, before=3, after=2)
-    w = seg.segment_window(["g"])
+                           prefix_sums=["v"], group_max=["c"], bounded=bounded)
+    h = seg.halo_segments(o, seg_len=seg_len, before=3, after=2, bounded=bounded)
+    w = seg.segment_window(["g"], bounded=bounded)
     got = seg.drop_halo(h.select(
         "*", F.sum("v").over(w.rowsBetween(-3, 0)).alias("roll"),
         F.lead("v", 2).over(w).alias("ahead"))).collect()
@@ -52,6 +52,9 @@ def test_dense_and_sparse_groups(spark):
     }
     _check(spark, groups, block_width=4, seg_len=5)
     _check(spark, groups, block_width=1000, seg_len=4096)
+    _check(spark, groups, block_width=4, seg_len=5, bounded=True)
+    assert seg.group_bound(_frame(spark, groups), ["g"], 50)
+    assert not seg.group_bound(_frame(spark, groups), ["g"], 49)
 
 
 @settings(max_examples=8, deadline=None)
@@ -62,12 +65,19 @@ def test_dense_and_sparse_groups(spark):
 def test_random_groups(spark, groups, block_width, seg_len):
     g = {k: [(c, (c * 37 % 11) / 7.0) for c in sorted(v)] for k, v in groups.items()}
     _check(spark, g, block_width, seg_len)
+    _check(spark, g, block_width, seg_len, bounded=True)
 
 
 def test_ties_rank(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("a", 2, "x"), ("a", 3, "x"),
                                 ("a", 3, "y"), ("a", 3, "z")], "g string, c int, t string")
-    o = seg.block_ordinals(df, ["g"], ["c", "t"], F.floor(F.col("c") / 2), ties_on="c")
-    got = sorted((r.c, r.t, r._ord, r._rank_min, r._ties) for r in o.collect())
+    for bounded in (False, True):
+        o = seg.block_ordinals(df, ["g"], ["c", "t"], F.floor(F.col("c") / 2), ties_on="c",
+                               bounded=bounded)
+        got = sorted((r.c, r.t, r._ord, r._rank_min, r._ties) for r in o.collect())
+        _ties_expected(got)
+
+
+def _ties_expected(got):
     assert got == [(1, "x", 1, 1, 2), (1, "y", 2, 1, 2), (2, "x", 3, 3, 1),
                    (3, "x", 4, 4, 3), (3, "y", 5, 4, 3), (3, "z", 6, 4, 3)]

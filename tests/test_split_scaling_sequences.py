@@ -14,6 +14,7 @@ def test_split_sizes(spark, n, expected):
     a = split.assign_splits(df).collect()
     got = tuple(sum(1 for r in a if r.split == s) for s in ("train", "val", "test"))
     assert got == expected
+    assert sorted(a) == sorted(split.assign_splits(df, bounded=False).collect())
     assert len({r.battery_id for r in a}) == n
 
 
