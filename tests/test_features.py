@@ -3,7 +3,6 @@ least-squares polynomial fits; short batteries keep SoH."""
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from cellhealth import schema as S
 from cellhealth.operators import features

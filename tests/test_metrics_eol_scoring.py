@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from cellhealth.functions.expressions import health_status
 from cellhealth.operators import eol, metrics, scoring

@@ -1,7 +1,6 @@
 """Split size rules, scaling conventions, sequence counts and weights."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from cellhealth.operators import scaling, sequences, split
 
