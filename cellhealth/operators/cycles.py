@@ -73,7 +73,8 @@ def placed(cycles: DataFrame) -> DataFrame:
 
 def short_batteries(df: DataFrame, seg_len: int = seg.DEFAULT_SEG_LEN,
                     bounded: bool | None = None) -> bool:
-    """Whether every battery fits one segment (measured unless given)."""
+    """Whether every battery fits one segment (measured unless given; the
+    measurement reads ``df`` once, so ``df`` should be a written table)."""
     return seg.group_bound(df, ["battery_id"], seg_len) if bounded is None else bounded
 
 

@@ -42,7 +42,9 @@ DEFAULT_SEG_LEN = 4096
 def group_bound(df: DataFrame, keys: Sequence[str], limit: int = DEFAULT_SEG_LEN) -> bool:
     """True when every group of ``keys`` has at most ``limit`` rows.
 
-    One aggregate (combined map-side) returning one number.
+    One aggregate (combined map-side) returning one number.  It is an action
+    on ``df``: pass a written stage table (as every caller in this package
+    does), or give ``bounded`` explicitly, so the input is not computed twice.
     """
     top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
     return top is None or top <= limit
