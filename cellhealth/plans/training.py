@@ -11,8 +11,11 @@ models on the 27 features the single-reading scorer can build serves
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +34,7 @@ class TrainingConfig:
     params: TreeParams = TreeParams()
     threshold: float = S.FAILURE_THRESHOLD
     seed: int = S.SEED
+    parallelism: int = 4        # models fitted concurrently (as CrossValidator does)
 
 
 @dataclass
@@ -78,17 +82,19 @@ def fit_all(final: DataFrame, cfg: TrainingConfig = TrainingConfig(),
     stats = write_stage(scaling.fit_scaler(train, feats + [S.RUL_TARGET]), "scaler")
     seqs = write_stage(_scaled_sequences(tagged, stats, feats, [S.RUL_TARGET], cfg.seq_len),
                        "sequences")
-    tv = models.with_validation_flag(seqs)
-    soh_model = models.fit_regressor(tv, S.SOH_TARGET, cfg.params)
-    rul_model = models.fit_regressor(tv, f"{S.RUL_TARGET}_s", cfg.params, weight="weight")
-
     # Single-reading scorer: 27 features, targets SoH and remaining cycles.
     sstats = write_stage(scaling.fit_scaler(train, sfeats + ["remaining_cycles"]), "scorer")
     sseqs = write_stage(_scaled_sequences(tagged, sstats, sfeats, ["remaining_cycles"],
                                           cfg.seq_len), "scorer_sequences")
-    stv = models.with_validation_flag(sseqs)
-    scorer_soh = models.fit_regressor(stv, S.SOH_TARGET, cfg.params)
-    scorer_rul = models.fit_regressor(stv, "remaining_cycles_s", cfg.params)
+    tv, stv = models.with_validation_flag(seqs), models.with_validation_flag(sseqs)
+    fits = [(tv, S.SOH_TARGET, None), (tv, f"{S.RUL_TARGET}_s", "weight"),
+            (stv, S.SOH_TARGET, None), (stv, "remaining_cycles_s", None)]
+    # The four fits are independent Spark jobs; submitting them from
+    # parallel threads lets their (small, many) jobs share the executors.
+    with ThreadPoolExecutor(max_workers=max(1, cfg.parallelism)) as pool:
+        futures = [pool.submit(inheritable_thread_target(models.fit_regressor), data, label,
+                               cfg.params, weight) for data, label, weight in fits]
+        soh_model, rul_model, scorer_soh, scorer_rul = [f.result() for f in futures]
     return Trained(frame, asg, stats, seqs, soh_model, rul_model, sstats, scorer_soh,
                    scorer_rul)
 
