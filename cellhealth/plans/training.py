@@ -91,9 +91,10 @@ def fit_all(final: DataFrame, cfg: TrainingConfig = TrainingConfig(),
             (stv, S.SOH_TARGET, None), (stv, "remaining_cycles_s", None)]
     # The four fits are independent Spark jobs; submitting them from
     # parallel threads lets their (small, many) jobs share the executors.
+    fit = inheritable_thread_target(frame.sparkSession)(models.fit_regressor)
     with ThreadPoolExecutor(max_workers=max(1, cfg.parallelism)) as pool:
-        futures = [pool.submit(inheritable_thread_target(models.fit_regressor), data, label,
-                               cfg.params, weight) for data, label, weight in fits]
+        futures = [pool.submit(fit, data, label, cfg.params, weight)
+                   for data, label, weight in fits]
         soh_model, rul_model, scorer_soh, scorer_rul = [f.result() for f in futures]
     return Trained(frame, asg, stats, seqs, soh_model, rul_model, sstats, scorer_soh,
                    scorer_rul)
