@@ -71,3 +71,21 @@ def test_oracle_small_scale(spark):
         exp = sorted(tuple(r) for r in res.fetchall())
         have = sorted(tuple(r[c] for c in cols) for r in got.collect())
         assert have == exp, name
+
+
+def test_command_line_jobs(spark, tmp_out, capsys):
+    import json
+
+    import pytest
+
+    from cellhealth.plans import training
+    glob = _write_layout(tmp_out)
+    out = os.path.join(tmp_out, "cli")
+    etl.main([glob, out])
+    counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    # cycles {0, 1, 2} and {0, 1, 3} before the final null check drops the first rows
+    assert counts == {"loaded": 10, "after_discharge_filter": 9, "aggregated": 6}
+    assert sorted(os.listdir(out)) == ["final_csv", "final_json", "light"]
+    # two batteries of different types: the split rules leave none for training
+    with pytest.raises(ValueError, match="no training batteries"):
+        training.main([os.path.join(out, "final_csv"), os.path.join(tmp_out, "train")])
