@@ -89,3 +89,26 @@ def test_rolling_matches_pandas(spark):
     cum = got["voltage_drop"].cumsum()
     assert np.allclose(got["cumul_voltage_drop"], cum, atol=1e-12)
     assert isinstance(pd.__version__, str)
+
+
+def test_hot_battery_default_settings(spark):
+    """One battery of 9000 cycles (three 4096-row segments) among short ones:
+    the measured path is the segmented kernel and equals plain windows."""
+    from cellhealth.operators import segments as seg
+    from cellhealth.operators import sequences
+    df = _final(spark, [9000, 12, 30])
+    assert not seg.group_bound(df, ["battery_id"])
+    cols = ["battery_id", "cycle", "cycle_index", "n_cycles", "cumul_voltage_drop",
+            "cycle_rank", "SoH_smoothed", "avg_voltage_mean", "avg_voltage_std"]
+    seg_rows = features.model_frame(df).select(*cols)
+    plain_rows = features.model_frame(df, bounded=True).select(*cols)
+    norm = lambda rows: sorted(tuple(round(x, 7) if isinstance(x, float) else x for x in r)
+                               for r in rows)
+    assert norm(seg_rows.collect()) == norm(plain_rows.collect())
+    frame = features.model_frame(df)
+    a = sequences.build_sequences(frame, ["cycle_rank", "duration"]).filter(
+        "battery_id = 'b0' AND cycle_index BETWEEN 4090 AND 4120")
+    b = sequences.build_sequences(frame, ["cycle_rank", "duration"], bounded=True).filter(
+        "battery_id = 'b0' AND cycle_index BETWEEN 4090 AND 4120")
+    assert sorted((r.cycle, r.seq) for r in a.collect()) == sorted(
+        (r.cycle, r.seq) for r in b.collect())
