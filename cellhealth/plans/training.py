@@ -138,24 +138,36 @@ def model_eol(t: Trained, threshold: float = S.FAILURE_THRESHOLD) -> DataFrame:
 def summary(t: Trained, cfg: TrainingConfig = TrainingConfig()) -> DataFrame:
     """One record with accuracy, EOL error, best epochs, split sizes, config.
 
-    Each part is one distributed aggregate returning one row; the record is
+    Each part is one distributed aggregate returning one row (run side by
+    side); the record is
     assembled from those scalars.
     """
     spark = t.seqs.sparkSession
-    soh = metrics.regression_metrics(soh_predictions(t), "actual_soh", "predicted_soh",
-                                     scale=100.0, prefix="soh_").first()
-    rul = metrics.regression_metrics(rul_predictions(t), "actual_rul_cycles",
-                                     "predicted_rul_cycles", prefix="rul_").first()
-    mae = eol.eol_mae(model_eol(t, cfg.threshold)).first()
-    # Validation RMSE of both models (SoH in its own units, RUL ratio scaled).
     val = t.seqs.filter(F.col("split") == "val")
-    v_soh = metrics.regression_metrics(models.score(t.soh_model, val, "p", 0.0, 1.0),
-                                       S.SOH_TARGET, "p").first()
-    v_rul = metrics.regression_metrics(models.score(t.rul_model, val, "p"),
-                                       f"{S.RUL_TARGET}_s", "p").first()
-    best = {r.model: r.best_epoch for r in metrics.best_epoch(history(t)).collect()}
-    sizes = t.assignment.agg(*[F.count(F.when(F.col("split") == s, 1)).alias(s)
-                               for s in ("train", "val", "test")]).first()
+    parts = {
+        "soh": lambda: metrics.regression_metrics(
+            soh_predictions(t), "actual_soh", "predicted_soh", scale=100.0,
+            prefix="soh_").first(),
+        "rul": lambda: metrics.regression_metrics(
+            rul_predictions(t), "actual_rul_cycles", "predicted_rul_cycles",
+            prefix="rul_").first(),
+        "mae": lambda: eol.eol_mae(model_eol(t, cfg.threshold)).first(),
+        # Validation RMSE (SoH in its own units, RUL ratio scaled).
+        "v_soh": lambda: metrics.regression_metrics(
+            models.score(t.soh_model, val, "p", 0.0, 1.0), S.SOH_TARGET, "p").first(),
+        "v_rul": lambda: metrics.regression_metrics(
+            models.score(t.rul_model, val, "p"), f"{S.RUL_TARGET}_s", "p").first(),
+        "best": lambda: {r.model: r.best_epoch
+                         for r in metrics.best_epoch(history(t)).collect()},
+        "sizes": lambda: t.assignment.agg(*[F.count(F.when(F.col("split") == s, 1)).alias(s)
+                                            for s in ("train", "val", "test")]).first(),
+    }
+    # Independent one-row aggregates: run them side by side.
+    run = inheritable_thread_target(spark)(lambda fn: fn())
+    with ThreadPoolExecutor(max_workers=max(1, cfg.parallelism)) as pool:
+        done = {k: pool.submit(run, fn) for k, fn in parts.items()}
+        got = {k: f.result() for k, f in done.items()}
+    soh, rul, mae, v_soh, v_rul, best, sizes = (got[k] for k in parts)
 
     def r(x, n):
         return None if x is None else round(float(x), n)
