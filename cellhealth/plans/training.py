@@ -138,9 +138,8 @@ def model_eol(t: Trained, threshold: float = S.FAILURE_THRESHOLD) -> DataFrame:
 def summary(t: Trained, cfg: TrainingConfig = TrainingConfig()) -> DataFrame:
     """One record with accuracy, EOL error, best epochs, split sizes, config.
 
-    Each part is one distributed aggregate returning one row (run side by
-    side); the record is
-    assembled from those scalars.
+    Each part is one distributed aggregate returning one row (the parts run
+    side by side); the record is assembled from those scalars.
     """
     spark = t.seqs.sparkSession
     val = t.seqs.filter(F.col("split") == "val")
