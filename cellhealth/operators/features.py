@@ -2,7 +2,8 @@
 
 One ordinal pass gives each battery's cycle position, size, running voltage
 drop and cycle rank; one halo-segment pass then computes the 10-row rolling
-statistics and the 11-point Savitzky-Golay smoothing.  Ordering is always
+statistics and the 11-point Savitzky-Golay smoothing.  When every battery is
+measured to fit one segment both passes are plain per-battery windows.  Ordering is always
 (cycle, battery_type) within battery_id, never file order.
 """
 

@@ -3,7 +3,8 @@
 The sequence of a target row is the feature rows of the ``seq_len``
 preceding cycles of the same battery; a battery of n rows yields
 max(0, n - seq_len) sequences and sequences never cross batteries.  Built
-with a ROWS frame over halo segments, so no task holds a whole battery.
+with a ROWS frame over halo segments (or per-battery windows when every
+battery is measured short), so no task holds an unbounded battery.
 """
 
 from __future__ import annotations
