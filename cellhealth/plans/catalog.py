@@ -169,7 +169,8 @@ def q03_cycle_aggregate(spark, sf_dir):
 
 
 def q04_rul_soh(spark, sf_dir):
-    """Max cycle per battery (block form), RUL and SoH."""
+    """Max cycle per battery (window form when every battery is
+    short, block table otherwise), RUL and SoH."""
     return _rounded(cycles.with_rul_soh(stages(spark, sf_dir).cycles))
 
 
