@@ -32,8 +32,12 @@ class EtlResult:
 
 
 def run_etl(raw: DataFrame, out_dir: str, subset: list[str] | None = None,
-            light_fmt: str = "csv") -> EtlResult:
-    """Run the ETL on raw telemetry rows (``file_path`` + raw columns)."""
+            light_fmt: str = "csv", parquet_copy: bool = False) -> EtlResult:
+    """Run the ETL on raw telemetry rows (``file_path`` + raw columns).
+
+    ``parquet_copy`` also writes ``final_parquet/`` partitioned by
+    battery_type, so readers filtering on a type prune whole folders.
+    """
     spark = raw.sparkSession
     out = out_dir.rstrip("/")
     raw_o, n_loaded = sinks.observed(raw, "loaded")
@@ -53,6 +57,8 @@ def run_etl(raw: DataFrame, out_dir: str, subset: list[str] | None = None,
     csv_path, json_path = f"{out}/final_csv", f"{out}/final_json"
     sinks.write_csv(final, csv_path)
     sinks.write_json(final, json_path)
+    if parquet_copy:
+        sinks.write_parquet(final, f"{out}/final_parquet", partition_by=["battery_type"])
     counts = {"loaded": n_loaded.get["rows"], "after_discharge_filter": n_discharge.get["rows"],
               "aggregated": n_agg.get["rows"]}
     return EtlResult(light_path, csv_path, json_path, final, counts)
@@ -70,10 +76,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("out", help="output folder (light/, final_csv/, final_json/)")
     ap.add_argument("--infer", action="store_true", help="infer column types while reading")
     ap.add_argument("--light-format", default="csv", choices=["csv", "parquet", "json"])
+    ap.add_argument("--parquet", action="store_true",
+                    help="also write final_parquet/ partitioned by battery_type")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("cellhealth-etl").getOrCreate()
     res = run_etl(readers.read_telemetry(spark, a.source, infer=a.infer), a.out,
-                  light_fmt=a.light_format)
+                  light_fmt=a.light_format, parquet_copy=a.parquet)
     print(json.dumps(res.counts))
 
 

@@ -89,3 +89,16 @@ def test_command_line_jobs(spark, tmp_out, capsys):
     # two batteries of different types: the split rules leave none for training
     with pytest.raises(ValueError, match="no training batteries"):
         training.main([os.path.join(out, "final_csv"), os.path.join(tmp_out, "train")])
+
+
+def test_partitioned_parquet_prunes(spark, tmp_out):
+    glob = _write_layout(tmp_out)
+    out = os.path.join(tmp_out, "pq")
+    etl.run_etl(readers.read_telemetry(spark, glob), out, parquet_copy=True)
+    parts = {d for d in os.listdir(os.path.join(out, "final_parquet")) if "=" in d}
+    assert parts == {"battery_type=regular", "battery_type=second_life"}
+    df = spark.read.parquet(os.path.join(out, "final_parquet")).filter(
+        "battery_type = 'regular'")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(battery_type" in plan
+    assert {r.battery_id for r in df.collect()} == {"battery01"}
