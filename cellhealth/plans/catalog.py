@@ -442,10 +442,23 @@ def q41_stream_cycle_aggregate(spark, sf_dir):
                           + list(S.RAW_TELEMETRY_SCHEMA.fields))
     q = cycle_stream.start_cycle_stream(spark, src, schema, out, ck, fmt="csv",
                                         max_files_per_trigger=1, path_col="file_path")
-    q.awaitTermination()
+    _finish(q)
     return _rounded(spark.read.parquet(out))
 
 
+STREAM_TIMEOUT_S = 1800
+
+
+def _finish(q) -> None:
+    """Wait for an availableNow stream; a stream that does not finish in time
+    is stopped and reported instead of blocking the caller forever."""
+    if not q.awaitTermination(STREAM_TIMEOUT_S):
+        q.stop()
+        raise TimeoutError(f"stream {q.name or q.id} did not finish in {STREAM_TIMEOUT_S} s")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
 # Catalogue-sized boosting (the plan default is larger).
 CATALOG_TRAINING = training.TrainingConfig(
     params=models.TreeParams(max_iter=10, max_depth=3, max_bins=16))
@@ -502,7 +515,7 @@ def q47_stream_score(spark, sf_dir):
     fixtures.readings(spark, sf_dir).write.option("maxRecordsPerFile", 2000).json(src)
     q = score_stream.start_score_stream(spark, src, out, ck, t.scorer_stats, t.scorer_soh,
                                         t.scorer_rul, max_files_per_trigger=1)
-    q.awaitTermination()
+    _finish(q)
     return spark.read.parquet(f"{out}/scored").drop("batch")
 
 
