@@ -7,10 +7,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellhealth.llm import exact_dedup, simhash
+from cellhealth.llm import exact_dedup, quality, simhash, token_counts
 from cellhealth.llm.common import LOWER, UPPER, table
 
 
+def public_tokenizer(name: str) -> str:
+    """The place of a public vocabulary file; only the queries name it, operators take a path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -19,7 +30,12 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), width=3, distance=2)
 
 
-QUERIES = {f.__name__: f for f in (op6_exact_dedup, op8_simhash_near_dedup)}
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizer("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op4_quality_classifier, op6_exact_dedup, op8_simhash_near_dedup,
+                                   op10_token_counts)}
 
 SQL = {
     "op6_exact_dedup": f"""

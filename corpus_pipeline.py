@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellhealth.llm import exact_dedup, simhash
+from cellhealth.llm import exact_dedup, quality, simhash
 from cellhealth.llm.common import table, write_stage
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_quality(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
@@ -16,7 +20,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near_copies(docs, width=3, distance=2)
 
 
-STAGES = [("exact_dedup", exact_copies), ("simhash_near_dedup", near_copies)]
+STAGES = [("quality_classifier", quality_filter), ("exact_dedup", exact_copies), ("simhash_near_dedup", near_copies)]
 
 #: No SQL: a trained classifier, components and packing; the tests hold it against brute force.
 ORACLE_SQL = None
