@@ -24,6 +24,7 @@ import json
 from array import array
 from collections.abc import Iterable, Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -110,6 +111,11 @@ class Transducer:
         self.right = {ids[t]: self._edge(t, made, 2) for t in ids}
         self.left = {ids[t]: self._edge(t, made, 1) for t in ids}
         self.apart = Recent(REMEMBERED_PAIRS)
+        automaton = ahocorasick.Automaton()
+        for token, i in ids.items():
+            automaton.add_word(token.decode("latin-1"), i)
+        automaton.make_automaton()
+        self.scan = automaton.iter("")
         self.reset()
 
     def _edge(self, token: bytes, made: dict, side: int) -> list[tuple[int, int]]:
@@ -136,36 +142,39 @@ class Transducer:
         return True
 
     def reset(self) -> None:
-        self.held = b""  #: bytes after the last stable boundary
+        self.held, self.begun = b"", False  #: bytes after the last stable boundary
         self.last = [-1]  #: last[i]: the last token of the first i held bytes; at 0 the one before them
+        self.gone = 0  #: bytes of the piece before the held ones
 
     def feed(self, data: bytes) -> Iterator[int]:
         """Take bytes of the piece; yield the tokens that nothing later can change."""
-        window, ids, sizes, longest = 4 * self.lookahead, self.ids, self.sizes, self.lookahead
-        apart, remember = self.apart.get, self.apart.put
+        window, sizes, longest, recent = 4 * self.lookahead, self.sizes, self.lookahead, self.apart
         for i in range(0, len(data), window):
-            held = self.held = self.held + data[i:i + window]
-            last = self.last
-            for end in range(len(last), len(held) + 1):
-                for n in range(end if end < longest else longest, 0, -1):
-                    token = ids.get(held[end - n:end])
-                    if token is None:
-                        continue
-                    left = last[end - n]
-                    if left < 0:
-                        fits = self._own(token)
-                    else:
-                        fits = apart(left << 20 | token)
+            part = data[i:i + window]
+            self.held += part
+            self.scan.set(part.decode("latin-1"), not self.begun)
+            self.begun, last, shift = True, self.last, 1 - self.gone
+            for end, token in self.scan:  # each vocabulary token that ends here, byte after byte
+                end += shift
+                if end < len(last):
+                    continue
+                left = last[end - sizes[token]]
+                if left < 0:
+                    fits = self._own(token)
+                else:
+                    key = left << 20 | token
+                    fits = recent.young.get(key)
+                    if fits is None:
+                        fits = recent.get(key)
                         if fits is None:
                             fits = self._stay_apart(left, token)
-                            remember(left << 20 | token, fits)
-                    if fits:
-                        last.append(token)
-                        break
-                else:
-                    raise ValueError(f"no token ends at {held[:end]!r}")
-            if len(held) >= 2 * window:
-                live = set(range(len(held) - longest + 1, len(held) + 1))
+                            recent.put(key, fits)
+                if fits:
+                    last.append(token)
+            if len(last) <= len(self.held):
+                raise ValueError(f"no token ends at {self.held[:len(last)]!r}")
+            if len(self.held) >= 2 * window:
+                live = set(range(len(self.held) - longest + 1, len(self.held) + 1))
                 while len(live) > 1:  # step the furthest prefix back until all paths are one
                     at = max(live)
                     live.remove(at)
@@ -186,7 +195,7 @@ class Transducer:
         while at:
             tokens.append(self.last[at])
             at -= self.sizes[self.last[at]]
-        self.held, self.last = self.held[end:], [self.last[end], *self.last[end + 1:]]
+        self.held, self.last, self.gone = self.held[end:], self.last[end:], self.gone + end
         yield from reversed(tokens)
 
     def end(self) -> Iterator[int]:

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellhealth.session import ensure_checkpoint_dir, stage_path
+from cellhealth.session import stage_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -45,6 +45,13 @@ def write_stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return out
 
 
+def reread(df: DataFrame) -> DataFrame:
+    """Another frame over a table of ``write_stage``, so that both sides of a join differ."""
+    out = df.sparkSession.read.schema(df.schema).parquet(df._llm_stage)
+    out._llm_stage = df._llm_stage
+    return out
+
+
 def drop_stage(*frames: DataFrame) -> None:
     """Delete tables of ``write_stage`` that no later job reads."""
     for df in frames:
@@ -53,10 +60,6 @@ def drop_stage(*frames: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    return ensure_checkpoint_dir(spark)
-
-
 def blocks(batches: Iterable[pa.RecordBatch], text: str, max_bytes: int) -> Iterator[tuple[dict, list[bytes]]]:
     """Arrow batches cut into blocks of about ``max_bytes`` of text (one row at least).
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellhealth.llm import exact_dedup, quality, simhash, token_counts
+from cellhealth.llm import ann, bpe, exact_dedup, quality, simhash, token_counts
 from cellhealth.llm.common import LOWER, UPPER, table
 
 
@@ -26,16 +26,24 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizer("byte_bpe_50k.json"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), width=3, distance=2)
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizer("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_classifier, op6_exact_dedup, op8_simhash_near_dedup,
-                                   op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op4_quality_classifier, op6_exact_dedup, op7_bpe_codec,
+                                   op8_simhash_near_dedup, op9_nearest_neighbours, op10_token_counts)}
 
 SQL = {
     "op6_exact_dedup": f"""
