@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellhealth.llm import ann, bpe, exact_dedup, quality, simhash, token_counts
+from cellhealth.llm import ann, bpe, exact_dedup, html_text, lm_scoring, packing, quality, simhash, token_counts
 from cellhealth.llm.common import LOWER, UPPER, table
 
 
@@ -18,10 +18,22 @@ def public_tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.hmm_scores(table(spark, sf_dir, "documents"))
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -42,7 +54,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizer("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_classifier, op6_exact_dedup, op7_bpe_codec,
+QUERIES = {f.__name__: f for f in (op1_hmm_scoring, op2_best_fit_packing, op4_quality_classifier,
+                                   op5_html_main_text, op6_exact_dedup, op7_bpe_codec,
                                    op8_simhash_near_dedup, op9_nearest_neighbours, op10_token_counts)}
 
 SQL = {
