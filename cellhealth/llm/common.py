@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from cellhealth.session import stage_path
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -36,11 +38,23 @@ def raw_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
-def write_stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """``df`` written once to the shared folder and read back."""
-    path = stage_path(df.sparkSession, f"llm-{name}")
-    df.write.option("compression", codec).parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+def write_stage(df: DataFrame, name: str, codec: str = "zstd", batch_rows: int | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    The files of its shuffles go as soon as the table is written: nothing reads them again.
+    ``batch_rows``: rows of an Arrow batch on the way, where rows are large.
+    """
+    spark, path = df.sparkSession, stage_path(df.sparkSession, f"llm-{name}")
+    wanted = {CLEANUP: "true"} | ({BATCH: str(batch_rows)} if batch_rows else {})
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    out = spark.read.schema(df.schema).parquet(path)
     out._llm_stage = path
     return out
 

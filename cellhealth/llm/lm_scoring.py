@@ -191,20 +191,33 @@ def forward(model: Model, tokens: np.ndarray, sizes: np.ndarray, counts: Counts
     return out
 
 
+def _rows(batches):
+    """Rows one by one: lists and binaries as Python values, lists of structs as Arrow arrays."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {}
+            for name in batch.schema.names:
+                value = batch.column(name)[i]
+                if pa.types.is_list(value.type) and pa.types.is_struct(value.type.value_type):
+                    row[name] = value.values if value.is_valid else None
+                else:
+                    row[name] = value.as_py()
+            yield row
+
+
 def _texts(batches, training: bool):
     """Documents of the symbol table, HELD_TOKENS at a time: (ids and measures, tokens, sizes)."""
     held, n = [], 0
-    for batch in batches:
-        for row in batch.to_pylist():
-            tokens, sizes = _unpack(row["tokens"]), np.array(row["sizes"], np.int64)
-            if training:
-                train = np.array(row["train"], bool)
-                tokens, sizes = tokens[np.repeat(train, sizes)], sizes[train]
-            held.append((row, tokens, sizes))
-            n += len(tokens)
-            if n >= HELD_TOKENS:
-                yield [h[0] for h in held], np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
-                held, n = [], 0
+    for row in _rows(batches):
+        tokens, sizes = _unpack(row.pop("tokens")), np.array(row["sizes"], np.int64)
+        if training:
+            train = np.array(row["train"], bool)
+            tokens, sizes = tokens[np.repeat(train, sizes)], sizes[train]
+        held.append((row, tokens.astype(np.int32), sizes))
+        n += len(tokens)
+        if n >= HELD_TOKENS:
+            yield [h[0] for h in held], np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
+            held, n = [], 0
     if held:
         yield [h[0] for h in held], np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
 
@@ -308,32 +321,31 @@ def hmm_scores(docs: DataFrame, states: int = STATES, passes: int = PASSES, text
     def numbered(batches):
         known = shared.value
         within = np.log10(known.tokens + known.words + 1)
-        for batch in batches:
-            for row in batch.to_pylist():
-                words = row["words"]
-                c = np.zeros(len(words), np.int64)
-                for x in row["known"] or ():
-                    c[x["place"]] = x["c"]
-                of = np.array([known.of(w) for w in words], np.int64)
-                tokens, sizes = _unpack(row["tokens"]), np.array(row["sizes"], np.int64)
-                doc = np.repeat(np.arange(len(sizes)), sizes)
-                log_c = np.log10(c + 1)
-                inside = np.where(of >= len(known.own), log_c - within[of], 0.0)
-                n = len(sizes)
-                yield pa.RecordBatch.from_pydict({
-                    "ids": [row["ids"]], "train": [row["train"]], "sizes": [row["sizes"]],
-                    "tokens": [_pack(of[tokens])],
-                    "n_known": [np.bincount(doc, c[tokens] > 0, n).astype(np.int64).tolist()],
-                    "log_c": [np.bincount(doc, log_c[tokens], n).tolist()],
-                    "inside": [np.bincount(doc, inside[tokens], n).tolist()]}, schema=pa.schema([
-                        ("ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())),
-                        ("sizes", pa.list_(pa.int32())), ("tokens", pa.binary()), ("n_known", pa.list_(pa.int64())),
-                        ("log_c", pa.list_(pa.float64())), ("inside", pa.list_(pa.float64()))]))
+        for row in _rows(batches):
+            words = row["words"]
+            c = np.zeros(len(words), np.int64)
+            if row["known"] is not None:
+                c[row["known"].field("place").to_numpy()] = row["known"].field("c").to_numpy()
+            of = np.array([known.of(w) for w in words], np.int64)
+            tokens, sizes = _unpack(row["tokens"]), np.array(row["sizes"], np.int64)
+            doc = np.repeat(np.arange(len(sizes)), sizes)
+            log_c = np.log10(c + 1)
+            inside = np.where(of >= len(known.own), log_c - within[of], 0.0)
+            n = len(sizes)
+            yield pa.RecordBatch.from_pydict({
+                "ids": [row["ids"]], "train": [row["train"]], "sizes": [row["sizes"]],
+                "tokens": [_pack(of[tokens])],
+                "n_known": [np.bincount(doc, c[tokens] > 0, n).astype(np.int64).tolist()],
+                "log_c": [np.bincount(doc, log_c[tokens], n).tolist()],
+                "inside": [np.bincount(doc, inside[tokens], n).tolist()]}, schema=pa.schema([
+                    ("ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())),
+                    ("sizes", pa.list_(pa.int32())), ("tokens", pa.binary()), ("n_known", pa.list_(pa.int64())),
+                    ("log_c", pa.list_(pa.float64())), ("inside", pa.list_(pa.float64()))]))
 
     symbols = write_stage(
         reread(cut).select("block", "ids", "train", "sizes", "tokens", "words").join(counted, "block", "left")
         .mapInArrow(numbered, "ids array<long>, train array<boolean>, sizes array<int>, tokens binary, "
-                    "n_known array<long>, log_c array<double>, inside array<double>"), "symbols")
+                    "n_known array<long>, log_c array<double>, inside array<double>"), "symbols", batch_rows=1)
     drop_stage(cut, vocabulary)
     n_train = symbols.agg(F.sum(F.size(F.filter("train", lambda t: t)))).first()[0] or 0
     model = _warmed(symbols, shares, n_train, states)

@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellhealth.llm import ann, bpe, exact_dedup, html_text, lm_scoring, packing, quality, simhash, token_counts
+from cellhealth.llm import (ann, bpe, exact_dedup, html_text, lm_scoring, packing, quality, simhash,
+                            substring_dedup, token_counts)
 from cellhealth.llm.common import LOWER, UPPER, table
 
 
@@ -26,6 +27,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=200)
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -54,7 +59,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizer("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hmm_scoring, op2_best_fit_packing, op4_quality_classifier,
+QUERIES = {f.__name__: f for f in (op1_hmm_scoring, op2_best_fit_packing, op3_suffix_array_dedup, op4_quality_classifier,
                                    op5_html_main_text, op6_exact_dedup, op7_bpe_codec,
                                    op8_simhash_near_dedup, op9_nearest_neighbours, op10_token_counts)}
 

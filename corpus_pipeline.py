@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellhealth.llm import exact_dedup, quality, simhash
+from cellhealth.llm import exact_dedup, packing, quality, simhash, substring_dedup
 from cellhealth.llm.common import table, write_stage
 
 
@@ -20,7 +20,16 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near_copies(docs, width=3, distance=2)
 
 
-STAGES = [("quality_classifier", quality_filter), ("exact_dedup", exact_copies), ("simhash_near_dedup", near_copies)]
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substring_dedup.drop_repeats(docs, length=200)
+
+
+def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, capacity=2048)
+
+
+STAGES = [("quality_classifier", quality_filter), ("exact_dedup", exact_copies), ("simhash_near_dedup", near_copies),
+          ("suffix_array_dedup", repeated_passages), ("best_fit_packing", windows)]
 
 #: No SQL: a trained classifier, components and packing; the tests hold it against brute force.
 ORACLE_SQL = None
