@@ -111,13 +111,11 @@ def _parts(row: int, raw: bytes, length: int):
 def _ranks(text: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
     """Suffix array by prefix doubling, and the ranks by the first k letters for each k on the way."""
     n = len(text)
-    low = np.minimum(text, 255).astype(np.uint64)  # separators are told apart in the first step
-    key = np.zeros(n, np.uint64)
-    for i in range(8):
-        key = key << np.uint64(8) | np.concatenate((low[i:], np.zeros(min(i, n), np.uint64)))
-    clean = np.ones(n, bool)
-    for i in np.flatnonzero(text >= 255):
-        clean[max(0, i - 7):i + 1] = False
+    low = np.concatenate((np.minimum(text, 255), np.zeros(8, np.int64))).astype(np.uint64)
+    key, clean = np.zeros(n, np.uint64), np.ones(n, bool)
+    for i in range(8):  # what follows a separator does not count: separators differ, in order of place
+        key = key << np.uint64(8) | np.where(clean, low[i:n + i], 0)
+        clean &= low[i:n + i] != 255
     array = np.lexsort((np.where(clean, 0, np.arange(1, n + 1)), key))
     sorted_key, sorted_clean = key[array], clean[array]
     change = np.concatenate(([True], (np.diff(sorted_key) != 0) | ~sorted_clean[1:] | ~sorted_clean[:-1]))
