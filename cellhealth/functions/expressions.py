@@ -22,14 +22,14 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def battery_id_from_path(path: str | Column) -> Column:
+def battery_id_from_path(path: str | Column, pattern: str = BATTERY_ID_PATTERN) -> Column:
     """File stem before ``.csv``; ``""`` (not null) when the path does not match."""
-    return F.regexp_extract(_c(path), BATTERY_ID_PATTERN, 1)
+    return F.regexp_extract(_c(path), pattern, 1)
 
 
-def battery_type_from_path(path: str | Column) -> Column:
+def battery_type_from_path(path: str | Column, pattern: str = BATTERY_TYPE_PATTERN) -> Column:
     """Directory directly under ``battery_data/``; ``""`` when absent."""
-    return F.regexp_extract(_c(path), BATTERY_TYPE_PATTERN, 1)
+    return F.regexp_extract(_c(path), pattern, 1)
 
 
 def to_double(c: str | Column) -> Column:
@@ -79,5 +79,9 @@ def round6(c: str | Column) -> Column:
 
     Plain IEEE arithmetic, so any engine gives the same bits for the same
     input (decimal HALF_UP rounding and binary rounding disagree on ties).
+    Values that have no sixth place left (1e9 and beyond), infinities and NaN
+    (which Spark orders above every number) stay as they are; null stays null.
     """
-    return F.floor(_c(c) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
+    x = _c(c).cast("double")
+    return F.when(F.abs(x) >= F.lit(1e9), x).otherwise(
+        F.floor(x * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6))

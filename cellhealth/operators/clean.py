@@ -10,16 +10,23 @@ from pyspark.sql import functions as F
 
 from cellhealth import schema as S
 from cellhealth.functions.expressions import (
+    BATTERY_ID_PATTERN,
+    BATTERY_TYPE_PATTERN,
     battery_id_from_path,
     battery_type_from_path,
     to_double,
 )
 
 
-def with_identity(df: DataFrame, path_col: str = "file_path") -> DataFrame:
-    """``battery_id`` = file stem, ``battery_type`` = folder under battery_data/."""
-    return (df.withColumn("battery_id", battery_id_from_path(path_col))
-              .withColumn("battery_type", battery_type_from_path(path_col)))
+def with_identity(df: DataFrame, path_col: str = "file_path",
+                  id_pattern: str = BATTERY_ID_PATTERN,
+                  type_pattern: str = BATTERY_TYPE_PATTERN) -> DataFrame:
+    """``battery_id`` = file stem, ``battery_type`` = folder under battery_data/.
+
+    Other layouts give their own patterns (group 1 is the value).
+    """
+    return (df.withColumn("battery_id", battery_id_from_path(path_col, id_pattern))
+              .withColumn("battery_type", battery_type_from_path(path_col, type_pattern)))
 
 
 def coerce_numeric(df: DataFrame, cols: Sequence[str] = tuple(S.RAW_NUMERIC)) -> DataFrame:

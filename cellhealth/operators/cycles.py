@@ -35,7 +35,7 @@ def aggregate_cycles(df: DataFrame) -> DataFrame:
 
 
 def aggregate_cycles_by_file(readings: DataFrame, path_col: str = "file_path",
-                             width: float = S.CYCLE_WIDTH) -> DataFrame:
+                             width: float = S.CYCLE_WIDTH, **patterns: str) -> DataFrame:
     """A1 from cleaned readings that still carry only their file path.
 
     Aggregates per (file, cycle) first - map-side combined like A1 - then
@@ -43,6 +43,7 @@ def aggregate_cycles_by_file(readings: DataFrame, path_col: str = "file_path",
     to the same identity (sums and counts for the means, min / max as they
     are).  The result equals ``aggregate_cycles`` on readings with identity
     columns, but the path regexes run once per file-cycle, not per reading.
+    ``patterns``: ``id_pattern`` / ``type_pattern`` of another path layout.
     """
     from cellhealth.operators.clean import with_identity
 
@@ -52,7 +53,7 @@ def aggregate_cycles_by_file(readings: DataFrame, path_col: str = "file_path",
                      F.sum("current_load").alias("_sc"), F.count("current_load").alias("_nc"),
                      F.max("temperature_battery").alias("_maxt"),
                      F.max("time").alias("_t1"), F.min("time").alias("_t0")))
-    per_file = with_identity(per_file, path_col)
+    per_file = with_identity(per_file, path_col, **patterns)
     return (per_file.groupBy(*S.CYCLE_KEYS)
                     .agg((F.sum("_sv") / F.sum("_nv")).alias("avg_voltage"),
                          F.min("_minv").alias("min_voltage"),
@@ -71,13 +72,6 @@ def placed(cycles: DataFrame) -> DataFrame:
     return cycles.filter(F.col("cycle").isNotNull())
 
 
-def short_batteries(df: DataFrame, seg_len: int = seg.DEFAULT_SEG_LEN,
-                    bounded: bool | None = None) -> bool:
-    """Whether every battery fits one segment (measured unless given; the
-    measurement reads ``df`` once, so ``df`` should be a written table)."""
-    return seg.group_bound(df, ["battery_id"], seg_len) if bounded is None else bounded
-
-
 def battery_ordinals(cycles: DataFrame, block_width: int = seg.DEFAULT_BLOCK_WIDTH,
                      bounded: bool = False, **extra) -> DataFrame:
     """Position of every cycle row inside its battery (``_ord``, ``_n``)."""
@@ -91,11 +85,9 @@ def _rul_soh(df: DataFrame) -> DataFrame:
 
 
 def with_rul_soh(cycles: DataFrame, block_width: int = seg.DEFAULT_BLOCK_WIDTH,
-                 bounded: bool | None = None) -> DataFrame:
-    """A2 + E9 + E10 in skew-safe form: max cycle from the block table
-    (or a per-battery window when every battery is measured to be short)."""
-    b = short_batteries(placed(cycles), bounded=bounded)
-    d = battery_ordinals(cycles, block_width, bounded=b, group_max=["cycle"])
+                 bounded: bool = False) -> DataFrame:
+    """A2 + E9 + E10 in skew-safe form: max cycle from the block table."""
+    d = battery_ordinals(cycles, block_width, bounded=bounded, group_max=["cycle"])
     d = d.withColumn("max_cycle", F.col("_max_cycle")).drop("_max_cycle", "_ord", "_n")
     return _rul_soh(d)
 
@@ -121,7 +113,7 @@ def with_rul_soh_window(cycles: DataFrame) -> DataFrame:
 
 
 def final_dataset(cycles: DataFrame, block_width: int = seg.DEFAULT_BLOCK_WIDTH,
-                  seg_len: int = seg.DEFAULT_SEG_LEN, bounded: bool | None = None
+                  seg_len: int = seg.DEFAULT_SEG_LEN, bounded: bool = False
                   ) -> DataFrame:
     """W1 + E9-E13 + E5: the per-cycle training table.
 
@@ -129,11 +121,10 @@ def final_dataset(cycles: DataFrame, block_width: int = seg.DEFAULT_BLOCK_WIDTH,
     cycle broken by battery_type); the first row per battery and rows with
     any null are dropped.
     """
-    b = short_batteries(placed(cycles), seg_len, bounded)
-    d = battery_ordinals(cycles, block_width, bounded=b, group_max=["cycle"])
+    d = battery_ordinals(cycles, block_width, bounded=bounded, group_max=["cycle"])
     d = d.withColumn("max_cycle", F.col("_max_cycle")).drop("_max_cycle", "_n")
-    d = seg.halo_segments(d, seg_len=seg_len, before=1, bounded=b)
-    w = seg.segment_window(["battery_id"], bounded=b)
+    d = seg.halo_segments(d, seg_len=seg_len, before=1, bounded=bounded)
+    w = seg.segment_window(["battery_id"], bounded=bounded)
     d = (d.withColumn("prev_voltage", F.lag("avg_voltage").over(w))
           .withColumn("prev_temp", F.lag("max_temp").over(w)))
     d = seg.drop_halo(d)

@@ -2,8 +2,7 @@
 
 One ordinal pass gives each battery's cycle position, size, running voltage
 drop and cycle rank; one halo-segment pass then computes the 10-row rolling
-statistics and the 11-point Savitzky-Golay smoothing.  When every battery is
-measured to fit one segment both passes are plain per-battery windows.  Ordering is always
+statistics and the 11-point Savitzky-Golay smoothing.  Ordering is always
 (cycle, battery_type) within battery_id, never file order.
 """
 
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from cellhealth import schema as S
 from cellhealth.functions.expressions import clip, safe_ratio
 from cellhealth.operators import segments as seg
-from cellhealth.operators.cycles import battery_ordinals, placed, short_batteries
+from cellhealth.operators.cycles import battery_ordinals
 
 HALF = S.SAVGOL_WINDOW // 2  # 5
 
@@ -75,7 +74,7 @@ def _savgol_terms(around: str) -> Column:
 def model_frame(final: DataFrame, features: Sequence[str] = tuple(S.PHYSICAL_FEATURES),
                 window: int = S.ROLLING_WINDOW, smooth: bool = True,
                 block_width: int = seg.DEFAULT_BLOCK_WIDTH,
-                seg_len: int = seg.DEFAULT_SEG_LEN, bounded: bool | None = None) -> DataFrame:
+                seg_len: int = seg.DEFAULT_SEG_LEN, bounded: bool = False) -> DataFrame:
     """Final dataset -> targets, position features, rolling mean/std, SoH_smoothed.
 
     W4: ``{f}_mean`` = mean of the last ``window`` rows (fewer at the start).
@@ -83,11 +82,10 @@ def model_frame(final: DataFrame, features: Sequence[str] = tuple(S.PHYSICAL_FEA
     W6: SoH smoothed per battery when it has >= 11 rows (then clipped to
     [0, 1]); shorter batteries keep SoH unchanged.
     """
-    b = short_batteries(placed(final), seg_len, bounded)
-    d = with_position(with_targets(final), block_width, bounded=b)
+    d = with_position(with_targets(final), block_width, bounded=bounded)
     d = seg.halo_segments(d, "cycle_index", seg_len=seg_len,
-                          before=max(window - 1, 2 * HALF), after=2 * HALF, bounded=b)
-    w = seg.segment_window(["battery_id"], "cycle_index", bounded=b)
+                          before=max(window - 1, 2 * HALF), after=2 * HALF, bounded=bounded)
+    w = seg.segment_window(["battery_id"], "cycle_index", bounded=bounded)
     roll = w.rowsBetween(-(window - 1), 0)
     cols = {}
     for f in features:

@@ -13,25 +13,34 @@ from pyspark.sql import functions as F
 
 
 def profile(df: DataFrame, key: str = "battery_id", strata: str = "battery_type") -> DataFrame:
-    """A3: rows, distinct batteries, distinct types and their sorted list."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.countDistinct(key).alias("n_batteries"),
-                  F.countDistinct(strata).alias("n_types"),
-                  F.concat_ws(",", F.array_sort(F.collect_set(strata))).alias("types"))
+    """A3: rows, distinct batteries, distinct types and their sorted list.
+
+    One aggregate per (battery, type), combined map-side; the rest runs on
+    that small table, so no row is copied per distinct count.
+    """
+    own = df.groupBy(key, strata).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = own.groupBy(key).agg(F.sum("_n").alias("_n"), F.collect_set(strata).alias("_t"))
+    types = F.array_sort(F.array_distinct(F.flatten(F.collect_set("_t"))))
+    return (per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
+                        F.count(key).alias("n_batteries"), types.alias("_types"))
+                   .select("n_rows", "n_batteries", F.size("_types").cast("long").alias("n_types"),
+                           F.concat_ws(",", "_types").alias("types")))
 
 
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson matrix in long form (row_feature, col_feature, r).
 
-    Two passes, each one aggregate: the column means (a few numbers, used as
-    literals), then the sums of centred products for every pair (the stable
+    Two passes, each one aggregate: the column means and ranges (a few
+    numbers, used as literals), then the sums of centred products for every pair (the stable
     two-pass form).  Plain sums
     keep the aggregation buffer small enough for whole-stage code generation
     (one buffer field per pair instead of four for ``covar_pop``).  A
-    constant column gives null, not a division error.
+    constant column (smallest value = largest value) gives null.
     """
     cols = list(cols)
-    means = df.agg(*[F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)]).first()
+    means = df.agg(*[F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)],
+                   *[(F.min(c) == F.max(c)).alias(f"_c{i}") for i, c in enumerate(cols)]).first()
+    constant = {i for i in range(len(cols)) if means[f"_c{i}"]}
     centred = df.select(*[(F.col(c) - F.lit(means[f"_m{i}"]).cast("double")).alias(f"_d{i}")
                           for i, c in enumerate(cols)])
     sums = []
@@ -43,6 +52,9 @@ def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             lo, hi = min(i, j), max(i, j)
+            if constant & {i, j}:
+                parts.append(f"'{a}', '{b}', double(null)")
+                continue
             parts.append(f"'{a}', '{b}', try_divide(s{lo}_{hi}, sqrt(s{i}_{i} * s{j}_{j}))")
     return one.selectExpr(
         f"stack({len(cols) ** 2}, {', '.join(parts)}) as (row_feature, col_feature, r)")

@@ -9,6 +9,7 @@ activations are kept by clipping: SoH in [0, 1], RUL ratio >= 0.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
@@ -20,19 +21,29 @@ from cellhealth.functions.expressions import clip
 
 @dataclass(frozen=True)
 class TreeParams:
-    """Boosting parameters; ``validation_tol`` drives early stopping."""
-    max_iter: int = 20
+    """Boosting parameters.
+
+    ``max_iter`` is a ceiling.  Boosting stops before it when the validation
+    loss improves by less than ``validation_tol`` of itself (of 0.01, when the
+    loss is smaller) from one iteration to the next.  ``partitions``: over how
+    many partitions the training rows are dealt by a hash of their keys,
+    whatever the machine.
+    """
+    max_iter: int = 50
     max_depth: int = 4
     max_bins: int = 32
     step_size: float = 0.1
     subsampling_rate: float = 1.0
-    validation_tol: float = 1e-6
+    validation_tol: float = 0.01
     seed: int = 42
+    partitions: int = 16
 
 
 def fit_regressor(train_val: DataFrame, label: str, params: TreeParams = TreeParams(),
                   weight: str | None = None, features: str = "features",
-                  validation: str = "is_val") -> GBTRegressionModel:
+                  validation: str = "is_val",
+                  keys: Sequence[str] = ("battery_id", "battery_type", "cycle"),
+                  ) -> GBTRegressionModel:
     """M2/M3/M4: gradient-boosted trees with validation-based early stopping.
 
     ``train_val`` holds the training rows and the validation rows, told
@@ -46,12 +57,11 @@ def fit_regressor(train_val: DataFrame, label: str, params: TreeParams = TreePar
                        validationTol=params.validation_tol)
     if weight is not None:
         gbt = gbt.setWeightCol(weight)
-    # Every boosting iteration is one pass over the partitions; a small input
-    # read from few files is spread over at least one partition per core.
-    par = train_val.sparkSession.sparkContext.defaultParallelism
-    if train_val.rdd.getNumPartitions() < par:
-        train_val = train_val.repartition(par)
-    return gbt.fit(train_val)
+    # Every boosting iteration is one pass over the partitions.  Rows are dealt and
+    # ordered by their keys, so the fit does not depend on files or cores.
+    dealt = (train_val.select(*keys, features, label, validation, *([weight] if weight else []))
+                      .repartition(params.partitions, *keys).sortWithinPartitions(*keys))
+    return gbt.fit(dealt)
 
 
 def training_history(model: GBTRegressionModel, train: DataFrame, val: DataFrame, name: str,
@@ -78,6 +88,11 @@ def score(model: GBTRegressionModel, seqs: DataFrame, out: str,
     return scored.withColumn(out, clip("prediction", lo, hi)).drop("prediction")
 
 
+def score_rul(model: GBTRegressionModel, seqs: DataFrame, out: str) -> DataFrame:
+    """M6 for remaining life: the scaled prediction is held at 0 or above."""
+    return score(model, seqs, out, 0.0)
+
+
 def save_model(model: GBTRegressionModel, path: str) -> None:
     """Persist a fitted model."""
     model.write().overwrite().save(path)

@@ -61,38 +61,38 @@ def fleet_summary(scored: DataFrame, key: str = "battery_id", order: str = "cycl
                   soh_pct: str = "soh_pct", rul: str = "rul_cycles") -> DataFrame:
     """M8: latest state of every battery, counted and averaged per band.
 
-    The latest row per battery is a ``max_by`` aggregate (combined map-side),
-    not a sort of each battery.
+    The latest row per battery comes from ``max_by`` over plain numbers: a hash
+    aggregate combined map-side, without a sort.
     """
-    last = scored.groupBy(key).agg(
-        F.max_by(F.struct(soh_pct, rul), F.col(order)).alias("_l"))
-    last = with_status(last.select(key, F.col(f"_l.{soh_pct}").alias(soh_pct),
-                                   F.col(f"_l.{rul}").alias(rul)), soh_pct)
+    last = with_status(scored.groupBy(key).agg(
+        F.max_by(soh_pct, order).alias(soh_pct), F.max_by(rul, order).alias(rul)), soh_pct)
     return last.groupBy("status").agg(F.count(F.lit(1)).alias("n_batteries"),
                                       F.avg(soh_pct).alias("mean_soh_pct"),
                                       F.avg(rul).alias("mean_rul_cycles"))
 
 
-def score_readings(readings: DataFrame, scorer_stats: DataFrame, soh_model, rul_model,
+def score_readings(readings: DataFrame, scorer_stats, soh_model, rul_model,
                    features: Sequence[str] = tuple(S.FEATURES_27),
                    seq_len: int = S.SEQ_LEN) -> tuple[DataFrame, DataFrame]:
     """M7: validate -> cold-start features -> scale -> repeat -> both models.
 
     Returns (scored, rejected).  ``SOH`` is the SoH model's output (held in
-    [0, 1]) in percent, ``RUL`` the remaining-cycles model's output brought
-    back to cycles; both rounded to 2 places (half up), plus the health band.
+    [0, 1]) in percent, ``RUL`` the remaining-cycles model's output (held at 0
+    or above, then brought back to cycles); both rounded to 2 places (half up),
+    plus the health band.  ``scorer_stats``: the fitted scaler, as its one-row
+    table or its resolved numbers (``scaling.scaler_params``).
     """
-    from cellhealth.operators.scaling import scale, unscale_with
+    from cellhealth.operators.models import score, score_rul
+    from cellhealth.operators.scaling import scale, scaler_params, unscale_with
     from cellhealth.operators.sequences import assemble
 
+    scorer_stats = scaler_params(scorer_stats)
     ok, rejected = validate_readings(readings)
     fr = scale(cold_start_features(ok), scorer_stats, list(features), suffix="_s")
     sq = assemble(cold_start_sequence(fr, [f"{f}_s" for f in features], seq_len))
     sq = sq.select("request_id", "features")
-    s1 = soh_model.transform(sq).withColumnRenamed("prediction", "_soh")
-    s2 = rul_model.transform(s1).withColumnRenamed("prediction", "_rul")
+    s2 = score_rul(rul_model, score(soh_model, sq, "_soh", 0.0, 1.0), "_rul")
     s2 = unscale_with(s2, scorer_stats, "remaining_cycles", ["_rul"])
-    soh = F.least(F.greatest(F.col("_soh"), F.lit(0.0)), F.lit(1.0)) * F.lit(100.0)
-    out = s2.select("request_id", F.round(soh, 2).alias("SOH"),
+    out = s2.select("request_id", F.round(F.col("_soh") * F.lit(100.0), 2).alias("SOH"),
                     F.round("_rul", 2).alias("RUL"))
     return with_status(out, "SOH"), rejected.select("request_id", "reason")

@@ -21,11 +21,11 @@ never partition by the group key alone.  They run in two steps:
    every row its bounded ROWS frame needs, and the halo copies are filtered
    out afterwards.  A task holds at most ``seg_len + before + after`` rows.
 
-Measured fast path: when ``group_bound`` finds that no group has more than
-``seg_len`` rows (one small aggregate), every group already fits a bounded
-task, so the same columns are computed with plain ``partitionBy(group)``
-windows and all passes share one exchange (``bounded=True``).  A single
-larger group switches everything to the segmented form above.
+This form is used whatever the input's size: nothing is measured first, no
+job starts while a plan is built, and the order of running sums depends on
+``block_width`` alone.  A caller who knows that every group is small may pass
+``bounded=True`` and get plain ``partitionBy(group)`` windows instead; it is
+never chosen automatically.
 """
 
 from __future__ import annotations
@@ -39,17 +39,6 @@ DEFAULT_BLOCK_WIDTH = 4096
 DEFAULT_SEG_LEN = 4096
 
 
-def group_bound(df: DataFrame, keys: Sequence[str], limit: int = DEFAULT_SEG_LEN) -> bool:
-    """True when every group of ``keys`` has at most ``limit`` rows.
-
-    One aggregate (combined map-side) returning one number.  It is an action
-    on ``df``: pass a written stage table (as every caller in this package
-    does), or give ``bounded`` explicitly, so the input is not computed twice.
-    """
-    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return top is None or top <= limit
-
-
 def block_ordinals(
     df: DataFrame,
     keys: Sequence[str],

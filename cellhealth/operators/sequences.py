@@ -3,8 +3,9 @@
 The sequence of a target row is the feature rows of the ``seq_len``
 preceding cycles of the same battery; a battery of n rows yields
 max(0, n - seq_len) sequences and sequences never cross batteries.  Built
-with a ROWS frame over halo segments (or per-battery windows when every
-battery is measured short), so no task holds an unbounded battery.
+with a ROWS frame over halo segments, so no task holds an unbounded battery.
+Build them before rows are tagged with splits: a battery id in two splits then
+has the same windows in both, and no window sees a row twice.
 """
 
 from __future__ import annotations
@@ -22,15 +23,14 @@ def build_sequences(frame: DataFrame, features: Sequence[str], seq_len: int = S.
                     ord_col: str = "cycle_index", keys: Sequence[str] = ("battery_id",),
                     baselines: Sequence[str] = (),
                     seg_len: int = seg.DEFAULT_SEG_LEN,
-                    bounded: bool | None = None) -> DataFrame:
+                    bounded: bool = False) -> DataFrame:
     """Add ``seq`` (array of ``seq_len`` feature arrays) to every target row.
 
     ``baselines``: for column c also adds ``{c}_window_mean``, the mean of c
     over the same input window (a naive forecaster used as reference model).
     """
-    b = seg.group_bound(frame, list(keys), seg_len) if bounded is None else bounded
-    d = seg.halo_segments(frame, ord_col, seg_len=seg_len, before=seq_len, bounded=b)
-    w = seg.segment_window(list(keys), ord_col, bounded=b).rowsBetween(-seq_len, -1)
+    d = seg.halo_segments(frame, ord_col, seg_len=seg_len, before=seq_len, bounded=bounded)
+    w = seg.segment_window(list(keys), ord_col, bounded=bounded).rowsBetween(-seq_len, -1)
     cols = {"seq": F.collect_list(F.array(*[F.col(f).cast("double") for f in features])).over(w)}
     for c in baselines:
         cols[f"{c}_window_mean"] = F.avg(c).over(w)
@@ -43,6 +43,18 @@ def with_sample_weight(seqs: DataFrame) -> DataFrame:
     return seqs.withColumn("weight", F.lit(2.0) - F.col("cycle_norm"))
 
 
+def steps_of(seqs: DataFrame, features: Sequence[str], chosen: Sequence[str],
+             seq_len: int = S.SEQ_LEN, src: str = "features", out: str = "features"
+             ) -> DataFrame:
+    """M1: of windows assembled over ``features`` keep the columns ``chosen``."""
+    from pyspark.ml.feature import VectorSlicer
+
+    at = {f: i for i, f in enumerate(features)}
+    wanted = [step * len(features) + at[f] for step in range(seq_len) for f in chosen]
+    cut = VectorSlicer(inputCol=src, outputCol="_cut", indices=wanted).transform(seqs)
+    return cut.drop(src).withColumnRenamed("_cut", out)
+
+
 def assemble(seqs: DataFrame, out: str = "features") -> DataFrame:
     """M1: flatten the (seq_len x n_feat) window into one ML vector."""
     from pyspark.ml.functions import array_to_vector

@@ -3,8 +3,7 @@
 Every battery of a type gets a pseudo-random position from
 ``md5(battery_id || '-' || seed)``; positions are computed with block
 ordinals (the hash prefix is the block), so even a type holding a third of
-all batteries is never ranked inside one task; a type with at most 4096
-batteries (measured) is ranked by a plain window.  Size rules per type with n
+all batteries is never ranked inside one task.  Size rules per type with n
 batteries: n_tr = max(1, int(0.7 n)), n_vl = max(1, int(0.2 n)),
 n_te = max(1, n - n_tr - n_vl), and one fewer train battery when the three
 exceed n.
@@ -27,12 +26,11 @@ def split_order_key(key: str = "battery_id", seed: int = S.SEED) -> F.Column:
 def assign_splits(frame: DataFrame, seed: int = S.SEED,
                   ratios: tuple[float, float] = S.SPLIT_RATIOS,
                   key: str = "battery_id", strata: str = "battery_type",
-                  bounded: bool | None = None) -> DataFrame:
+                  bounded: bool = False) -> DataFrame:
     """One row per (strata, key) with ``split`` in train / val / test."""
     bats = frame.select(strata, key).distinct().withColumn("_h", split_order_key(key, seed))
     blk = F.conv(F.substring("_h", 1, 4), 16, 10).cast("long")
-    b = seg.group_bound(bats, [strata]) if bounded is None else bounded
-    d = seg.block_ordinals(bats, [strata], ["_h", key], blk, bounded=b)
+    d = seg.block_ordinals(bats, [strata], ["_h", key], blk, bounded=bounded)
     p, n = F.col("_ord") - 1, F.col("_n")
     d = (d.withColumn("_a", F.greatest(F.lit(1), F.floor(n * F.lit(float(ratios[0])))))
           .withColumn("_v", F.greatest(F.lit(1), F.floor(n * F.lit(float(ratios[1])))))

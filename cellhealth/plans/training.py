@@ -1,18 +1,19 @@
 """The training / evaluation job as Spark jobs.
 
 final dataset -> model frame (features, smoothed SoH) -> stratified battery
-split -> min-max scaling fitted on train -> 20-cycle sequences ->
-gradient-boosted regressors for SoH and RUL ratio with validation-based early
-stopping -> per-iteration history -> test predictions and metrics ->
-end-of-life report over all batteries -> summary record.  A second pair of
-models on the 27 features the single-reading scorer can build serves
-``scoring``.  All steps are DataFrame jobs; models are MLlib.
+split -> min-max scaling fitted on train -> 20-cycle sequences, built once per
+battery and written once -> gradient-boosted regressors for SoH and RUL ratio
+with validation-based early stopping -> all sequences scored once (written) ->
+from that table the predictions, metrics, end-of-life report and summary.  A
+second pair of models on the 27 features the single-reading scorer can build
+serves ``scoring``; its windows are columns of the same sequences.  All steps
+are DataFrame jobs; models are MLlib.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 
@@ -40,53 +41,56 @@ class TrainingConfig:
 @dataclass
 class Trained:
     frame: DataFrame
-    assignment: DataFrame
+    assignment: DataFrame       # (battery_type, battery_id, split), written
     stats: DataFrame
-    seqs: DataFrame
+    windows: DataFrame          # one row per target cycle of each battery, written
+    seqs: DataFrame             # windows tagged with the split(s) of their battery
     soh_model: object
     rul_model: object
     scorer_stats: DataFrame
     scorer_soh: object
     scorer_rul: object
-    history: DataFrame = None
-    extras: dict = field(default_factory=dict)
+    scored: DataFrame = None    # every window with both predictions, written
 
 
-def _scaled_sequences(tagged: DataFrame, stats: DataFrame, feats: list[str],
-                      targets: list[str], seq_len: int) -> DataFrame:
-    """Scale features and targets with train statistics, then build windows."""
-    cols = feats + targets
-    sc = scaling.scale(tagged, stats, cols, suffix="_s")
+TARGETS = [S.RUL_TARGET, "remaining_cycles"]
+
+
+def _windows(frame: DataFrame, stats: DataFrame, feats: list[str], seq_len: int) -> DataFrame:
+    """Scale features and targets with train statistics, then build windows per battery."""
+    sc = scaling.scale(frame, stats, feats + TARGETS, suffix="_s")
     seqs = sequences.build_sequences(sc, [f"{c}_s" for c in feats], seq_len=seq_len)
     seqs = sequences.assemble(sequences.with_sample_weight(seqs))
-    keep = ["battery_id", "battery_type", "cycle", "cycle_index", "split", "max_cycle",
+    keep = ["battery_id", "battery_type", "cycle", "cycle_index", "max_cycle",
             "SoH", S.SOH_TARGET, S.RUL_TARGET, "remaining_cycles", "cycle_norm", "weight",
-            "features"] + [f"{t}_s" for t in targets]
+            "features"] + [f"{t}_s" for t in TARGETS]
     return seqs.select(*keep)
 
 
 def fit_all(final: DataFrame, cfg: TrainingConfig = TrainingConfig(),
             frame: DataFrame | None = None) -> Trained:
-    """Everything up to fitted models; ``frame`` reuses an already written
-    feature table instead of deriving it from ``final``."""
+    """Everything up to fitted models and scored windows; ``frame`` reuses an
+    already written feature table instead of deriving it from ``final``."""
     if frame is None:
         frame = write_stage(features.model_frame(final), "features")
     asg = write_stage(split.assign_splits(frame, seed=cfg.seed), "assignment")
     if asg.filter(F.col("split") == "train").limit(1).count() == 0:
         raise ValueError("no training batteries: every battery type has fewer than 3 "
                          "batteries, so the split rules assign none to train")
-    tagged = split.with_split(frame, asg)
-    train = tagged.filter(F.col("split") == "train")
+    train = split.rows_in(frame, asg, "train")
     feats, sfeats = list(cfg.features), list(cfg.scorer_features)
 
-    stats = write_stage(scaling.fit_scaler(train, feats + [S.RUL_TARGET]), "scaler")
-    seqs = write_stage(_scaled_sequences(tagged, stats, feats, [S.RUL_TARGET], cfg.seq_len),
-                       "sequences")
-    # Single-reading scorer: 27 features, targets SoH and remaining cycles.
-    sstats = write_stage(scaling.fit_scaler(train, sfeats + ["remaining_cycles"]), "scorer")
-    sseqs = write_stage(_scaled_sequences(tagged, sstats, sfeats, ["remaining_cycles"],
-                                          cfg.seq_len), "scorer_sequences")
-    tv, stv = models.with_validation_flag(seqs), models.with_validation_flag(sseqs)
+    # One fit of the statistics; each scaler is a set of its columns.
+    both = list(dict.fromkeys(feats + sfeats))
+    full = write_stage(scaling.fit_scaler(train, both + TARGETS), "scaler")
+    pick = lambda cols: full.select(*[f"{c}__{k}" for c in cols for k in ("min", "max")])
+    stats, sstats = pick(feats + [S.RUL_TARGET]), pick(sfeats + ["remaining_cycles"])
+    windows = write_stage(_windows(frame, full, both, cfg.seq_len), "windows")
+    own = lambda cols: (windows if cols == both else
+                        sequences.steps_of(windows, both, cols, cfg.seq_len))
+    seqs = split.with_split(own(feats), asg)
+    tv = models.with_validation_flag(seqs)
+    stv = models.with_validation_flag(split.with_split(own(sfeats), asg))
     fits = [(tv, S.SOH_TARGET, None), (tv, f"{S.RUL_TARGET}_s", "weight"),
             (stv, S.SOH_TARGET, None), (stv, "remaining_cycles_s", None)]
     # The four fits are independent Spark jobs; submitting them from
@@ -96,8 +100,25 @@ def fit_all(final: DataFrame, cfg: TrainingConfig = TrainingConfig(),
         futures = [pool.submit(fit, data, label, cfg.params, weight)
                    for data, label, weight in fits]
         soh_model, rul_model, scorer_soh, scorer_rul = [f.result() for f in futures]
-    return Trained(frame, asg, stats, seqs, soh_model, rul_model, sstats, scorer_soh,
-                   scorer_rul)
+    t = Trained(frame, asg, stats, windows, seqs, soh_model, rul_model, sstats, scorer_soh,
+                scorer_rul)
+    t.scored = write_stage(score_windows(own(feats), soh_model, rul_model, stats), "scored")
+    return t
+
+
+def score_windows(windows: DataFrame, soh_model, rul_model, stats) -> DataFrame:
+    """Every window with its SoH and RUL predictions (SoH held in [0, 1], the scaled
+    RUL ratio at 0 or above; cycles = ratio x max_cycle)."""
+    sc = models.score(soh_model, windows, "predicted_soh", 0.0, 1.0)
+    sc = models.score_rul(rul_model, sc, "predicted_ratio_s")
+    sc = scaling.unscale_with(sc.withColumn("_ratio", F.col("predicted_ratio_s")), stats,
+                              S.RUL_TARGET, ["_ratio"])
+    ratio = F.greatest(F.col("_ratio"), F.lit(0.0))
+    return sc.select("battery_id", "battery_type", "cycle", "cycle_index", "SoH",
+                     F.col(S.SOH_TARGET).alias("actual_soh"), "predicted_soh",
+                     F.col(f"{S.RUL_TARGET}_s").alias("actual_ratio_s"), "predicted_ratio_s",
+                     (F.col(S.RUL_TARGET) * F.col("max_cycle")).alias("actual_rul_cycles"),
+                     (ratio * F.col("max_cycle")).alias("predicted_rul_cycles"))
 
 
 def history(t: Trained) -> DataFrame:
@@ -110,56 +131,60 @@ def history(t: Trained) -> DataFrame:
     return h_soh.unionByName(h_rul)
 
 
+def scored_split(t: Trained, split_name: str | None = "test") -> DataFrame:
+    """The scored windows of one split's batteries (or of all, each once)."""
+    return t.scored if split_name is None else split.rows_in(t.scored, t.assignment, split_name)
+
+
 def soh_predictions(t: Trained, split_name: str | None = "test") -> DataFrame:
-    """S7 data: actual vs predicted SoH (prediction held in [0, 1])."""
-    s = t.seqs if split_name is None else t.seqs.filter(F.col("split") == split_name)
-    sc = models.score(t.soh_model, s, "predicted_soh", 0.0, 1.0)
-    return sc.select("battery_id", "battery_type", "cycle", "cycle_index", "split", "SoH",
-                     F.col(S.SOH_TARGET).alias("actual_soh"), "predicted_soh")
+    """S7 data: actual vs predicted SoH."""
+    return scored_split(t, split_name).select(
+        "battery_id", "battery_type", "cycle", "cycle_index", "SoH", "actual_soh", "predicted_soh")
 
 
 def rul_predictions(t: Trained, split_name: str | None = "test") -> DataFrame:
-    """S8 data: RUL in cycles = ratio x max_cycle; predicted ratio unscaled, >= 0."""
-    s = t.seqs if split_name is None else t.seqs.filter(F.col("split") == split_name)
-    sc = scaling.unscale_with(models.score(t.rul_model, s, "ratio_hat"), t.stats,
-                              S.RUL_TARGET, ["ratio_hat"])
-    ratio = F.greatest(F.col("ratio_hat"), F.lit(0.0))
-    return sc.select("battery_id", "battery_type", "cycle", "split",
-                     (F.col(S.RUL_TARGET) * F.col("max_cycle")).alias("actual_rul_cycles"),
-                     (ratio * F.col("max_cycle")).alias("predicted_rul_cycles"))
+    """S8 data: RUL in cycles."""
+    return scored_split(t, split_name).select(
+        "battery_id", "battery_type", "cycle", "actual_rul_cycles", "predicted_rul_cycles")
 
 
 def model_eol(t: Trained, threshold: float = S.FAILURE_THRESHOLD) -> DataFrame:
-    """A12 with model predictions over every battery (all splits)."""
-    return eol.eol_report(soh_predictions(t, None), actual="SoH",
-                          predicted="predicted_soh", threshold=threshold)
+    """A12 with model predictions over every battery, each once."""
+    return eol.eol_report(t.scored, actual="SoH", predicted="predicted_soh",
+                          threshold=threshold)
 
 
 def summary(t: Trained, cfg: TrainingConfig = TrainingConfig()) -> DataFrame:
+    """The record of a training run, from its scored windows."""
+    return summary_record(t.scored, t.assignment, history(t), cfg)
+
+
+def summary_record(scored: DataFrame, assignment: DataFrame, epochs: DataFrame,
+                   cfg: TrainingConfig = TrainingConfig()) -> DataFrame:
     """One record with accuracy, EOL error, best epochs, split sizes, config.
 
+    ``scored`` has the columns of ``score_windows`` (from whichever forecaster),
+    one row per window; ``epochs`` the validation loss per model and epoch.
     Each part is one distributed aggregate returning one row (the parts run
-    side by side); the record is assembled from those scalars.
+    side by side); the record is assembled from those scalars.  The batteries
+    of each split are in the assignment table, saved beside the record.
     """
-    spark = t.seqs.sparkSession
-    val = t.seqs.filter(F.col("split") == "val")
+    spark = scored.sparkSession
+    test, val = (split.rows_in(scored, assignment, name) for name in ("test", "val"))
     parts = {
         "soh": lambda: metrics.regression_metrics(
-            soh_predictions(t), "actual_soh", "predicted_soh", scale=100.0,
-            prefix="soh_").first(),
+            test, "actual_soh", "predicted_soh", scale=100.0, prefix="soh_").first(),
         "rul": lambda: metrics.regression_metrics(
-            rul_predictions(t), "actual_rul_cycles", "predicted_rul_cycles",
-            prefix="rul_").first(),
-        "mae": lambda: eol.eol_mae(model_eol(t, cfg.threshold)).first(),
+            test, "actual_rul_cycles", "predicted_rul_cycles", prefix="rul_").first(),
+        "mae": lambda: eol.eol_mae(eol.eol_report(
+            scored, actual="SoH", predicted="predicted_soh", threshold=cfg.threshold)).first(),
         # Validation RMSE (SoH in its own units, RUL ratio scaled).
-        "v_soh": lambda: metrics.regression_metrics(
-            models.score(t.soh_model, val, "p", 0.0, 1.0), S.SOH_TARGET, "p").first(),
+        "v_soh": lambda: metrics.regression_metrics(val, "actual_soh", "predicted_soh").first(),
         "v_rul": lambda: metrics.regression_metrics(
-            models.score(t.rul_model, val, "p"), f"{S.RUL_TARGET}_s", "p").first(),
-        "best": lambda: {r.model: r.best_epoch
-                         for r in metrics.best_epoch(history(t)).collect()},
-        "sizes": lambda: t.assignment.agg(*[F.count(F.when(F.col("split") == s, 1)).alias(s)
-                                            for s in ("train", "val", "test")]).first(),
+            val, "actual_ratio_s", "predicted_ratio_s").first(),
+        "best": lambda: {r.model: r.best_epoch for r in metrics.best_epoch(epochs).collect()},
+        "sizes": lambda: assignment.agg(*[F.count(F.when(F.col("split") == s, 1)).alias(s)
+                                          for s in ("train", "val", "test")]).first(),
     }
     # Independent one-row aggregates: run them side by side.
     run = inheritable_thread_target(spark)(lambda fn: fn())
@@ -182,6 +207,7 @@ def summary(t: Trained, cfg: TrainingConfig = TrainingConfig()) -> DataFrame:
         ("best_soh_epoch", best.get("soh"), "int"), ("best_rul_epoch", best.get("rul"), "int"),
         ("train_batteries", sizes.train, "long"), ("val_batteries", sizes.val, "long"),
         ("test_batteries", sizes.test, "long"),
+        ("split_table", "split_assignment", "string"),
         ("seq_len", cfg.seq_len, "int"), ("max_iter", cfg.params.max_iter, "int"),
         ("failure_threshold", cfg.threshold, "double"),
         ("soh_label_smoothing", S.SUMMARY_SMOOTHING, "string"),
@@ -189,24 +215,28 @@ def summary(t: Trained, cfg: TrainingConfig = TrainingConfig()) -> DataFrame:
         ("rul_target", S.SUMMARY_RUL_TARGET, "string"),
     ]
     cols = [F.lit(v).cast(typ).alias(name) for name, v, typ in values]
-    cols.insert(17, F.array(*[F.lit(f) for f in cfg.features]).alias("features"))
+    cols.insert(18, F.array(*[F.lit(f) for f in cfg.features]).alias("features"))
     return spark.range(1).select(*cols)
 
 
-def write_outputs(t: Trained, out_dir: str, cfg: TrainingConfig = TrainingConfig()) -> None:
-    """Prediction CSVs, EOL CSV, summary JSON, scalers, models."""
+def write_outputs(t: Trained, out_dir: str, cfg: TrainingConfig = TrainingConfig()) -> dict:
+    """Prediction CSVs with their keys, EOL CSV, split table, summary JSON,
+    scalers, models.  Returns the summary record, which is computed once."""
     out = out_dir.rstrip("/")
-    sinks.write_csv(soh_predictions(t).select("actual_soh", "predicted_soh"),
-                    f"{out}/soh_predictions")
-    sinks.write_csv(rul_predictions(t).select("actual_rul_cycles", "predicted_rul_cycles"),
-                    f"{out}/rul_predictions")
+    spark = t.scored.sparkSession
+    sinks.write_csv(soh_predictions(t).drop("cycle_index", "SoH"), f"{out}/soh_predictions")
+    sinks.write_csv(rul_predictions(t), f"{out}/rul_predictions")
     sinks.write_csv(model_eol(t, cfg.threshold), f"{out}/eol_results")
-    sinks.write_record(summary(t, cfg), f"{out}/metrics_summary")
+    sinks.write_parquet(t.assignment, f"{out}/split_assignment")
+    record = summary(t, cfg)
+    row = record.first()
+    sinks.write_record(spark.createDataFrame([row], record.schema), f"{out}/metrics_summary")
     sinks.save_scaler(t.stats, f"{out}/scalers/feature_scaler")
     sinks.save_scaler(t.scorer_stats, f"{out}/scalers/scorer_scaler")
     for name, m in (("soh_model", t.soh_model), ("rul_model", t.rul_model),
                     ("scorer_soh_model", t.scorer_soh), ("scorer_rul_model", t.scorer_rul)):
         models.save_model(m, f"{out}/models/{name}")
+    return row.asDict()
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -228,8 +258,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("cellhealth-training").getOrCreate()
     cfg = TrainingConfig(params=TreeParams(max_iter=a.max_iter, max_depth=a.max_depth))
     t = fit_all(readers.read_cycles(spark, a.final, a.format), cfg)
-    write_outputs(t, a.out, cfg)
-    print(json.dumps(summary(t, cfg).drop("features").first().asDict()))
+    record = write_outputs(t, a.out, cfg)
+    print(json.dumps({k: v for k, v in record.items() if k != "features"}))
 
 
 if __name__ == "__main__":

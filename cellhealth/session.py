@@ -35,8 +35,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and stage tables.
 
     Read from the session (``spark.checkpoint.dir`` / ``setCheckpointDir``).
-    Only a local-mode session without one gets a fresh temporary folder; a
-    cluster session must name a shared folder itself.
+    Only a one-process local session (``local[n]``, as in tests) without one gets
+    a fresh temporary folder; any other must name a shared folder itself.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -46,7 +46,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="cellhealth-ckpt-"))
     return sc.getCheckpointDir()
@@ -67,4 +67,13 @@ def write_stage(df, name: str, fmt: str = "parquet"):
     spark = df.sparkSession
     path = stage_path(spark, name)
     df.write.mode("overwrite").format(fmt).save(path)
-    return spark.read.format(fmt).load(path)
+    out = spark.read.format(fmt).load(path)
+    out._stage_path = path
+    return out
+
+
+def drop_stage(df) -> None:
+    """Delete a table of ``write_stage`` that no later job reads."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._stage_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -33,17 +33,31 @@ def with_file_path(df: DataFrame) -> DataFrame:
     return df.withColumn("file_path", F.col("_metadata.file_path"))
 
 
+# Fixed value: how the package's own CSV files write a null, so that "" stays "".
+CSV_NULL = "\\N"
+
+
 def read_light(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Read the light dataset back with its fixed schema."""
     r = spark.read.schema(S.LIGHT_SCHEMA)
-    return r.option("header", True).csv(path) if fmt == "csv" else r.format(fmt).load(path)
+    return _csv(r, path) if fmt == "csv" else r.format(fmt).load(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Any of the package's CSV outputs with a given schema."""
+    return _csv(spark.read.schema(schema), path)
+
+
+def _csv(reader, path: str) -> DataFrame:
+    """CSV as ``sinks.write_csv`` writes it: an empty string and a null differ."""
+    return reader.option("header", True).option("nullValue", CSV_NULL).csv(path)
 
 
 def read_cycles(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """The per-cycle dataset (CSV with header, JSON lines or Parquet)."""
     r = spark.read.schema(S.CYCLE_SCHEMA)
     if fmt == "csv":
-        return r.option("header", True).csv(path)
+        return _csv(r, path)
     return r.format(fmt).load(path)
 
 

@@ -9,10 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from cellhealth.sources.readers import CSV_NULL
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with header."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV with header; a null is ``\\N``, so an empty string stays one."""
+    df.write.mode(mode).option("header", True).option("nullValue", CSV_NULL).csv(path)
+
+
+def write_csv_tree(df: DataFrame, path: str, folders: list[str], mode: str = "overwrite") -> None:
+    """CSV with header in one folder per value of ``folders`` (``name=value``)."""
+    (df.write.mode(mode).option("header", True).option("nullValue", CSV_NULL)
+       .partitionBy(*folders).csv(path))
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -3,16 +3,20 @@
 Stateless cleaning (E1-E7) followed by the stateful cycle aggregate (A1).
 ``time`` is a plain number, not an event time, so there is no watermark:
 state holds one row per (battery, type, cycle) - the per-cycle table, not
-the raw readings.  Each micro-batch rewrites the complete aggregate, which
-therefore always equals the batch ``aggregate_cycles`` over the files seen.
+the raw readings.  A micro-batch writes only the keys it changed, into a
+folder named by its id (overwritten if the batch runs again); readers take the
+latest version of each key (``read_cycle_stream``), which always equals the
+batch ``aggregate_cycles`` over the files seen.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from cellhealth import schema as S
 from cellhealth.operators import clean, cycles
 
 
@@ -22,6 +26,13 @@ def cycle_aggregate_stream(stream: DataFrame) -> DataFrame:
         clean.clean_telemetry(stream))))
 
 
+def read_cycle_stream(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The per-cycle table so far: the latest version of each changed key."""
+    rows = spark.read.parquet(out_dir)
+    values = [c for c in rows.columns if c not in (*S.CYCLE_KEYS, "batch")]
+    return rows.groupBy(*S.CYCLE_KEYS).agg(*[F.max_by(c, "batch").alias(c) for c in values])
+
+
 def start_cycle_stream(spark: SparkSession, source_dir: str, schema: StructType,
                        out_dir: str, checkpoint: str, fmt: str = "csv",
                        max_files_per_trigger: int | None = None,
@@ -39,16 +50,17 @@ def start_cycle_stream(spark: SparkSession, source_dir: str, schema: StructType,
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     src = r.format(fmt).load(source_dir)
     if path_col is None:
-        from pyspark.sql import functions as F
         src = src.withColumn("file_path", F.col("_metadata.file_path"))
     elif path_col != "file_path":
         src = src.withColumnRenamed(path_col, "file_path")
     agg = cycle_aggregate_stream(src)
 
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_dir)
+    out = out_dir.rstrip("/")
+
+    def publish(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={epoch}")
 
-    w = (agg.writeStream.outputMode("complete").foreachBatch(publish)
+    w = (agg.writeStream.outputMode("update").foreachBatch(publish)
             .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()

@@ -53,8 +53,6 @@ def test_dense_and_sparse_groups(spark):
     _check(spark, groups, block_width=4, seg_len=5)
     _check(spark, groups, block_width=1000, seg_len=4096)
     _check(spark, groups, block_width=4, seg_len=5, bounded=True)
-    assert seg.group_bound(_frame(spark, groups), ["g"], 50)
-    assert not seg.group_bound(_frame(spark, groups), ["g"], 49)
 
 
 @settings(max_examples=8, deadline=None)
