@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellhealth.llm.common import drop_stage, join_groups, need, reread, write_stage
+from cellhealth.llm.common import drop_stage, join_groups, prepare, reread, write_stage
 
 #: Points a list should hold; bound of the number of lists (they are in memory everywhere);
 #: sample vectors per list; points and queries of a cell.
@@ -186,7 +186,7 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_
 
     query_id, rank (from 1), vec_id, score (cosine); ties to the smaller vec_id.
     """
-    need(vectors, vec_id, embedding)
+    prepare(vectors, vec_id, embedding)
     spark = vectors.sparkSession
     rows = _usable(vectors, vec_id, embedding)
     common = rows.groupBy(F.size("embedding").alias("w")).count().orderBy(F.desc("count"), F.desc("w")).first()

@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellhealth.llm.common import blocks, need, raw_text
+from cellhealth.llm.common import blocks, prepare, raw_text
 from cellhealth.llm.token_counts import byte_alphabet
 
 #: Fixed value: how byte-level files of this family cut a text into pieces.
@@ -282,7 +282,7 @@ class _Shared:
 
 def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id and ids (packed little-endian unsigned 32-bit integers)."""
-    need(docs, text, doc_id)
+    prepare(docs, text, doc_id)
     shared = _Shared(docs.sparkSession, vocabulary)
 
     def rows(batches):
@@ -298,7 +298,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text", doc_i
 
 def round_trip(docs: DataFrame, vocabulary: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    need(docs, text, doc_id)
+    prepare(docs, text, doc_id)
     shared = _Shared(docs.sparkSession, vocabulary)
 
     def rows(batches):

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cellhealth.session import stage_path
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_BYTES = 8 << 20
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -26,11 +27,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def need(df: DataFrame, *names: str) -> None:
-    """A clear error for a missing or doubled column."""
+def prepare(df: DataFrame, *names: str) -> None:
+    """A clear error for a missing or doubled column; small Arrow batches for its session.
+
+    Texts pass through Python, and a task holds a few batches at a time: unless the session
+    sets its own bound, a batch has BATCH_BYTES at most (one row at least).
+    """
     for name in names:
         if df.columns.count(name) != 1:
             raise ValueError(f"exactly one column {name!r} is needed; found {df.columns}")
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "67108864b":  # Spark's default
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def numbered_columns(df: DataFrame) -> DataFrame:
+    """``df`` with columns c0, c1, ...: no name of its own can clash with a helper column."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
 
 
 def raw_text(column: str = "text") -> Column:
@@ -75,24 +88,30 @@ def drop_stage(*frames: DataFrame) -> None:
 
 
 def blocks(batches: Iterable[pa.RecordBatch], text: str, max_bytes: int) -> Iterator[tuple[dict, list[bytes]]]:
-    """Arrow batches cut into blocks of about ``max_bytes`` of text (one row at least).
+    """Arrow batches cut or joined to blocks of about ``max_bytes`` of text (one row at least).
 
-    Yields the other columns as lists and the texts as bytes.
+    Yields the other columns as Arrow arrays and the texts as bytes.
     """
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def block() -> tuple[dict, list[bytes]]:
+        rest = {c: pa.concat_arrays([h.column(c) for h in held]) for c in held[0].schema.names if c != text}
+        return rest, [x for h in held for x in h.column(text).to_pylist()]
+
     for batch in batches:
-        names = [n for n in batch.schema.names if n != text]
-        column = batch.column(batch.schema.get_field_index(text))
-        lengths = pc.binary_length(column).to_pylist()
-        start, size = 0, 0
-        for i, n in enumerate(lengths):
-            if i > start and size + n > max_bytes:
-                yield ({c: batch.column(c).slice(start, i - start) for c in names},
-                       column.slice(start, i - start).to_pylist())
-                start, size = i, 0
-            size += n
-        if start < len(lengths):
-            yield ({c: batch.column(c).slice(start) for c in names},
-                   column.slice(start).to_pylist())
+        start = 0
+        for i, n in enumerate(pc.binary_length(batch.column(text)).to_pylist()):
+            if size and size + n > max_bytes:
+                if i > start:
+                    held.append(batch.slice(start, i - start))
+                yield block()
+                held, size, start = [], 0, i
+            size += max(1, n)
+        if start < batch.num_rows:
+            held.append(batch.slice(start))
+    if held:
+        yield block()
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, row_id: str,

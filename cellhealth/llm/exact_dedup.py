@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellhealth.llm.common import blocks, join_groups, need, raw_text, write_stage
+from cellhealth.llm.common import (blocks, join_groups, numbered_columns, prepare, raw_text, reread,
+                                   write_stage)
 
 #: Records of one index shard; the number of shards follows the number of rows.
 SHARD_ROWS = 200_000
@@ -120,20 +121,11 @@ def normalised_digest(raw: bytes) -> bytes:
     return hashlib.sha256(raw.lower()).digest()  # bytes.lower changes A-Z only
 
 
-def with_digest(docs: DataFrame, text: str = "text", name: str = "text_sha256") -> DataFrame:
-    """``docs`` with the hex digest of the normalised text as one more column."""
-    @F.pandas_udf("string")
-    def digest(raw):
-        return raw.map(lambda b: normalised_digest(bytes(b)).hex())
-
-    return docs.withColumn(name, digest(raw_text(text)))
-
-
 def _digests(batches):
     for rest, raws in blocks(batches, "raw", 8 << 20):
         yield pa.RecordBatch.from_arrays(
-            [rest["doc_id"], pa.array([normalised_digest(r) for r in raws], pa.binary()),
-             pa.array([len(r) for r in raws], pa.int64())], names=["doc_id", "digest", "n_bytes"])
+            [rest["row"], rest["doc_id"], pa.array([normalised_digest(r) for r in raws], pa.binary()),
+             pa.array([len(r) for r in raws], pa.int64())], names=["row", "doc_id", "digest", "n_bytes"])
 
 
 def _columns(batch: pa.RecordBatch):
@@ -181,26 +173,34 @@ def _index(batches):
     yield from _batch(index.entries())
 
 
-def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
-    need(docs, text, doc_id)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), raw_text(text).alias("raw"))
-    rows = write_stage(rows.mapInArrow(_digests, "doc_id long, digest binary, n_bytes long")
-                       .select(F.monotonically_increasing_id().alias("row"), "*"), "digests")
+def _judged(rows: DataFrame) -> DataFrame:
+    """The outcome for each of ``rows`` (row, doc_id, raw), whose row numbers must be written ones."""
+    rows = write_stage(rows.mapInArrow(_digests, "row long, doc_id long, digest binary, n_bytes long"), "digests")
     shards = 1 + rows.count() // SHARD_ROWS
     kind = "digest binary, n_bytes long, best long, best_row long, group_size long"
     groups = write_stage(rows.mapInArrow(_fold, kind).repartition(shards, "digest")
                          .mapInArrow(_index, kind).drop("n_bytes"), "live")
     out = join_groups(rows.drop("n_bytes"), groups, "digest", "group_size", "row")
     return out.select(
-        "doc_id", F.when(F.col("best") != NO_ID, F.col("best")).alias("keep_id"), "group_size",
+        "row", "doc_id", F.when(F.col("best") != NO_ID, F.col("best")).alias("keep_id"), "group_size",
         (F.col("row") == F.col("best_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
+    prepare(docs, text, doc_id)
+    # The row numbers are written with the digests, in the same pass, before anything reads them.
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"),
+                       raw_text(text).alias("raw"))
+    return _judged(rows).drop("row")
+
+
 def drop_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that :func:`exact_groups` keeps, with their own columns only."""
-    kept = (exact_groups(docs, text, doc_id).filter("kept")
-            .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")))
-    rows = with_digest(docs, text, "_own")
-    return (rows.join(kept, rows[doc_id].cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")))
-            .dropDuplicates(["_id", "_sha"]).select(*docs.columns))
+    prepare(docs, text, doc_id)
+    own = numbered_columns(docs)
+    id_, text_ = (f"c{docs.columns.index(c)}" for c in (doc_id, text))
+    whole = write_stage(own.select(F.monotonically_increasing_id().alias("row"), "*"), "documents")
+    judged = _judged(whole.select("row", F.col(id_).cast("long").alias("doc_id"), raw_text(text_).alias("raw")))
+    kept = judged.filter("kept").select("row").hint("shuffle_hash")
+    return reread(whole).join(kept, "row", "left_semi").drop("row").toDF(*docs.columns)

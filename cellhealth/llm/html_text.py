@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellhealth.llm.common import need
+from cellhealth.llm.common import prepare
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is never text of the page.
@@ -233,7 +233,7 @@ def main_text(html: str, tree) -> str:
 
 def extract(pages: DataFrame, html: str = "html", page_id: str = "page_id", url: str = "url") -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars (code points)."""
-    need(pages, html, page_id, url)
+    prepare(pages, html, page_id, url)
     tree = block_tree()
 
     def rows(batches):

@@ -9,8 +9,9 @@ count in all training texts.  So the emission tables are bounded, while counts c
 vocabulary and never leave the executors but for the sums by class.
 
 Texts are cut into words once; a written table holds, for a block of documents, its distinct
-words and the texts as numbers.  A shuffle of the blocks' distinct words, with counts summed
-before it, gives every block its words' counts.  A pass of Baum-Welch runs forward and
+words and the texts as numbers.  The blocks' distinct words, counted per block, go to shards
+by word, which add them up and answer every block; a word reaches a shard once per block, so
+the commonest is no larger there than the number of blocks.  A pass of Baum-Welch runs forward and
 backward over all training texts, side by side in tasks; expected counts are added up per
 task, then across tasks by class, and the bounded sums come to the driver.  First steps on a
 bounded, hash-drawn sample of whole training texts (``WARM_DOCS``) break the symmetry between
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellhealth.llm.common import blocks, drop_stage, need, raw_text, reread, write_stage
+from cellhealth.llm.common import blocks, drop_stage, prepare, raw_text, reread, write_stage
 
 STATES, OWN, ENDINGS = 8, 65_536, 4096
 WARM_DOCS, WARM_STEPS, PASSES = 1500, 8, 2
@@ -38,6 +39,8 @@ WARM_DOCS, WARM_STEPS, PASSES = 1500, 8, 2
 BACKOFF, STAY = 50.0, 0.9
 #: Text of a block; tokens taken up before they are sorted by length; tokens run side by side.
 BLOCK_BYTES, HELD_TOKENS, SIDE_TOKENS = 8 << 20, 4 << 20, 1 << 20
+#: Words of all blocks that one shard adds up; the number of shards follows their number.
+SHARD_WORDS = 400_000
 END = b""
 
 
@@ -54,6 +57,14 @@ def _unpack(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
+_SHARD = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("words", pa.list_(pa.binary())),
+                    ("counts", pa.list_(pa.int64()))])
+
+
+def _shards(words: list[bytes], shards: int) -> np.ndarray:
+    return np.fromiter([zlib.crc32(w) % shards for w in words], np.int64, len(words))
+
+
 def _blocks(batches):
     """One row per block: ids, which texts train, lengths, texts as word numbers, distinct words and counts."""
     for rest, raws in blocks(batches, "raw", BLOCK_BYTES):
@@ -95,8 +106,11 @@ class Classes:
 
     @property
     def shares(self) -> np.ndarray:
-        """The class's share of all tokens; a shared class has a part for unseen words."""
-        mass = self.tokens + self.words + (np.arange(len(self.tokens)) >= len(self.own))
+        """The class's share of all tokens; a shared class has a part for unseen words.
+
+        So has the end's, should no training text have shown one.
+        """
+        mass = self.tokens + self.words + ((np.arange(len(self.tokens)) >= len(self.own)) | (self.words == 0))
         return mass / mass.sum()
 
 
@@ -281,51 +295,92 @@ def _warmed(symbols: DataFrame, shares: np.ndarray, n_train: int, states: int) -
 def hmm_scores(docs: DataFrame, states: int = STATES, passes: int = PASSES, text: str = "text",
                doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    need(docs, text, doc_id)
+    prepare(docs, text, doc_id)
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), (~held_out(doc_id)).alias("train"),
                        raw_text(text).alias("raw"))
     kind = ("ids array<long>, train array<boolean>, sizes array<int>, tokens binary, words array<binary>, "
             "counts array<long>")
     cut = write_stage(rows.mapInArrow(_blocks, kind).select(F.monotonically_increasing_id().alias("block"), "*"),
-                      "blocks")
-    entries = cut.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "e")).select(
-        "block", "place", F.col("e.words").alias("word"), F.col("e.counts").alias("n"))
-    vocabulary = write_stage(entries.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "vocabulary")
-    total, distinct = vocabulary.agg(F.sum("c"), F.count("*")).first()
-    total = total or 0
-    own = {bytes(r.word): i for i, r in enumerate(
-        vocabulary.filter((F.col("c") * OWN >= total) | (F.col("word") == F.lit(bytearray(END)))).orderBy("word")
-        .collect())}
+                      "blocks")  # rows of one block are large: all that reads them takes them one by one
+    total, n_words, n_train = cut.agg(
+        F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)), F.sum(F.size("words")),
+        F.sum(F.size(F.filter("train", lambda t: t)))).first()
+    total, n_train, shards = total or 0, n_train or 0, 1 + (n_words or 0) // SHARD_WORDS
+
+    def dealt(batches):
+        for row in _rows(batches):
+            words, counts = row["words"], np.array(row["counts"], np.int64)
+            at = _shards(words, shards)
+            order = np.argsort(at, kind="stable")
+            cuts = np.flatnonzero(np.diff(at[order])) + 1
+            parts = np.split(order, cuts)
+            yield pa.RecordBatch.from_pydict({
+                "shard": [int(at[p[0]]) for p in parts], "block": [row["block"]] * len(parts),
+                "words": [[words[i] for i in p.tolist()] for p in parts],
+                "counts": [counts[p] for p in parts]}, schema=_SHARD)
+
+    def added(part: pa.Table) -> pa.Table:
+        """One shard: every word's count in training, for each block and (block -1) for the vocabulary."""
+        blocks_, lists, counts = (part.column(c).to_pylist() for c in ("block", "words", "counts"))
+        known: dict[bytes, int] = {}
+        for words, own in zip(lists, counts, strict=True):
+            for w, c in zip(words, own, strict=True):
+                if c:
+                    known[w] = known.get(w, 0) + c
+        answers = [[known.get(w, 0) for w in words] for words in lists]
+        shard = part.column("shard")[0].as_py()
+        return pa.table({"shard": [shard] * (len(lists) + 1), "block": [*blocks_, -1],
+                         "words": [*[None] * len(lists), list(known)], "counts": [*answers, list(known.values())]},
+                        schema=_SHARD)
+
+    kind = "shard long, block long, words array<binary>, counts array<long>"
+    summed = write_stage(cut.select("block", "words", "counts").mapInArrow(dealt, kind)
+                         .groupBy("shard").applyInArrow(added, kind), "counts", batch_rows=1)
+    vocabulary = summed.filter("block = -1").select("words", "counts")
+    distinct = vocabulary.agg(F.sum(F.size("words"))).first()[0] or 0
+
+    def common(batches):
+        for row in _rows(batches):
+            out = [w for w, c in zip(row["words"], row["counts"], strict=True) if c * OWN >= total or w == END]
+            yield pa.RecordBatch.from_pydict({"word": out}, schema=pa.schema([("word", pa.binary())]))
+
+    # At most OWN words, whatever the size, and the end.
+    own = {bytes(r.word): i for i, r in enumerate(sorted(vocabulary.mapInArrow(common, "word binary").collect()))}
     own.setdefault(END, len(own))
     names = spark.sparkContext.broadcast(Classes(own, np.zeros(0), np.zeros(0)))
 
     def sums(batches):
-        for batch in batches:
-            of = [names.value.of(w) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(of, pa.int32()), batch.column(1)], names=["class", "c"])
-
-    by_class = (vocabulary.mapInArrow(sums, "class int, c long").groupBy("class")
-                .agg(F.sum("c").alias("c"), F.count("*").alias("words")).collect())
+        tokens, words = np.zeros(len(own) + ENDINGS), np.zeros(len(own) + ENDINGS)
+        for row in _rows(batches):
+            of = np.array([names.value.of(w) for w in row["words"]], np.int64)
+            tokens += np.bincount(of, row["counts"], len(tokens))
+            words += np.bincount(of, minlength=len(words))
+        some = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(tokens[some]), pa.array(words[some])],
+                                         names=["class", "c", "words"])
+
+    by_class = (vocabulary.mapInArrow(sums, "class long, c double, words double").groupBy("class")
+                .agg(F.sum("c").alias("c"), F.sum("words").alias("words")).collect())
     tokens_of, words_of = np.zeros(len(own) + ENDINGS), np.zeros(len(own) + ENDINGS)
     for r in by_class:
         tokens_of[r["class"]], words_of[r["class"]] = r.c, r.words
     classes = Classes(own, tokens_of, words_of)
     shares = classes.shares
     shared = spark.sparkContext.broadcast(classes)
-
-    # Every block gets the counts of its words: a join by word of distinct words per block.
-    counted = (entries.drop("n").join(reread(vocabulary), "word").groupBy("block")
-               .agg(F.collect_list(F.struct("place", "c")).alias("known")))
+    answered = (reread(summed).filter("block >= 0").groupBy("block")
+                .agg(F.collect_list(F.struct("shard", "counts")).alias("known")))
 
     def numbered(batches):
         known = shared.value
         within = np.log10(known.tokens + known.words + 1)
         for row in _rows(batches):
             words = row["words"]
-            c = np.zeros(len(words), np.int64)
-            if row["known"] is not None:
-                c[row["known"].field("place").to_numpy()] = row["known"].field("c").to_numpy()
+            at = _shards(words, shards)
+            order = np.argsort(at, kind="stable")  # as the shards were dealt: by shard, then by place
+            known_of = sorted(row["known"].to_pylist(), key=lambda x: x["shard"])
+            c = np.empty(len(words), np.int64)
+            c[order] = np.concatenate([np.array(x["counts"], np.int64) for x in known_of])
             of = np.array([known.of(w) for w in words], np.int64)
             tokens, sizes = _unpack(row["tokens"]), np.array(row["sizes"], np.int64)
             doc = np.repeat(np.arange(len(sizes)), sizes)
@@ -343,11 +398,10 @@ def hmm_scores(docs: DataFrame, states: int = STATES, passes: int = PASSES, text
                     ("log_c", pa.list_(pa.float64())), ("inside", pa.list_(pa.float64()))]))
 
     symbols = write_stage(
-        reread(cut).select("block", "ids", "train", "sizes", "tokens", "words").join(counted, "block", "left")
+        reread(cut).select("block", "ids", "train", "sizes", "tokens", "words").join(answered, "block")
         .mapInArrow(numbered, "ids array<long>, train array<boolean>, sizes array<int>, tokens binary, "
                     "n_known array<long>, log_c array<double>, inside array<double>"), "symbols", batch_rows=1)
-    drop_stage(cut, vocabulary)
-    n_train = symbols.agg(F.sum(F.size(F.filter("train", lambda t: t)))).first()[0] or 0
+    drop_stage(cut, summed)
     model = _warmed(symbols, shares, n_train, states)
     for _ in range(passes if n_train else 0):
         model = baum_welch_pass(symbols, model, shares)

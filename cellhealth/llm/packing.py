@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellhealth.llm.common import blocks, need, raw_text, write_stage
+from cellhealth.llm.common import blocks, prepare, raw_text, write_stage
 
 #: Tokens of a window; pieces of a shard; how many of a shard's commonest keys tell bins apart.
 WINDOW, SHARD_PIECES, COMMON = 2048, 50_000, 8
@@ -108,7 +108,7 @@ def pack(docs: DataFrame, capacity: int = WINDOW, text: str = "text", doc_id: st
 
     ``start`` and ``length`` count words of the whole text; pieces of a document cover it.
     """
-    need(docs, text, doc_id, source)
+    prepare(docs, text, doc_id, source)
     rows = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
                         raw_text(text).alias("raw"))
             .mapInArrow(_measured, "doc_id long, source string, n_tokens long, cluster long"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellhealth.llm.common import blocks, drop_stage, need, raw_text, write_stage
+from cellhealth.llm.common import blocks, drop_stage, prepare, raw_text, write_stage
 
 #: Bound of the training sample; all labelled rows when there are fewer.
 TRAIN_ROWS = 50_000
@@ -171,7 +171,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
 
 def document_features(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, x): one array of FEATURES per row."""
-    need(docs, text, doc_id)
+    prepare(docs, text, doc_id)
 
     def rows(batches):
         for rest, raws in blocks(batches, "raw", 8 << 20):
@@ -230,10 +230,9 @@ def keep_quality(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id:
 
     def kept(batches):
         for batch in batches:
-            raw = batch.column(at).cast(pa.binary()).fill_null(b"")
-            keep: list[np.ndarray] = [np.zeros(0, bool)]
-            for _, raws in blocks([pa.RecordBatch.from_arrays([raw], names=["raw"])], "raw", 8 << 20):
-                keep.append(model.score(features(raws)) >= THRESHOLD)
-            yield batch.filter(pa.array(np.concatenate(keep)))
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
+                raws = part.column(at).cast(pa.binary()).fill_null(b"").to_pylist()
+                yield part.filter(pa.array(model.score(features(raws)) >= THRESHOLD))
 
     return docs.mapInArrow(kept, docs.schema)

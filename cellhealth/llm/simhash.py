@@ -22,7 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellhealth.llm.common import blocks, components, drop_stage, join_groups, need, raw_text, write_stage
+from cellhealth.llm.common import (blocks, components, drop_stage, join_groups, numbered_columns, prepare,
+                                   raw_text, write_stage)
 
 SEED = 42
 #: Shingle hashes whose bits are counted at once; bounds the memory of a very long text.
@@ -76,7 +77,7 @@ def fingerprints(raws: list[bytes], width: int) -> np.ndarray:
 
 def simhash(docs: DataFrame, width: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed 64-bit integer, one row per row of ``docs``."""
-    need(docs, text, doc_id)
+    prepare(docs, text, doc_id)
 
     def prints(batches):
         for rest, raws in blocks(batches, "raw", 4 << 20):
@@ -143,5 +144,6 @@ def drop_near_copies(docs: DataFrame, width: int = 3, distance: int = 2, text: s
     Rows that repeat the id of a kept document stay together, as one document.
     """
     kept = (simhash_groups(docs, width, distance, text, doc_id)
-            .filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct())
-    return docs.join(kept, docs[doc_id].cast("long").eqNullSafe(F.col("_id")), "left_semi")
+            .filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct())
+    own, id_ = numbered_columns(docs), F.col(f"c{docs.columns.index(doc_id)}").cast("long")
+    return own.join(kept.hint("shuffle_hash"), id_.eqNullSafe(F.col("kept")), "left_semi").toDF(*docs.columns)

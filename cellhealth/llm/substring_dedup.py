@@ -35,11 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellhealth.llm.common import blocks, drop_stage, join_groups, need, raw_text, reread, write_stage
+from cellhealth.llm.common import (blocks, drop_stage, join_groups, numbered_columns, prepare, raw_text,
+                                   reread, write_stage)
 
 LENGTH, GRAM = 200, 64
 #: Windows of a part of a long text; bytes handled at once; spans of a group; bytes of an index.
-PART, AT_ONCE, GROUP, INDEX_BYTES = 1 << 20, 1 << 20, 1000, 1 << 20
+PART, AT_ONCE, GROUP, INDEX_BYTES = 1 << 20, 1 << 20, 1000, 1 << 18
 _ODD = 0x9E3779B97F4A7C15
 _PLACE = 22  #: low bits of a hash that give way to its position: parts stay below 4 MB
 
@@ -116,7 +117,9 @@ def _ranks(text: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
     for i in range(8):  # what follows a separator does not count: separators differ, in order of place
         key = key << np.uint64(8) | np.where(clean, low[i:n + i], 0)
         clean &= low[i:n + i] != 255
-    array = np.lexsort((np.where(clean, 0, np.arange(1, n + 1)), key))
+    array = np.argsort(key)
+    ends = np.flatnonzero(~clean[array])  # keys with a separator equal only their like: order by place
+    array[ends] = array[ends][np.lexsort((array[ends], key[array[ends]]))]
     sorted_key, sorted_clean = key[array], clean[array]
     change = np.concatenate(([True], (np.diff(sorted_key) != 0) | ~sorted_clean[1:] | ~sorted_clean[:-1]))
     levels, k = [], 8
@@ -130,7 +133,7 @@ def _ranks(text: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
             return array, levels
         own = array[tied]
         pair = rank[own] * (n + 2) + rank[np.minimum(own + k, n)] + 1
-        order = np.argsort(pair, kind="stable")
+        order = np.argsort(pair)
         array[tied] = own[order]
         pair = pair[order]
         change[tied] = np.concatenate(([True], pair[1:] != pair[:-1]))
@@ -363,7 +366,7 @@ def _with_ranges(texts: DataFrame, tables: list[DataFrame]) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    need(docs, text, doc_id)
+    prepare(docs, text, doc_id)
     texts = write_stage(docs.select(F.monotonically_increasing_id().alias("row"),
                                     F.col(doc_id).cast("long").alias("doc_id"), raw_text(text).alias("raw")), "texts")
 
@@ -389,9 +392,10 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", n_ch
     A character that loses some of its bytes goes; ``n_chars``, if there is such a column, is
     counted anew.
     """
-    need(docs, text)
-    whole = write_stage(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
-    texts = whole.select(F.col("_row").alias("row"), raw_text(text).alias("raw"))
+    prepare(docs, text)
+    own = numbered_columns(docs)
+    whole = write_stage(own.withColumn("row", F.monotonically_increasing_id()), "documents")
+    texts = whole.select("row", raw_text(f"c{docs.columns.index(text)}").alias("raw"))
     tables = repeated_ranges(texts, length)
     at, count = docs.columns.index(text), docs.columns.index(n_chars) if n_chars in docs.columns else -1
     schema = docs.schema
@@ -409,8 +413,6 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", n_ch
             if count >= 0:
                 columns[count] = pa.array([len(x) if r and x is not None else old for x, r, old in zip(
                     out, ranges, columns[count].to_pylist(), strict=True)], columns[count].type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    rows = reread(whole).withColumnRenamed("_row", "row")
-    joined = _with_ranges(rows, tables).select(*docs.columns, "ranges")
-    return joined.mapInArrow(cut, schema)
+    return _with_ranges(reread(whole), tables).select(*own.columns, "ranges").mapInArrow(cut, schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellhealth.llm.common import blocks, need, raw_text
+from cellhealth.llm.common import blocks, prepare, raw_text
 
 #: Words whose counts a Python worker remembers; beyond it the memory is emptied.
 REMEMBERED = 300_000
@@ -115,7 +115,7 @@ def token_counts(docs: DataFrame, vocabulary: str, text: str = "text", doc_id: s
     ``vocabulary``: path of a byte-level vocabulary file on the driver; pieces that begin
     with a space start words.  The automaton is broadcast: its size is the vocabulary's.
     """
-    need(docs, text, doc_id)
+    prepare(docs, text, doc_id)
     pieces = byte_vocabulary(vocabulary)
     shared = docs.sparkSession.sparkContext.broadcast(Automaton(
         [p for p in pieces if p[:1] == b" "], [p for p in pieces if p[:1] != b" "], b" "))
