@@ -7,7 +7,9 @@ with the points up to ``MAX_LISTS``; beyond it lists grow and are cut into cells
 size.  Every point goes to its nearest centroid and, near a boundary, to further ones that
 are not behind a nearer chosen centroid.  Centroids are searched by best-first search on an
 in-memory neighbour graph.  A query visits the lists whose centroid is within a ratio of the
-distance to its nearest one; within a cell all its points are compared with all its queries
+distance to its nearest one.  How many lists the search offers and how wide that ratio is are
+measured on every run: a bounded set of probe vectors is compared with all points, and both
+are set so that ``RECALL`` of the true neighbours lie in visited lists.  Within a cell all its points are compared with all its queries
 by one matrix product per block, in double precision, and the cell's best go on.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no
@@ -35,8 +37,9 @@ LIST_POINTS, MAX_LISTS, SAMPLE_PER_LIST = 256, 4096, 16
 CELL_POINTS, CELL_QUERIES = 8192, 8192
 #: Replicas of a boundary vector and how much further than the nearest their centroid may be.
 REPLICAS, BOUNDARY = 4, 1.15
-#: Lists that the graph search offers to a query, and the pruning ratio of distances.
-BEAM, REACH = 64, 1.35
+#: Probe vectors compared with all points, the share of their neighbours to be found, and how
+#: much wider than measured the search then is; the least number of lists offered to a query.
+PROBES, RECALL, MARGIN, LEAST_BEAM = 64, 0.97, 1.25, 16
 NEIGHBOURS = 24
 
 
@@ -82,6 +85,7 @@ class CentroidGraph:
         jumps = (np.arange(n)[:, None] + np.array([n // 3, n // 2, 2 * n // 3])) % max(n, 1)
         self.links = np.concatenate([np.concatenate(links), jumps], axis=1).astype(np.int64)
         self.starts = np.unique(np.linspace(0, n - 1, min(n, 16)).astype(int))
+        self.beam, self.reach = min(n, LEAST_BEAM), 2.0
 
     def search(self, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """For unit rows ``x``: list numbers and squared distances, nearest first (-1: none)."""
@@ -128,11 +132,30 @@ class CentroidGraph:
             out.append(chosen)
         return out
 
+    def tuned(self, probes: np.ndarray, found: list[tuple[int, int, int]]) -> None:
+        """Set beam and reach from (probe, neighbour, list) of the probes' true neighbours."""
+        far = np.sqrt(np.maximum(2 - 2 * probes @ self.centroids.T, 0))
+        order = far.argsort(axis=1, kind="stable")
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.arange(order.shape[1])[None], axis=1)
+        least: dict[tuple[int, int], int] = {}
+        for probe, point, c in found:  # the first of a neighbour's lists that a search meets
+            key = (probe, point)
+            if key not in least or rank[probe, c] < rank[probe, least[key]]:
+                least[key] = c
+        if least:
+            ranks = np.array([rank[p, c] for (p, _), c in least.items()])
+            ratio = np.array([far[p, c] / max(far[p].min(), 1e-9) for (p, _), c in least.items()])
+            share = (1 + RECALL) / 2  # both prune: each may lose half of what may be lost
+            self.beam = min(len(self.centroids), max(LEAST_BEAM, int(np.ceil(
+                MARGIN * (np.quantile(ranks, share, method="higher") + 1)))))
+            self.reach = 1 + MARGIN * float(np.quantile(ratio, share, method="higher") - 1) + 1e-6
+
     def visits(self, x: np.ndarray) -> list[list[int]]:
         """The lists a query visits: within the ratio of its nearest centroid's distance."""
-        ids, far = self.search(x, BEAM)
+        ids, far = self.search(x, self.beam)
         near = np.sqrt(far)
-        keep = (ids >= 0) & (near <= REACH * np.maximum(near[:, :1], 1e-9))
+        keep = (ids >= 0) & (near <= self.reach * np.maximum(near[:, :1], 1e-9))
         return [row[k].tolist() for row, k in zip(ids, keep, strict=True)]
 
 
@@ -202,10 +225,12 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_
         sample = points.limit(SAMPLE_PER_LIST).select("key", "embedding").toArrow().sort_by("key")
     if not sample.num_rows:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    graph = spark.sparkContext.broadcast(CentroidGraph(balanced_centroids(
-        _units(_matrix(sample.column("embedding").combine_chunks(), width)), lists)))
+    drawn = _units(_matrix(sample.column("embedding").combine_chunks(), width))
+    centroids = CentroidGraph(balanced_centroids(drawn, lists))
+    graph = spark.sparkContext.broadcast(centroids)
+    probes = drawn[:PROBES]  # in order of their digests: a draw by hash
 
-    def assigned(kind):
+    def assigned(kind, graph):
         def run(batches):
             for batch in batches:
                 for i in range(0, batch.num_rows, 1024):
@@ -227,10 +252,32 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_
     queries = write_stage(queries.mapInArrow(keys, "query_id long, key binary"), "queries")
     asked = queries.groupBy("key").agg(F.count("*").alias("asked"))
     kind = "point long, lists array<int>"
-    posted = write_stage(points.select("point", "embedding").mapInArrow(assigned("postings"), kind)
+    posted = write_stage(points.select("point", "embedding").mapInArrow(assigned("postings", graph), kind)
                          .select("point", F.explode("lists").alias("list")), "postings")
+
+    def probed(batches):
+        """The best of a task for each probe, which itself is its own nearest."""
+        best, ids = np.zeros((len(probes), 0)), np.zeros((len(probes), 0), np.int64)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 4096):
+                part = batch.slice(i, 4096)
+                score = probes @ _units(_matrix(part.column(1), width)).T
+                best = np.concatenate([best, score], axis=1)
+                ids = np.concatenate([ids, np.broadcast_to(part.column(0).to_numpy(), score.shape)], axis=1)
+                top = np.argsort(-best, axis=1, kind="stable")[:, :k + 1]
+                best, ids = np.take_along_axis(best, top, 1), np.take_along_axis(ids, top, 1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(np.arange(len(probes)), best.shape[1])), pa.array(ids.ravel()), pa.array(best.ravel())],
+            names=["probe", "point", "score"])
+
+    true = (points.select("point", "embedding").mapInArrow(probed, "probe long, point long, score double")
+            .withColumn("at", F.row_number().over(Window.partitionBy("probe").orderBy(F.desc("score"), "point")))
+            .filter(F.col("at").between(2, k + 1)))
+    centroids.tuned(probes, [tuple(r) for r in true.join(reread(posted), "point")
+                             .select("probe", "point", "list").collect()])
+    tuned = spark.sparkContext.broadcast(centroids)
     visited = write_stage(points.join(asked, "key", "left_semi").select("point", "embedding")
-                          .mapInArrow(assigned("visits"), kind)
+                          .mapInArrow(assigned("visits", tuned), kind)
                           .select(F.col("point").alias("query"), F.explode("lists").alias("list")), "visits")
     # Cells of bounded size: a list's points cut in n_p parts, its queries in n_q (at most MAX_LISTS rows each).
     cut = (posted.groupBy("list").agg(F.ceil(F.count("*") / CELL_POINTS).cast("int").alias("n_p"))
