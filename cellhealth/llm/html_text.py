@@ -113,7 +113,8 @@ def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 8):
     if column is None:
         return int(share >= 0.5)
     low = rows[:, column] <= bound
-    return column, bound, grow(rows[low], labels[low], depth - 1), grow(rows[~low], labels[~low], depth - 1)
+    parts = [grow(rows[part], labels[part], depth - 1) for part in (low, ~low)]
+    return parts[0] if parts[0] == parts[1] and isinstance(parts[0], int) else (column, bound, *parts)
 
 
 def block_tree(labelled=LABELLED):
