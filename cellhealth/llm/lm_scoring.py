@@ -25,9 +25,13 @@ of one unseen word; an empty table gives no rows; further columns of the input a
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
+from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,20 +65,38 @@ _SHARD = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("words", pa.l
                     ("counts", pa.list_(pa.int64()))])
 
 
-def _shards(words: list[bytes], shards: int) -> np.ndarray:
-    return np.fromiter([zlib.crc32(w) % shards for w in words], np.int64, len(words))
+@lru_cache(1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Random letters, and powers of an odd base and of its inverse, modulo 2**64."""
+    base, powers = 0x9E3779B97F4A7C15, []
+    for step in (base, pow(base, -1, 1 << 64)):
+        with np.errstate(over="ignore"):
+            powers.append(np.cumprod(np.full(n, step, np.uint64)))
+    return np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64), *powers
+
+
+def _shards(words: pa.Array, shards: int) -> np.ndarray:
+    """The shard of each word by a hash of its bytes, for all words at once."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+    ends = ends - ends[0]
+    letters, power, inverse = _powers(1 << max(16, len(data).bit_length()))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(letters[data] * power[:len(data)])))
+    mixed = (total[ends[1:]] - total[ends[:-1]]) * inverse[ends[:-1]]
+    return ((mixed ^ (mixed >> np.uint64(31))) % np.uint64(shards)).astype(np.int64)
 
 
 def _blocks(batches):
     """One row per block: ids, which texts train, lengths, texts as word numbers, distinct words and counts."""
     for rest, raws in blocks(batches, "raw", BLOCK_BYTES):
-        number: dict[bytes, int] = {END: 0}
+        number = defaultdict(count().__next__, {})
+        number[END]
         texts, sizes = [], []
         for raw in raws:
             words = raw.lower().split()
             words.append(END)
             sizes.append(len(words))
-            texts.append(np.fromiter([number.setdefault(w, len(number)) for w in words], np.int64, len(words)))
+            texts.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
         train = np.array(rest["train"].to_pylist(), bool)
         tokens = np.concatenate(texts)
         counts = np.bincount(tokens[np.repeat(train, sizes)], minlength=len(number))
@@ -205,14 +227,14 @@ def forward(model: Model, tokens: np.ndarray, sizes: np.ndarray, counts: Counts
     return out
 
 
-def _rows(batches):
-    """Rows one by one: lists and binaries as Python values, lists of structs as Arrow arrays."""
+def _rows(batches, *arrays: str):
+    """Rows one by one: lists and binaries as Python values, lists of structs and ``arrays`` as Arrow arrays."""
     for batch in batches:
         for i in range(batch.num_rows):
             row = {}
             for name in batch.schema.names:
                 value = batch.column(name)[i]
-                if pa.types.is_list(value.type) and pa.types.is_struct(value.type.value_type):
+                if name in arrays or pa.types.is_list(value.type) and pa.types.is_struct(value.type.value_type):
                     row[name] = value.values if value.is_valid else None
                 else:
                     row[name] = value.as_py()
@@ -309,30 +331,35 @@ def hmm_scores(docs: DataFrame, states: int = STATES, passes: int = PASSES, text
     total, n_train, shards = total or 0, n_train or 0, 1 + (n_words or 0) // SHARD_WORDS
 
     def dealt(batches):
-        for row in _rows(batches):
-            words, counts = row["words"], np.array(row["counts"], np.int64)
-            at = _shards(words, shards)
-            order = np.argsort(at, kind="stable")
-            cuts = np.flatnonzero(np.diff(at[order])) + 1
-            parts = np.split(order, cuts)
-            yield pa.RecordBatch.from_pydict({
-                "shard": [int(at[p[0]]) for p in parts], "block": [row["block"]] * len(parts),
-                "words": [[words[i] for i in p.tolist()] for p in parts],
-                "counts": [counts[p] for p in parts]}, schema=_SHARD)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words, counts = batch.column(1)[i].values, batch.column(2)[i].values
+                at = _shards(words, shards)
+                order = np.argsort(at, kind="stable")
+                cuts = np.concatenate(([0], np.flatnonzero(np.diff(at[order])) + 1, [len(order)])).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at[order[cuts[:-1]]]), pa.array(np.full(len(cuts) - 1, batch.column(0)[i].as_py())),
+                     pa.ListArray.from_arrays(cuts, words.take(pa.array(order))),
+                     pa.ListArray.from_arrays(cuts, counts.take(pa.array(order)))],
+                    names=["shard", "block", "words", "counts"])
 
     def added(part: pa.Table) -> pa.Table:
         """One shard: every word's count in training, for each block and (block -1) for the vocabulary."""
-        blocks_, lists, counts = (part.column(c).to_pylist() for c in ("block", "words", "counts"))
-        known: dict[bytes, int] = {}
-        for words, own in zip(lists, counts, strict=True):
-            for w, c in zip(words, own, strict=True):
-                if c:
-                    known[w] = known.get(w, 0) + c
-        answers = [[known.get(w, 0) for w in words] for words in lists]
-        shard = part.column("shard")[0].as_py()
-        return pa.table({"shard": [shard] * (len(lists) + 1), "block": [*blocks_, -1],
-                         "words": [*[None] * len(lists), list(known)], "counts": [*answers, list(known.values())]},
-                        schema=_SHARD)
+        lists, own = part.column("words").combine_chunks(), part.column("counts").combine_chunks()
+        coded = lists.flatten().dictionary_encode()
+        places, words = coded.indices.to_numpy(), coded.dictionary
+        c = np.bincount(places, own.flatten().to_numpy(), len(words)).astype(np.int64)
+        seen = np.flatnonzero(c)
+        ends = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy()))).astype(np.int32)
+        shard, n = part.column("shard")[0].as_py(), len(lists)
+        return pa.table({
+            "shard": pa.array(np.full(n + 1, shard)),
+            "block": pa.concat_arrays([part.column("block").combine_chunks(), pa.array([-1], pa.int64())]),
+            "words": pa.concat_arrays([pa.nulls(n, pa.list_(pa.binary())), pa.ListArray.from_arrays(
+                pa.array([0, len(seen)], pa.int32()), words.take(pa.array(seen)))]),
+            "counts": pa.concat_arrays([pa.ListArray.from_arrays(pa.array(ends), pa.array(c[places])),
+                                        pa.ListArray.from_arrays(pa.array([0, len(seen)], pa.int32()),
+                                                                 pa.array(c[seen]))])}, schema=_SHARD)
 
     kind = "shard long, block long, words array<binary>, counts array<long>"
     summed = write_stage(cut.select("block", "words", "counts").mapInArrow(dealt, kind)
@@ -374,13 +401,13 @@ def hmm_scores(docs: DataFrame, states: int = STATES, passes: int = PASSES, text
     def numbered(batches):
         known = shared.value
         within = np.log10(known.tokens + known.words + 1)
-        for row in _rows(batches):
-            words = row["words"]
-            at = _shards(words, shards)
+        for row in _rows(batches, "words"):
+            at = _shards(row["words"], shards)
             order = np.argsort(at, kind="stable")  # as the shards were dealt: by shard, then by place
-            known_of = sorted(row["known"].to_pylist(), key=lambda x: x["shard"])
+            answers = row["known"].take(pc.array_sort_indices(row["known"].field("shard")))
+            words = row["words"].to_pylist()
             c = np.empty(len(words), np.int64)
-            c[order] = np.concatenate([np.array(x["counts"], np.int64) for x in known_of])
+            c[order] = answers.field("counts").flatten().to_numpy()
             of = np.array([known.of(w) for w in words], np.int64)
             tokens, sizes = _unpack(row["tokens"]), np.array(row["sizes"], np.int64)
             doc = np.repeat(np.arange(len(sizes)), sizes)
