@@ -340,6 +340,6 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_
     out = (join_groups(queries, best, "key", "asked", "query_id")
            .select("query_id", F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("query_id")), 1, k).alias("b"))
            .select("query_id", F.posexplode("b").alias("rank", "b")))
-    drop_stage(posted, visited)
+    drop_stage(posted, visited, points)
     return out.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"),
                       (-F.col("b.minus")).alias("score"))

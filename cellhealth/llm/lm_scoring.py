@@ -14,8 +14,8 @@ by word, which add them up and answer every block; a word reaches a shard once p
 the commonest is no larger there than the number of blocks.  A pass of Baum-Welch runs forward and
 backward over all training texts, side by side in tasks; expected counts are added up per
 task, then across tasks by class, and the bounded sums come to the driver.  First steps on a
-bounded, hash-drawn sample of whole training texts (``WARM_DOCS``) break the symmetry between
-states; the passes after it cover every training text.
+bounded, hash-drawn sample of whole training texts (``WARM_DOCS``, of up to ``WARM_TOKENS``
+tokens each) break the symmetry between states on the driver; the passes after it cover every training text.
 
 Defined cases: null and empty texts are one end; a null doc_id is never held out; repeated
 rows count and score as often as they occur; with no training text every probability is that
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from cellhealth.llm.common import blocks, drop_stage, prepare, raw_text, reread, write_stage
 
 STATES, OWN, ENDINGS = 8, 65_536, 4096
-WARM_DOCS, WARM_STEPS, PASSES = 1500, 8, 2
+WARM_DOCS, WARM_TOKENS, WARM_STEPS, PASSES = 1500, 4000, 8, 2
 #: Strength of the class counts of all states in each state's; chance to stay in a state at first.
 BACKOFF, STAY = 50.0, 0.9
 #: Text of a block; tokens taken up before they are sorted by length; tokens run side by side.
@@ -288,21 +288,25 @@ def baum_welch_pass(symbols: DataFrame, model: Model, shares: np.ndarray) -> Mod
 
 
 def _warmed(symbols: DataFrame, shares: np.ndarray, n_train: int, states: int) -> Model:
-    """First steps on a bounded sample of whole training texts, in one task."""
+    """First steps on a bounded sample of whole training texts, which comes to the driver."""
     share = min(1.0, WARM_DOCS / max(1, n_train))
 
     def draw(batches):
         for rows, tokens, sizes in _texts(batches, True):
             ids = np.array([i or 0 for r in rows for i, t in zip(r["ids"], r["train"], strict=True) if t], np.int64)
-            mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-            for doc in np.flatnonzero(mixed < share * (1 << 24)):
-                end = int(sizes[:doc + 1].sum())
+            ends = np.cumsum(sizes)
+            for doc in np.flatnonzero(sizes <= WARM_TOKENS):
+                end = int(ends[doc])
+                # drawn by id and content, so that texts without an id are drawn like others
+                drawn_by = zlib.crc32(tokens[end - sizes[doc]:end].tobytes(), int(ids[doc]) & 0xFFFFFFFF)
+                if drawn_by >= share * (1 << 32):
+                    continue
                 yield pa.RecordBatch.from_pydict(
                     {"id": [int(ids[doc])], "tokens": [_pack(tokens[end - sizes[doc]:end])]},
                     schema=pa.schema([("id", pa.int64()), ("tokens", pa.binary())]))
 
     drawn = symbols.select("ids", "train", "sizes", "tokens").mapInArrow(draw, "id long, tokens binary")
-    got = drawn.toArrow().sort_by([("id", "ascending")]).column("tokens").to_pylist()
+    got = drawn.toArrow().sort_by([("id", "ascending"), ("tokens", "ascending")]).column("tokens").to_pylist()
     model = Model.fresh(shares, states)
     if got:
         texts = [_unpack(x) for x in got]
