@@ -192,9 +192,10 @@ def forward(model: Model, tokens: np.ndarray, sizes: np.ndarray, counts: Counts
     """
     out, starts = np.zeros(len(sizes)), np.cumsum(sizes) - sizes
     states = len(model.start)
+    table = model.emit if counts is None else model.emit.astype(np.float32)
     for group in _side_by_side(sizes):
         seen, at = _by_time(tokens, starts[group], sizes[group])
-        emitted = model.emit[seen].astype(np.float32 if counts is not None else np.float64)
+        emitted = table[seen]
         scale = np.empty(len(seen))
         kept = np.empty((len(seen), states), np.float32) if counts is not None else None
         state = np.broadcast_to(model.start, (len(group), states))
@@ -429,7 +430,7 @@ def hmm_scores(docs: DataFrame, states: int = STATES, passes: int = PASSES, text
                     ("log_c", pa.list_(pa.float64())), ("inside", pa.list_(pa.float64()))]))
 
     symbols = write_stage(
-        reread(cut).select("block", "ids", "train", "sizes", "tokens", "words").join(answered, "block")
+        reread(cut).select("block", "ids", "train", "sizes", "tokens", "words").join(answered.hint("shuffle_hash"), "block")
         .mapInArrow(numbered, "ids array<long>, train array<boolean>, sizes array<int>, tokens binary, "
                     "n_known array<long>, log_c array<double>, inside array<double>"), "symbols", batch_rows=1)
     drop_stage(cut, summed)
