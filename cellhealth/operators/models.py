@@ -2,16 +2,18 @@
 
 The reference trains two recurrent networks on one machine.  The Spark form
 of the same capability: flatten each 20-cycle window into one vector (M1)
-and fit MLlib gradient-boosted trees on all training sequences, stopping when
-the validation split stops improving (M4).  Bounds of the reference's output
+and fit MLlib gradient-boosted trees on all training sequences, keeping those up
+to the least validation loss that ``patience`` further ones do not beat (M4).  Bounds of the reference's output
 activations are kept by clipping: SoH in [0, 1], RUL ratio >= 0.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import SparkContext
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,22 +25,54 @@ from cellhealth.functions.expressions import clip
 class TreeParams:
     """Boosting parameters.
 
-    ``max_iter`` is a ceiling.  Boosting stops before it when the validation
-    loss improves by less than ``validation_tol`` of itself (of 0.01, when the
-    loss is smaller) from one iteration to the next.  ``partitions``: over how
-    many partitions the training rows are dealt by a hash of their keys,
-    whatever the machine.
+    ``max_iter`` is a ceiling.  Boosting ends before it once ``patience``
+    iterations in a row bring no smaller validation loss; the trees up to the
+    least one are kept.  ``partitions``: over how many partitions the training
+    rows are dealt by a hash of their keys, whatever the machine.
     """
     max_iter: int = 50
     max_depth: int = 4
     max_bins: int = 32
     step_size: float = 0.1
     subsampling_rate: float = 1.0
-    validation_tol: float = 0.01
+    patience: int = 20
     seed: int = 42
     partitions: int = 16
 
 
+def stop_rule(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """M4: how many iterations to keep, and whether the rule ended before the losses did.
+
+    Kept are those up to the first least loss that ``patience`` iterations after
+    it do not beat.  Losses that are not finite (no validation rows) say nothing:
+    all iterations are kept.
+    """
+    best = None
+    for i, loss in enumerate(losses):
+        if math.isfinite(loss) and (best is None or loss < losses[best]):
+            best = i
+        elif best is not None and i - best >= patience:
+            return best + 1, True
+    return (len(losses) if best is None else best + 1), False
+
+
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The model of the first ``n`` trees, with all parameters of ``model``."""
+    if n >= model.getNumTrees:
+        return model
+    java, sc = model._java_obj, SparkContext._active_spark_context
+    ml = sc._jvm.org.apache.spark.ml.regression
+    trees = sc._gateway.new_array(ml.DecisionTreeRegressionModel, n)
+    weights = sc._gateway.new_array(sc._jvm.double, n)
+    for i, (tree, weight) in enumerate(zip(list(java.trees())[:n], model.treeWeights)):
+        trees[i], weights[i] = tree, float(weight)
+    cut = GBTRegressionModel(ml.GBTRegressionModel(model.uid, trees, weights, model.numFeatures))
+    cut._resetUid(model.uid)
+    model._copyValues(cut)
+    cut._transfer_params_to_java()
+    return cut
+
+
 def fit_regressor(train_val: DataFrame, label: str, params: TreeParams = TreeParams(),
                   weight: str | None = None, features: str = "features",
                   validation: str = "is_val",
@@ -47,21 +81,26 @@ def fit_regressor(train_val: DataFrame, label: str, params: TreeParams = TreePar
     """M2/M3/M4: gradient-boosted trees with validation-based early stopping.
 
     ``train_val`` holds the training rows and the validation rows, told
-    apart by the boolean column ``validation``.
+    apart by the boolean column ``validation``.  MLlib's own rule has no patience,
+    so all iterations are fitted and the model is cut by ``stop_rule``; its
+    ``val_losses`` are the validation losses of all of them.
     """
     gbt = GBTRegressor(featuresCol=features, labelCol=label, predictionCol="prediction",
                        maxIter=params.max_iter, maxDepth=params.max_depth,
                        maxBins=params.max_bins, stepSize=params.step_size,
-                       subsamplingRate=params.subsampling_rate, seed=params.seed,
-                       validationIndicatorCol=validation,
-                       validationTol=params.validation_tol)
+                       subsamplingRate=params.subsampling_rate, seed=params.seed)
     if weight is not None:
         gbt = gbt.setWeightCol(weight)
     # Every boosting iteration is one pass over the partitions.  Rows are dealt and
     # ordered by their keys, so the fit does not depend on files or cores.
-    dealt = (train_val.select(*keys, features, label, validation, *([weight] if weight else []))
-                      .repartition(params.partitions, *keys).sortWithinPartitions(*keys))
-    return gbt.fit(dealt)
+    rows = train_val.select(*keys, features, label, validation, *([weight] if weight else []))
+    dealt = (rows.filter(~F.col(validation)).repartition(params.partitions, *keys)
+                 .sortWithinPartitions(*keys))
+    full = gbt.fit(dealt)
+    losses = [float(x) for x in full.evaluateEachIteration(rows.filter(validation), "squared")]
+    model = first_trees(full, stop_rule(losses, params.patience)[0])
+    model.val_losses = losses
+    return model
 
 
 def training_history(model: GBTRegressionModel, train: DataFrame, val: DataFrame, name: str,

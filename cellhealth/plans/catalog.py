@@ -628,9 +628,15 @@ def q57_model_reload(spark, sf_dir):
 
 
 def q58_history_contract(spark, sf_dir):
-    """Losses finite, epochs counted from 1, best epoch first of the least loss,
-    boosting stopped by the validation rule and not by its ceiling."""
-    h = training.history(trained(spark, sf_dir))
+    """Losses finite, epochs counted from 1, best epoch first of the least loss;
+    the kept trees end at the least validation loss and ``patience`` further ones, still
+    under the ceiling, did not beat it."""
+    t = trained(spark, sf_dir)
+    h = training.history(t)
+    rule = []
+    for name, m in (("soh", t.soh_model), ("rul", t.rul_model)):
+        kept, ended = models.stop_rule(m.val_losses, models.TreeParams.patience)
+        rule += [F.lit(name), F.lit(kept if ended else None)]
     best = metrics.best_epoch(h)
     fine = [F.coalesce(F.abs(c) < float("inf"), F.lit(False))
             for c in ("loss", "val_loss", "rmse", "val_rmse")]
@@ -638,7 +644,8 @@ def q58_history_contract(spark, sf_dir):
         F.min(F.struct("val_loss", "epoch")).alias("_least"),
         F.every(fine[0] & fine[1] & fine[2] & fine[3]).alias("losses_finite"),
         ((F.min("epoch") == 1) & (F.max("epoch") == F.count(F.lit(1)))).alias("epochs_complete"),
-        (F.max("epoch") < models.TreeParams.max_iter).alias("stopped_early"))
+        F.coalesce(F.max("epoch") == F.max(F.create_map(*rule)[F.col("model")]), F.lit(False))
+        .alias("stopped_early"))
     return per.join(best, "model").select(
         "model", "losses_finite", "epochs_complete", "stopped_early",
         (F.col("best_epoch") == F.col("_least.epoch")).alias("best_epoch_is_least"))
