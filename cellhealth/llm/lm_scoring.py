@@ -13,9 +13,9 @@ words and the texts as numbers.  The blocks' distinct words, counted per block,
 by word, which add them up and answer every block; a word reaches a shard once per block, so
 the commonest is no larger there than the number of blocks.  A pass of Baum-Welch runs forward and
 backward over all training texts, side by side in tasks; expected counts are added up per
-task, then across tasks by class, and the bounded sums come to the driver.  First steps on a
-bounded, hash-drawn sample of whole training texts (``WARM_DOCS``, of up to ``WARM_TOKENS``
-tokens each) break the symmetry between states on the driver; the passes after it cover every training text.
+task, then across tasks by class, and the bounded sums come to the driver.  States differ by
+chance (a fixed seed) before the first pass.  Every pass covers every training text, of any
+length; passes go on until the likelihood settles (``SETTLED``).
 
 Defined cases: null and empty texts are one end; a null doc_id is never held out; repeated
 rows count and score as often as they occur; with no training text every probability is that
@@ -38,7 +38,8 @@ from pyspark.sql import functions as F
 from cellhealth.llm.common import blocks, drop_stage, prepare, raw_text, reread, write_stage
 
 STATES, OWN, ENDINGS = 8, 65_536, 4096
-WARM_DOCS, WARM_TOKENS, WARM_STEPS, PASSES = 1500, 4000, 8, 2
+#: Training ends when a pass gains less than this share of the log likelihood; ceiling of passes.
+SETTLED, PASSES = 5e-4, 50
 #: Strength of the class counts of all states in each state's; chance to stay in a state at first.
 BACKOFF, STAY = 50.0, 0.9
 #: Text of a block; tokens taken up before they are sorted by length; tokens run side by side.
@@ -259,8 +260,11 @@ def _texts(batches, training: bool):
         yield [h[0] for h in held], np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
 
 
-def baum_welch_pass(symbols: DataFrame, model: Model, shares: np.ndarray) -> Model:
-    """One pass over all training texts; expected counts are summed per task, then across tasks."""
+def baum_welch_pass(symbols: DataFrame, model: Model, shares: np.ndarray) -> tuple[Model, float]:
+    """One pass over all training texts: the next model, and the log10 likelihood under ``model``.
+
+    Expected counts are summed per task, then across tasks.
+    """
     states, classes = len(model.start), len(shares)
     shared = symbols.sparkSession.sparkContext.broadcast(model)
 
@@ -268,7 +272,9 @@ def baum_welch_pass(symbols: DataFrame, model: Model, shares: np.ndarray) -> Mod
         counts = Counts(classes, states)
         for _, tokens, sizes in _texts(batches, True):
             forward(shared.value, tokens, sizes, counts)
-        table = np.concatenate([counts.emit, counts.move, counts.start[None]])
+        found = np.zeros((1, states))
+        found[0, 0] = counts.score
+        table = np.concatenate([counts.emit, counts.move, counts.start[None], found])
         keys = np.flatnonzero(table.any(1))
         for i in range(0, len(keys), 10_000):
             own = keys[i:i + 10_000]
@@ -279,44 +285,27 @@ def baum_welch_pass(symbols: DataFrame, model: Model, shares: np.ndarray) -> Mod
     got = (symbols.select("train", "sizes", "tokens")
            .mapInArrow(expected, "key long, " + ", ".join(f"{s} double" for s in names))
            .groupBy("key").agg(*[F.sum(s).alias(s) for s in names]).toArrow())
-    table = np.zeros((classes + states + 1, states))
+    table = np.zeros((classes + states + 2, states))
     if got.num_rows:
         table[got.column("key").to_numpy()] = np.column_stack([got.column(s).to_numpy() for s in names])
     counts = Counts(classes, states)
-    counts.emit, counts.move, counts.start = table[:classes], table[classes:-1], table[-1]
+    counts.emit, counts.move, counts.start = table[:classes], table[classes:-2], table[-2]
     shared.unpersist()
-    return Model.from_counts(counts, shares)
-
-
-def _warmed(symbols: DataFrame, shares: np.ndarray, n_train: int, states: int) -> Model:
-    """First steps on a bounded sample of whole training texts, which comes to the driver."""
-    share = min(1.0, WARM_DOCS / max(1, n_train))
-
-    def draw(batches):
-        for rows, tokens, sizes in _texts(batches, True):
-            ids = np.array([i or 0 for r in rows for i, t in zip(r["ids"], r["train"], strict=True) if t], np.int64)
-            ends = np.cumsum(sizes)
-            for doc in np.flatnonzero(sizes <= WARM_TOKENS):
-                end = int(ends[doc])
-                # drawn by id and content, so that texts without an id are drawn like others
-                drawn_by = zlib.crc32(tokens[end - sizes[doc]:end].tobytes(), int(ids[doc]) & 0xFFFFFFFF)
-                if drawn_by >= share * (1 << 32):
-                    continue
-                yield pa.RecordBatch.from_pydict(
-                    {"id": [int(ids[doc])], "tokens": [_pack(tokens[end - sizes[doc]:end])]},
-                    schema=pa.schema([("id", pa.int64()), ("tokens", pa.binary())]))
-
-    drawn = symbols.select("ids", "train", "sizes", "tokens").mapInArrow(draw, "id long, tokens binary")
-    got = drawn.toArrow().sort_by([("id", "ascending"), ("tokens", "ascending")]).column("tokens").to_pylist()
-    model = Model.fresh(shares, states)
-    if got:
-        texts = [_unpack(x) for x in got]
-        tokens, sizes = np.concatenate(texts), np.array([len(x) for x in texts])
-        for _ in range(WARM_STEPS):
-            counts = Counts(len(shares), states)
-            forward(model, tokens, sizes, counts)
-            model = Model.from_counts(counts, shares)
-    return model
+    return Model.from_counts(counts, shares), float(table[-1, 0])
+
+
+def trained(symbols: DataFrame, shares: np.ndarray, states: int, passes: int = PASSES) -> tuple[Model, list[float]]:
+    """Passes over all training texts until one gains less than SETTLED of the likelihood.
+
+    ``passes`` is a ceiling.  The second result is the log10 likelihood that each pass found.
+    """
+    model, scores = Model.fresh(shares, states), []
+    while len(scores) < passes:
+        model, score = baum_welch_pass(symbols, model, shares)
+        scores.append(score)
+        if len(scores) > 1 and score - scores[-2] < SETTLED * abs(score):
+            break
+    return model, scores
 
 
 def hmm_scores(docs: DataFrame, states: int = STATES, passes: int = PASSES, text: str = "text",
@@ -434,9 +423,7 @@ def hmm_scores(docs: DataFrame, states: int = STATES, passes: int = PASSES, text
         .mapInArrow(numbered, "ids array<long>, train array<boolean>, sizes array<int>, tokens binary, "
                     "n_known array<long>, log_c array<double>, inside array<double>"), "symbols", batch_rows=1)
     drop_stage(cut, summed)
-    model = _warmed(symbols, shares, n_train, states)
-    for _ in range(passes if n_train else 0):
-        model = baum_welch_pass(symbols, model, shares)
+    model, _ = trained(symbols, shares, states, passes if n_train else 0)
     final = spark.sparkContext.broadcast(model)
     unit = float(np.log10(total + distinct + 1))
 
