@@ -3,7 +3,9 @@
 A page is read as a flat row of text blocks.  Each block has its number of words and its link
 density, those of the blocks before and after it, and what it stands in: an article or main
 part, page furniture (menus, headers, footers, sidebars, notices, adverts, forms) or reader
-comments, by element, role, class and id; headings are marked.  A decision tree, grown at
+comments, by element, role, class and id; headings are marked.  A name in which such a word is
+not the head ("social-science") makes a part only doubtful, "has-" or "no-" before it nothing,
+and an article or main part within clears what its surroundings' names said.  A decision tree, grown at
 start on the small labelled table ``LABELLED``, says which blocks are main text; they are
 joined in page order by an empty line.
 
@@ -43,9 +45,17 @@ FURNITURE = frozenset("ad ads adv advert adverts advertisement advertising spons
                       "footer masthead copyright login search toolbar complementary contentinfo dialog skip".split())
 COMMENTS = frozenset("comment comments reply replies respond discussion disqus responses".split())
 MAIN = frozenset("article main content post entry story articlebody".split())
+#: Words that name comments only beside others; parts of a name that say that something is there, or not;
+#: last parts of a name that say nothing.
+VAGUE = frozenset("responses discussion".split())
+ABOUT = frozenset("has have no not non with without is enabled disabled hide hides show shows".split())
+PLAIN = frozenset("left right top bottom bar box list container wrapper wrap block section area panel item items link "
+                  "links body header head title icon icons button buttons text message group row col column unit "
+                  "slot zone inner outer main primary secondary form tabs".split())
 
 #: The labelled table: words and link density of a block, of the one before, of the one after;
-#: in a main part (2: an article), in page furniture, in comments, a heading; whether it is main text.
+#: in a main part (2: an article), in page furniture, in comments (0.5: doubtful), a heading;
+#: whether it is main text.
 LABELLED = (
     # an article: whatever is not furniture or a comment, links and short blocks too
     (60, .00, 55, .00, 70, .00, 2, 0, 0, 0, 1), (120, .02, 40, .00, 3, .00, 2, 0, 0, 0, 1),
@@ -93,6 +103,16 @@ LABELLED = (
     (40, .80, 30, .90, 35, .85, 0, 0, 0, 0, 0), (7, .60, 50, .00, 2, 1.0, 0, 0, 0, 0, 0),
     (3, .00, 60, .00, 0, .00, 0, 0, 0, 0, 0), (5, .00, 70, .00, 2, 1.0, 0, 0, 0, 0, 0),
     (6, 1.0, 40, .00, 4, 1.0, 0, 0, 0, 0, 0), (1, .00, 0, .00, 3, 1.0, 0, 0, 0, 0, 0),
+    # a doubtful name: long blocks with few links, and what stands between them, are text
+    (80, .00, 60, .00, 70, .00, 0, .5, 0, 0, 1), (45, .02, 12, .00, 50, .00, 1, .5, 0, 0, 1),
+    (60, .00, 8, .00, 3, 1.0, 2, .5, 0, 0, 1), (150, .05, 0, .00, 90, .00, 0, .5, 0, 0, 1),
+    (30, .00, 40, .00, 0, .00, 1, .5, 0, 0, 1), (6, .00, 0, .00, 60, .00, 1, .5, 0, 1, 1),
+    (90, .00, 70, .00, 40, .00, 0, 0, .5, 0, 1), (40, .05, 6, .00, 55, .00, 1, 0, .5, 0, 1),
+    (30, .00, 45, .00, 3, 1.0, 0, 0, .5, 0, 1), (7, .00, 3, 1.0, 80, .00, 0, 0, .5, 1, 1),
+    (3, .00, 2, 1.0, 4, .00, 0, .5, 0, 0, 0), (5, 1.0, 3, 1.0, 6, 1.0, 1, .5, 0, 0, 0),
+    (2, 1.0, 60, .00, 3, 1.0, 2, .5, 0, 0, 0), (40, .80, 30, .90, 35, .85, 0, .5, 0, 0, 0),
+    (6, .00, 5, .00, 4, .00, 1, .5, 0, 0, 0), (4, .00, 3, .00, 5, .00, 0, 0, .5, 0, 0),
+    (3, 1.0, 40, .00, 2, 1.0, 1, 0, .5, 0, 0), (8, .00, 6, .00, 0, .00, 2, .5, 0, 0, 0),
 )
 
 
@@ -118,9 +138,12 @@ def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 8):
 
 
 def block_tree(labelled=LABELLED):
-    """The tree grown on a labelled table of blocks."""
+    """The tree grown on a labelled table of blocks; those under a doubtful name have a branch of their own."""
     known = np.array(labelled, float)
-    return grow(known[:, :-1], known[:, -1])
+    doubt = (known[:, 7:9] == .5).any(1) & (known[:, 7:9] < 1).all(1)
+    plain, doubtful = (grow(part[:, :-1], part[:, -1]) if len(part) else 0 for part in (known[~doubt], known[doubt]))
+    sure = (8, .75, doubtful, plain)
+    return (7, .25, (8, .25, plain, sure), (7, .75, sure, plain)) if doubt.any() else plain
 
 
 def decide(tree, row) -> int:
@@ -146,12 +169,13 @@ class Blocks(HTMLParser):
             if text:
                 linked = sum(len(t.split()) for t, link in self.parts if link)
                 words = text.count(" ") + 1
-                self.blocks.append((text, words, min(1.0, linked / words), *map(int, self.state)))
+                main, furniture, comments, heading = self.state
+                self.blocks.append((text, words, min(1.0, linked / words), main, min(1, furniture), comments, int(heading)))
             self.parts = []
 
     @property
     def state(self) -> tuple:
-        return self.open[-1][2:] if self.open else (False, False, False, False)
+        return self.open[-1][2:] if self.open else (0, 0, 0, False)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in INLINE:
@@ -168,12 +192,17 @@ class Blocks(HTMLParser):
                 self.open.pop()
         _, silent, main, furniture, comments, heading = self.open[-1] if self.open else ("", *[False] * 5)
         named, hidden = self._named(attrs)
-        main = max(main, 2 if tag == "article" or "articlebody" in named else int(tag == "main" or bool(named & MAIN)))
+        parts = {p for name in named for p in name}
+        article, clears = tag == "article", tag == "main" or ("main",) in named or "articlebody" in parts
+        if clears or article:  # 2: an element whose meaning no inner part changes, or hidden
+            furniture = furniture if furniture > 1 else 0 if clears or furniture < 1 else .5
+            comments = 0 if clears or comments < 1 else .5
+        main = max(main, 2 if article or "articlebody" in parts else int(tag == "main" or bool(parts & MAIN)))
         outer = tag not in ("html", "body", "article", "main", "h1")
-        furniture = (furniture or tag in ("nav", "footer", "aside", "menu") or tag in FORM or hidden
-                     or (outer and bool(named & FURNITURE))
-                     or (not main and (tag == "header" or (outer and "header" in named))))
-        comments = comments or (outer and bool(named & COMMENTS))
+        furniture = max(furniture, 2 if tag in ("nav", "footer", "aside", "menu") or hidden else int(tag in FORM),
+                        self._is(named, FURNITURE) if outer else 0,
+                        int(not main and (tag == "header" or (outer and "header" in parts))))
+        comments = max(comments, self._is(named, COMMENTS) if outer or article else 0)
         self.open.append((tag, silent or tag in SILENT, main, furniture, comments,
                           heading or tag in HEADINGS))
         if self.link > len(self.open):
@@ -181,18 +210,36 @@ class Blocks(HTMLParser):
 
     @staticmethod
     def _named(attrs: list) -> tuple[set, bool]:
+        """The words of each class, id, role and itemprop, and whether the element is hidden."""
         names, hidden = set(), False
         for key, value in attrs:
             if key in ("class", "id", "role", "itemprop"):
-                split = re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", value or "").lower()
-                names.update(re.findall(r"[a-z]+", split))
-                if (value or "").lower() == "articlebody":
-                    names.add("articlebody")
+                for name in (value or "").split():
+                    split = re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", name).lower()
+                    words = tuple(w for w in re.findall(r"[a-z]+", split) if len(w) > 1)
+                    if words and not ABOUT.intersection(words):
+                        names.add(words)
+                    if name.lower() == "articlebody":
+                        names.add(("articlebody",))
             elif key == "hidden" or (key == "aria-hidden" and value == "true") or (
                     key == "style" and re.search(r"display\s*:\s*none", value or "", re.I)):
                 hidden = True
         return names, hidden
 
+    @staticmethod
+    def _is(named: set, words: frozenset) -> float:
+        """1: a name's head is one of ``words``; 0.5: another part of a name is, or a vague word; else 0."""
+        best = 0
+        for name in named:
+            rest = list(name)
+            while len(rest) > 1 and rest[-1] in PLAIN and rest[-1] not in words:
+                rest.pop()
+            if rest[-1] in words and rest[-1] not in VAGUE:
+                return 1
+            if words.intersection(name):
+                best = .5
+        return best
+
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)  # as browsers do, except for elements of other name spaces
         if tag in ("svg", "math"):

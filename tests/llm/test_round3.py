@@ -1,8 +1,11 @@
 """Operators do the whole job: findings of the second review."""
 
 import numpy as np
+import pytest
 
-from cellhealth.llm import lm_scoring
+from cellhealth.llm import html_text, lm_scoring
+
+STORY = "".join(f"<p>{' '.join(f'word{i}x{j}' for j in range(40))}.</p>" for i in range(4))
 
 
 def test_every_hmm_pass_reads_every_training_text(spark):
@@ -26,3 +29,27 @@ def test_every_hmm_pass_reads_every_training_text(spark):
     assert np.allclose(scores, exp, rtol=1e-4) and np.allclose(got.emit, model.emit, atol=1e-3)
     gains = np.diff(scores) / np.abs(scores[1:])
     assert len(scores) > 2 and gains[-1] < lm_scoring.SETTLED and (gains[:-1] >= lm_scoring.SETTLED).all()
+
+
+@pytest.mark.parametrize("before,after", [
+    ("<div class='page has-sidebar'><article>", "</article></div>"), ("<div id='layout' class='no-sidebar'>", "</div>"),
+    ("<section class='story social-science'>", "</section>"), ("<div class='content share-enabled'>", "</div>"),
+    ("<div class='discussion-paper'>", "</div>"), ("<div class='responses'>", "</div>"),
+    ("<div class='social'><article>", "</article></div>"), ("<form><main>", "</main></form>"),
+    ("<div class='comments'><div itemprop='articleBody'>", "</div></div>")])
+def test_doubtful_names_keep_the_article(before, after):
+    page = f"<body><nav><a href=x>Home</a></nav>{before}{STORY}{after}<div class='site-footer'>Imprint {STORY}</div></body>"
+    text = html_text.main_text(page, html_text.block_tree())
+    assert text.count("word") == 160 and "Home" not in text and "Imprint" not in text
+
+
+@pytest.mark.parametrize("name", ["site-footer", "cookie-banner", "sidebar-left", "comment-body", "post-comments", "adSlot"])
+def test_names_of_furniture_still_count(name):
+    page = f"<body><article>{STORY}<div class='{name}'><p>away {'gone ' * 50}</p></div></article></body>"
+    text = html_text.main_text(page, html_text.block_tree())
+    assert text.count("word") == 160 and "gone" not in text
+
+
+def test_labelled_rows_are_learnt():
+    tree = html_text.block_tree()
+    assert sum(html_text.decide(tree, r[:-1]) != r[-1] for r in html_text.LABELLED) <= 2
