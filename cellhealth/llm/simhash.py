@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellhealth.llm.common import (blocks, components, drop_stage, join_groups, numbered_columns, prepare,
-                                   raw_text, write_stage)
+                                   raw_text, reread, write_stage)
 
 SEED = 42
 #: Shingle hashes whose bits are counted at once; bounds the memory of a very long text.
@@ -78,14 +78,19 @@ def fingerprints(raws: list[bytes], width: int) -> np.ndarray:
 def simhash(docs: DataFrame, width: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed 64-bit integer, one row per row of ``docs``."""
     prepare(docs, text, doc_id)
+    return _printed(docs.select(F.col(doc_id).cast("long").alias("doc_id"), raw_text(text).alias("raw")), width)
+
+
+def _printed(rows: DataFrame, width: int) -> DataFrame:
+    """``rows`` (whole numbers and ``raw``) with fp in the place of raw."""
+    names = [c for c in rows.columns if c != "raw"]
 
     def prints(batches):
         for rest, raws in blocks(batches, "raw", 4 << 20):
             yield pa.RecordBatch.from_arrays(
-                [rest["doc_id"], pa.array(fingerprints(raws, width).view(np.int64))], names=["doc_id", "fp"])
+                [*[rest[c] for c in names], pa.array(fingerprints(raws, width).view(np.int64))], names=[*names, "fp"])
 
-    return (docs.select(F.col(doc_id).cast("long").alias("doc_id"), raw_text(text).alias("raw"))
-            .mapInArrow(prints, "doc_id long, fp long"))
+    return rows.mapInArrow(prints, ", ".join(f"{c} long" for c in [*names, "fp"]))
 
 
 def ball(radius: int) -> list[int]:
@@ -139,11 +144,20 @@ def simhash_groups(docs: DataFrame, width: int = 3, distance: int = 2, text: str
 
 def drop_near_copies(docs: DataFrame, width: int = 3, distance: int = 2, text: str = "text",
                      doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with one document of each component: the smallest doc_id.
+    """``docs`` with exactly one row of each component: of the smallest doc_id, a null one first.
 
-    Rows that repeat the id of a kept document stay together, as one document.
+    Of rows that share this id the one that comes first in a written table stays.
     """
-    kept = (simhash_groups(docs, width, distance, text, doc_id)
-            .filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct())
-    own, id_ = numbered_columns(docs), F.col(f"c{docs.columns.index(doc_id)}").cast("long")
-    return own.join(kept.hint("shuffle_hash"), id_.eqNullSafe(F.col("kept")), "left_semi").toDF(*docs.columns)
+    prepare(docs, text, doc_id)
+    own = numbered_columns(docs)
+    id_, text_ = (f"c{docs.columns.index(c)}" for c in (doc_id, text))
+    whole = write_stage(own.select(F.monotonically_increasing_id().alias("row"), "*"), "documents")
+    rows = _printed(whole.select("row", F.col(id_).cast("long").alias("doc_id"), raw_text(text_).alias("raw")), width)
+    prints = write_stage(rows.groupBy("fp").agg(F.min(F.struct("doc_id", "row")).alias("first")), "distinct")
+    linked = components(near_links(prints.select("fp"), distance), "a", "b")
+    kept = (prints.join(linked, prints.fp == linked.node, "left")
+            .groupBy(F.coalesce("component", "fp").alias("component"))
+            .agg(F.min("first").getField("row").alias("row")))
+    kept = write_stage(kept.select("row"), "kept")
+    drop_stage(prints, linked)
+    return reread(whole).join(kept.hint("shuffle_hash"), "row", "left_semi").drop("row").toDF(*docs.columns)

@@ -3,7 +3,8 @@
 import numpy as np
 import pytest
 
-from cellhealth.llm import html_text, lm_scoring
+from cellhealth.llm import html_text, lm_scoring, simhash
+from tests.llm.helpers import documents
 
 STORY = "".join(f"<p>{' '.join(f'word{i}x{j}' for j in range(40))}.</p>" for i in range(4))
 
@@ -53,3 +54,10 @@ def test_names_of_furniture_still_count(name):
 def test_labelled_rows_are_learnt():
     tree = html_text.block_tree()
     assert sum(html_text.decide(tree, r[:-1]) != r[-1] for r in html_text.LABELLED) <= 2
+
+
+def test_one_row_of_each_near_group_whatever_its_ids(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    df = documents(spark, [a, a, a, b, b, b, "c d e f"], [None, None, 5, 7, 7, 5, 7])
+    got = sorted((r.text, r.doc_id) for r in simhash.drop_near_copies(df).collect())
+    assert got == [(a, None), (b, 5), ("c d e f", 7)]
