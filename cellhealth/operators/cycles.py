@@ -8,7 +8,7 @@ table, orders of magnitude smaller than the raw telemetry.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellhealth import schema as S
@@ -24,14 +24,18 @@ def with_cycle(df: DataFrame, width: float = S.CYCLE_WIDTH) -> DataFrame:
     return df.withColumn("cycle", cycle_bucket("time", width))
 
 
+def cycle_measures() -> list[Column]:
+    """A1 + E8: the aggregates of one cycle's readings (``S.CYCLE_MEASURES``)."""
+    return [F.avg("voltage_load").alias("avg_voltage"),
+            F.min("voltage_load").alias("min_voltage"),
+            F.avg("current_load").alias("avg_current"),
+            F.max("temperature_battery").alias("max_temp"),
+            (F.max("time") - F.min("time")).alias("duration")]
+
+
 def aggregate_cycles(df: DataFrame) -> DataFrame:
     """A1 + E8: one row per (battery_id, battery_type, cycle)."""
-    return (df.groupBy(*S.CYCLE_KEYS)
-              .agg(F.avg("voltage_load").alias("avg_voltage"),
-                   F.min("voltage_load").alias("min_voltage"),
-                   F.avg("current_load").alias("avg_current"),
-                   F.max("temperature_battery").alias("max_temp"),
-                   (F.max("time") - F.min("time")).alias("duration")))
+    return df.groupBy(*S.CYCLE_KEYS).agg(*cycle_measures())
 
 
 def aggregate_cycles_by_file(readings: DataFrame, path_col: str = "file_path",

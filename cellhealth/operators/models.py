@@ -2,9 +2,9 @@
 
 The reference trains two recurrent networks on one machine.  The Spark form
 of the same capability: flatten each 20-cycle window into one vector (M1)
-and fit MLlib gradient-boosted trees on all training sequences, keeping those up
-to the least validation loss that ``patience`` further ones do not beat (M4).  Bounds of the reference's output
-activations are kept by clipping: SoH in [0, 1], RUL ratio >= 0.
+and boost regression trees on all training sequences, on the Huber loss
+and with the stopping rule of the original (M4, ``fit_regressor``).  Bounds of the
+reference's output activations are kept by clipping: SoH in [0, 1], RUL ratio >= 0.
 """
 
 from __future__ import annotations
@@ -13,12 +13,16 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import SparkContext
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellhealth.functions.expressions import clip
+from cellhealth.operators import boosting
+
+ROUND_SCHEMA = ("epoch int, loss double, val_loss double, rmse double, val_rmse double, "
+                "kept boolean")
+WINDOW_KEYS = ("battery_id", "battery_type", "cycle")
 
 
 @dataclass(frozen=True)
@@ -27,13 +31,15 @@ class TreeParams:
 
     ``max_iter`` is a ceiling.  Boosting ends before it once ``patience``
     iterations in a row bring no smaller validation loss; the trees up to the
-    least one are kept.  ``partitions``: over how many partitions the training
-    rows are dealt by a hash of their keys, whatever the machine.
+    least one are kept.  ``partitions``: over how many partitions at least the training
+    rows are dealt by a hash of their keys, whatever the machine; more rows take more.
+    ``max_bins``: at most 256.  ``step_size`` applies
+    to plain residuals (MLlib's own boosting doubles them: its 0.1 is 0.2 here).
     """
     max_iter: int = 50
     max_depth: int = 4
     max_bins: int = 32
-    step_size: float = 0.1
+    step_size: float = 0.2
     subsampling_rate: float = 1.0
     patience: int = 20
     seed: int = 42
@@ -56,68 +62,62 @@ def stop_rule(losses: Sequence[float], patience: int) -> tuple[int, bool]:
     return (len(losses) if best is None else best + 1), False
 
 
-def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
-    """The model of the first ``n`` trees, with all parameters of ``model``."""
-    if n >= model.getNumTrees:
-        return model
-    java, sc = model._java_obj, SparkContext._active_spark_context
-    ml = sc._jvm.org.apache.spark.ml.regression
-    trees = sc._gateway.new_array(ml.DecisionTreeRegressionModel, n)
-    weights = sc._gateway.new_array(sc._jvm.double, n)
-    for i, (tree, weight) in enumerate(zip(list(java.trees())[:n], model.treeWeights)):
-        trees[i], weights[i] = tree, float(weight)
-    cut = GBTRegressionModel(ml.GBTRegressionModel(model.uid, trees, weights, model.numFeatures))
-    cut._resetUid(model.uid)
-    model._copyValues(cut)
-    cut._transfer_params_to_java()
-    return cut
+def bin_rows(train_val: DataFrame, columns: Sequence[str], params: TreeParams,
+             features: str = "features", validation: str = "is_val",
+             keys: Sequence[str] = WINDOW_KEYS) -> boosting.Binned:
+    """The rows of one or more fits on the same features, binned and written once."""
+    return boosting.bin_rows(train_val, columns, keys, params.max_bins, params.partitions,
+                             features, validation)
+
+
+def fit_regressors(rows: boosting.Binned, fits: Sequence[boosting.Fit],
+                   params: TreeParams = TreeParams()) -> list[GBTRegressionModel]:
+    """M2/M3/M4: stage-wise boosting of regression trees that ends itself, for several models
+    on the same rows, side by side: one job a tree level for all of them.
+
+    Each fit names its label, the weights of training rows, the ``delta`` of its Huber loss
+    (None: squared) and the features it may use.  The first tree is fitted on the label, each
+    further one on the pseudo-residuals of the model so far (``boosting``).  Once ``patience``
+    rounds in a row bring no smaller validation loss no further tree is fitted, and the model
+    is cut at the least one (``stop_rule``).
+
+    A model's ``rounds`` are (epoch, loss, val_loss, rmse, val_rmse, kept) of every round.
+    """
+    def ended(fit: boosting.Fit) -> bool:
+        return (len(fit.trees) >= params.max_iter
+                or stop_rule([x[1] for x in fit.losses], params.patience)[1])
+
+    boosting.boost(rows, fits, params.max_depth, params.step_size, ended,
+                   params.subsampling_rate, params.seed)
+    out = []
+    for fit in fits:
+        kept = stop_rule([x[1] for x in fit.losses], params.patience)[0]
+        model = boosting.to_model(fit.trees[:kept], rows.cuts, params.step_size, rows.features,
+                                  fit.chosen)
+        model.rounds = [(i + 1, *x, i < kept) for i, x in enumerate(fit.losses)]
+        out.append(model)
+    return out
 
 
 def fit_regressor(train_val: DataFrame, label: str, params: TreeParams = TreeParams(),
                   weight: str | None = None, features: str = "features",
-                  validation: str = "is_val",
-                  keys: Sequence[str] = ("battery_id", "battery_type", "cycle"),
-                  ) -> GBTRegressionModel:
-    """M2/M3/M4: gradient-boosted trees with validation-based early stopping.
-
-    ``train_val`` holds the training rows and the validation rows, told
-    apart by the boolean column ``validation``.  MLlib's own rule has no patience,
-    so all iterations are fitted and the model is cut by ``stop_rule``; its
-    ``val_losses`` are the validation losses of all of them.
-    """
-    gbt = GBTRegressor(featuresCol=features, labelCol=label, predictionCol="prediction",
-                       maxIter=params.max_iter, maxDepth=params.max_depth,
-                       maxBins=params.max_bins, stepSize=params.step_size,
-                       subsamplingRate=params.subsampling_rate, seed=params.seed)
-    if weight is not None:
-        gbt = gbt.setWeightCol(weight)
-    # Every boosting iteration is one pass over the partitions.  Rows are dealt and
-    # ordered by their keys, so the fit does not depend on files or cores.
-    rows = train_val.select(*keys, features, label, validation, *([weight] if weight else []))
-    dealt = (rows.filter(~F.col(validation)).repartition(params.partitions, *keys)
-                 .sortWithinPartitions(*keys))
-    full = gbt.fit(dealt)
-    losses = [float(x) for x in full.evaluateEachIteration(rows.filter(validation), "squared")]
-    model = first_trees(full, stop_rule(losses, params.patience)[0])
-    model.val_losses = losses
-    return model
-
-
-def training_history(model: GBTRegressionModel, train: DataFrame, val: DataFrame, name: str,
-                     spark: SparkSession) -> DataFrame:
-    """M5/R2: loss and RMSE after every boosting iteration (1-based ``epoch``),
-    on the training rows and on the validation rows.
-
-    ``evaluateEachIteration`` makes one distributed pass per dataset and
-    returns one number per tree, so the lists are bounded by ``maxIter``.
-    """
-    tr = model.evaluateEachIteration(train, "squared")
-    vl = model.evaluateEachIteration(val, "squared")
-    rows = [(name, i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(tr, vl))]
-    h = spark.createDataFrame(rows, "model string, epoch int, loss double, val_loss double")
-    # MLlib's "squared" loss per iteration is the mean squared error.
-    return (h.withColumn("rmse", F.sqrt("loss"))
-             .withColumn("val_rmse", F.sqrt("val_loss")))
+                  validation: str = "is_val", keys: Sequence[str] = WINDOW_KEYS,
+                  delta: float | None = None) -> GBTRegressionModel:
+    """One model of ``fit_regressors``; ``train_val`` holds the training rows and the
+    validation rows, told apart by the boolean column ``validation``."""
+    rows = bin_rows(train_val, [label, *([weight] if weight else [])], params, features,
+                    validation, keys)
+    try:
+        return fit_regressors(rows, [boosting.Fit(label, weight, delta)], params)[0]
+    finally:
+        rows.drop()
+
+
+def training_history(model: GBTRegressionModel, name: str, spark: SparkSession) -> DataFrame:
+    """M5/R2: losses and RMSE of every boosting round (1-based ``epoch``), training and
+    validation; ``kept`` tells the rounds of the model from those of its patience."""
+    h = spark.createDataFrame(model.rounds, ROUND_SCHEMA)
+    return h.select(F.lit(name).alias("model"), "*")
 
 
 def score(model: GBTRegressionModel, seqs: DataFrame, out: str,

@@ -43,14 +43,20 @@ def with_sample_weight(seqs: DataFrame) -> DataFrame:
     return seqs.withColumn("weight", F.lit(2.0) - F.col("cycle_norm"))
 
 
+def step_places(features: Sequence[str], chosen: Sequence[str], seq_len: int = S.SEQ_LEN
+                ) -> list[int]:
+    """Where the columns ``chosen`` stand in windows assembled over ``features``."""
+    at = {f: i for i, f in enumerate(features)}
+    return [step * len(features) + at[f] for step in range(seq_len) for f in chosen]
+
+
 def steps_of(seqs: DataFrame, features: Sequence[str], chosen: Sequence[str],
              seq_len: int = S.SEQ_LEN, src: str = "features", out: str = "features"
              ) -> DataFrame:
     """M1: of windows assembled over ``features`` keep the columns ``chosen``."""
     from pyspark.ml.feature import VectorSlicer
 
-    at = {f: i for i, f in enumerate(features)}
-    wanted = [step * len(features) + at[f] for step in range(seq_len) for f in chosen]
+    wanted = step_places(features, chosen, seq_len)
     cut = VectorSlicer(inputCol=src, outputCol="_cut", indices=wanted).transform(seqs)
     return cut.drop(src).withColumnRenamed("_cut", out)
 

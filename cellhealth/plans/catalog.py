@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,9 +31,10 @@ from cellhealth.operators import (
     split,
 )
 from cellhealth.operators import models
+from cellhealth.operators import stages as ml_stages
 from cellhealth.plans import etl, training
 from cellhealth.sources import readers, sinks
-from cellhealth.streaming import cycle_stream, score_stream
+from cellhealth.streaming import cycle_stream, event_cycles, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -457,11 +458,7 @@ def q41_stream_cycle_aggregate(spark, sf_dir):
     return _rounded(cycle_stream.read_cycle_stream(spark, out))
 
 
-def _finish(q) -> None:
-    """Wait for an availableNow stream to end; its failure is raised here."""
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+_finish = event_cycles.finish
 
 
 _TRAINED: dict = {}
@@ -490,7 +487,7 @@ def q43_rul_predictions(spark, sf_dir):
 
 
 def q44_training_history(spark, sf_dir):
-    """Validation loss per iteration and the best iteration."""
+    """Losses of every round, the best one, and which were kept (best + patience)."""
     h = training.history(trained(spark, sf_dir))
     best = metrics.best_epoch(h).select("model", F.col("best_epoch").alias("epoch"),
                                         F.lit(True).alias("is_best"))
@@ -627,28 +624,39 @@ def q57_model_reload(spark, sf_dir):
     return _differing(t.scored, again, "reloaded")
 
 
-def q58_history_contract(spark, sf_dir):
-    """Losses finite, epochs counted from 1, best epoch first of the least loss;
-    the kept trees end at the least validation loss and ``patience`` further ones, still
-    under the ceiling, did not beat it."""
-    t = trained(spark, sf_dir)
-    h = training.history(t)
-    rule = []
-    for name, m in (("soh", t.soh_model), ("rul", t.rul_model)):
-        kept, ended = models.stop_rule(m.val_losses, models.TreeParams.patience)
-        rule += [F.lit(name), F.lit(kept if ended else None)]
-    best = metrics.best_epoch(h)
+def history_contract(history: DataFrame, trees: DataFrame, patience: int) -> DataFrame:
+    """What must hold of a run's rounds, by model; ``trees``: (model, n_trees) of the saved models.
+
+    The best round is found anew by a window in loss order, so a wrong best epoch, tree
+    count, kept flag or a round fitted after the rule fired shows.
+    """
     fine = [F.coalesce(F.abs(c) < float("inf"), F.lit(False))
             for c in ("loss", "val_loss", "rmse", "val_rmse")]
-    per = h.groupBy("model").agg(
-        F.min(F.struct("val_loss", "epoch")).alias("_least"),
+    # One row per round, at most the ceiling's number by model.
+    order = Window.partitionBy("model").orderBy("val_loss", "epoch")
+    ranked = history.withColumn("_at", F.row_number().over(order))
+    per = ranked.groupBy("model").agg(
         F.every(fine[0] & fine[1] & fine[2] & fine[3]).alias("losses_finite"),
         ((F.min("epoch") == 1) & (F.max("epoch") == F.count(F.lit(1)))).alias("epochs_complete"),
-        F.coalesce(F.max("epoch") == F.max(F.create_map(*rule)[F.col("model")]), F.lit(False))
-        .alias("stopped_early"))
-    return per.join(best, "model").select(
-        "model", "losses_finite", "epochs_complete", "stopped_early",
-        (F.col("best_epoch") == F.col("_least.epoch")).alias("best_epoch_is_least"))
+        F.max("epoch").alias("_last"), F.max(F.when(F.col("_at") == 1, F.col("epoch"))).alias("_best"),
+        F.max(F.when(F.col("kept"), F.col("epoch"))).alias("_kept"),
+        F.count_if("kept").alias("_n_kept"))
+    said = metrics.best_epoch(history).select("model", "best_epoch")
+    return per.join(said, "model").join(trees, "model").select(
+        "model", "losses_finite", "epochs_complete",
+        (F.col("_last") == F.col("_best") + patience).alias("ended_by_patience"),
+        (F.col("best_epoch") == F.col("_best")).alias("best_epoch_is_least"),
+        ((F.col("n_trees") == F.col("_best")) & (F.col("_kept") == F.col("_best"))
+         & (F.col("_n_kept") == F.col("_best"))).alias("kept_up_to_best"))
+
+
+def q58_history_contract(spark, sf_dir):
+    """Losses finite, epochs counted from 1, fitting ended ``patience`` rounds after
+    the least validation loss and no later, the saved trees are those up to it."""
+    t = trained(spark, sf_dir)
+    trees = spark.createDataFrame([(name, m.getNumTrees) for name, m in (
+        ("soh", t.soh_model), ("rul", t.rul_model))], "model string, n_trees int")
+    return history_contract(training.history(t), trees, models.TreeParams.patience)
 
 
 def q59_prediction_sinks(spark, sf_dir):
@@ -677,6 +685,54 @@ def q60_eol_sink(spark, sf_dir):
     return rep.select("battery_id", "actual_eol_cycle")
 
 
+#: Event time: half a day of delay is allowed; a cycle of 1000 time units is 30,000 seconds.
+DELAY_SECONDS, CYCLE_SECONDS, ORIGIN = 43_200, 30_000, "2024-01-01 00:00:00"
+
+
+def event_cycle_runs(spark, sf_dir) -> tuple[str, list]:
+    """Telemetry landed in turns, each followed by a run of the event-time stream: (output
+    folder, ``state_rows`` of each run)."""
+    src, out, ck = (stage_path(spark, n) for n in ("landed", "event_out", "event_ck"))
+    t = fixtures.landings(spark, sf_dir)
+    schema = t.drop("landing").schema
+    runs = []
+    for k in range(fixtures.LANDINGS):
+        t.filter(F.col("landing") == k).drop("landing").write.mode("append").parquet(src)
+        runs.append(event_cycles.run_event_cycles(
+            spark, lambda: spark.readStream.schema(schema).parquet(src), schema, out, ck,
+            DELAY_SECONDS, CYCLE_SECONDS, ORIGIN))
+    return out, runs
+
+
+def q61_event_time_cycles(spark, sf_dir):
+    """ST1 with event time: cycles closed by the watermark, each appended once."""
+    out, _ = event_cycle_runs(spark, sf_dir)
+    return _rounded(spark.read.parquet(f"{out}/cycles"))
+
+
+def q62_late_readings(spark, sf_dir):
+    """ST1 with event time: readings that came too late or without a time, by reason and day."""
+    out, _ = event_cycle_runs(spark, sf_dir)
+    late = spark.read.parquet(f"{out}/late")
+    return _rounded(late.groupBy("reason", F.floor(F.unix_seconds("event_time") / F.lit(86_400)).alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("time").alias("sum_time")))
+
+
+def q63_pipeline_reload(spark, sf_dir):
+    """One saved pipeline per way of scoring, reloaded and given raw rows: rows that
+    differ from the step-by-step forms."""
+    t = trained(spark, sf_dir)
+    out = stage_path(spark, "pipelines")
+    for name, m in training.pipelines(t).items():
+        ml_stages.save_pipeline(m, f"{out}/{name}")
+    readings = ml_stages.load_pipeline(f"{out}/reading_pipeline").transform(
+        fixtures.readings(spark, sf_dir))
+    windows = _rounded(ml_stages.load_pipeline(f"{out}/window_pipeline").transform(t.frame))
+    return _differing(readings, q46_score_readings(spark, sf_dir).select(*readings.columns),
+                      "readings").unionByName(
+        _differing(windows, _rounded(t.scored.select(*windows.columns)), "windows"))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items()
             if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}

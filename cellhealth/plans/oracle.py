@@ -536,8 +536,8 @@ SELECT 'scored: only first' AS side, 0 AS n UNION ALL SELECT 'scored: only secon
 SQL["q57_model_reload"] = """
 SELECT 'reloaded: only first' AS side, 0 AS n UNION ALL SELECT 'reloaded: only second', 0"""
 SQL["q58_history_contract"] = """
-SELECT model, true AS losses_finite, true AS epochs_complete, true AS stopped_early,
-       true AS best_epoch_is_least
+SELECT model, true AS losses_finite, true AS epochs_complete, true AS ended_by_patience,
+       true AS best_epoch_is_least, true AS kept_up_to_best
 FROM (VALUES ('soh'), ('rul')) v(model)"""
 SQL["q59_prediction_sinks"] = with_ctes("scored", f"""
 SELECT battery_id, battery_type, cycle, split, {r('SoH_smoothed')} AS actual_soh,
@@ -550,3 +550,43 @@ SQL["q50_actual_vs_predicted"] = with_ctes("scored", f"""
 SELECT battery_id, battery_type, cycle, {r('SoH_smoothed')} AS actual,
        {r('predicted_SoH')} AS predicted, 0.7e0 AS threshold
 FROM test""")
+
+
+# Event time: landings as in the fixture; a row is late if its window ended by the largest event
+# time of earlier landings less half a day; a cycle is closed by the rows in time.
+_EVENTS = """
+WITH ev AS (
+  SELECT 'battery' || lpad(CAST(user_id // 3 AS VARCHAR), 4, '0') AS battery_id,
+         CASE (user_id // 3) % 3 WHEN 0 THEN 'regular' WHEN 1 THEN 'recommissioned'
+              ELSE 'second_life' END AS battery_type,
+         CAST(epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00') AS DOUBLE) / 30000000e0 AS time,
+         event_type NOT IN ('error', 'signup') AND event_id % 97 <> 0 AS discharge,
+         4.2e0 - value / 500e0 AS voltage_load, 1e0 + (event_id % 7) / 10e0 AS current_load,
+         20e0 + CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) / 10e0 AS temperature_battery,
+         CASE WHEN event_id % 101 = 7 THEN NULL ELSE epoch_us(ts) END AS et,
+         epoch_us(ts) AS us,
+         least(5, event_id // ((SELECT count(*) + 5 FROM events) // 6)
+                  + CASE WHEN event_id % 40 = 0 THEN 3 WHEN event_id % 31 = 0 THEN 1 ELSE 0 END) AS landing
+  FROM events),
+marks AS (SELECT l.landing, (SELECT max(e.et) FROM ev e WHERE e.landing < l.landing) - 43200000000 AS mark
+          FROM (SELECT DISTINCT landing FROM ev) l),
+told AS (
+  SELECT ev.*, (et - 1704067200000000) // 30000000000 AS cycle,
+         CASE WHEN et IS NULL THEN 'no event time'
+              WHEN 1704067200000000 + ((et - 1704067200000000) // 30000000000 + 1) * 30000000000 <= mark
+              THEN 'late' END AS reason
+  FROM ev JOIN marks USING (landing)),
+in_time AS (SELECT * FROM told WHERE reason IS NULL AND discharge)"""
+SQL["q61_event_time_cycles"] = _EVENTS + f"""
+SELECT battery_id, battery_type, CAST(cycle AS INTEGER) AS cycle, {r('avg(voltage_load)')} AS avg_voltage,
+       {r('min(voltage_load)')} AS min_voltage, {r('avg(current_load)')} AS avg_current,
+       {r('max(temperature_battery)')} AS max_temp, {r('max(time) - min(time)')} AS duration
+FROM in_time
+WHERE 1704067200000000 + (cycle + 1) * 30000000000 <= (SELECT max(et) FROM in_time) - 43200000000
+GROUP BY battery_id, battery_type, in_time.cycle"""
+SQL["q62_late_readings"] = _EVENTS + f"""
+SELECT reason, et // 86400000000 AS day, count(*) AS n, {r('sum(time)')} AS sum_time
+FROM told WHERE reason IS NOT NULL GROUP BY ALL"""
+SQL["q63_pipeline_reload"] = """
+SELECT side, 0 AS n FROM (VALUES ('readings: only first'), ('readings: only second'),
+                                 ('windows: only first'), ('windows: only second')) v(side)"""

@@ -1,8 +1,8 @@
 """Batch scoring job: readings in, SoH % / RUL cycles / health band out.
 
-Loads the scorer's scaler statistics and both fitted models written by
-``training.write_outputs`` (S11, S12), scores every reading with
-``scoring.score_readings`` and writes the scored and the rejected readings.
+Loads the one pipeline that ``training.write_outputs`` saved for single readings (S12:
+validation, cold start, scaling, both models, bounds, band), scores every reading with it
+and writes the scored and the rejected readings.
 The streaming form of the same job is ``streaming.score_stream``.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cellhealth import schema as S
-from cellhealth.operators import models, scoring
+from cellhealth.operators import models, scoring, stages
 from cellhealth.sources import readers, sinks
 
 
@@ -25,8 +25,9 @@ def load_scorer(spark: SparkSession, model_dir: str):
 
 def run_scoring(readings: DataFrame, model_dir: str, out_dir: str | None = None
                 ) -> tuple[DataFrame, DataFrame]:
-    stats, soh, rul = load_scorer(readings.sparkSession, model_dir)
-    scored, rejected = scoring.score_readings(readings, stats, soh, rul)
+    scorer = stages.load_pipeline(f"{model_dir.rstrip('/')}/models/reading_pipeline")
+    scored = scorer.transform(readings)
+    rejected = scoring.validate_readings(readings)[1].select("request_id", "reason")
     if out_dir:
         out = out_dir.rstrip("/")
         sinks.write_parquet(scored, f"{out}/scored")

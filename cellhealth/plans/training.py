@@ -3,7 +3,7 @@
 final dataset -> model frame (features, smoothed SoH) -> stratified battery
 split -> min-max scaling fitted on train -> 20-cycle sequences, built once per
 battery and written once -> gradient-boosted regressors for SoH and RUL ratio
-with validation-based early stopping -> all sequences scored once (written) ->
+on Huber losses, ended by the validation loss -> all sequences scored once (written) ->
 from that table the predictions, metrics, end-of-life report and summary.  A
 second pair of models on the 27 features the single-reading scorer can build
 serves ``scoring``; its windows are columns of the same sequences.  All steps
@@ -21,7 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellhealth import schema as S
-from cellhealth.operators import eol, features, metrics, models, scaling, sequences, split
+from cellhealth.operators import (eol, features, metrics, models, scaling, sequences, split,
+                                  stages)
+from cellhealth.operators.boosting import Fit
 from cellhealth.operators.models import TreeParams
 from cellhealth.session import write_stage
 from cellhealth.sources import sinks
@@ -35,7 +37,7 @@ class TrainingConfig:
     params: TreeParams = TreeParams()
     threshold: float = S.FAILURE_THRESHOLD
     seed: int = S.SEED
-    parallelism: int = 4        # models fitted concurrently (as CrossValidator does)
+    parallelism: int = 4        # parts of the summary worked out side by side
 
 
 @dataclass
@@ -89,17 +91,19 @@ def fit_all(final: DataFrame, cfg: TrainingConfig = TrainingConfig(),
     own = lambda cols: (windows if cols == both else
                         sequences.steps_of(windows, both, cols, cfg.seq_len))
     seqs = split.with_split(own(feats), asg)
-    tv = models.with_validation_flag(seqs)
-    stv = models.with_validation_flag(split.with_split(own(sfeats), asg))
-    fits = [(tv, S.SOH_TARGET, None), (tv, f"{S.RUL_TARGET}_s", "weight"),
-            (stv, S.SOH_TARGET, None), (stv, "remaining_cycles_s", None)]
-    # The four fits are independent Spark jobs; submitting them from
-    # parallel threads lets their (small, many) jobs share the executors.
-    fit = inheritable_thread_target(frame.sparkSession)(models.fit_regressor)
-    with ThreadPoolExecutor(max_workers=max(1, cfg.parallelism)) as pool:
-        futures = [pool.submit(fit, data, label, cfg.params, weight)
-                   for data, label, weight in fits]
-        soh_model, rul_model, scorer_soh, scorer_rul = [f.result() for f in futures]
+    p, soh, rul = cfg.params, S.SOH_TARGET, f"{S.RUL_TARGET}_s"
+    # Rows are binned and written once; the four fits share them and every pass over them.
+    rows = models.bin_rows(models.with_validation_flag(split.with_split(windows, asg)),
+                           [soh, rul, "remaining_cycles_s", "weight"], p)
+    mine, scorer = (sequences.step_places(both, cols, cfg.seq_len) for cols in (feats, sfeats))
+    try:
+        soh_model, rul_model, scorer_soh, scorer_rul = models.fit_regressors(rows, [
+            Fit(soh, None, S.SOH_HUBER_DELTA, mine),
+            Fit(rul, "weight", S.RUL_HUBER_DELTA, mine),
+            Fit(soh, None, S.SOH_HUBER_DELTA, scorer),
+            Fit("remaining_cycles_s", None, S.RUL_HUBER_DELTA, scorer)], p)
+    finally:
+        rows.drop()
     t = Trained(frame, asg, stats, windows, seqs, soh_model, rul_model, sstats, scorer_soh,
                 scorer_rul)
     t.scored = write_stage(score_windows(own(feats), soh_model, rul_model, stats), "scored")
@@ -122,13 +126,11 @@ def score_windows(windows: DataFrame, soh_model, rul_model, stats) -> DataFrame:
 
 
 def history(t: Trained) -> DataFrame:
-    """R2/M5: training and validation loss / RMSE per boosting iteration."""
+    """R2/M5: training and validation loss / RMSE of every boosting round, also of those whose
+    trees were not kept."""
     spark = t.seqs.sparkSession
-    val = t.seqs.filter(F.col("split") == "val")
-    train = t.seqs.filter(F.col("split") == "train")
-    h_soh = models.training_history(t.soh_model, train, val, "soh", spark)
-    h_rul = models.training_history(t.rul_model, train, val, "rul", spark)
-    return h_soh.unionByName(h_rul)
+    return models.training_history(t.soh_model, "soh", spark).unionByName(
+        models.training_history(t.rul_model, "rul", spark))
 
 
 def scored_split(t: Trained, split_name: str | None = "test") -> DataFrame:
@@ -219,15 +221,24 @@ def summary_record(scored: DataFrame, assignment: DataFrame, epochs: DataFrame,
     return spark.range(1).select(*cols)
 
 
+def pipelines(t: Trained, cfg: TrainingConfig = TrainingConfig()) -> dict:
+    """The two whole ways of scoring, each one object: single readings, a model frame."""
+    return {"reading_pipeline": stages.reading_pipeline(
+                t.scorer_stats, t.scorer_soh, t.scorer_rul, cfg.scorer_features, cfg.seq_len),
+            "window_pipeline": stages.window_pipeline(
+                t.stats, t.soh_model, t.rul_model, cfg.features, cfg.seq_len)}
+
+
 def write_outputs(t: Trained, out_dir: str, cfg: TrainingConfig = TrainingConfig()) -> dict:
-    """Prediction CSVs with their keys, EOL CSV, split table, summary JSON,
-    scalers, models.  Returns the summary record, which is computed once."""
+    """Prediction CSVs with their keys, EOL CSV, split table, round history, summary
+    JSON, scalers, models, whole pipelines.  Returns the summary record, which is computed once."""
     out = out_dir.rstrip("/")
     spark = t.scored.sparkSession
     sinks.write_csv(soh_predictions(t).drop("cycle_index", "SoH"), f"{out}/soh_predictions")
     sinks.write_csv(rul_predictions(t), f"{out}/rul_predictions")
     sinks.write_csv(model_eol(t, cfg.threshold), f"{out}/eol_results")
     sinks.write_parquet(t.assignment, f"{out}/split_assignment")
+    sinks.write_csv(history(t), f"{out}/training_history")
     record = summary(t, cfg)
     row = record.first()
     sinks.write_record(spark.createDataFrame([row], record.schema), f"{out}/metrics_summary")
@@ -236,6 +247,8 @@ def write_outputs(t: Trained, out_dir: str, cfg: TrainingConfig = TrainingConfig
     for name, m in (("soh_model", t.soh_model), ("rul_model", t.rul_model),
                     ("scorer_soh_model", t.scorer_soh), ("scorer_rul_model", t.scorer_rul)):
         models.save_model(m, f"{out}/models/{name}")
+    for name, m in pipelines(t, cfg).items():
+        stages.save_pipeline(m, f"{out}/models/{name}")
     return row.asDict()
 
 

@@ -17,6 +17,7 @@ LIGHT_COLUMNS = [
     "temperature_battery",
 ]
 CYCLE_KEYS = ["battery_id", "battery_type", "cycle"]
+CYCLE_MEASURES = ["avg_voltage", "min_voltage", "avg_current", "max_temp", "duration"]
 FINAL_COLUMNS = [
     "battery_id", "battery_type", "cycle", "avg_voltage", "min_voltage",
     "avg_current", "max_temp", "duration", "max_cycle", "RUL", "SoH",

@@ -174,7 +174,7 @@ def test_cycle_stream_replay_between_batches(spark, tmp_out):
 def test_early_stop_fires_below_the_ceiling(spark):
     st = catalog.Stages(spark, SF_MID)
     h = [r for r in catalog.q58_history_contract(spark, SF_MID).collect()]
-    assert {r.model for r in h} == {"soh", "rul"} and all(r.stopped_early for r in h)
+    assert {r.model for r in h} == {"soh", "rul"} and all(r.ended_by_patience for r in h)
     assert models.TreeParams().max_iter >= 50 and st is not None
 
 
