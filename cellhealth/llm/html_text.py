@@ -11,13 +11,17 @@ joined in page order by an empty line.
 
 Defined cases: null and empty pages give the empty text; a page without markup is one block;
 white space inside a block becomes one space; broken or unclosed markup is read as browsers
-do for the elements that matter here; very long pages are read whole; repeated rows give
+do for the elements that matter here: a marked section is a comment, a head ends where its page
+goes on, an article in a menu or sidebar that is never closed is one, an unfinished tag at the
+end is markup; very long pages are read whole; repeated rows give
 equal texts; an empty table gives no rows; further columns of the input are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
+from html import unescape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -34,6 +38,13 @@ FORM = frozenset("form select option button textarea datalist fieldset label dia
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var img br wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What may stand in a head; a start of anything else ends it.
+IN_HEAD = frozenset("head title meta link style script base noscript template".split())
+#: Elements that a page may open and never close, and starts that show that an svg or math is over.
+ASIDE = ("nav", "aside", "svg", "math")
+BREAKOUT = frozenset("article main section div p h1 h2 h3 h4 h5 h6 ul ol li table body header footer pre blockquote".split())
+TAGS = re.compile(r"<(/?(?:nav|aside|svg|math))\b", re.I)
+UNFINISHED = re.compile(r"<[a-zA-Z/!?]")
 #: A start tag of the key ends open elements of the value.
 ENDS = {"li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"),
         "td": ("td", "th", "p"), "th": ("td", "th", "p"), "option": ("option",)}
@@ -162,6 +173,43 @@ class Blocks(HTMLParser):
         self.open: list[tuple] = []  #: (tag, silent, main, furniture, comments, heading)
         self.parts: list[tuple[str, bool]] = []
         self.link = -1  #: how many elements were open where the open link began
+        self.held: Counter = Counter()  #: how many elements of each tag are open
+        self.unclosed: frozenset = frozenset()  #: tags of ASIDE that the page opens more often than it ends
+
+    def read(self, html: str) -> None:
+        """The whole page; an unfinished tag at its end is markup, as in browsers."""
+        tags = Counter(t.lower() for t in TAGS.findall(html))
+        self.unclosed = frozenset(t for t in ASIDE if tags[t] > tags["/" + t])
+        end = html.rfind(">") + 1
+        # Behind the last ">" no tag can end: looking for its end from every "<" would take squared time.
+        cut = UNFINISHED.search(html, end)
+        self.feed(html[:end])
+        if not self.rawdata:
+            self.handle_data(unescape(html[end:cut.start() if cut else len(html)]))
+        else:
+            self.feed(html[end:cut.start() if cut else len(html)])
+        self.close()
+
+    def parse_html_declaration(self, i: int) -> int:
+        """A marked section (``<![``) is a comment up to the next ">", whatever it holds."""
+        if self.rawdata.startswith("<![", i):
+            return self.parse_bogus_comment(i)
+        return super().parse_html_declaration(i)
+
+    def _leave(self, i: int) -> None:
+        """End the open elements from the i-th on."""
+        for gone in self.open[i:]:
+            self.held[gone[0]] -= 1
+        del self.open[i:]
+
+    def _left_open(self, tag: str) -> None:
+        """End what a start of ``tag`` shows to be over: the head, and asides that are never closed."""
+        over = ("head",) if tag not in IN_HEAD and self.held["head"] else ()
+        if self.unclosed:
+            over += tuple(t for t in self.unclosed if self.held[t] and (
+                tag in ("article", "main") if t in ("nav", "aside") else tag in BREAKOUT))
+        if over:
+            self._leave(min(i for i, x in enumerate(self.open) if x[0] in over))
 
     def _end_block(self) -> None:
         if self.parts:
@@ -178,6 +226,7 @@ class Blocks(HTMLParser):
         return self.open[-1][2:] if self.open else (0, 0, 0, False)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self._left_open(tag)
         if tag in INLINE:
             if tag == "a":
                 self.link = len(self.open)
@@ -189,7 +238,7 @@ class Blocks(HTMLParser):
             return
         for ended in ENDS.get(tag, ("p",)):
             if self.open and self.open[-1][0] == ended:
-                self.open.pop()
+                self._leave(len(self.open) - 1)
         _, silent, main, furniture, comments, heading = self.open[-1] if self.open else ("", *[False] * 5)
         named, hidden = self._named(attrs)
         parts = {p for name in named for p in name}
@@ -203,6 +252,7 @@ class Blocks(HTMLParser):
                         self._is(named, FURNITURE) if outer else 0,
                         int(not main and (tag == "header" or (outer and "header" in parts))))
         comments = max(comments, self._is(named, COMMENTS) if outer or article else 0)
+        self.held[tag] += 1
         self.open.append((tag, silent or tag in SILENT, main, furniture, comments,
                           heading or tag in HEADINGS))
         if self.link > len(self.open):
@@ -251,9 +301,11 @@ class Blocks(HTMLParser):
                 self.link = -1
             return
         self._end_block()
+        if not self.held[tag]:
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
-                del self.open[i:]
+                self._leave(i)
                 if self.link > len(self.open):
                     self.link = -1
                 return
@@ -270,8 +322,7 @@ class Blocks(HTMLParser):
 def main_text(html: str, tree) -> str:
     """The blocks that the tree takes for main text, joined by an empty line."""
     page = Blocks()
-    page.feed(html)
-    page.close()
+    page.read(html)
     found = page.blocks
     edge = (0, 0.0)
     near = [edge, *[(b[1], b[2]) for b in found], edge]
