@@ -733,6 +733,25 @@ def q63_pipeline_reload(spark, sf_dir):
         _differing(windows, _rounded(t.scored.select(*windows.columns)), "windows"))
 
 
+def q64_stream_features(spark, sf_dir):
+    """W1-W7 on ST1's result: the model frame kept by the stream, batteries changed by a
+    micro-batch worked out anew in it (= the batch frame; 20-row windows as their means)."""
+    src, out, ck = (stage_path(spark, n) for n in ("feature_src", "feature_out", "feature_ck"))
+    t = fixtures.landings(spark, sf_dir)
+    schema = T.StructType([T.StructField("file_path", T.StringType())]
+                          + list(S.RAW_TELEMETRY_SCHEMA.fields))
+    own = t.select("landing", *[F.col(c).cast("string") for c in schema.names])
+    for k in range(0, fixtures.LANDINGS, 3):
+        own.filter(F.col("landing").between(k, k + 2)).drop("landing").write.mode(
+            "append").option("header", True).csv(src)
+        _finish(cycle_stream.start_cycle_stream(spark, src, schema, out, ck, path_col="file_path",
+                                                compact_every=1, features=True))
+    frame = cycle_stream.read_feature_stream(spark, out)
+    return _rounded(frame.select("battery_id", "battery_type", "cycle", "cycle_index", "n_cycles",
+                                 "RUL", "SoH", "SoH_smoothed", "cycle_rank", "cumul_voltage_drop",
+                                 *_ROLL))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items()
             if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}
