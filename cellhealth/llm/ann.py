@@ -10,7 +10,9 @@ in-memory neighbour graph.  A query visits the lists whose centroid is within a
 distance to its nearest one.  How many lists the search offers and how wide that ratio is are
 measured on every run: a bounded set of probe vectors is compared with all points, and both
 are set so that ``RECALL`` of the true neighbours lie in visited lists.  Within a cell all its points are compared with all its queries
-by one matrix product per block, in double precision, and the cell's best go on.
+by one matrix product per block, in double precision, and the cell's best go on.  A query
+whose lists hold fewer points than it has answers to give (outliers, small clusters) is held
+against all points afterwards, in blocks of bounded size, so that every query gets k answers.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no
 part, nor do vectors of another length than the commonest; ids that are null take no part; of
@@ -41,6 +43,8 @@ REPLICAS, BOUNDARY = 4, 1.15
 #: much wider than measured the search then is; the least number of lists offered to a query.
 PROBES, RECALL, MARGIN, LEAST_BEAM = 64, 0.97, 1.25, 16
 NEIGHBOURS = 24
+#: Queries with too few answers that are held against all points in one pass.
+BLOCK_QUERIES = 1024
 
 
 def _units(x: np.ndarray) -> np.ndarray:
@@ -203,6 +207,34 @@ def _points(rows: DataFrame, k: int) -> DataFrame:
     return folded
 
 
+def _against_all(queries: DataFrame, width: int, k: int):
+    """For a block of ``queries`` (query, embedding): the best points of a task, ties by smallest id."""
+    got = queries.toArrow().sort_by("query")
+    ids = got.column("query").to_numpy()
+    asking = _units(_matrix(got.column("embedding").combine_chunks(), width)) if len(ids) else np.zeros((0, width))
+    top = 2 * (k + 1)
+
+    def run(batches):
+        score, point = np.zeros((len(ids), 0)), np.zeros((len(ids), 0), np.int64)
+        least = np.zeros((len(ids), 0), np.int64)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 4096):
+                part = batch.slice(i, 4096)
+                own = np.round(asking @ _units(_matrix(part.column(2), width)).T, 12)
+                first = np.array([x[0] for x in part.column(1).to_pylist()], np.int64)
+                wide = lambda v: np.broadcast_to(v, own.shape)
+                score = np.concatenate([score, own], axis=1)
+                point = np.concatenate([point, wide(part.column(0).to_numpy())], axis=1)
+                least = np.concatenate([least, wide(first)], axis=1)
+                keep = np.lexsort((least, -score), axis=1)[:, :top]
+                score, point, least = (np.take_along_axis(v, keep, 1) for v in (score, point, least))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(ids, score.shape[1])), pa.array(point.ravel()), pa.array(score.ravel())],
+            names=["query", "point", "score"])
+
+    return run
+
+
 def nearest(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id",
             embedding: str = "embedding") -> DataFrame:
     """For each row whose id is divisible by ``every``: its k nearest others.
@@ -313,11 +345,6 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_
 
     found = (left.groupBy("list", "p", "q").cogroup(right.groupBy("list", "p", "q"))
              .applyInPandas(compare, "query long, point long, score double"))
-    found = (found.groupBy("query", "point").agg(F.max(F.round("score", 14)).alias("score"))
-             .join(first.select("point", "least"), "point")
-             .withColumn("at", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "least")))
-             .filter(F.col("at") <= 2 * (k + 1)))
-
     def exact(batches):
         for batch in batches:
             x, y = _matrix(batch.column(2), width), _matrix(batch.column(3), width)
@@ -327,19 +354,37 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.clip(score, -1, 1))],
                                              names=["query", "point", "score"])
 
-    found = (found.select("query", "point")
-             .join(slim.select(F.col("point").alias("query"), F.col("embedding").alias("x")), "query")
-             .join(reread(points).select("point", F.col("embedding").alias("y")), "point").select("query", "point", "x", "y")
-             .mapInArrow(exact, "query long, point long, score double"))
-    # k + 1 distinct points by their smallest ids hold any k answers, the query itself left out.
-    best = (found.join(first, "point").groupBy("query")
-            .agg(F.sort_array(F.flatten(F.collect_list(F.transform(
-                "ids", lambda i: F.struct((-F.col("score")).alias("minus"), i.alias("vec_id")))))).alias("best")))
-    best = write_stage(best.join(reread(points).select(F.col("point").alias("query"), "key"), "query")
+    def ranked(found: DataFrame) -> DataFrame:
+        """(query, best): of what was found for each query the nearest, by exact cosine."""
+        found = (found.groupBy("query", "point").agg(F.max(F.round("score", 14)).alias("score"))
+                 .join(first.select("point", "least"), "point")
+                 .withColumn("at", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "least")))
+                 .filter(F.col("at") <= 2 * (k + 1)))
+        found = (found.select("query", "point")
+                 .join(slim.select(F.col("point").alias("query"), F.col("embedding").alias("x")), "query")
+                 .join(reread(points).select("point", F.col("embedding").alias("y")), "point").select("query", "point", "x", "y")
+                 .mapInArrow(exact, "query long, point long, score double"))
+        # k + 1 distinct points by their smallest ids hold any k answers, the query itself left out.
+        return (found.join(first, "point").groupBy("query")
+                .agg(F.sort_array(F.flatten(F.collect_list(F.transform(
+                    "ids", lambda i: F.struct((-F.col("score")).alias("minus"), i.alias("vec_id")))))).alias("best")))
+
+    best = write_stage(ranked(found), "ranked")
+    # Lists that hold too few points: those queries are held against all points, block by block.
+    enough = min(k + 1, points.agg(F.sum(F.size("ids"))).first()[0])
+    asking = reread(points).join(asked, "key", "left_semi").select(F.col("point").alias("query"), "embedding")
+    short = write_stage(asking.join(best.filter(F.size("best") >= enough).select("query"), "query", "left_anti"), "short")
+    blocks = -(-short.count() // BLOCK_QUERIES)
+    whole = best.filter(F.size("best") >= enough)
+    for i in range(blocks):
+        mine = short.filter(F.pmod(F.xxhash64("query"), F.lit(blocks)) == i)
+        whole = whole.union(write_stage(ranked(points.select("point", "ids", "embedding").mapInArrow(
+            _against_all(mine, width, k), "query long, point long, score double")), "ranked"))
+    best = write_stage(whole.join(reread(points).select(F.col("point").alias("query"), "key"), "query")
                        .join(asked, "key").select("key", "best", "asked"), "best")
     out = (join_groups(queries, best, "key", "asked", "query_id")
            .select("query_id", F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("query_id")), 1, k).alias("b"))
            .select("query_id", F.posexplode("b").alias("rank", "b")))
-    drop_stage(posted, visited, points)
+    drop_stage(posted, visited, points, short)
     return out.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"),
                       (-F.col("b.minus")).alias("score"))
