@@ -752,6 +752,23 @@ def q64_stream_features(spark, sf_dir):
                                  *_ROLL))
 
 
+def q65_scan_by_name(spark, sf_dir):
+    """S1 with a schema: telemetry landed by two loggers whose files have their columns in another
+    order, one with a column more, read by name (= q02)."""
+    root = stage_path(spark, "battery_data")
+    t = fixtures.telemetry(spark, sf_dir)
+    odd = F.pmod(F.xxhash64("source_file"), F.lit(2)) == 1
+    own = t.withColumnRenamed("file_path", "source_file")
+    sinks.write_csv(own.filter(~odd).select("source_file", *S.RAW_NUMERIC), f"{root}/a")
+    sinks.write_csv(own.filter(odd).select(
+        *reversed(S.RAW_NUMERIC), F.lit("x").alias("logger"), "source_file"), f"{root}/b")
+    schema = T.StructType([T.StructField("source_file", T.StringType()), *S.RAW_TELEMETRY_SCHEMA.fields])
+    raw = readers.read_telemetry(spark, root, recursive=True, schema=schema)
+    raw = raw.select(F.col("source_file").alias("file_path"), *[
+        F.nullif(F.col(c), F.lit(readers.CSV_NULL)).alias(c) for c in S.RAW_NUMERIC])
+    return _rounded(clean.light(clean.with_identity(clean.clean_readings(raw))))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items()
             if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}

@@ -234,9 +234,10 @@ def write_outputs(t: Trained, out_dir: str, cfg: TrainingConfig = TrainingConfig
     JSON, scalers, models, whole pipelines.  Returns the summary record, which is computed once."""
     out = out_dir.rstrip("/")
     spark = t.scored.sparkSession
-    sinks.write_csv(soh_predictions(t).drop("cycle_index", "SoH"), f"{out}/soh_predictions")
-    sinks.write_csv(rul_predictions(t), f"{out}/rul_predictions")
-    sinks.write_csv(model_eol(t, cfg.threshold), f"{out}/eol_results")
+    # O1: the original writes its predictions and report in battery and cycle order.
+    sinks.write_sorted_csv(soh_predictions(t).drop("cycle_index", "SoH"), f"{out}/soh_predictions")
+    sinks.write_sorted_csv(rul_predictions(t), f"{out}/rul_predictions")
+    sinks.write_sorted_csv(model_eol(t, cfg.threshold), f"{out}/eol_results", ["battery_id"])
     sinks.write_parquet(t.assignment, f"{out}/split_assignment")
     sinks.write_csv(history(t), f"{out}/training_history")
     record = summary(t, cfg)
