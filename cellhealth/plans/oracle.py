@@ -592,5 +592,6 @@ SELECT side, 0 AS n FROM (VALUES ('readings: only first'), ('readings: only seco
                                  ('windows: only first'), ('windows: only second')) v(side)"""
 SQL["q64_stream_features"] = with_ctes("feat", f"""
 SELECT {_KEYS}, cycle_index, n_cycles, RUL,
-       {_cols(['SoH', 'SoH_smoothed', 'cycle_rank', 'cumul_voltage_drop'] + _ROLL)} FROM feat""")
+       {', '.join(f"{r(c + ' + 1e-10')} AS {c}" for c in ['SoH', 'SoH_smoothed', 'cycle_rank', 'cumul_voltage_drop'] + _ROLL)}
+FROM feat""")
 SQL["q65_scan_by_name"] = SQL["q02_discharge_light"]
