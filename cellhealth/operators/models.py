@@ -13,7 +13,8 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.regression import GBTRegressionModel
+from pyspark.ml.regression import (GBTRegressionModel, LinearRegression,
+                                   LinearRegressionModel)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,6 +114,21 @@ def fit_regressor(train_val: DataFrame, label: str, params: TreeParams = TreePar
         rows.drop()
 
 
+def fit_robust(train: DataFrame, label: str, weight: str | None = None,
+               features: str = "features", epsilon: float = 1.35, reg: float = 1e-3,
+               max_iter: int = 100) -> LinearRegressionModel:
+    """M3, robust option: a linear regressor on MLlib's own Huber loss.
+
+    ``epsilon`` counts in units of the scale that is fitted with it (it must exceed 1, so it is
+    not the original's delta); features are standardised while fitting, the L2 penalty keeps
+    correlated steps of a window in bounds.
+    """
+    lr = LinearRegression(featuresCol=features, labelCol=label, predictionCol="prediction",
+                          loss="huber", epsilon=epsilon, regParam=reg, standardization=True,
+                          maxIter=max_iter)
+    return (lr.setWeightCol(weight) if weight else lr).fit(train)
+
+
 def training_history(model: GBTRegressionModel, name: str, spark: SparkSession) -> DataFrame:
     """M5/R2: losses and RMSE of every boosting round (1-based ``epoch``), training and
     validation; ``kept`` tells the rounds of the model from those of its patience."""
@@ -137,6 +153,11 @@ def save_model(model: GBTRegressionModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def load_robust(path: str) -> LinearRegressionModel:
+    """Reload a robust linear model."""
+    return LinearRegressionModel.load(path)
+
+
 def load_model(path: str) -> GBTRegressionModel:
     """Reload a fitted model."""
     return GBTRegressionModel.load(path)

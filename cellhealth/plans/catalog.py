@@ -772,6 +772,21 @@ def q65_scan_by_name(spark, sf_dir):
     return _rounded(clean.light(clean.with_identity(clean.clean_readings(raw))))
 
 
+def q66_robust_rul_contract(spark, sf_dir):
+    """M3, robust option: the linear Huber model holds its bounds and beats the mean on the test
+    split, one prediction per window, and the record has its RMSE."""
+    t = trained(spark, sf_dir)
+    p = training.robust_predictions(t)
+    mean = training.robust_predictions(t, "train").agg(F.avg("actual_rul_cycles")).first()[0]
+    said = training.summary(t).first().rul_linear_rmse_cycles
+    rmse = F.sqrt(F.avg(F.pow(F.col("predicted_rul_cycles") - F.col("actual_rul_cycles"), 2)))
+    plain = F.sqrt(F.avg(F.pow(F.lit(mean) - F.col("actual_rul_cycles"), 2)))
+    return p.agg(F.count(F.lit(1)).alias("n_windows"),
+                 F.every(F.col("predicted_rul_cycles") >= 0).alias("in_bounds"),
+                 (rmse < plain).alias("beats_mean"),
+                 (F.abs(rmse - F.lit(said)) < 1e-3).alias("rmse_in_record"))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items()
             if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}

