@@ -8,8 +8,9 @@ goes on to the next larger residual until one is compatible.  So that a source o
 that fills much of a shard does not make it long, the bins are also told apart by which of
 the shard's commonest keys they hold, and those that conflict are stepped over together.
 
-Pieces are dealt to shards of bounded size by a hash of document and piece, so a hot source
-or cluster is spread evenly and no task or driver sees all pieces.
+Pieces are dealt to shards of bounded size by a hash of document, piece and, of rows that repeat
+id and text, their number; so a hot source or cluster is spread evenly, no task or driver
+sees all pieces, and the bins are the same however the rows are partitioned.
 
 Defined cases: a null source conflicts with nothing; a text without words gets one row with a
 null bin; of repeated rows each is packed, as copies in different bins; an empty table gives
@@ -30,6 +31,8 @@ from cellhealth.llm.common import blocks, prepare, raw_text, write_stage
 
 #: Tokens of a window; pieces of a shard; how many of a shard's commonest keys tell bins apart.
 WINDOW, SHARD_PIECES, COMMON = 2048, 50_000, 8
+#: Numbers of alike pieces that are made at once.
+COPIES = 10_000
 
 
 def best_fit(pieces: list[tuple], capacity: int) -> list[int]:
@@ -120,7 +123,8 @@ def pack(docs: DataFrame, capacity: int = WINDOW, text: str = "text", doc_id: st
     shards = 1 + pieces.count() // SHARD_PIECES
 
     def packed(own: pd.DataFrame) -> pd.DataFrame:
-        own = own.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], ignore_index=True)
+        own = own.sort_values(["length", "doc_id", "piece", "cluster", "source"],
+                              ascending=[False, True, True, True, True], ignore_index=True)
         given = zip(own.length.tolist(), own.source.where(own.source.notna(), None).tolist(),
                     own.cluster.tolist(), strict=True)
         bins = pd.Series(best_fit(list(given), capacity), dtype="int64")
@@ -129,9 +133,15 @@ def pack(docs: DataFrame, capacity: int = WINDOW, text: str = "text", doc_id: st
         return own[["doc_id", "piece", "start", "length", "bin_id", "bin_tokens"]]
 
     kind = "doc_id long, piece int, start long, length long, bin_id long, bin_tokens long"
-    full = (pieces.filter("length > 0")
-            .withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(shards)))
-            .groupBy("shard").applyInPandas(packed, kind))
+    # Pieces alike in everything are counted and numbered, so that they spread over all shards
+    # however many there are, whatever the partitions.
+    alike = ["doc_id", "source", "cluster", "piece", "start", "length"]
+    runs = pieces.filter("length > 0").groupBy(*alike).agg(F.count("*").alias("n"))
+    runs = runs.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))))
+    runs = runs.withColumn("copy", F.explode(F.sequence(
+        F.col("run") * COPIES, F.least(F.col("n"), (F.col("run") + 1) * COPIES) - 1))).drop("n", "run")
+    full = (runs.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "cluster", "copy"), F.lit(shards)))
+            .drop("copy").groupBy("shard").applyInPandas(packed, kind))
     none = pieces.filter("length = 0").select(
         "doc_id", "piece", "start", "length", F.lit(None).cast("long").alias("bin_id"),
         F.lit(None).cast("long").alias("bin_tokens"))
