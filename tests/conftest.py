@@ -29,3 +29,14 @@ def spark():
 @pytest.fixture
 def tmp_out():
     return tempfile.mkdtemp(prefix="cellhealth-test-")
+
+
+@pytest.fixture(scope="session")
+def small_trained(spark):
+    """(models of three shallow rounds at sf0.01, their configuration), fitted once for all tests."""
+    from cellhealth.operators.models import TreeParams
+    from cellhealth.plans import catalog, training
+
+    cfg = training.TrainingConfig(params=TreeParams(max_iter=3, max_depth=2, max_bins=8))
+    st = catalog.Stages(spark, SF_MID)
+    return training.fit_all(st.final, cfg, frame=st.features), cfg

@@ -10,16 +10,15 @@ import pytest
 from cellhealth import fixtures
 from cellhealth.operators import models, scoring, stages
 from cellhealth.operators.models import TreeParams
-from cellhealth.plans import catalog, training
-from tests.conftest import SF_MID, SF_SMALL
+from cellhealth.plans import training
+from tests.conftest import SF_SMALL
 
 CFG = training.TrainingConfig(params=TreeParams(max_iter=3, max_depth=2, max_bins=8))
 
 
 @pytest.fixture(scope="module")
-def trained(spark):
-    st = catalog.Stages(spark, SF_MID)
-    return training.fit_all(st.final, CFG, frame=st.features)
+def trained(small_trained):
+    return small_trained[0]
 
 
 def test_reading_pipeline_in_another_process(spark, trained, tmp_out):
