@@ -2,7 +2,8 @@
 
 Every text is normalised (A-Z to lower case, null is empty) and digested with SHA-256.
 A map task first folds the copies it sees into one record per digest, so a text that a
-third of all rows share reaches the index as one record per map task.  The records are
+third of all rows share reaches the index as one record per map task: its table of at most
+``FOLD_DIGESTS`` digests sheds those seen once and keeps the repeated ones.  The records are
 dealt to shards by digest; a shard holds one :class:`CuckooIndex`.  An arriving digest
 whose 16-bit fingerprint hits is verified against the content stored in that bucket
 (full digest and byte length).  A verified copy with a larger doc_id deletes the live
@@ -29,6 +30,8 @@ from cellhealth.llm.common import (blocks, join_groups, numbered_columns, prepar
 
 #: Records of one index shard; the number of shards follows the number of rows.
 SHARD_ROWS = 200_000
+#: Digests that a map task holds while it folds copies.
+FOLD_DIGESTS = 100_000
 NO_ID = -(1 << 63)
 
 
@@ -141,10 +144,14 @@ def _batch(rows, chunk: int = 50_000):
             names=["digest", "n_bytes", "best", "best_row", "group_size"])
 
 
-def _fold(batches):
-    """Each batch's copies in one record: largest doc_id, its row, number of copies."""
+def _fold(batches, bound: int | None = None):
+    """The task's copies in one record: largest doc_id, its row, number of copies.
+
+    A full table sheds the digests seen once; when over half of it is repeated, all go.
+    """
+    bound = bound or FOLD_DIGESTS
+    seen: dict = {}
     for batch in batches:
-        seen: dict = {}
         for row, doc_id, digest, n_bytes in _columns(batch):
             doc_id = NO_ID if doc_id is None else doc_id
             own = seen.get((digest, n_bytes))
@@ -154,7 +161,13 @@ def _fold(batches):
                 own[4] += 1
                 if (doc_id, row) > (own[2], own[3]):
                     own[2], own[3] = doc_id, row
-        yield from _batch(seen.values())
+        if len(seen) >= bound:
+            kept = {k: v for k, v in seen.items() if v[4] > 1}
+            if 2 * len(kept) > bound:
+                kept = {}
+            yield from _batch(v for k, v in seen.items() if k not in kept)
+            seen = kept
+    yield from _batch(seen.values())
 
 
 def _index(batches):
