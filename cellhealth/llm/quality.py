@@ -8,12 +8,14 @@ bin, vectorised over a batch of documents.
 
 Defined cases: null text is empty and gets a score like any other; rows without a doc_id
 cannot be labelled and are never held out; null labels and ids whose labels disagree are left
-out; with no labelled row every score is 0.5; repeated rows get equal scores; an empty table
+out; of several texts of one labelled id the one with the least features is learnt from; with
+no labelled row every score is 0.5; repeated rows get equal scores; an empty table
 gives no rows; further columns of the input are ignored by the query and kept by the filter.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 from operator import eq
 
@@ -26,6 +28,8 @@ from cellhealth.llm.common import blocks, drop_stage, prepare, raw_text, write_s
 
 #: Bound of the training sample; all labelled rows when there are fewer.
 TRAIN_ROWS = 50_000
+#: Steps in which the share of drawn ids is stated: over 10^12, so that no table of labels has a share of 0.
+DRAW = 1 << 40
 BINS, ROUNDS, PAIRS, PAIR_ROUNDS, RATE, RIDGE = 48, 60, 8, 40, 0.25, 2.0
 THRESHOLD = 0.3
 WINDOW = 512
@@ -188,15 +192,19 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def train(rows: DataFrame, labels: DataFrame, label: str = "quality", bound: int = TRAIN_ROWS) -> AdditiveModel:
-    """Fit on at most about ``bound`` labelled rows that are not held out; they come to the driver."""
+def draw(labels: DataFrame, label: str = "quality", bound: int = TRAIN_ROWS) -> DataFrame:
+    """(_id, _y): about ``bound`` labelled ids that are not held out, or all, drawn by their hash."""
     known = (labels.filter(F.col(label).isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("_id"))
              .agg(F.min(label).alias("_y"), F.max(label).alias("_max")).filter("_y = _max")
              .filter(~held_out("_id")))
     share = min(1.0, bound / max(1, known.count()))
-    drawn = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    return known.filter(F.pmod(F.xxhash64("_id"), F.lit(DRAW)) < math.ceil(share * DRAW)).select("_id", "_y")
+
+
+def train(rows: DataFrame, drawn: DataFrame) -> AdditiveModel:
+    """Fit on the rows (doc_id, x) of the ids of :func:`draw`; they come to the driver."""
     got = rows.join(drawn, rows.doc_id == F.col("_id")).groupBy("doc_id").agg(
-        F.first("x").alias("x"), F.first("_y").alias("y")).toArrow().sort_by("doc_id")
+        F.min("x").alias("x"), F.first("_y").alias("y")).toArrow().sort_by("doc_id")
     if not got.num_rows:
         return AdditiveModel()
     x = got.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(got.num_rows, -1)
@@ -206,7 +214,7 @@ def train(rows: DataFrame, labels: DataFrame, label: str = "quality", bound: int
 def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted."""
     rows = write_stage(document_features(docs, text, doc_id), "features")
-    model = train(rows, labels)
+    model = train(rows, draw(labels))
 
     def scored(batches):
         for batch in batches:
@@ -221,11 +229,16 @@ def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_i
 def keep_quality(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, all columns kept.
 
-    The fitted tables travel to the rows, so no text is shuffled.
+    Features are computed once for the drawn rows, to fit on, and once for all in the pass that
+    scores them; the drawn ids (about ``TRAIN_ROWS``) and the fitted tables travel to the rows,
+    so no text is shuffled.
     """
-    rows = write_stage(document_features(docs, text, doc_id), "features")
-    model = train(rows, labels)
-    drop_stage(rows)
+    prepare(docs, text, doc_id)
+    drawn = write_stage(draw(labels), "drawn")
+    few = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(
+        F.broadcast(drawn.select(F.col("_id").alias("doc_id"))), "doc_id", "left_semi")
+    model = train(document_features(few), drawn)
+    drop_stage(drawn)
     at = docs.columns.index(text)
 
     def kept(batches):
