@@ -11,9 +11,14 @@ all these prefixes join are stable and are emitted; only the bytes after it are
 Decoding.  Token bytes run through an incremental UTF-8 state machine that carries an
 incomplete character from one token to the next and writes U+FFFD for invalid bytes.
 
+A text is read in windows: pieces are cut from one window after another, and the pieces at a
+window's end, which what follows may change, are cut again with the next.  Ids go to the
+digest and to the decoder window by window, so beside the row's own text memory is constant.
+
 Defined cases: null and empty texts have no tokens and decode to the empty text; the string
-of a special token in a text is that token; very long pieces are streamed whole; repeated
-rows are encoded alike; an empty table gives no rows; other columns are ignored.
+of a special token in a text is that token; very long pieces go through the transducer in
+parts; bytes that are no UTF-8 count as U+FFFD; repeated rows are encoded alike; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,6 +43,9 @@ from cellhealth.llm.token_counts import byte_alphabet
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces and neighbour tests a Python worker remembers; beyond it the oldest go.
 REMEMBERED_PIECES, REMEMBERED_PAIRS = 400_000, 400_000
+#: Characters of a window, and those at its end whose pieces may change with what follows
+#: (the longest fixed alternative of PIECES has three; a white-space run looks one further).
+WINDOW, OPEN = 1 << 16, 4
 
 
 class Vocabulary:
@@ -221,19 +229,49 @@ class Encoder:
             self.known.put(piece, packed)
         return packed
 
-    def _plain(self, text: str) -> Iterator[bytes]:
-        get, own = self.known.get, self._piece
-        for piece in self.pieces.findall(text):
-            yield self.known.young.get(piece) or get(piece) or own(piece)
+    def _run(self, text: str, start: int, end: int) -> int:
+        """Where the piece that begins at ``start`` ends; the window doubles until it holds the piece."""
+        size = WINDOW
+        while True:
+            stop = min(end, start + size)
+            found = self.pieces.match(text, start, stop).end()
+            if stop == end or found <= stop - OPEN:
+                return found
+            size *= 2
+
+    def _plain(self, text: str, start: int, end: int) -> Iterator[bytes]:
+        """The packed ids of ``text[start:end]``, a window or a part of a long piece at a time."""
+        get, own, young = self.known.get, self._piece, self.known
+        while start < end:
+            stop = min(end, start + WINDOW)
+            pieces = self.pieces.findall(text, start, stop)
+            if stop < end:  # the pieces fill the window: those that reach its last characters are left
+                left = 0
+                while pieces and left < OPEN:
+                    left += len(pieces.pop())
+                stop -= left
+            if pieces:
+                yield b"".join([young.young.get(p) or get(p) or own(p) for p in pieces])
+                start = stop
+                continue
+            stop, stream = self._run(text, start, end), self.transducer
+            for i in range(start, stop, WINDOW):
+                yield array("I", stream.feed(text[i:min(stop, i + WINDOW)].encode())).tobytes()
+            yield array("I", stream.end()).tobytes()
+            start = stop
+
+    def stream(self, text: str) -> Iterator[bytes]:
+        """The packed ids of ``text``, part after part."""
+        at = 0
+        if self.special:
+            for match in self.special.finditer(text):
+                yield from self._plain(text, at, match.start())
+                yield self.vocabulary.special[match[0]].to_bytes(4, "little")
+                at = match.end()
+        yield from self._plain(text, at, len(text))
 
     def encode(self, text: str) -> bytes:
-        if not self.special:
-            return b"".join(self._plain(text))
-        out, at = [], 0
-        for match in self.special.finditer(text):
-            out += [*self._plain(text[at:match.start()]), self.vocabulary.special[match[0]].to_bytes(4, "little")]
-            at = match.end()
-        return b"".join(out + [*self._plain(text[at:] if at else text)])
+        return b"".join(self.stream(text))
 
 
 class Decoder:
@@ -289,7 +327,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text", doc_i
         encoder, _ = _tools(shared)
         for rest, raws in blocks(batches, "raw", 4 << 20):
             yield pa.RecordBatch.from_arrays(
-                [rest["doc_id"], pa.array([encoder.encode(r.decode()) for r in raws], pa.binary())],
+                [rest["doc_id"], pa.array([encoder.encode(r.decode(errors="replace")) for r in raws], pa.binary())],
                 names=["doc_id", "ids"])
 
     return (docs.select(F.col(doc_id).cast("long").alias("doc_id"), raw_text(text).alias("raw"))
@@ -306,11 +344,13 @@ def round_trip(docs: DataFrame, vocabulary: str, text: str = "text", doc_id: str
         for rest, raws in blocks(batches, "raw", 4 << 20):
             out = []
             for raw in raws:
-                packed = encoder.encode(raw.decode())
-                digest = hashlib.sha256()
-                for part in decoder.decode(packed):
-                    digest.update(part.encode())
-                out.append((len(packed) // 4, hashlib.sha256(packed).hexdigest(), digest.hexdigest()))
+                n_bytes, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
+                for packed in encoder.stream(raw.decode(errors="replace")):
+                    n_bytes += len(packed)
+                    ids.update(packed)
+                    decoded.update(decoder.feed(np.frombuffer(packed, "<u4")).encode())
+                decoded.update(decoder.end().encode())
+                out.append((n_bytes // 4, ids.hexdigest(), decoded.hexdigest()))
             n, ids, decoded = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([rest["doc_id"], pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded)],
                                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
