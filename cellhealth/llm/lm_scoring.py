@@ -46,6 +46,8 @@ BACKOFF, STAY = 50.0, 0.9
 BLOCK_BYTES, HELD_TOKENS, SIDE_TOKENS = 8 << 20, 4 << 20, 1 << 20
 #: Words of all blocks that one shard adds up; the number of shards follows their number.
 SHARD_WORDS = 400_000
+#: Blocks of documents that meet their counts in one task; the number of tasks follows theirs.
+TASK_BLOCKS = 4
 END = b""
 
 
@@ -319,10 +321,11 @@ def hmm_scores(docs: DataFrame, states: int = STATES, passes: int = PASSES, text
             "counts array<long>")
     cut = write_stage(rows.mapInArrow(_blocks, kind).select(F.monotonically_increasing_id().alias("block"), "*"),
                       "blocks")  # rows of one block are large: all that reads them takes them one by one
-    total, n_words, n_train = cut.agg(
+    total, n_words, n_train, n_blocks = cut.agg(
         F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)), F.sum(F.size("words")),
-        F.sum(F.size(F.filter("train", lambda t: t)))).first()
+        F.sum(F.size(F.filter("train", lambda t: t))), F.count("*")).first()
     total, n_train, shards = total or 0, n_train or 0, 1 + (n_words or 0) // SHARD_WORDS
+    meetings = 1 + n_blocks // TASK_BLOCKS
 
     def dealt(batches):
         for batch in batches:
@@ -357,7 +360,7 @@ def hmm_scores(docs: DataFrame, states: int = STATES, passes: int = PASSES, text
 
     kind = "shard long, block long, words array<binary>, counts array<long>"
     summed = write_stage(cut.select("block", "words", "counts").mapInArrow(dealt, kind)
-                         .groupBy("shard").applyInArrow(added, kind), "counts", batch_rows=1)
+                         .repartition(shards, "shard").groupBy("shard").applyInArrow(added, kind), "counts", batch_rows=1)
     vocabulary = summed.filter("block = -1").select("words", "counts")
     distinct = vocabulary.agg(F.sum(F.size("words"))).first()[0] or 0
 
@@ -389,7 +392,7 @@ def hmm_scores(docs: DataFrame, states: int = STATES, passes: int = PASSES, text
     classes = Classes(own, tokens_of, words_of)
     shares = classes.shares
     shared = spark.sparkContext.broadcast(classes)
-    answered = (reread(summed).filter("block >= 0").groupBy("block")
+    answered = (reread(summed).filter("block >= 0").repartition(meetings, "block").groupBy("block")
                 .agg(F.collect_list(F.struct("shard", "counts")).alias("known")))
 
     def numbered(batches):
@@ -419,7 +422,8 @@ def hmm_scores(docs: DataFrame, states: int = STATES, passes: int = PASSES, text
                     ("log_c", pa.list_(pa.float64())), ("inside", pa.list_(pa.float64()))]))
 
     symbols = write_stage(
-        reread(cut).select("block", "ids", "train", "sizes", "tokens", "words").join(answered.hint("shuffle_hash"), "block")
+        reread(cut).select("block", "ids", "train", "sizes", "tokens", "words").repartition(meetings, "block")
+        .join(answered.hint("shuffle_hash"), "block")
         .mapInArrow(numbered, "ids array<long>, train array<boolean>, sizes array<int>, tokens binary, "
                     "n_known array<long>, log_c array<double>, inside array<double>"), "symbols", batch_rows=1)
     drop_stage(cut, summed)
