@@ -191,40 +191,44 @@ def _by_time(tokens: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
 def forward(model: Model, tokens: np.ndarray, sizes: np.ndarray, counts: Counts | None = None) -> np.ndarray:
     """log10 probability of each document's classes by the scaled forward recursion.
 
-    ``counts`` gets the expected counts of the backward recursion added.
+    ``counts`` gets the expected counts of the backward recursion added; that runs in single
+    precision (the scaled values stay near 1), sums over positions and tasks in double.
     """
     out, starts = np.zeros(len(sizes)), np.cumsum(sizes) - sizes
-    states = len(model.start)
-    table = model.emit if counts is None else model.emit.astype(np.float32)
+    states, kind = len(model.start), np.float64 if counts is None else np.float32
+    start, move, table = (x.astype(kind) for x in (model.start, model.move, model.emit))
+    ones = np.ones(states, kind)
     for group in _side_by_side(sizes):
         seen, at = _by_time(tokens, starts[group], sizes[group])
         emitted = table[seen]
-        scale = np.empty(len(seen))
+        scale = np.empty(len(seen), kind)
         kept = np.empty((len(seen), states), np.float32) if counts is not None else None
-        state = np.broadcast_to(model.start, (len(group), states))
+        state = np.broadcast_to(start, (len(group), states))
         bounds = at.tolist()
         for t, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False)):
-            state = (state[:hi - lo] @ model.move if t else state) * emitted[lo:hi]
-            total = state.sum(1)
+            state = (state[:hi - lo] @ move if t else state) * emitted[lo:hi]
+            total = state @ ones
             state /= total[:, None]
             scale[lo:hi] = total
             if kept is not None:
                 kept[lo:hi] = state
         row = np.arange(len(seen)) - np.repeat(at[:-1], np.diff(at))
-        out[group] = np.bincount(row, np.log10(scale), len(group))
+        out[group] = np.bincount(row, np.log10(scale, dtype=np.float64), len(group))
         if counts is None:
             continue
         # backward; kept turns into the state probabilities of each token
-        after = np.ones((len(group), states))
+        after, moved, back = np.ones((len(group), states), kind), np.zeros((states, states)), move.T.copy()
         for t in range(len(bounds) - 2, 0, -1):
             lo, hi, low = bounds[t], bounds[t + 1], bounds[t - 1]
             n = hi - lo
-            ahead = emitted[lo:hi] * after[:n] / scale[lo:hi, None]
-            counts.move += (kept[low:low + n].T @ ahead) * model.move
+            ahead = emitted[lo:hi] * after[:n]
+            ahead /= scale[lo:hi, None]
+            moved += kept[low:low + n].T @ ahead
             kept[lo:hi] *= after[:n]
-            after[:n] = ahead @ model.move.T
+            np.matmul(ahead, back, out=after[:n])
+        counts.move += moved * model.move
         kept[:bounds[1]] *= after
-        counts.start += kept[:bounds[1]].sum(0)
+        counts.start += kept[:bounds[1]].sum(0, dtype=np.float64)
         for k in range(states):
             counts.emit[:, k] += np.bincount(seen, kept[:, k], len(counts.emit))
         counts.score += out[group].sum()
