@@ -265,7 +265,7 @@ def test_pipeline_stages_on_empty_and_odd_tables(spark, tmp_path):
 
 def test_queries_are_registered_and_sql_agrees(spark):
     names = entry.queries()
-    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
