@@ -8,6 +8,8 @@ hidden ``_metadata`` column, so the battery identity is known per row.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,10 +34,24 @@ def read_telemetry(spark: SparkSession, path: str, infer: bool = False,
     r = spark.read.option("header", True).option("inferSchema", bool(infer))
     if recursive:
         r = r.option("recursiveFileLookup", True)
-    df = r.csv(path)
+    with few_listing_tasks(spark):
+        df = r.csv(path)
     return with_file_path(df)
 
 
+@contextmanager
+def few_listing_tasks(spark: SparkSession):
+    """Folders are listed by a few tasks a core with many folders each (Spark's own way is one task
+    a folder, whose start costs more than the listing)."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def headers(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """(file_path, header): the first line of every file, in one pass over the lines (no parsing).
 

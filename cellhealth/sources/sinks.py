@@ -31,8 +31,12 @@ def write_sorted_csv(df: DataFrame, path: str, keys: Sequence[str] = ("battery_i
 
 
 def write_csv_tree(df: DataFrame, path: str, folders: list[str], mode: str = "overwrite") -> None:
-    """CSV with header in one folder per value of ``folders`` (``name=value``)."""
-    (df.write.mode(mode).option("header", True).option("nullValue", CSV_NULL)
+    """CSV with header in one folder per value of ``folders`` (``name=value``).
+
+    Rows of a folder are written by one task, as a stream: there are as many files as folders, not
+    as many as folders times tasks.
+    """
+    (df.repartition(*folders).write.mode(mode).option("header", True).option("nullValue", CSV_NULL)
        .partitionBy(*folders).csv(path))
 
 
