@@ -2,9 +2,9 @@
 
 MLlib's tree learner samples, sorts and bins all features anew for every tree, and its boosting
 has one loss and no patience.  Here features are cut into bins once: a written table holds blocks
-of rows, one byte a feature.  A tree level is one job: tasks add up weights and pseudo-residuals
-by (node, feature, bin), the sums meet by ``CHUNK`` features, and the best cut of each node among them comes
-back - a few numbers whatever the number of rows.  The model so far is applied to the bins in
+of rows, one byte a feature, feature by feature.  A tree level is one job: tasks add up weights and
+pseudo-residuals by (node, feature, bin), ``TOGETHER`` features at a time, the sums meet by ``CHUNK``
+features, and the best cut of each node among them comes back - a few numbers whatever the number of rows.  The model so far is applied to the bins in
 the same pass, so a round leaves no table and no longer plan behind, a lost executor costs its
 tasks, and the losses of a round come with the first level of the next.  The fitted trees become
 an MLlib ``GBTRegressionModel``, which scores, saves and loads in the JVM.
@@ -31,6 +31,9 @@ SAMPLE_ROWS, BLOCK_ROWS = 10_000, 4096
 PARTITION_ROWS = 1 << 16
 #: Features whose sums meet in one group, and tasks that share the groups of a pass.
 CHUNK, GROUP_TASKS = 64, 8
+#: Features of a block that are added up at once, and bytes of decisions held while a model is applied:
+#: what a core's cache holds.
+TOGETHER, HELD_BYTES = 12, 1 << 22
 
 
 @dataclass(eq=False)
@@ -49,12 +52,12 @@ class Tree:
         self.weight, self.total, self.gain = np.zeros(n), np.zeros(n), np.zeros(n)
 
     def nodes(self, bins: np.ndarray, levels: int) -> np.ndarray:
-        """The node of each row after so many levels."""
-        at, rows = np.ones(len(bins), np.int64), np.arange(len(bins))
+        """The node of each row (a column of ``bins``) after so many levels."""
+        at, rows = np.ones(bins.shape[1], np.int64), np.arange(bins.shape[1])
         for _ in range(levels):
             f = self.feature[at]
             inner = f >= 0
-            right = bins[rows, np.maximum(f, 0)] > self.cut[at]
+            right = bins[np.maximum(f, 0), rows] > self.cut[at]
             at = np.where(inner, 2 * at + right, at)
         return at
 
@@ -66,7 +69,8 @@ class Tree:
 
 @dataclass
 class Binned:
-    """Rows of a fit, binned and written: blocks of (is_val, the columns, one byte a feature)."""
+    """Rows of a fit, binned and written: blocks of (is_val, the columns, one byte a feature; all
+    rows of a feature lie together)."""
     frame: DataFrame
     cuts: list[np.ndarray]
     columns: list[str]
@@ -121,9 +125,9 @@ def bin_rows(train_val: DataFrame, columns: Sequence[str], keys: Sequence[str],
         def block():
             own = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             x = _matrix(own.column("_x"), own.num_rows)
-            bins = np.empty(x.shape, np.uint8)
+            bins = np.empty(x.shape[::-1], np.uint8)
             for f, c in enumerate(cuts):
-                bins[:, f] = np.searchsorted(c, x[:, f], side="left")
+                bins[f] = np.searchsorted(c, x[:, f], side="left")
             out = {"val": np.asarray(own.column("_val"))} | {
                 c: np.asarray(own.column(f"_{c}"), np.float64) for c in (f"c{i}" for i in range(len(columns)))}
             return pa.RecordBatch.from_pydict({k: [v.tobytes()] for k, v in out.items()} | {"bins": [bins.tobytes()]})
@@ -162,17 +166,56 @@ class Fit:
 
 
 def predict(trees: Sequence[Tree], bins: np.ndarray, step: float) -> np.ndarray:
-    """The model so far on binned rows: the first tree in full, each further by ``step``."""
+    """The model so far on binned rows: the first tree in full, each further by ``step``.
+
+    All decisions of some trees are taken for all rows, then the ones on each row's path are picked.
+    """
+    n = bins.shape[1]
     if not trees:
-        return np.zeros(len(bins))
-    feature, cut = np.stack([t.feature for t in trees]), np.stack([t.cut for t in trees])
-    mean = np.stack([t.total / np.where(t.weight > 0, t.weight, 1.0) for t in trees])
-    rows, own = np.arange(len(bins))[:, None], np.arange(len(trees))
-    at = np.ones((len(bins), len(trees)), np.int64)
-    for _ in range(trees[0].depth):
-        f = feature[own, at]
-        at = np.where(f >= 0, 2 * at + (bins[rows, np.maximum(f, 0)] > cut[own, at]), at)
-    return (mean[own, at] * np.where(own > 0, step, 1.0)).sum(axis=1)
+        return np.zeros(n)
+    depth, out = trees[0].depth, np.empty((n, len(trees)))
+    inner = np.arange(1, 1 << depth)
+    some = max(1, HELD_BYTES // max(1, n << depth))
+    for first in range(0, len(trees), some):
+        own = trees[first:first + some]
+        # Node by node, of all these trees: what holds at an early leaf holds at all places below it.
+        feature = np.stack([t.feature for t in own])
+        value = np.stack([t.total / np.where(t.weight > 0, t.weight, 1.0) for t in own])
+        for i in inner:
+            leaf = feature[:, i] < 0
+            for child in (2 * i, 2 * i + 1):
+                value[leaf, child], feature[leaf, child] = value[leaf, i], -1
+        cut = np.stack([t.cut for t in own]).clip(0, 255).astype(np.uint8)
+        at, sides = np.zeros((len(own), n), np.min_scalar_type(1 << depth)), []
+        for level in range(depth):
+            right = [bins[np.maximum(feature[:, i], 0)] > cut[:, i, None] for i in range(1 << level, 2 << level)]
+            for side in sides:
+                half = len(right) // 2
+                right = [np.where(side, b, a) for a, b in zip(right[:half], right[half:], strict=True)]
+            sides.append(right[0])
+            at = 2 * at + right[0]
+        for i in range(len(own)):
+            out[:, first + i] = value[i, 1 << depth:][at[i]] * (step if first + i else 1.0)
+    return out.sum(axis=1)
+
+
+def _sums(bins: np.ndarray, node: np.ndarray, n_nodes: int, width: int, weight: np.ndarray | None,
+          target: np.ndarray) -> np.ndarray:
+    """(2, nodes, features, bins): weights (None: rows) and targets of a block added up; rows at
+    node ``n_nodes`` have no part in them."""
+    dims, n = bins.shape
+    size, out = (n_nodes + 1) * width, np.empty((2, n_nodes, dims, width))
+    base = np.arange(TOGETHER)[:, None] * size + node * width
+    where = np.empty((TOGETHER, n), np.intp)
+    twice = [w if w is None else np.tile(w, TOGETHER) for w in (weight, target)]
+    for f in range(0, dims, TOGETHER):
+        k = min(TOGETHER, dims - f)
+        np.add(base[:k], bins[f:f + k], out=where[:k])
+        at = where[:k].ravel()
+        for i, w in enumerate(twice):
+            got = np.bincount(at, None if w is None else w[:k * n], k * size).reshape(k, n_nodes + 1, width)
+            out[i, :, f:f + k] = got[:, :n_nodes].transpose(1, 0, 2)
+    return out
 
 
 def _target(y: np.ndarray, pred: np.ndarray, first: bool, delta: float | None) -> np.ndarray:
@@ -196,14 +239,14 @@ def _pass(rows: Binned, fits: list[tuple[Fit, Tree]], level: int, step: float, r
     dims, n_nodes = len(cuts), 1 << level
     at_column = {c: f"c{i}" for i, c in enumerate(rows.columns)}
     own = [(at_column[f.label], at_column.get(f.weight), f.delta, f.trees, tree,
-            np.arange(dims) if f.chosen is None else np.asarray(f.chosen)) for f, tree in fits]
+            None if f.chosen is None else np.asarray(f.chosen)) for f, tree in fits]
 
     def sums(batches):
         hist, losses, part = [None] * len(own), np.zeros((len(own), 2, 3)), None
         for batch in batches:
             for r in batch.to_pylist():
                 val = np.frombuffer(r["val"], np.bool_)
-                bins = np.frombuffer(r["bins"], np.uint8).reshape(len(val), dims)
+                bins = np.frombuffer(r["bins"], np.uint8).reshape(dims, len(val))
                 part = r["part"] if part is None else part
                 for m, (label, weight, delta, trees, growing, chosen) in enumerate(own):
                     y = np.frombuffer(r[label], np.float64)
@@ -218,12 +261,9 @@ def _pass(rows: Binned, fits: list[tuple[Fit, Tree]], level: int, step: float, r
                         use &= np.random.default_rng([seed, len(trees), r["part"], len(y)]).random(len(y)) < rate
                     at = growing.nodes(bins, level) - n_nodes
                     use &= (at >= 0) & (at < n_nodes)  # a leaf above this level has no part in it
-                    target, n = (_target(y, pred, not trees, delta) * w)[use], int(use.sum())
-                    base = (at[use, None] * len(chosen) + np.arange(len(chosen))) * width
-                    where, size = (base + bins[use][:, chosen]).ravel(), n_nodes * len(chosen) * width
-                    counts = np.bincount(where, None if weight is None else np.repeat(w[use], len(chosen)), size)
-                    both = np.stack([counts, np.bincount(where, np.repeat(target, len(chosen)), size)])
-                    both = both.reshape(2, n_nodes, len(chosen), width)
+                    target = np.where(use, _target(y, pred, not trees, delta) * w, 0.0)
+                    both = _sums(bins if chosen is None else bins[chosen], np.where(use, at, n_nodes), n_nodes, width,
+                                 None if weight is None else w, target)
                     hist[m] = both if hist[m] is None else hist[m] + both
         if part is None:
             return
@@ -241,7 +281,7 @@ def _pass(rows: Binned, fits: list[tuple[Fit, Tree]], level: int, step: float, r
         total = sum(np.frombuffer(s, np.float64) for _, s in parts)
         if first < 0:
             return pa.table(_cells([(m, -1, -1, i, 0.0, float(v), 0.0, 0.0, 0.0) for i, v in enumerate(total)]))
-        chosen = own[m][-1][first:first + CHUNK]
+        chosen = (np.arange(dims) if own[m][-1] is None else own[m][-1])[first:first + CHUNK]
         hist = total.reshape(2, n_nodes, len(chosen), width)
         (wl, sl), (w, s) = hist.cumsum(axis=3), hist.sum(axis=3)[:, :, :, None]
         real = np.arange(width) < np.array([len(cuts[f]) for f in chosen])[:, None]
