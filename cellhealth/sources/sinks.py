@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from cellhealth.sources.readers import CSV_NULL
 
+#: Tasks a core that folders are dealt over.
+FOLDER_TASKS = 4
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with header; a null is ``\\N``, so an empty string stays one."""
@@ -34,9 +37,11 @@ def write_csv_tree(df: DataFrame, path: str, folders: list[str], mode: str = "ov
     """CSV with header in one folder per value of ``folders`` (``name=value``).
 
     Rows of a folder are written by one task, as a stream: there are as many files as folders, not
-    as many as folders times tasks.
+    as many as folders times tasks.  A folder costs the same whatever it holds, so the number of tasks
+    follows the cores, a few each, and not the bytes.
     """
-    (df.repartition(*folders).write.mode(mode).option("header", True).option("nullValue", CSV_NULL)
+    tasks = FOLDER_TASKS * df.sparkSession.sparkContext.defaultParallelism
+    (df.repartition(tasks, *folders).write.mode(mode).option("header", True).option("nullValue", CSV_NULL)
        .partitionBy(*folders).csv(path))
 
 
