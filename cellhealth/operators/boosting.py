@@ -2,8 +2,10 @@
 
 MLlib's tree learner samples, sorts and bins all features anew for every tree, and its boosting
 has one loss and no patience.  Here features are cut into bins once: a written table holds blocks
-of rows, one byte a feature, feature by feature.  A tree level is one job: tasks add up weights and
-pseudo-residuals by (node, feature, bin), ``TOGETHER`` features at a time, the sums meet by ``CHUNK``
+of rows, one byte a feature, feature by feature; they are held in memory, and on disk beyond it,
+while passes go over them.  A tree level is one job: tasks add up weights and
+pseudo-residuals of training rows by (node, feature, bin), ``TOGETHER`` features at a time (weights at
+the root, the same for all trees, once), the sums meet by ``CHUNK``
 features, and the best cut of each node among them comes back - a few numbers whatever the number of rows.  The model so far is applied to the bins in
 the same pass, so a round leaves no table and no longer plan behind, a lost executor costs its
 tasks, and the losses of a round come with the first level of the next.  The fitted trees become
@@ -13,17 +15,17 @@ an MLlib ``GBTRegressionModel``, which scores, saves and loads in the JVM.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkContext
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellhealth.session import drop_stage, write_stage
+from cellhealth.session import drop_stage, held_conf, write_stage
 
 #: Rows that the cuts of a feature are taken from at most (a draw by key), and rows of a block.
 SAMPLE_ROWS, BLOCK_ROWS = 10_000, 4096
@@ -69,14 +71,18 @@ class Tree:
 
 @dataclass
 class Binned:
-    """Rows of a fit, binned and written: blocks of (is_val, the columns, one byte a feature; all
+    """Rows of a fit, binned, written and held: blocks of (is_val, the columns, one byte a feature; all
     rows of a feature lie together)."""
     frame: DataFrame
     cuts: list[np.ndarray]
     columns: list[str]
     features: str
 
+    def __post_init__(self):
+        self.frame.persist(StorageLevel.MEMORY_AND_DISK)
+
     def drop(self) -> None:
+        self.frame.unpersist()
         drop_stage(self.frame)
 
 
@@ -163,6 +169,7 @@ class Fit:
     chosen: Sequence[int] | None = None     # the features it may use; None: all
     trees: list[Tree] = field(default_factory=list)
     losses: list[tuple[float, float, float, float]] = field(default_factory=list)
+    root: np.ndarray | None = None          # weights of all rows by feature and bin, once added up
 
 
 def predict(trees: Sequence[Tree], bins: np.ndarray, step: float) -> np.ndarray:
@@ -191,7 +198,7 @@ def predict(trees: Sequence[Tree], bins: np.ndarray, step: float) -> np.ndarray:
             right = [bins[np.maximum(feature[:, i], 0)] > cut[:, i, None] for i in range(1 << level, 2 << level)]
             for side in sides:
                 half = len(right) // 2
-                right = [np.where(side, b, a) for a, b in zip(right[:half], right[half:], strict=True)]
+                right = [a ^ (side & (a ^ b)) for a, b in zip(right[:half], right[half:], strict=True)]
             sides.append(right[0])
             at = 2 * at + right[0]
         for i in range(len(own)):
@@ -200,14 +207,15 @@ def predict(trees: Sequence[Tree], bins: np.ndarray, step: float) -> np.ndarray:
 
 
 def _sums(bins: np.ndarray, node: np.ndarray, n_nodes: int, width: int, weight: np.ndarray | None,
-          target: np.ndarray) -> np.ndarray:
-    """(2, nodes, features, bins): weights (None: rows) and targets of a block added up; rows at
-    node ``n_nodes`` have no part in them."""
+          target: np.ndarray, both: bool = True) -> np.ndarray:
+    """(2, nodes, features, bins): weights (None: rows) and targets of a block added up, without
+    ``both`` (1, ...): targets; rows at node ``n_nodes`` have no part in them."""
     dims, n = bins.shape
-    size, out = (n_nodes + 1) * width, np.empty((2, n_nodes, dims, width))
+    kinds = [weight, target] if both else [target]
+    size, out = (n_nodes + 1) * width, np.empty((len(kinds), n_nodes, dims, width))
     base = np.arange(TOGETHER)[:, None] * size + node * width
     where = np.empty((TOGETHER, n), np.intp)
-    twice = [w if w is None else np.tile(w, TOGETHER) for w in (weight, target)]
+    twice = [w if w is None else np.tile(w, TOGETHER) for w in kinds]
     for f in range(0, dims, TOGETHER):
         k = min(TOGETHER, dims - f)
         np.add(base[:k], bins[f:f + k], out=where[:k])
@@ -238,8 +246,9 @@ def _pass(rows: Binned, fits: list[tuple[Fit, Tree]], level: int, step: float, r
     cuts, width = rows.cuts, max((len(c) for c in rows.cuts), default=0) + 1
     dims, n_nodes = len(cuts), 1 << level
     at_column = {c: f"c{i}" for i, c in enumerate(rows.columns)}
-    own = [(at_column[f.label], at_column.get(f.weight), f.delta, f.trees, tree,
-            None if f.chosen is None else np.asarray(f.chosen)) for f, tree in fits]
+    own = [(at_column[f.label], at_column.get(f.weight), f.delta, [t for t in f.trees if t is not tree], tree,
+            None if f.chosen is None else np.asarray(f.chosen),
+            f.root if level == 0 and rate >= 1.0 else None) for f, tree in fits]
 
     def sums(batches):
         hist, losses, part = [None] * len(own), np.zeros((len(own), 2, 3)), None
@@ -248,23 +257,28 @@ def _pass(rows: Binned, fits: list[tuple[Fit, Tree]], level: int, step: float, r
                 val = np.frombuffer(r["val"], np.bool_)
                 bins = np.frombuffer(r["bins"], np.uint8).reshape(dims, len(val))
                 part = r["part"] if part is None else part
-                for m, (label, weight, delta, trees, growing, chosen) in enumerate(own):
+                train = np.flatnonzero(~val)
+                some = bins if len(train) == len(val) else bins.take(train, axis=1)
+                for m, (label, weight, delta, trees, growing, chosen, root) in enumerate(own):
                     y = np.frombuffer(r[label], np.float64)
                     w = np.ones(len(y)) if weight is None else np.where(val, 1.0, np.frombuffer(r[weight], np.float64))
-                    pred = predict(trees, bins, step)
                     if level == 0:
+                        pred = predict(trees, bins, step)
                         e = y - pred
                         for k, side in enumerate((~val, val)):
                             losses[m, k] += side.sum(), (w * _loss(e, delta))[side].sum(), (e * e)[side].sum()
-                    use = ~val
+                        pred = pred[train]
+                    else:
+                        pred = predict(trees, some, step)
+                    at = growing.nodes(some, level) - n_nodes
+                    use = (at >= 0) & (at < n_nodes)  # a leaf above this level has no part in it
                     if rate < 1.0:
-                        use &= np.random.default_rng([seed, len(trees), r["part"], len(y)]).random(len(y)) < rate
-                    at = growing.nodes(bins, level) - n_nodes
-                    use &= (at >= 0) & (at < n_nodes)  # a leaf above this level has no part in it
-                    target = np.where(use, _target(y, pred, not trees, delta) * w, 0.0)
-                    both = _sums(bins if chosen is None else bins[chosen], np.where(use, at, n_nodes), n_nodes, width,
-                                 None if weight is None else w, target)
-                    hist[m] = both if hist[m] is None else hist[m] + both
+                        use &= (np.random.default_rng([seed, len(trees), r["part"], len(y)]).random(len(y)) < rate)[train]
+                    w = w[train]
+                    target = np.where(use, _target(y[train], pred, not trees, delta) * w, 0.0)
+                    got = _sums(some if chosen is None else some[chosen], np.where(use, at, n_nodes), n_nodes, width,
+                                None if weight is None else w, target, root is None)
+                    hist[m] = got if hist[m] is None else hist[m] + got
         if part is None:
             return
         out = [(m, -1, losses[m].tobytes()) for m in range(len(own))]
@@ -280,9 +294,12 @@ def _pass(rows: Binned, fits: list[tuple[Fit, Tree]], level: int, step: float, r
         parts = sorted(zip(table.column("part").to_pylist(), table.column("sums").to_pylist(), strict=True))
         total = sum(np.frombuffer(s, np.float64) for _, s in parts)
         if first < 0:
-            return pa.table(_cells([(m, -1, -1, i, 0.0, float(v), 0.0, 0.0, 0.0) for i, v in enumerate(total)]))
-        chosen = (np.arange(dims) if own[m][-1] is None else own[m][-1])[first:first + CHUNK]
-        hist = total.reshape(2, n_nodes, len(chosen), width)
+            return pa.table(_cells([(m, -1, -1, i, 0.0, float(v), 0.0, 0.0, 0.0) for i, v in enumerate(total)], None))
+        *_, chosen, root = own[m]
+        chosen = (np.arange(dims) if chosen is None else chosen)[first:first + CHUNK]
+        hist = total.reshape(1 + (root is None), n_nodes, len(chosen), width)
+        if root is not None:
+            hist = np.concatenate([root[None, None, first:first + CHUNK], hist])
         (wl, sl), (w, s) = hist.cumsum(axis=3), hist.sum(axis=3)[:, :, :, None]
         real = np.arange(width) < np.array([len(cuts[f]) for f in chosen])[:, None]
         fine = (wl > 0) & (w - wl > 0) & real
@@ -293,24 +310,34 @@ def _pass(rows: Binned, fits: list[tuple[Fit, Tree]], level: int, step: float, r
             f, cut = divmod(int(k), width)
             out.append((m, int(chosen[f]), cut, node, float(gain[node, k]), float(wl[node, f, cut]),
                         float(sl[node, f, cut]), float(w[node, f, 0]), float(s[node, f, 0])))
-        return pa.table(_cells(out))
+        return pa.table(_cells(out, hist[0].tobytes() if level == 0 and root is None and rate >= 1.0 else None, first))
 
     partial = rows.frame.mapInArrow(sums, "m int, f int, part int, sums binary")
-    got = partial.repartition(GROUP_TASKS, "m", "f").groupBy("m", "f").applyInArrow(
-        best, "m int, f int, cut int, node int, gain double, wl double, sl double, w double, s double").collect()
-    losses, found = np.zeros((len(own), 6)), [{} for _ in own]
-    for r in sorted(got, key=lambda r: r["f"]):
+    # A batch is one block: blocks are large.
+    with held_conf(rows.frame.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", "1"):
+        got = partial.repartition(GROUP_TASKS, "m", "f").groupBy("m", "f").applyInArrow(
+            best, "m int, f int, cut int, node int, gain double, wl double, sl double, w double, s double, "
+                  "first int, root binary").collect()
+    losses, found, roots = np.zeros((len(own), 6)), [{} for _ in own], [[] for _ in own]
+    for r in sorted(got, key=lambda r: (r["first"], r["f"])):
+        if r["root"] is not None:
+            roots[r["m"]].append(np.frombuffer(r["root"], np.float64).reshape(-1, width))
         if r["f"] < 0:
             losses[r["m"], r["node"]] = r["wl"]
         elif r["node"] not in found[r["m"]] or r["gain"] > found[r["m"]][r["node"]][2]:  # equal: the first feature
             found[r["m"]][r["node"]] = (r["f"], r["cut"], r["gain"], r["wl"], r["sl"], r["w"], r["s"])
+    for (fit, _), own_roots in zip(fits, roots, strict=True):
+        if own_roots:
+            fit.root = np.concatenate(own_roots)
     return [(f, x.reshape(2, 3)) for f, x in zip(found, losses, strict=True)]
 
 
-def _cells(rows: list[tuple]) -> dict:
+def _cells(rows: list[tuple], root: bytes | None, first: int = -1) -> dict:
     names = ("m", "f", "cut", "node", "gain", "wl", "sl", "w", "s")
     kinds = [pa.int32()] * 4 + [pa.float64()] * 5
-    return {n: pa.array(c, k) for n, c, k in zip(names, zip(*rows, strict=True), kinds, strict=True)}
+    cells = {n: pa.array(c, k) for n, c, k in zip(names, zip(*rows, strict=True), kinds, strict=True)}
+    return cells | {"first": pa.array([first] * len(rows), pa.int32()),
+                    "root": pa.array([root] + [None] * (len(rows) - 1), pa.binary())}
 
 
 def losses_of(sums: np.ndarray) -> tuple[float, float, float, float]:
@@ -332,8 +359,7 @@ def boost(rows: Binned, fits: Sequence[Fit], depth: int, step: float, ended: Cal
         growing = [(f, Tree(depth)) for f in active]
         for level in range(max(1, depth)):
             # The tree that grows is no part of the model yet.
-            got, deeper = _pass(rows, [(replace(f, trees=[t for t in f.trees if t is not tree]), tree)
-                                       for f, tree in growing], level, step, rate, seed), []
+            got, deeper = _pass(rows, growing, level, step, rate, seed), []
             for (fit, tree), (found, sums) in zip(growing, got, strict=True):
                 if level == 0:
                     if fit.trees:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -58,6 +59,17 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{base}/cellhealth-stages/{uuid.uuid4().hex}/{name}"
 
 
+@contextmanager
+def held_conf(spark: SparkSession, name: str, value: str):
+    """Within this block a session setting has another value."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_stage(df, name: str, fmt: str = "parquet"):
     """Write ``df`` once to the shared folder and read it back (cuts lineage).
 

@@ -88,3 +88,54 @@ def test_sums_by_node_feature_and_bin():
                     here = (node == k) & (bins[f] == b)
                     assert got[0, k, f, b] == pytest.approx(here.sum() if w is None else w[here].sum())
                     assert got[1, k, f, b] == pytest.approx(target[here].sum())
+
+
+def test_targets_alone_are_added_up_alike():
+    rng = np.random.default_rng(6)
+    bins, node = rng.integers(0, 8, (boosting.TOGETHER + 1, 200)).astype(np.uint8), rng.integers(0, 3, 200)
+    weight, target = rng.random(200), rng.normal(size=200)
+    whole = boosting._sums(bins, node, 2, 8, weight, target)
+    alone = boosting._sums(bins, node, 2, 8, weight, target, both=False)
+    assert alone.shape == (1, *whole.shape[1:]) and (alone[0] == whole[1]).all()
+
+
+@pytest.mark.parametrize("weight", [None, "w"])
+def test_root_weights_are_added_up_once(spark, weight, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    from cellhealth.operators import models
+
+    rng = np.random.default_rng(8)
+    x, w = rng.normal(size=(300, boosting.CHUNK + 3)), rng.random(300) + 1
+    df = spark.createDataFrame([(str(i), "t", i, Vectors.dense(x[i]), float(x[i, 0] + x[i, 1] ** 2), float(w[i]), i % 5 == 0)
+                                for i in range(300)], ["battery_id", "battery_type", "cycle", "features", "y", "w", "is_val"])
+    params = models.TreeParams(max_iter=4, max_depth=2, max_bins=8, partitions=3)
+    rows = models.bin_rows(df, ["y", "w"], params)
+    assert rows.frame.storageLevel.useMemory and rows.frame.storageLevel.useDisk
+    trees = []
+    try:
+        for forget in (False, True):                # the weights of the first tree again, or added up anew
+            fit, before = boosting.Fit("y", weight, 0.5), boosting._pass
+            if forget:
+                monkeypatch.setattr(boosting, "_pass", lambda r, fits, *a: (
+                    [setattr(f, "root", None) for f, _ in fits], before(r, fits, *a))[1])
+            boosting.boost(rows, [fit], 2, 0.2, lambda f: len(f.trees) >= 4)
+            trees.append([(t.feature.tolist(), t.cut.tolist(), t.weight.tolist(), t.total.tolist()) for t in fit.trees])
+            if not forget:
+                train = np.arange(300) % 5 != 0
+                own = w[train] if weight else np.ones(train.sum())
+                for f in (0, boosting.CHUNK + 2):
+                    at = np.searchsorted(rows.cuts[f], x[train, f], side="left")
+                    assert np.allclose(fit.root[f], np.bincount(at, own, fit.root.shape[1]))
+    finally:
+        rows.drop()
+    assert trees[0] == trees[1] and not rows.frame.storageLevel.useMemory
+
+
+def test_folders_are_dealt_over_all_cores(spark, tmp_out):
+    """Few bytes in many folders: their cost is that of the folders, so one task must not write them all."""
+    rows = [Row(kind="k", file=f"b{i}.csv", time=str(i)) for i in range(120)]
+    sinks.write_csv_tree(spark.createDataFrame(rows), f"{tmp_out}/t", ["kind", "file"])
+    files = glob.glob(f"{tmp_out}/t/*/*/part-*")
+    tasks = {f.rsplit("/part-", 1)[1].split("-")[0] for f in files}
+    assert len(files) == 120 and len(tasks) > spark.sparkContext.defaultParallelism
