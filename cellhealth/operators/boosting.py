@@ -8,7 +8,11 @@ pseudo-residuals of training rows by (node, feature, bin), ``TOGETHER`` features
 the root, the same for all trees, once), the sums meet by ``CHUNK``
 features, and the best cut of each node among them comes back - a few numbers whatever the number of rows.  The model so far is applied to the bins in
 the same pass, so a round leaves no table and no longer plan behind, a lost executor costs its
-tasks, and the losses of a round come with the first level of the next.  The fitted trees become
+tasks, and the losses of a round come with the first level of the next.  Of many rows most features
+are ruled out by a job before (``_screen``): two features are added up at once and only rows of the lighter of
+two siblings, the other is what is left of their parent.  Such sums round otherwise, so every feature
+that comes near the best gain of a node is added up by the pass itself, which alone decides: the
+trees are those of passes over all features.  The fitted trees become
 an MLlib ``GBTRegressionModel``, which scores, saves and loads in the JVM.
 """
 
@@ -24,11 +28,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from cellhealth.session import drop_stage, held_conf, write_stage
 
 #: Rows that the cuts of a feature are taken from at most (a draw by key), and rows of a block.
 SAMPLE_ROWS, BLOCK_ROWS = 10_000, 4096
+#: Rows that are binned at once: their doubles fit a core's cache.
+BIN_ROWS = 512
 #: Rows of a partition beyond which more partitions are made.
 PARTITION_ROWS = 1 << 16
 #: Features whose sums meet in one group, and tasks that share the groups of a pass.
@@ -36,6 +43,11 @@ CHUNK, GROUP_TASKS = 64, 8
 #: Features of a block that are added up at once, and bytes of decisions held while a model is applied:
 #: what a core's cache holds.
 TOGETHER, HELD_BYTES = 12, 1 << 22
+#: Training rows from which on features are ruled out first: below, a job more costs more than it saves.
+SCREEN_ROWS = 500_000
+#: Share of a node's sums that a gain may be off the best and still count as near it: far above what the order of
+#: additions changes.  Bins of a feature up to which two features are added up at once, and rows added up at once.
+NEAR, PAIR_BINS, SCREEN_BLOCK = 1e-7, 64, 1 << 15
 
 
 @dataclass(eq=False)
@@ -77,6 +89,7 @@ class Binned:
     cuts: list[np.ndarray]
     columns: list[str]
     features: str
+    n_train: int = 0
 
     def __post_init__(self):
         self.frame.persist(StorageLevel.MEMORY_AND_DISK)
@@ -126,17 +139,26 @@ def bin_rows(train_val: DataFrame, columns: Sequence[str], keys: Sequence[str],
     cuts = [np.array(r["cuts"]) for r in sorted(got, key=lambda r: r["f"])]
 
     def binned(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, BIN_ROWS):
+                part = batch.slice(at, BIN_ROWS)
+                x = _matrix(part.column("_x"), part.num_rows)
+                bins = np.empty(x.shape[::-1], np.uint8)
+                for f, c in enumerate(cuts):
+                    bins[f] = np.searchsorted(c, x[:, f], side="left")
+                own = [r.tobytes() for r in np.ascontiguousarray(bins.T)]
+                yield pa.RecordBatch.from_arrays([*map(part.column, kept.names), pa.array(own, pa.binary())],
+                                                 names=[*kept.names, "_bins"])
+
+    def blocks(batches):
         held, size = [], 0
 
         def block():
             own = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            x = _matrix(own.column("_x"), own.num_rows)
-            bins = np.empty(x.shape[::-1], np.uint8)
-            for f, c in enumerate(cuts):
-                bins[f] = np.searchsorted(c, x[:, f], side="left")
             out = {"val": np.asarray(own.column("_val"))} | {
                 c: np.asarray(own.column(f"_{c}"), np.float64) for c in (f"c{i}" for i in range(len(columns)))}
-            return pa.RecordBatch.from_pydict({k: [v.tobytes()] for k, v in out.items()} | {"bins": [bins.tobytes()]})
+            bins = np.frombuffer(b"".join(own.column("_bins").to_pylist()), np.uint8).reshape(own.num_rows, -1)
+            return pa.RecordBatch.from_pydict({k: [v.tobytes()] for k, v in out.items()} | {"bins": [bins.T.tobytes()]})
 
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK_ROWS):
@@ -150,10 +172,13 @@ def bin_rows(train_val: DataFrame, columns: Sequence[str], keys: Sequence[str],
             yield block()
 
     tasks = max(partitions, -(-sum(n.values()) // PARTITION_ROWS))
-    dealt = rows.repartition(tasks, *keys).sortWithinPartitions(*keys)
+    # Rows are binned where they lie: a byte a feature is moved and sorted, not a double.
+    kept = rows.drop("_x").schema
+    small = rows.mapInArrow(binned, StructType([*kept.fields, StructField("_bins", BinaryType())]))
+    dealt = small.repartition(tasks, *keys).sortWithinPartitions(*keys)
     schema = "val binary, " + "".join(f"c{i} binary, " for i in range(len(columns))) + "bins binary"
-    blocks = dealt.mapInArrow(binned, schema).withColumn("part", F.spark_partition_id())
-    return Binned(write_stage(blocks, "bins"), cuts, columns, features)
+    held = dealt.mapInArrow(blocks, schema).withColumn("part", F.spark_partition_id())
+    return Binned(write_stage(held, "bins"), cuts, columns, features, n.get(False, 0))
 
 
 def _matrix(column: pa.Array, n: int) -> np.ndarray:
@@ -170,6 +195,8 @@ class Fit:
     trees: list[Tree] = field(default_factory=list)
     losses: list[tuple[float, float, float, float]] = field(default_factory=list)
     root: np.ndarray | None = None          # weights of all rows by feature and bin, once added up
+    base: np.ndarray | None = None          # rows (and weights) of the root as the screen adds them up
+    sums: dict[int, np.ndarray] = field(default_factory=dict)   # what the screen knows of a level's nodes
 
 
 def predict(trees: Sequence[Tree], bins: np.ndarray, step: float) -> np.ndarray:
@@ -236,9 +263,179 @@ def _loss(e: np.ndarray, delta: float | None) -> np.ndarray:
     return e * e if delta is None else np.where(a <= delta, 0.5 * e * e, delta * (a - 0.5 * delta))
 
 
-def _pass(rows: Binned, fits: list[tuple[Fit, Tree]], level: int, step: float, rate: float, seed: int
-          ) -> list[tuple[dict, np.ndarray]]:
-    """One job for one level of the trees that all ``fits`` grow.
+def _drawn(seed: int, n_trees: int, part: int, n: int, rate: float) -> np.ndarray:
+    """Which rows of a block a tree is fitted on."""
+    return np.random.default_rng([seed, n_trees, part, n]).random(n) < rate
+
+
+def _codes(bins: np.ndarray, width: int) -> tuple[np.ndarray, int]:
+    """Bins of two features as one number (one feature, if it has many bins), and how many there may be."""
+    if width > PAIR_BINS:
+        return bins, width
+    if len(bins) % 2:
+        bins = np.concatenate([bins, np.zeros_like(bins[:1])])
+    return bins[::2] * np.uint16(width) + bins[1::2], width * width
+
+
+def _code_sums(codes: np.ndarray, slot: np.ndarray, n_slots: int, span: int, kinds: list[np.ndarray | None]) -> np.ndarray:
+    """(kinds, codes, slots * span): each of ``kinds`` (None: rows) added up by slot and code."""
+    out, at = np.empty((len(kinds), len(codes), n_slots * span)), np.empty(len(slot), np.intp)
+    base = slot * np.intp(span)
+    for p, own in enumerate(codes):
+        np.add(base, own, out=at)
+        for k, w in enumerate(kinds):
+            out[k, p] = np.bincount(at, w, n_slots * span)
+    return out
+
+
+def _by_feature(sums: np.ndarray, n_slots: int, dims: int, width: int) -> np.ndarray:
+    """(kinds, slots, features, bins) of ``_code_sums``."""
+    kinds, n_codes = sums.shape[:2]
+    if width > PAIR_BINS:
+        return sums.reshape(kinds, dims, n_slots, width).swapaxes(1, 2)
+    pairs = sums.reshape(kinds, n_codes, n_slots, width, width)
+    both = np.stack([pairs.sum(axis=4), pairs.sum(axis=3)], axis=2)
+    return both.reshape(kinds, 2 * n_codes, n_slots, width)[:, :dims].swapaxes(1, 2)
+
+
+def _near(known: dict[int, np.ndarray], cuts: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
+    """Those of ``chosen`` (in its order) with a gain near the best of any node; ``known``: by node, (rows,
+    weights if rows have them, targets) by feature and bin."""
+    width = max(len(c) for c in cuts) + 1
+    real = np.arange(width) < np.array([len(cuts[f]) for f in chosen])[:, None]
+    near = np.zeros(len(chosen), bool)
+    for sums in known.values():
+        if not np.isfinite(sums).all():
+            return chosen
+        n, w, s = sums[0][chosen], sums[-2][chosen], sums[-1][chosen]
+        nl, wl, sl = n.cumsum(axis=1), w.cumsum(axis=1), s.cumsum(axis=1)
+        n, w, s = (x.sum(axis=1, keepdims=True) for x in (n, w, s))
+        fine = (nl > 0) & (n - nl > 0) & real
+        with np.errstate(invalid="ignore", divide="ignore"):
+            least = s ** 2 / w
+            gain = np.where(fine, sl ** 2 / wl + (s - sl) ** 2 / (w - wl) - least, -np.inf)
+        if not fine.any():
+            near[0] = True
+        elif np.isfinite(gain[fine]).all():
+            gain = gain.max(axis=1)
+            near |= gain >= gain.max() - NEAR * (abs(gain.max()) + least.max())
+        else:       # rows without weight
+            return chosen
+    return chosen[near]
+
+
+def _screen(rows: Binned, fits: list[tuple[Fit, Tree]], level: int, step: float, rate: float, seed: int
+            ) -> list[np.ndarray]:
+    """For each fit, the features that may hold the best cut of a node of this level, found by one job.
+
+    What comes back is the sums of lighter siblings by feature and bin, whatever the number of rows.
+    """
+    cuts, width = rows.cuts, max((len(c) for c in rows.cuts), default=0) + 1
+    dims, at_column = len(cuts), {c: f"c{i}" for i, c in enumerate(rows.columns)}
+    own, light = [], []
+    for fit, tree in fits:
+        parents = [p for p in range((1 << level) >> 1, 1 << level) if p and tree.feature[p] >= 0]
+        nodes = [2 * p + int(tree.weight[2 * p + 1] < tree.weight[2 * p]) for p in parents] if level else [1]
+        slot = np.full(2 << tree.depth, -1)
+        slot[nodes] = np.arange(len(nodes))
+        light.append(nodes)
+        own.append((at_column[fit.label], at_column.get(fit.weight), fit.delta, [t for t in fit.trees if t is not tree],
+                    tree, slot, len(nodes), level > 0 or rate < 1.0 or fit.base is None))
+    together = level == 0 and rate >= 1.0       # all fits have all rows in one node
+
+    def sums(batches):
+        hist, span = [None] * len(own), width
+        groups = [list(range(len(own)))] if together else [[m] for m in range(len(own))]
+        held = [[] for _ in groups]
+
+        def add_up(g):
+            if not held[g]:
+                return
+            codes, slot, kinds = zip(*held[g], strict=True)
+            kinds = [None if k[0] is None else np.concatenate(k) for k in zip(*kinds, strict=True)]
+            n_slots = max(own[m][6] for m in groups[g])
+            got = _code_sums(np.concatenate(codes, axis=1), np.concatenate(slot), n_slots, span, kinds)
+            held[g], first = [], 0
+            for m in groups[g]:
+                n = 1 if not own[m][7] else 2 if own[m][1] is None else 3
+                part, first = _by_feature(got[first:first + n], n_slots, dims, width), first + n
+                hist[m] = part if hist[m] is None else hist[m] + part
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                val = np.frombuffer(r["val"], np.bool_)
+                bins = np.frombuffer(r["bins"], np.uint8).reshape(dims, len(val))
+                codes, span = _codes(bins, width)
+                train, mine = np.flatnonzero(~val), None
+                for m, (label, weight, delta, trees, growing, slots, _, whole) in enumerate(own):
+                    y = np.frombuffer(r[label], np.float64)
+                    w = None if weight is None else np.frombuffer(r[weight], np.float64)
+                    target = _target(y, predict(trees, bins, step), not trees, delta)
+                    target = target if w is None else target * w
+                    if together:
+                        use, slot = train, None
+                    else:
+                        slot = slots[growing.nodes(bins, level)]
+                        here = (slot >= 0) & ~val
+                        use = np.flatnonzero(here if rate >= 1.0 else
+                                             here & _drawn(seed, len(trees), r["part"], len(y), rate))
+                    kinds = ([None] + ([] if w is None else [w[use]]) if whole else []) + [target[use]]
+                    if not together:
+                        held[m].append((codes.take(use, axis=1), slot[use], kinds))
+                        if sum(len(h[1]) for h in held[m]) >= SCREEN_BLOCK:
+                            add_up(m)
+                    elif mine is None:
+                        mine = (codes.take(use, axis=1), np.zeros(len(use), np.intp), kinds)
+                    else:
+                        mine[2].extend(kinds)
+                if mine is not None:
+                    held[0].append(mine)
+                    if sum(len(h[1]) for h in held[0]) >= SCREEN_BLOCK:
+                        add_up(0)
+        for g in range(len(groups)):
+            add_up(g)
+        out = [(m, f, np.ascontiguousarray(h[:, :, f:f + CHUNK]).tobytes())
+               for m, h in enumerate(hist) if h is not None for f in range(0, dims, CHUNK)]
+        if out:
+            yield pa.RecordBatch.from_pydict({"m": pa.array([o[0] for o in out], pa.int32()),
+                                              "f": pa.array([o[1] for o in out], pa.int32()), "sums": [o[2] for o in out]})
+
+    def total(table: pa.Table) -> pa.Table:
+        added = sum(np.frombuffer(s, np.float64) for s in table.column("sums").to_pylist())
+        return pa.table({"m": table.column("m").slice(0, 1), "f": table.column("f").slice(0, 1), "sums": [added.tobytes()]})
+
+    # The order of additions is free here: few tasks, so few sums to move.
+    few = rows.frame.coalesce(2 * rows.frame.sparkSession.sparkContext.defaultParallelism)
+    with held_conf(rows.frame.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", "1"):
+        got = few.mapInArrow(sums, "m int, f int, sums binary").repartition(GROUP_TASKS, "m", "f").groupBy(
+            "m", "f").applyInArrow(total, "m int, f int, sums binary").collect()
+    found = [[] for _ in own]
+    for r in sorted(got, key=lambda r: r["f"]):
+        found[r["m"]].append(np.frombuffer(r["sums"], np.float64).reshape(
+            -1, own[r["m"]][6], min(CHUNK, dims - r["f"]), width))
+    near = []
+    for (fit, _), nodes, parts, (*_, whole) in zip(fits, light, found, own, strict=True):
+        chosen = np.arange(dims) if fit.chosen is None else np.asarray(fit.chosen)
+        if not parts:                           # no training rows
+            near.append(chosen)
+            continue
+        parts = np.concatenate(parts, axis=2)
+        if level == 0:
+            if not whole:
+                parts = np.concatenate([fit.base, parts])
+            elif rate >= 1.0:
+                fit.base = parts[:-1]
+            fit.sums = {1: parts[:, 0]}
+        else:
+            lighter = {node: parts[:, i] for i, node in enumerate(nodes)}
+            fit.sums = lighter | {node ^ 1: fit.sums[node // 2] - x for node, x in lighter.items()}
+        near.append(_near(fit.sums, cuts, chosen))
+    return near
+
+
+def _pass(rows: Binned, fits: list[tuple[Fit, Tree]], level: int, step: float, rate: float, seed: int,
+          only: list[np.ndarray] | None = None) -> list[tuple[dict, np.ndarray]]:
+    """One job for one level of the trees that all ``fits`` grow; ``only``: by the features that each may cut.
 
     For each: {node: (feature, cut, gain, left weight, left sum, weight, sum)}, and loss sums of the
     model so far, (rows, w * loss, squared error) of training and of validation rows (level 0).
@@ -246,9 +443,10 @@ def _pass(rows: Binned, fits: list[tuple[Fit, Tree]], level: int, step: float, r
     cuts, width = rows.cuts, max((len(c) for c in rows.cuts), default=0) + 1
     dims, n_nodes = len(cuts), 1 << level
     at_column = {c: f"c{i}" for i, c in enumerate(rows.columns)}
-    own = [(at_column[f.label], at_column.get(f.weight), f.delta, [t for t in f.trees if t is not tree], tree,
-            None if f.chosen is None else np.asarray(f.chosen),
-            f.root if level == 0 and rate >= 1.0 else None) for f, tree in fits]
+    chosen = [None if f.chosen is None else np.asarray(f.chosen) for f, _ in fits] if only is None else only
+    own = [(at_column[f.label], at_column.get(f.weight), f.delta, [t for t in f.trees if t is not tree], tree, mine,
+            f.root if level == 0 and rate >= 1.0 and only is None else None)
+           for (f, tree), mine in zip(fits, chosen, strict=True)]
 
     def sums(batches):
         hist, losses, part = [None] * len(own), np.zeros((len(own), 2, 3)), None
@@ -258,7 +456,7 @@ def _pass(rows: Binned, fits: list[tuple[Fit, Tree]], level: int, step: float, r
                 bins = np.frombuffer(r["bins"], np.uint8).reshape(dims, len(val))
                 part = r["part"] if part is None else part
                 train = np.flatnonzero(~val)
-                some = bins if len(train) == len(val) else bins.take(train, axis=1)
+                some = bins if len(train) == len(val) or only is not None else bins.take(train, axis=1)
                 for m, (label, weight, delta, trees, growing, chosen, root) in enumerate(own):
                     y = np.frombuffer(r[label], np.float64)
                     w = np.ones(len(y)) if weight is None else np.where(val, 1.0, np.frombuffer(r[weight], np.float64))
@@ -271,12 +469,15 @@ def _pass(rows: Binned, fits: list[tuple[Fit, Tree]], level: int, step: float, r
                     else:
                         pred = predict(trees, some, step)
                     at = growing.nodes(some, level) - n_nodes
+                    mine = some if chosen is None else some[chosen]
+                    if len(at) > len(train):
+                        at, mine, pred = at[train], mine.take(train, axis=1), pred if level == 0 else pred[train]
                     use = (at >= 0) & (at < n_nodes)  # a leaf above this level has no part in it
                     if rate < 1.0:
-                        use &= (np.random.default_rng([seed, len(trees), r["part"], len(y)]).random(len(y)) < rate)[train]
+                        use &= _drawn(seed, len(trees), r["part"], len(y), rate)[train]
                     w = w[train]
                     target = np.where(use, _target(y[train], pred, not trees, delta) * w, 0.0)
-                    got = _sums(some if chosen is None else some[chosen], np.where(use, at, n_nodes), n_nodes, width,
+                    got = _sums(mine, np.where(use, at, n_nodes), n_nodes, width,
                                 None if weight is None else w, target, root is None)
                     hist[m] = got if hist[m] is None else hist[m] + got
         if part is None:
@@ -310,7 +511,8 @@ def _pass(rows: Binned, fits: list[tuple[Fit, Tree]], level: int, step: float, r
             f, cut = divmod(int(k), width)
             out.append((m, int(chosen[f]), cut, node, float(gain[node, k]), float(wl[node, f, cut]),
                         float(sl[node, f, cut]), float(w[node, f, 0]), float(s[node, f, 0])))
-        return pa.table(_cells(out, hist[0].tobytes() if level == 0 and root is None and rate >= 1.0 else None, first))
+        return pa.table(_cells(out, hist[0].tobytes() if level == 0 and root is None and rate >= 1.0 and only is None
+                               else None, first))
 
     partial = rows.frame.mapInArrow(sums, "m int, f int, part int, sums binary")
     # A batch is one block: blocks are large.
@@ -354,12 +556,13 @@ def boost(rows: Binned, fits: Sequence[Fit], depth: int, step: float, ended: Cal
     ``ended`` is asked before each round of a fit, when the losses of its trees so far are
     known; True leaves the tree of that round, and all after it, unfitted.
     """
-    active = list(fits)
+    active, screened = list(fits), rows.n_train >= SCREEN_ROWS
     while active:
         growing = [(f, Tree(depth)) for f in active]
         for level in range(max(1, depth)):
             # The tree that grows is no part of the model yet.
-            got, deeper = _pass(rows, growing, level, step, rate, seed), []
+            only = _screen(rows, growing, level, step, rate, seed) if screened and depth else None
+            got, deeper = _pass(rows, growing, level, step, rate, seed, only), []
             for (fit, tree), (found, sums) in zip(growing, got, strict=True):
                 if level == 0:
                     if fit.trees:
