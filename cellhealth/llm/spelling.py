@@ -15,7 +15,9 @@ least ``lead`` times the word's own; counts rise along forms, so roots are found
 jumping in a few joins.
 
 Words are counted in tasks before the shuffle; a task holds at most ``HELD`` words.  No group is
-collected: signatures meet row by row, in a join that can spill and whose skew Spark splits.
+collected: signatures meet row by row, in a join that can spill and whose skew Spark splits.  Nothing
+is broadcast: Spark sizes tables by their compressed files, and signatures like the words that send
+them (28 rows a word), so every join here asks for a merge join.
 
 Defined cases: a null text has no words; a null id counts as an empty one where the noise hash
 names it; empty texts, an empty table or no frequent word give no rows; repeated rows count as
@@ -170,7 +172,7 @@ def near_words(vocabulary: DataFrame) -> DataFrame:
                                (_signatures(vocabulary, "short"), _signatures(vocabulary, "long"), F.lit(True))):
         apart = F.col("l.half").bitwiseXOR(F.col("r.half"))
         half = (apart.bitwiseAND(F.lit(0xFFFF)) == 0) | (apart.bitwiseAND(F.lit(-0x10000)) == 0)
-        pairs = left.alias("l").join(right.alias("r"), (F.col("l.sig") == F.col("r.sig")) & order & half)
+        pairs = left.alias("l").join(right.alias("r").hint("merge"), (F.col("l.sig") == F.col("r.sig")) & order & half)
         found.append(pairs.select(F.col("l.word").alias("a"), F.col("l.n").alias("na"),
                                   F.col("r.word").alias("b"), F.col("r.n").alias("nb"))
                      .filter(F.levenshtein("a", "b", 1) == 1))
@@ -182,7 +184,7 @@ def roots(forms: DataFrame) -> DataFrame:
     own = write_stage(forms.select("word", F.coalesce("form", "word").alias("root")), "roots")
     while True:
         up = reread(own).filter("word <> root").select(F.col("word").alias("at"), F.col("root").alias("next"))
-        step = write_stage(own.join(up, own.root == up["at"], "left")
+        step = write_stage(own.join(up.hint("merge"), own.root == up["at"], "left")
                            .select("word", F.coalesce("next", "root").alias("root"),
                                    F.col("next").isNotNull().alias("moved")), "roots")
         drop_stage(own)
@@ -203,11 +205,12 @@ def spelling_groups(docs: DataFrame, least_letters: int = 5, least: int = 3, noi
     best = both.groupBy("word").agg(F.count("*").alias("near"),
                                     F.min(F.struct((-F.col("count")).alias("less"), "other")).alias("best"))
     words = reread(vocabulary)
-    forms = words.join(best, "word", "left").select("word", "n", F.coalesce("near", F.lit(0)).cast("long").alias("n_near"),
-                                                    F.col("best.other").alias("other"), (-F.col("best.less")).alias("most"))
+    forms = words.join(best.hint("merge"), "word", "left").select(
+        "word", "n", F.coalesce("near", F.lit(0)).cast("long").alias("n_near"),
+        F.col("best.other").alias("other"), (-F.col("best.less")).alias("most"))
     led = F.coalesce(F.col("most") >= lead * F.col("n"), F.lit(False))
     forms = write_stage(forms.select("word", F.when(led, F.col("other")).alias("form"), "n", "n_near",
                                      F.when(led, F.col("most")).alias("form_n")), "forms")
     drop_stage(pairs, vocabulary)
     ends = roots(forms)
-    return reread(forms).join(ends, "word").select("word", "form", "root", "n", "n_near", "form_n")
+    return reread(forms).join(ends.hint("merge"), "word").select("word", "form", "root", "n", "n_near", "form_n")

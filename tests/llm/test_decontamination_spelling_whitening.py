@@ -118,6 +118,18 @@ def test_spelling_query_equals_brute_force_and_flushes(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == [(w, n) for w, _, _, n, *_ in want]
 
 
+def test_spelling_broadcasts_nothing(spark, monkeypatch):
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    plans, write = [], spelling.write_stage
+    monkeypatch.setattr(spelling, "write_stage", lambda df, name, *a: plans.append(plan(df)) or write(df, name, *a))
+    docs = documents(spark, ["colour " * 30 + "color " * 90 + "colours " * 9])
+    plans.append(plan(spelling.spelling_groups(docs)))
+    joins = [x for p in plans for x in re.findall(r"\w+Join\b|BroadcastExchange", p)]
+    assert len(joins) >= 5 and set(joins) == {"SortMergeJoin"}
+
+
 def test_no_near_word_is_lost_by_the_signatures():
     rng = np.random.default_rng(5)
     for _ in range(300):
